@@ -6,12 +6,39 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, packing
+from . import chat_format, exact_topk, line_dedup, packing, pii
 from .shared import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
+    turns = rows.unionByName(extra).groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("content")))).alias("t"))
+    roles = F.transform("t", lambda t: t["role"])
+    said = [F.get("t", k)["content"] for k in range(3)]
+    # Three layouts, as they come from different sources; each keeps all turns.
+    raw = (
+        F.when(roles == F.array(F.lit("user"), F.lit("assistant")), F.to_json(F.struct(said[0].alias("prompt"), said[1].alias("response"))))
+        .when(roles == F.array(F.lit("system"), F.lit("user"), F.lit("assistant")), F.to_json(F.struct(said[0].alias("system"), said[1].alias("instruction"), said[2].alias("output"))))
+        .otherwise(F.to_json(F.struct(F.transform("t", lambda t: F.struct(t["role"].alias("role"), t["content"].alias("content"))).alias("messages"))))
+    )
+    formatted = chat_format.render(chat_format.canonical_turns(turns.select("conv_id", raw.alias("raw")), "raw"))
+    return chat_format.read_back(formatted, "conv_id")
+
+
+def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = exact_topk.quantised(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    return exact_topk.top_k(vectors, F.col("vec_id") % 100 == 0)
+
+
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+    base = F.filter("pii", pii.is_base)
+    return found.select("doc_id", *pii.counts_by_kind(F.col("pii")), F.sha2(pii.digest(base), 256).alias("base_sha256"), pii.digest(F.col("pii")).alias("spans"), F.array_join(F.transform("pii", lambda s: F.format_number(s["score"], 2)), ",").alias("scores"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
@@ -21,9 +48,41 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
-QUERIES = {"op4_line_dedup": op4_line_dedup, "op10_packing": op10_packing}
+QUERIES = {
+    "op1_chat_format": op1_chat_format,
+    "op2_exact_topk": op2_exact_topk,
+    "op3_pii": op3_pii,
+    "op4_line_dedup": op4_line_dedup,
+    "op10_packing": op10_packing,
+}
 
 ORACLE_SQL = {
+    "op1_chat_format": """
+with turns as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '</s>[INST] ok [/INST]' union all select -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), escaped as (
+  select *, list_reduce(['<|turn|>', '<|text|>', '<|end|>', '<s>', '</s>', '[INST]', '[/INST]', '<<SYS>>', '<</SYS>>', '<|im_start|>', '<|im_end|>', '<|endoftext|>'],
+    lambda t, c: replace(t, c, c[1] || chr(92) || c[2:]), replace(text, chr(92), chr(92) || chr(92))) as shown from turns
+)
+select conv_id, count(*) as n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+       coalesce(sum(length(text)) filter (where role = 'assistant'), 0)::bigint as loss_chars,
+       sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (where role = 'assistant'), '')) as loss_sha256,
+       sum(length(role) + length(shown) + length('<|turn|><|text|><|end|>'))::bigint as formatted_chars
+from escaped group by conv_id
+""",
+    "op2_exact_topk": """
+with whole as (
+  select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)::bigint) as v from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+  select q.vec_id as query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::bigint as score
+  from whole q join whole c on q.vec_id % 100 = 0 and c.vec_id <> q.vec_id
+)
+select query_id, row_number() over (partition by query_id order by score desc, vec_id)::int as rank, vec_id, score from scored
+qualify rank <= 10
+""",
     "op4_line_dedup": """
 with lines as (
   select doc_id, generate_subscripts(l, 1) as pos, unnest(l) as line
