@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, exact_topk, line_dedup, packing, pii
+from . import chat_format, exact_topk, line_dedup, packing, pii, quality, url_filter
 from .shared import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -44,6 +44,16 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page is labelled by the document of its own number: bad if of low quality or toxic."""
+    labels = table(spark, sf_dir, "labels").groupBy(F.col("doc_id").alias("page_id")).agg((F.bool_or(F.col("quality") == 0) | F.bool_or(F.col("toxic") == 1)).alias("bad"))
+    return url_filter.judge(table(spark, sf_dir, "pages"), labels.where(F.col("bad").isNotNull()))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -53,6 +63,8 @@ QUERIES = {
     "op2_exact_topk": op2_exact_topk,
     "op3_pii": op3_pii,
     "op4_line_dedup": op4_line_dedup,
+    "op8_quality": op8_quality,
+    "op9_url_filter": op9_url_filter,
     "op10_packing": op10_packing,
 }
 
