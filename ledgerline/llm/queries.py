@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, exact_topk, line_dedup, packing, pii, quality, url_filter
+from . import chat_format, dart_minhash, exact_topk, line_dedup, packing, pii, quality, url_filter
 from .shared import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -44,6 +44,10 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op7_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dart_minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -63,6 +67,7 @@ QUERIES = {
     "op2_exact_topk": op2_exact_topk,
     "op3_pii": op3_pii,
     "op4_line_dedup": op4_line_dedup,
+    "op7_dart_minhash": op7_dart_minhash,
     "op8_quality": op8_quality,
     "op9_url_filter": op9_url_filter,
     "op10_packing": op10_packing,
