@@ -155,15 +155,16 @@ def _maybe_repeated(lines: DataFrame, repeated: DataFrame) -> DataFrame:
     return lines.mapInPandas(probe, lines.schema)
 
 
-def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, table: DataFrame | None = None) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, table: DataFrame | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
     """Documents without their repeated lines: doc_id, text (as given), kept (the rest, joined by \\n), n_lines, n_dropped.
 
     A line goes if its key has at least min_chars code points, at least
     min_docs documents hold it and another document with a larger doc_id is
     its keeper. table is the reference table to count in; by default that of docs.
+    carry names columns of docs to carry along.
     """
     repeated = written(counts(references(docs, min_chars) if table is None else table, min_docs), "repeated-lines")
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"), *carry)
     row = F.xxhash64("text")
     split = F.split(F.col("text"), "\n", -1)
     lines = own.select("doc_id", row.alias("row"), F.posexplode(split).alias("pos", "line")).withColumn("key", key_of(F.col("line"))).where(F.length("key") >= min_chars)
@@ -175,4 +176,4 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, table:
     n_lines = F.size(split)
     stays = F.array_except(F.sequence(F.lit(0), n_lines - 1), F.col("gone"))
     kept = F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(F.transform(stays, lambda i: F.get(split, i)), "\n"))
-    return joined.select("doc_id", "text", kept.alias("kept"), n_lines.cast("long").alias("n_lines"), F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_dropped"))
+    return joined.select("doc_id", *carry, "text", kept.alias("kept"), n_lines.cast("long").alias("n_lines"), F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_dropped"))

@@ -50,9 +50,11 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def shared_buckets(buckets: DataFrame) -> DataFrame:
-    """Rows of (bucket, id) whose bucket has more than one id, with each id's weight: the sizes of its buckets added up."""
-    buckets = buckets.distinct()
-    common = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    """Rows of (bucket, id) whose bucket has more than one id, with each id's weight: the sizes of its buckets added up.
+
+    Ids may be of any type with an order.
+    """
+    common = buckets.groupBy("bucket").agg(F.count("*").alias("n"), F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high").drop("low", "high")
     rows = written(buckets.join(common, "bucket"), "buckets")
     weight = rows.groupBy("id").agg(F.sum("n").alias("weight"))
     return rows.select("bucket", "id").join(weight, "id")
@@ -67,7 +69,7 @@ def _similarities(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def links(members: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """Verified pairs (a < b, similarity) among members (bucket, id, weight); sets has id, elements (distinct values)."""
     members = written(members, "members")
-    order = F.struct("weight", -F.col("id"))
+    order = F.struct("weight", "id")
     first = members.groupBy("bucket").agg(F.max_by("id", order).alias("leader"))
     pairs = members.join(first, "bucket").where("id <> leader").select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct()
     known = written(_similarities(pairs, sets), "similar")
@@ -79,7 +81,7 @@ def links(members: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
         linked = _union(found).where(F.col("similarity") >= threshold)
         of = components(linked.select("a", "b"))
         placed = members.join(of, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        largest = placed.groupBy("bucket", "component").count().groupBy("bucket").agg(F.max_by("component", F.struct("count", -F.col("component"))).alias("largest"), F.count("*").alias("parts"))
+        largest = placed.groupBy("bucket", "component").count().groupBy("bucket").agg(F.max_by("component", F.struct("count", "component")).alias("largest"), F.count("*").alias("parts"))
         open_buckets = largest.where("parts > 1")
         placed = written(placed.join(open_buckets, "bucket"), "placed")
         nth = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("weight"), "id"))

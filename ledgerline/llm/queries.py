@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, dart_minhash, decontaminate, exact_topk, line_dedup, packing, pii, quality, url_filter
+from . import chat_format, dart_minhash, decontaminate, exact_topk, line_dedup, packing, pii, quality, substring_dedup, url_filter
 from .shared import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -44,6 +44,10 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -71,6 +75,7 @@ QUERIES = {
     "op2_exact_topk": op2_exact_topk,
     "op3_pii": op3_pii,
     "op4_line_dedup": op4_line_dedup,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_decontaminate": op6_decontaminate,
     "op7_dart_minhash": op7_dart_minhash,
     "op8_quality": op8_quality,
