@@ -1,4 +1,6 @@
 """All registered queries of the record operators, and their SQL."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from ledgerline.plans import collections  # noqa: F401
+from ledgerline.plans.base import ORACLE_SQL, QUERIES
+
+__all__ = ["ORACLE_SQL", "QUERIES"]
