@@ -26,7 +26,7 @@ INVENTORIES = """
 with inv as (
   select doc_id, 'documents/' || doc_id as path, strlen(coalesce(text, ''))::bigint as bytes, sha256(coalesce(text, '')) as sha256 from documents
 ), inv0 as (select path, bytes, sha256 from inv where doc_id % 10 <> 0),
-later as (select doc_id, case when doc_id % 10 = 2 then upper(coalesce(text, '')) else coalesce(text, '') end as text from documents where doc_id % 10 <> 1),
+later as (select doc_id, case when doc_id % 10 = 2 then translate(coalesce(text, ''), 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ') else coalesce(text, '') end as text from documents where doc_id % 10 <> 1),
 inv1 as (select 'documents/' || doc_id as path, strlen(text)::bigint as bytes, sha256(text) as sha256 from later)
 """
 OBSERVATIONS = """

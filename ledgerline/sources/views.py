@@ -51,7 +51,7 @@ def inventory(spark: SparkSession, sf_dir: str, which: int | None = None) -> Dat
     if which == 0:
         docs = docs.where("doc_id % 10 <> 0")
     if which == 1:
-        docs = docs.where("doc_id % 10 <> 1").withColumn("text", F.when(F.col("doc_id") % 10 == 2, F.upper("text")).otherwise(F.col("text")))
+        docs = docs.where("doc_id % 10 <> 1").withColumn("text", F.when(F.col("doc_id") % 10 == 2, F.translate("text", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")).otherwise(F.col("text")))
     return docs.select(F.concat(F.lit("documents/"), "doc_id").alias("path"), F.octet_length("text").cast("long").alias("bytes"), F.sha2("text", 256).alias("sha256"))
 
 
