@@ -158,7 +158,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, n: int = 5, weighte
     members = written(buckets, "shared")
     ids = members.select(F.col("id").alias("doc_id")).distinct()
     sets = written(shingle_sets(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi"), n, weighted), "sets")
-    found = components(links(members, sets, threshold).select("a", "b"))
+    found = components(links(members, sets, threshold))
     # A doc_id with several texts joins their classes as well.
     rows = made.join(texts.select("f1", "f2", "id"), ["f1", "f2"], "left").join(found, "id", "left")
     return rows.select("doc_id", F.coalesce("component", "id", "doc_id").alias("class_id"))

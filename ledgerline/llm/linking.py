@@ -1,22 +1,25 @@
 """From shared buckets to verified links and classes, without listing the pairs of a bucket.
 
 Members of a bucket are first compared with one leader each. Only where a
-bucket still holds more than one component do further members lead, some at a
-time, and each meets only members of other components that the triangle
-inequality of the Jaccard distance does not rule out. It ends when every pair
-of a bucket is compared, ruled out, or inside one component, so no class is
-split that a comparison of all pairs in the buckets would join.
+bucket still holds more than one component, members outside its largest one
+meet those of other components, in blocks of bounded size; a block gives no
+more links than it needs to join its components. So every pair of a bucket is
+compared or inside one component, and no class is split that a comparison of
+all pairs in the buckets would join.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .shared import written
 
-#: How many members of a bucket lead in a later round.
-LEADERS = 8
+#: A block compares about so many outsiders with so many members; small buckets share a task up to about TOGETHER rows.
+OUTSIDERS, MEMBERS, TOGETHER = 32, 256, 2_000
 
 
 def jaccard(a: Column, b: Column) -> Column:
@@ -67,38 +70,73 @@ def _similarities(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def links(members: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """Verified pairs (a < b, similarity) among members (bucket, id, weight); sets has id, elements (distinct values)."""
+    """Verified pairs (a, b) among members (bucket, id, weight) that connect all that are similar; sets has id, elements (distinct values)."""
     members = written(members, "members")
-    order = F.struct("weight", "id")
-    first = members.groupBy("bucket").agg(F.max_by("id", order).alias("leader"))
+    first = members.groupBy("bucket").agg(F.max_by("id", F.struct("weight", "id")).alias("leader"))
     pairs = members.join(first, "bucket").where("id <> leader").select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct()
-    known = written(_similarities(pairs, sets), "similar")
-    far = F.when(F.col("id") == F.col("leader"), 0.0).otherwise(1 - F.col("similarity"))
-    with_leader = members.join(first, "bucket").withColumns({"a": F.least("id", "leader"), "b": F.greatest("id", "leader")})
-    members = written(with_leader.join(known, ["a", "b"], "left").select("bucket", "id", "weight", far.alias("far"), (F.col("id") == F.col("leader")).alias("led")), "members")
-    found = [known]
-    while True:
-        linked = _union(found).where(F.col("similarity") >= threshold)
-        of = components(linked.select("a", "b"))
-        placed = members.join(of, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        largest = placed.groupBy("bucket", "component").count().groupBy("bucket").agg(F.max_by("component", F.struct("count", "component")).alias("largest"), F.count("*").alias("parts"))
-        open_buckets = largest.where("parts > 1")
-        placed = written(placed.join(open_buckets, "bucket"), "placed")
-        nth = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("weight"), "id"))
-        leading = placed.where("component <> largest and not led").withColumn("nth", nth).where(F.col("nth") <= LEADERS)
-        leading = written(leading.select("bucket", F.col("id").alias("leader"), F.col("component").alias("own"), F.col("far").alias("leader_far")), "leading")
-        if leading.isEmpty():
-            return linked
-        reach = F.abs(F.col("far") - F.col("leader_far")) <= 1 - threshold + 1e-9
-        pairs = placed.join(leading, "bucket").where((F.col("component") != F.col("own")) & reach & (F.col("id") != F.col("leader")))
-        pairs = pairs.select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct().join(_union(found).select("a", "b"), ["a", "b"], "left_anti")
-        found.append(written(_similarities(pairs, sets), "similar"))
-        now_led = leading.select("bucket", F.col("leader").alias("id"), F.lit(True).alias("leads"))
-        members = written(placed.select("bucket", "id", "weight", "far", "led").join(now_led, ["bucket", "id"], "left").withColumn("led", F.col("led") | F.coalesce("leads", F.lit(False))).drop("leads"), "members")
-
-
-def _union(parts: list[DataFrame]) -> DataFrame:
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part)
-    return whole
+    led = written(_similarities(pairs, sets).where(F.col("similarity") >= threshold).select("a", "b"), "similar")
+    of = components(led)
+    placed = written(members.join(first, "bucket").join(of, "id", "left").select("bucket", "id", "leader", F.coalesce("component", "id").alias("component")), "placed")
+    parts = placed.groupBy("bucket", "component").count().groupBy("bucket").agg(F.max_by("component", F.struct("count", "component")).alias("largest"), F.count("*").alias("parts"))
+    rows = placed.join(parts.where("parts > 1"), "bucket")
+    outside = (F.col("component") != F.col("largest")) & (F.col("id") != F.col("leader"))
+    return led.unionByName(_across(rows.select("bucket", "id", "component", outside.alias("outside")), sets, threshold))
+
+
+def _across(rows: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) between outside rows and rows of other components in the same bucket."""
+    rows = written(rows, "open")
+    sizes = rows.groupBy("bucket").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("member_blocks"), F.ceil(F.count_if("outside") / OUTSIDERS).cast("int").alias("outside_blocks")).where("outside_blocks > 0")
+    together = max(1, rows.count() // TOGETHER)
+    whole = rows.join(sizes, "bucket").join(sets, "id")
+    # Small buckets share tasks; a large one has tasks of its own.
+    small = (F.col("member_blocks") == 1) & (F.col("outside_blocks") == 1)
+    whole = whole.withColumn("task", F.when(small, F.pmod("bucket", F.lit(together))).otherwise(F.col("bucket"))).withColumn("alone", ~small)
+    block = lambda n, salt: F.pmod(F.xxhash64("id", F.lit(salt)), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    columns = ["task", "alone", "m", "o", "bucket", "id", "component", "elements"]
+    outside = whole.where("outside").withColumn("o", block("outside_blocks", 1)).withColumn("m", every("member_blocks")).select(columns).toDF(*columns)
+    inside = whole.withColumn("m", block("member_blocks", 2)).withColumn("o", every("outside_blocks")).select(columns).toDF(*columns)
+
+    def compare(key: tuple, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(a) and len(b):
+            inner = dict(tuple(b.groupby("bucket", sort=False)))
+            for bucket, own in a.groupby("bucket", sort=False):
+                out += _forest(own, inner[bucket], threshold) if bucket in inner else []
+        return pd.DataFrame(out, columns=["a", "b"])
+
+    kind = rows.schema["id"].dataType
+    schema = T.StructType([T.StructField("a", kind), T.StructField("b", kind)])
+    keys = ["task", "alone", "m", "o"]
+    return outside.groupBy(*keys).cogroup(inside.groupBy(*keys)).applyInPandas(compare, schema)
+
+
+def _forest(outside: pd.DataFrame, inside: pd.DataFrame, threshold: float) -> list[tuple]:
+    """Similar pairs between two blocks of a bucket, as few as join the components that they join."""
+    sets = outside["elements"].tolist()
+    sizes = np.array([len(x) for x in sets])
+    values, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+    order = np.argsort(values, kind="stable")
+    values, owner = values[order], owner[order]
+    ids, of = outside["id"].tolist(), outside["component"].tolist()
+    root: dict = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    found = []
+    for own, component, elements in zip(inside["id"], inside["component"], inside["elements"], strict=True):
+        low = np.searchsorted(values, elements)
+        each = np.searchsorted(values, elements, side="right") - low
+        hits = owner[np.arange(each.sum()) + np.repeat(low - (np.cumsum(each) - each), each)]
+        common = np.bincount(hits, minlength=len(sets))
+        for k in np.flatnonzero(common >= threshold * (sizes + len(elements) - common) - 1e-9).tolist():
+            one, two = find(of[k]), find(component)
+            if one != two:
+                root[one] = two
+                found.append((min(own, ids[k]), max(own, ids[k])))
+    return found

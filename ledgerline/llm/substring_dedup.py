@@ -139,7 +139,7 @@ def paragraph_classes(docs: DataFrame, threshold: float = 0.8, n: int = 5, min_w
     wanted = written(wanted.select("id", "place.doc_id", "place.first_word"), "wanted")
     texts = docs.select("doc_id", "text").join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
     sets = written(paragraph_sets(texts, n, min_words).join(wanted, ["doc_id", "first_word"]).select("id", "elements").dropDuplicates(["id"]), "sets")
-    of = components(links(members, sets, threshold).select("a", "b"))
+    of = components(links(members, sets, threshold))
     placed = made.select("doc_id", "first_word", "n_words", "id").join(of, "id", "left").withColumn("class", F.coalesce("component", "id")).drop("component")
     across = placed.groupBy("class").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low <> high").select("class")
     return placed.join(across, "class").select("doc_id", "first_word", "n_words", F.hex("class").alias("class_id"))
