@@ -31,7 +31,7 @@ inv1 as (select 'documents/' || doc_id as path, strlen(text)::bigint as bytes, s
 """
 OBSERVATIONS = """
 with obs as (
-  select user_id as key, date_trunc('second', ts) as at, event_id as seq, props,
+  select user_id as key, date_trunc('second', ts) as "at", event_id as seq, props,
          case when event_type in ('view', 'click') then 'available' when event_type = 'error' then 'missing'
               when event_type = 'signup' then 'transient' else 'budget' end as outcome from events
 )

@@ -1,6 +1,6 @@
 """All registered queries of the record operators, and their SQL."""
 
-from ledgerline.plans import collections, inventories, registry, search  # noqa: F401
+from ledgerline.plans import collections, inventories, monitoring, registry, search  # noqa: F401
 from ledgerline.plans.base import ORACLE_SQL, QUERIES
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
