@@ -84,7 +84,7 @@ def _turns(record: dict, mapping: Mapping) -> list[dict]:
 
 
 def canonical_turns(records: DataFrame, raw: str, mappings: tuple[Mapping, ...] = MAPPINGS) -> DataFrame:
-    """records with fingerprint, layout and turns of the JSON text in column raw."""
+    """records with fingerprint, layout and turns of the JSON text in column raw; columns of these names are replaced."""
     registry = {f: m for m in mappings for f in m.fingerprints()}
 
     @F.pandas_udf(f"fingerprint string, layout string, turns {TURNS}")
@@ -101,7 +101,8 @@ def canonical_turns(records: DataFrame, raw: str, mappings: tuple[Mapping, ...]
             rows.append((found, mapping and mapping.name, mapping and _turns(record, mapping)))
         return pd.DataFrame(rows, columns=["fingerprint", "layout", "turns"])
 
-    return records.withColumn("_read", read(F.col(raw))).select("*", "_read.fingerprint", "_read.layout", "_read.turns").drop("_read")
+    told = records.drop(*({"fingerprint", "layout", "turns"} - {raw})).withColumn("_read", read(F.col(raw)))
+    return told.select("*", "_read.fingerprint", "_read.layout", "_read.turns").drop("_read")
 
 
 @dataclass(frozen=True)

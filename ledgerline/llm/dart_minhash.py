@@ -157,7 +157,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, n: int = 5, weighte
     buckets = shared_buckets(texts.select("id", F.explode("bands").alias("bucket")))
     members = written(buckets, "shared")
     ids = members.select(F.col("id").alias("doc_id")).distinct()
-    sets = written(shingle_sets(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi"), n, weighted), "sets")
+    sets = written(shingle_sets(docs.select("doc_id", "text").join(ids.hint("merge"), "doc_id", "left_semi"), n, weighted), "sets")
     found = components(links(members, sets, threshold))
     # A doc_id with several texts joins their classes as well.
     rows = made.join(texts.select("f1", "f2", "id"), ["f1", "f2"], "left").join(found, "id", "left")
@@ -168,4 +168,4 @@ def deduplicated(docs: DataFrame, **options: object) -> DataFrame:
     """docs with one document of each class: that with the smallest doc_id; rows without a doc_id stay."""
     classes = near_duplicates(docs, **options)
     gone = classes.where(F.col("doc_id") != F.col("class_id")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+    return docs.join(gone.hint("merge"), "doc_id", "left_anti")

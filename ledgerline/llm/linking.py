@@ -64,9 +64,9 @@ def shared_buckets(buckets: DataFrame) -> DataFrame:
 
 
 def _similarities(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (a, b) with their exact Jaccard similarity."""
+    """Pairs (a, b) with their exact Jaccard similarity. Both sides grow with the corpus, so both are shuffled at every size."""
     one, two = (sets.select(F.col("id").alias(k), F.col("elements").alias(f"of_{k}")) for k in "ab")
-    return pairs.join(one, "a").join(two, "b").select("a", "b", jaccard(F.col("of_a"), F.col("of_b")).alias("similarity"))
+    return pairs.join(one.hint("merge"), "a").join(two.hint("merge"), "b").select("a", "b", jaccard(F.col("of_a"), F.col("of_b")).alias("similarity"))
 
 
 def links(members: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
@@ -88,7 +88,7 @@ def _across(rows: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     rows = written(rows, "open")
     sizes = rows.groupBy("bucket").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("member_blocks"), F.ceil(F.count_if("outside") / OUTSIDERS).cast("int").alias("outside_blocks")).where("outside_blocks > 0")
     together = max(1, rows.count() // TOGETHER)
-    whole = rows.join(sizes, "bucket").join(sets, "id")
+    whole = rows.join(sizes, "bucket").join(sets.hint("merge"), "id")
     # Small buckets share tasks; a large one has tasks of its own.
     small = (F.col("member_blocks") == 1) & (F.col("outside_blocks") == 1)
     whole = whole.withColumn("task", F.when(small, F.pmod("bucket", F.lit(together))).otherwise(F.col("bucket"))).withColumn("alone", ~small)

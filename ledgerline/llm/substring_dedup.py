@@ -137,7 +137,7 @@ def paragraph_classes(docs: DataFrame, threshold: float = 0.8, n: int = 5, min_w
     members = written(shared_buckets(sets_of.select("id", F.explode("bands").alias("bucket"))), "shared")
     wanted = made.join(members.select("id").distinct(), "id", "left_semi").groupBy("id").agg(F.min(place).alias("place"))
     wanted = written(wanted.select("id", "place.doc_id", "place.first_word"), "wanted")
-    texts = docs.select("doc_id", "text").join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
+    texts = docs.select("doc_id", "text").join(wanted.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi")
     sets = written(paragraph_sets(texts, n, min_words).join(wanted, ["doc_id", "first_word"]).select("id", "elements").dropDuplicates(["id"]), "sets")
     of = components(links(members, sets, threshold))
     placed = made.select("doc_id", "first_word", "n_words", "id").join(of, "id", "left").withColumn("class", F.coalesce("component", "id")).drop("component")
@@ -176,7 +176,7 @@ def passage_classes(docs: DataFrame, min_words: int = 20, reach: int = REACH) ->
     """doc_id, first_word, n_words, class_id of every run of repeated stretches with at least min_words words."""
     made = chunks(docs, reach)
     common = made.groupBy("c1").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low <> high").select("c1")
-    some = written(made.join(common, "c1"), "stretches")
+    some = written(made.join(common.hint("merge"), "c1"), "stretches")
     sure = some.groupBy("c1", "c2").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low <> high").select("c1", "c2")
     some = some.join(sure, ["c1", "c2"])
     by_place = Window.partitionBy("doc_id").orderBy("first_word")
