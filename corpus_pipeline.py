@@ -21,7 +21,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Documents that the classifier does not reject; a document without a doc_id is judged by none and stays."""
     scored = quality.score(docs, table(spark, sf_dir, "labels"))
     rejected = scored.groupBy("doc_id").agg(F.min("predicted").alias("predicted")).where("predicted = 0")
-    return docs.join(rejected, "doc_id", "left_anti").select(*COLUMNS)
+    return docs.join(rejected.hint("merge"), "doc_id", "left_anti").select(*COLUMNS)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -91,7 +91,8 @@ def _sets(texts: list[str], n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]
 def _stretches(batch: pd.DataFrame, chars: int = 1 << 20) -> Iterator[pd.DataFrame]:
     sizes = np.cumsum(batch["text"].str.len().to_numpy(np.int64))
     for part in np.split(np.arange(len(batch)), np.flatnonzero(np.diff(sizes // chars)) + 1):
-        yield batch.iloc[part]
+        if len(part):
+            yield batch.iloc[part]
 
 
 def sketches(docs: DataFrame, n: int = 5, bands: int = BANDS, rows: int = ROWS, weighted: bool = False) -> DataFrame:

@@ -53,11 +53,11 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def shared_buckets(buckets: DataFrame) -> DataFrame:
-    """Rows of (bucket, id) whose bucket has more than one id, with each id's weight: the sizes of its buckets added up.
+    """Rows of (bucket, id) whose bucket has more than one row, with each id's weight: the sizes of its buckets added up.
 
     Ids may be of any type with an order.
     """
-    common = buckets.groupBy("bucket").agg(F.count("*").alias("n"), F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high").drop("low", "high")
+    common = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     rows = written(buckets.join(common, "bucket"), "buckets")
     weight = rows.groupBy("id").agg(F.sum("n").alias("weight"))
     return rows.select("bucket", "id").join(weight, "id")
