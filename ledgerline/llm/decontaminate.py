@@ -165,6 +165,8 @@ def retrieve(docs: DataFrame, items: DataFrame, threshold: float = 0.6, index_it
             for batch in batches:
                 sizes = np.cumsum(batch["text"].str.len().to_numpy(np.int64))
                 for own in np.split(np.arange(len(batch)), np.flatnonzero(np.diff(sizes // (1 << 20))) + 1):
+                    if not len(own):
+                        continue
                     part = batch.iloc[own]
                     hashes, first = words(part["text"].tolist(), separators=_NOT_WORD)
                     hits = sent.value.search(hashes, first)

@@ -83,7 +83,37 @@ QUERIES = {
     "op10_packing": op10_packing,
 }
 
+def _pii_sql() -> str:
+    """The base patterns as they are given, without the anchors that spare the operator a second look; the added kind as the operator has it."""
+    digits = "regexp_replace(m, '[^0-9]', '', 'g')"
+    turned = "(replace(m, ' ', '')[5:] || replace(m, ' ', '')[1:4])"
+    luhn = f"list_sum(list_transform(range(1, length({digits}) + 1), lambda i: case when i % 2 = 1 then reverse({digits})[i]::int else [0, 2, 4, 6, 8, 1, 3, 5, 7, 9][reverse({digits})[i]::int + 1] end)) % 10 = 0"
+    mod97 = f"list_reduce(list_prepend(0::bigint, list_transform(string_split({turned}, ''), lambda c: case when c between '0' and '9' then c::bigint else (ascii(c) - 55)::bigint end)), lambda r, n: (r * case when n > 9 then 100 else 10 end + n) % 97) = 1"
+    kinds = [
+        ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "true", 0.8),
+        ("ip", r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+", "list_bool_and(list_transform(string_split(m, '.'), lambda x: length(ltrim(x, '0')) <= 3 and coalesce(try_cast(x as hugeint), 999) <= 255))", 0.5),
+        ("card", r"[0-9](?:[\x20-]?[0-9])+", f"length({digits}) between 13 and 19 and {luhn}", 0.7),
+        ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", f"length({digits}) between 9 and 15", 0.6),
+        ("iban", pii.IBAN, mod97, 0.9),
+    ]
+    selects = []
+    for n, (kind, pattern, holds, score) in enumerate(kinds):
+        words = "|".join(next(k for k in pii.BASE + pii.ADDED if k.name == kind).context)
+        near = f"(?i)(?:^|[^a-z])(?:{words})(?:$|[^a-z])"
+        selects.append(f"""select doc_id, {n} as ord, '{kind}' as kind, s, s + length(m) as e,
+  {score} + case when regexp_matches(right(parts[i], {pii.NEAR}), '{near}') or regexp_matches(left(parts[i + 1], {pii.NEAR}), '{near}') then 0.1 else 0 end as score
+  from (select doc_id, i, ms[i] as m, parts, list_sum(list_transform(parts[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) as s
+    from (select doc_id, parts, ms, unnest(range(1, len(ms) + 1)) as i from (select doc_id, string_split_regex(t, '{pattern}') as parts, regexp_extract_all(t, '{pattern}') as ms from src where regexp_matches(t, '{pattern}')))) where {holds}""")
+    counts = ", ".join(f"coalesce(count_if(kind = '{k}'), 0)::bigint as n_{k}" for k in ("email", "ip", "card", "phone"))
+    span = "kind || ':' || s::bigint || ':' || e::bigint"
+    return f"""with src as (select doc_id, coalesce(text, '') as t from documents), found as ({' union all '.join(selects)})
+select doc_id, {counts}, sha256(coalesce(string_agg({span}, ',' order by ord, s) filter (where ord < 4), '')) as base_sha256,
+  coalesce(string_agg({span}, ',' order by ord, s), '') as spans, coalesce(string_agg(format('{{:.2f}}', score), ',' order by ord, s), '') as scores
+from documents left join found using (doc_id) group by doc_id"""
+
+
 ORACLE_SQL = {
+    "op3_pii": _pii_sql(),
     "op1_chat_format": """
 with turns as (
   select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
