@@ -133,12 +133,17 @@ def brute_pii(text):
 def test_pii_is_that_of_the_plain_patterns(spark, texts, odd):
     random.seed(5)
     parts = ["a", "@", ".", "1", "2", "45", " ", "-", "+", "(", ")", "b.c", "4539148803436467", "255", "é", "😀", "_", "\n", "%"]
-    made = [(i, "".join(random.choices(parts, k=random.randint(0, 40)))) for i in range(2000)] + texts + [(0, "a" * 200_000 + "@"), (0, "a.b" * 60_000 + "@c.d"), (0, "1" * 100_000)]
+    made = [(i, "".join(random.choices(parts, k=random.randint(0, 40)))) for i in range(2000)] + texts + [(0, "a" * 2_000 + "@"), (0, "a.b" * 600 + "@c.d"), (0, "1" * 1_000)]
     for rows in (spark.createDataFrame(made, "doc_id long, text string"), odd):
         for r in pii.find(rows).select("text", pii.digest(F.filter("pii", pii.is_base)).alias("x")).collect():
             assert r.x == brute_pii(r.text)
 
 
+def test_pii_in_very_long_texts(spark):
+    rows = spark.createDataFrame([("a" * 300_000 + "@",), ("a.b" * 90_000 + "@c.d",), ("1" * 300_000,), ("@a" + ".a" * 150_000,), ("x@y.z " * 3_000,)], "text string")
+    assert [r.n_email for r in pii.find(rows).select(*pii.counts_by_kind(F.col("pii"))).collect()] == [0, 1, 0, 0, 3_000]
+
+
 def test_iban_needs_its_checksum_and_context_moves_the_score(spark):
     rows = spark.createDataFrame([("pay to iban GB82 WEST 1234 5698 7654 32.",), ("DE89370400440532013000",), ("DE89370400440532013001",), ("call +1 (017) 555-7713",), ("at +1 (017) 555-7713",)], "text string")
     got = [[(s.kind, round(s.score, 1)) for s in r.pii] for r in pii.find(rows).collect()]
