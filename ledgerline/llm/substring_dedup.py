@@ -58,6 +58,10 @@ def minhashes(elements: np.ndarray, first: np.ndarray, k: int) -> np.ndarray:
     return out
 
 
+def _nothing() -> pd.Series:
+    return pd.Series([], dtype=object)
+
+
 def _batches(docs: DataFrame, run, schema: str) -> DataFrame:
     """run over parts of about a million characters: gets doc_ids and texts."""
 
@@ -65,7 +69,8 @@ def _batches(docs: DataFrame, run, schema: str) -> DataFrame:
         for batch in batches:
             sizes = np.cumsum(batch["text"].str.len().to_numpy(np.int64))
             for own in np.split(np.arange(len(batch)), np.flatnonzero(np.diff(sizes // (1 << 20))) + 1):
-                yield run(batch["doc_id"].to_numpy()[own], batch["text"].iloc[own].tolist())
+                if len(own):
+                    yield run(batch["doc_id"].to_numpy()[own], batch["text"].iloc[own].tolist())
 
     rows = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     return rows.mapInPandas(each, schema)
@@ -74,7 +79,7 @@ def _batches(docs: DataFrame, run, schema: str) -> DataFrame:
 def _paragraphs(doc_ids: np.ndarray, texts: list[str], min_words: int):
     """doc_id, first word and words of every paragraph of at least min_words, with its hashes' places."""
     lines = [t.split("\n") for t in texts]
-    count = np.array([len(x) for x in lines])
+    count = np.array([len(x) for x in lines], np.int64)
     hashes, first = words([line for own in lines for line in own])
     doc = np.repeat(np.arange(len(texts)), count)
     begins = first[:-1] - first[np.cumsum(count) - count][doc]
@@ -101,7 +106,7 @@ def paragraph_sketches(docs: DataFrame, n: int = 5, min_words: int = 20, bands:
     def run(doc_ids: np.ndarray, texts: list[str]) -> pd.DataFrame:
         ids, begin, size, hashes, first, keep = _paragraphs(doc_ids, texts, min_words)
         if not len(keep):
-            return pd.DataFrame({"doc_id": ids, "first_word": begin, "n_words": size, "id": [], "bands": []})
+            return pd.DataFrame({"doc_id": ids, "first_word": begin, "n_words": size, "id": _nothing(), "bands": _nothing()})
         elements, at, _ = _paragraph_sets(hashes, first, keep, n)
         least = minhashes(elements, at, bands * rows)
         hashed = np.zeros((len(keep), bands), np.uint64)
@@ -119,7 +124,7 @@ def paragraph_sets(docs: DataFrame, n: int = 5, min_words: int = 20) -> DataFram
     def run(doc_ids: np.ndarray, texts: list[str]) -> pd.DataFrame:
         ids, begin, _, hashes, first, keep = _paragraphs(doc_ids, texts, min_words)
         if not len(keep):
-            return pd.DataFrame({"doc_id": ids, "first_word": begin, "elements": []})
+            return pd.DataFrame({"doc_id": ids, "first_word": begin, "elements": _nothing()})
         elements, at, _ = _paragraph_sets(hashes, first, keep, n)
         values = elements.view(np.int64)
         return pd.DataFrame({"doc_id": ids, "first_word": begin, "elements": [values[at[k] : at[k + 1]] for k in range(len(keep))]})
@@ -184,13 +189,12 @@ def passage_classes(docs: DataFrame, min_words: int = 20, reach: int = REACH) ->
     runs = some.withColumn("run", F.sum(F.coalesce(starts, F.lit(0))).over(by_place))
     in_run = Window.partitionBy("doc_id", "run")
     runs = runs.withColumns({"run_words": F.sum("n_words").over(in_run), "run_first": F.min("first_word").over(in_run)}).where(F.col("run_words") >= min_words)
-    runs = runs.withColumn("id", F.unhex(F.concat(F.lpad(F.hex("c1"), 16, "0"), F.lpad(F.hex("c2"), 16, "0"))))
-    runs = written(runs.select("doc_id", "run_first", "run_words", "first_word", "id"), "runs")
-    # Stretches side by side in a run are parts of one passage.
-    after = F.lag("id").over(Window.partitionBy("doc_id", "run_first").orderBy("first_word"))
-    beside = runs.withColumn("b", after).where(F.col("b").isNotNull()).select(F.col("id").alias("a"), "b").distinct()
-    of = components(beside)
-    spans = runs.groupBy("doc_id", "run_first", "run_words").agg(F.min("id").alias("id")).join(of, "id", "left")
+    # c1 names a stretch from here on: the rows left are few, and a chance match could only join two classes.
+    runs = runs.withColumn("least", F.min("c1").over(in_run))
+    runs = written(runs.select("doc_id", "run_first", "run_words", "c1", "least"), "runs")
+    # Stretches of one run are parts of one passage.
+    of = components(runs.select(F.col("c1").alias("a"), F.col("least").alias("b")).distinct())
+    spans = runs.select("doc_id", "run_first", "run_words", F.col("least").alias("id")).distinct().join(of, "id", "left")
     spans = spans.select("doc_id", F.col("run_first").cast("long").alias("first_word"), F.col("run_words").alias("n_words"), F.coalesce("component", "id").alias("class"))
     across = spans.groupBy("class").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low <> high").select("class")
     return spans.join(across, "class").select("doc_id", "first_word", "n_words", F.hex("class").alias("class_id"))
