@@ -26,7 +26,9 @@ from .shared import text_or_empty, written
 from .textgrams import words
 
 BUCKETS, WIDTH, NONZERO, WINDOW = 1 << 13, 32, 4, 2
-#: Labelled documents that the network is fitted on, at most: those whose hash comes first.
+#: Tasks whose tables are added together.
+FAN_IN = 256
+#: Labelled documents that the network is fitted on, at most, chosen by hash.
 SAMPLE = 20_000
 _U = np.uint64
 EXTRA = 11
@@ -87,12 +89,14 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
             yield pd.DataFrame({"block": [k // block], "sums": [total[k : k + block].astype(np.float64).ravel()]})
 
     def added(rows: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"block": rows["block"].iloc[:1], "sums": [np.sum(np.stack(rows["sums"].to_numpy()), axis=0)]})
-
-    # A first round adds what some tasks have before all meet; a group has as many rows as there are tasks, an eighth each.
-    parts = docs.select(text_or_empty().alias("text")).mapInPandas(sums, "block int, sums array<double>")
-    some = parts.withColumn("part", F.spark_partition_id() % 8).groupBy("block", "part").applyInPandas(added, "block int, sums array<double>")
-    rows = some.groupBy("block").applyInPandas(added, "block int, sums array<double>").collect()
+        return pd.DataFrame({"block": rows["block"].iloc[:1], "sums": [np.sum(np.stack(rows["sums"].to_numpy()), axis=0)], "task": rows["task"].iloc[:1]})
+
+    # Tables of FAN_IN tasks are added at a time, so a group is at most FAN_IN rows of 64 kB; three rounds serve 16 million tasks.
+    parts = docs.select(text_or_empty().alias("text")).mapInPandas(sums, "block int, sums array<double>").withColumn("task", F.spark_partition_id())
+    for _ in range(3):
+        near = parts.withColumn("task", F.floor(F.col("task") / FAN_IN).cast("int"))
+        parts = near.groupBy("block", "task").applyInPandas(added, "block int, sums array<double>, task int")
+    rows = parts.collect()  # BUCKETS / block rows
     table = np.zeros((BUCKETS, WIDTH))
     for r in rows:
         table[r["block"] * block : (r["block"] + 1) * block] = np.array(r["sums"]).reshape(block, WIDTH)
@@ -220,6 +224,9 @@ def score(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: in
     """
     features = written(pooled(docs, word_vectors(docs)), "features")
     told = labels.where(F.col(label).isNotNull() & (fold_of() != 0)).groupBy("doc_id").agg(F.min(label).alias("y"))
+    # Too many labels are thinned by a hash first, so that no task sends its own `sample` rows to the driver.
+    taken_part = min(1.0, sample / max(1, told.count()))
+    told = told.where(F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1 << 30)) <= int(taken_part * (1 << 30)))
     taken = features.join(told.select(F.col("doc_id").cast("long").alias("doc_id"), "y"), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     rows = taken.select("doc_id", "features", "y", fold_of().alias("fold")).toPandas()  # at most `sample` rows
     x = np.stack(rows["features"].to_numpy()).astype(np.float64) if len(rows) else np.zeros((0, WIDTH + EXTRA))
