@@ -26,7 +26,7 @@ from .shared import text_or_empty, written
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 #: Pieces of one length are ranked in groups of about this many rows.
-RANK_GROUP = 50_000
+RANK_GROUP = 1_000
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 0, with_ids: bool = False) -> DataFrame:
