@@ -6,8 +6,10 @@ shingles settles them, and components of the links are the classes.
 
 A passage may also repeat inside paragraphs that differ around it. For those a
 text is cut where a word's hash is the least among its neighbours, which falls
-at the same words wherever a passage stands; equal cuts in different documents
-are joined to runs, and runs of enough words are passages too.
+at the same words wherever a passage stands. Stretches between cuts that
+different documents share are only seeds: around them every run of min_words
+words is named and held against the other documents, so a passage's ends are
+exact and what is removed stands in an earlier document.
 
 Places count words: runs of anything but ASCII white space.
 
@@ -150,8 +152,14 @@ def paragraph_classes(docs: DataFrame, threshold: float = 0.8, n: int = 5, min_w
     return placed.join(across, "class").select("doc_id", "first_word", "n_words", F.hex("class").alias("class_id"))
 
 
-def chunks(docs: DataFrame, reach: int = REACH) -> DataFrame:
-    """doc_id, c1, c2 (a name of its words), first_word, n_words of every stretch between two cuts."""
+def chunks(docs: DataFrame, min_words: int = 20, reach: int = REACH) -> DataFrame:
+    """doc_id, name, begin, end of every stretch between two cuts.
+
+    begin and end reach two cuts further on either side: a passage that holds
+    the stretch, and no other stretch beside it, ends before them. A stretch's
+    block (first_word, h1, h2) is all windows, runs of min_words words, that
+    start in it; n_windows is how many, 0 where the text ends before.
+    """
 
     def run(doc_ids: np.ndarray, texts: list[str]) -> pd.DataFrame:
         hashes, first = words(texts)
@@ -167,37 +175,109 @@ def chunks(docs: DataFrame, reach: int = REACH) -> DataFrame:
         least[first[:-1][size > 0]] = True
         starts = np.flatnonzero(least)
         ends = np.append(starts[1:], len(hashes))
-        power, back = (np.multiply.accumulate(np.concatenate(([_U(1)], np.full(len(hashes), f, np.uint64)))) for f in (_FACTOR, _INVERSE))
-        names = []
-        for salt in (3, 4):
-            prefix = np.concatenate(([_U(0)], np.cumsum(mix(hashes ^ _U(salt)) * power[:-1])))
-            names.append(mix((prefix[ends] - prefix[starts]) * back[starts]).view(np.int64))
-        return pd.DataFrame({"doc_id": doc_ids[doc[starts]], "c1": names[0], "c2": names[1], "first_word": starts - first[:-1][doc[starts]], "n_words": ends - starts})
+        prefix, back = _prefix(hashes, 3)
+        names = [_between(prefix, back, starts, ends)]
+        until = np.minimum(ends + min_words - 1, first[1:][doc[starts]])
+        blocks = [_between(prefix, back, starts, until), _between(*_prefix(hashes, 4), starts, until)]
+        count = np.maximum(until - starts - min_words + 1, 0)
+        low = high = np.arange(len(starts))
+        own = doc[starts[low]]
+        begin = starts[np.maximum(low - 2, np.searchsorted(starts, first[:-1])[own])]
+        end = ends[np.minimum(high + 2, np.searchsorted(starts, first[1:])[own] - 1)]
+        count, h1, h2 = (np.concatenate((x, np.zeros(len(low) - len(starts), x.dtype))) for x in (count, *blocks))
+        at = first[:-1][own]
+        return pd.DataFrame({"doc_id": doc_ids[own], "name": names[0], "begin": begin - at, "end": end - at, "first_word": starts[low] - at, "n_windows": count, "h1": h1, "h2": h2})
+
+    return _batches(docs, run, "doc_id long, name long, begin int, end int, first_word int, n_windows int, h1 long, h2 long")
+
+
+def _prefix(hashes: np.ndarray, salt: int) -> tuple[np.ndarray, np.ndarray]:
+    power, back = (np.multiply.accumulate(np.concatenate(([_U(1)], np.full(len(hashes), f, np.uint64)))) for f in (_FACTOR, _INVERSE))
+    return np.concatenate(([_U(0)], np.cumsum(mix(hashes ^ _U(salt)) * power[:-1]))), back
+
+
+def _between(prefix: np.ndarray, back: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Names of the words between starts and ends."""
+    return mix((prefix[ends] - prefix[starts]) * back[starts]).view(np.int64)
+
+
+def _covered(first: np.ndarray, begins: pd.Series, ends: pd.Series, more: int) -> np.ndarray:
+    """Whether each word lies between some begin and end + more of its text."""
+    change = np.zeros(first[-1] + 1, np.int64)
+    for k, (begin, end) in enumerate(zip(begins, ends, strict=True)):
+        # Rows of one doc_id share their places, and one of them may be shorter.
+        np.add.at(change, np.minimum(first[k] + begin, first[k + 1]), 1)
+        np.add.at(change, np.minimum(first[k] + end + more, first[k + 1]), -1)
+    return np.cumsum(change[:-1]) > 0
+
+
+def _firsts(rows: DataFrame) -> DataFrame:
+    """rows (doc_id, first_word, h1, h2) whose words stand in several documents, with their first place (of, at)."""
+    firsts = rows.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "first_word")).alias("first"), F.max("doc_id").alias("last")).where("first.doc_id <> last")
+    return rows.join(firsts.select("h1", "h2", F.col("first.doc_id").alias("of"), F.col("first.first_word").alias("at")).hint("merge"), ["h1", "h2"])
+
+
+def windows(docs: DataFrame, seeds: DataFrame, min_words: int) -> DataFrame:
+    """doc_id, first_word, h1, h2 (a name of its words) of every min_words words inside the seeds (doc_id, begin, end), but those that start in low to high."""
+    listed = [F.collect_list(c).alias(c) for c in ("begin", "end", "low", "high")]
+    places = seeds.groupBy("doc_id").agg(*listed)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).join(places.hint("merge"), "doc_id")
+
+    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            sizes = np.cumsum(batch["text"].str.len().to_numpy(np.int64))
+            for own in np.split(np.arange(len(batch)), np.flatnonzero(np.diff(sizes // (1 << 20))) + 1):
+                if len(own):
+                    yield run(batch.iloc[own])
+
+    def run(batch: pd.DataFrame) -> pd.DataFrame:
+        hashes, first = words(batch["text"].tolist())
+        inside, known = (_covered(first, batch[a], batch[b], more) for a, b, more in (("begin", "end", 0), ("low", "high", 1)))
+        held = np.concatenate(([0], np.cumsum(inside)))
+        doc = np.repeat(np.arange(len(batch)), np.diff(first))
+        at = np.arange(max(0, len(hashes) - min_words + 1))
+        at = at[(held[at + min_words] - held[at] == min_words) & (doc[at] == doc[at + min_words - 1]) & ~known[at]]
+        names = [_between(*_prefix(hashes, salt), at, at + min_words) for salt in (3, 4)]
+        return pd.DataFrame({"doc_id": batch["doc_id"].to_numpy()[doc[at]], "first_word": at - first[:-1][doc[at]], "h1": names[0], "h2": names[1]})
 
-    return _batches(docs, run, "doc_id long, c1 long, c2 long, first_word int, n_words int")
+    return rows.mapInPandas(each, "doc_id long, first_word int, h1 long, h2 long")
 
 
 def passage_classes(docs: DataFrame, min_words: int = 20, reach: int = REACH) -> DataFrame:
-    """doc_id, first_word, n_words, class_id of every run of repeated stretches with at least min_words words."""
-    made = chunks(docs, reach)
-    common = made.groupBy("c1").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low <> high").select("c1")
-    some = written(made.join(common.hint("merge"), "c1"), "stretches")
-    sure = some.groupBy("c1", "c2").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low <> high").select("c1", "c2")
-    some = some.join(sure, ["c1", "c2"])
-    by_place = Window.partitionBy("doc_id").orderBy("first_word")
-    starts = (F.lag("first_word").over(by_place) + F.lag("n_words").over(by_place) < F.col("first_word")).cast("int")
-    runs = some.withColumn("run", F.sum(F.coalesce(starts, F.lit(0))).over(by_place))
-    in_run = Window.partitionBy("doc_id", "run")
-    runs = runs.withColumns({"run_words": F.sum("n_words").over(in_run), "run_first": F.min("first_word").over(in_run)}).where(F.col("run_words") >= min_words)
-    # c1 names a stretch from here on: the rows left are few, and a chance match could only join two classes.
-    runs = runs.withColumn("least", F.min("c1").over(in_run))
-    runs = written(runs.select("doc_id", "run_first", "run_words", "c1", "least"), "runs")
-    # Stretches of one run are parts of one passage.
-    of = components(runs.select(F.col("c1").alias("a"), F.col("least").alias("b")).distinct())
-    spans = runs.select("doc_id", "run_first", "run_words", F.col("least").alias("id")).distinct().join(of, "id", "left")
-    spans = spans.select("doc_id", F.col("run_first").cast("long").alias("first_word"), F.col("run_words").alias("n_words"), F.coalesce("component", "id").alias("class"))
-    across = spans.groupBy("class").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low <> high").select("class")
-    return spans.join(across, "class").select("doc_id", "first_word", "n_words", F.hex("class").alias("class_id"))
+    """doc_id, first_word, n_words, class_id of every run of words of which each min_words words stand in another document as well.
+
+    The first document that has some min_words words keeps them; what it keeps
+    in one run is a class, with the runs of other documents that stand in it.
+    So each word of a run stands in an earlier document, or in its class's first.
+    """
+    made = chunks(docs, min_words, reach)
+    common = made.groupBy("name").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low <> high").select("name")
+    seeds = written(made.join(common.hint("merge"), "name").drop("name"), "seeds")
+    high = (F.col("first_word") + F.col("n_windows") - 1).alias("high")
+    blocks = written(_firsts(seeds.where("n_windows > 0").select("doc_id", "first_word", "n_windows", "h1", "h2")).select("doc_id", F.col("first_word").alias("low"), high, "of", "at"), "blocks")
+    # What a block of an earlier document holds needs no look at its windows: that document's are looked at.
+    known = blocks.where("of <> doc_id").select("doc_id", "low", "high")
+    empty = F.lit(None).cast("int")
+    places = seeds.select("doc_id", "begin", "end", empty.alias("low"), empty.alias("high")).unionByName(known.withColumns({"begin": empty, "end": empty}))
+    single = _firsts(written(windows(docs, places, min_words), "windows")).select("doc_id", F.col("first_word").alias("low"), F.col("first_word").alias("high"), "of", "at")
+    some = blocks.unionByName(single).withColumn("own", F.col("of") == F.col("doc_id"))
+    by_place = Window.partitionBy("doc_id", "own").orderBy("low", "of", "at")
+    before = lambda c: F.lag(c).over(by_place)
+    follows = F.when(F.col("own"), F.col("low") <= F.max("high").over(by_place.rowsBetween(Window.unboundedPreceding, -1)) + 1)
+    follows = follows.otherwise((F.col("low") <= before("high") + 1) & (before("of") == F.col("of")) & (F.col("at") - before("at") == F.col("low") - before("low")))
+    pieces = some.withColumn("piece", F.sum(F.when(follows, 0).otherwise(1)).over(by_place)).groupBy("doc_id", "own", "piece")
+    pieces = pieces.agg(F.min("of").alias("of"), F.min("at").alias("at"), F.min("low").alias("low"), F.max("high").alias("high"))
+    pieces = written(pieces.drop("piece"), "pieces")
+    kept = pieces.where("own").select("doc_id", "low", "high", F.col("doc_id").alias("of"), F.col("low").alias("from"))
+    runs = kept.select("of", "from", F.col("high").alias("to"))
+    other = pieces.where("not own").join(runs.hint("merge"), "of").where(F.col("at").between(F.col("from"), F.col("to"))).select("doc_id", "low", "high", "of", "from")
+    # Pieces of one class that meet are one run, as where words repeat inside it.
+    by_class = Window.partitionBy("doc_id", "of", "from").orderBy("low", "high")
+    until = F.max("high").over(by_class.rowsBetween(Window.unboundedPreceding, -1))
+    other = other.withColumn("run", F.sum(F.when(F.col("low") <= until + 1, 0).otherwise(1)).over(by_class)).groupBy("doc_id", "of", "from", "run")
+    spans = kept.unionByName(other.agg(F.min("low").alias("low"), F.max("high").alias("high")).drop("run"))
+    words_of = (F.col("high") - F.col("low") + min_words).cast("long")
+    return spans.select("doc_id", F.col("low").cast("long").alias("first_word"), words_of.alias("n_words"), F.concat_ws("-", F.hex("of"), F.hex("from")).alias("class_id"))
 
 
 def repeated_passages(docs: DataFrame, threshold: float = 0.8, n: int = 5, min_words: int = 20) -> DataFrame:

@@ -246,6 +246,34 @@ def test_removal_leaves_one_of_each_passage(spark, none, odd):
     assert substring_dedup.repeated_passages(odd).count() == 0
 
 
+def _own_words(name, n):
+    return [f"{name}{k}" for k in range(n)]
+
+
+def test_passages_side_by_side_each_keep_one_copy(spark):
+    p, q = _own_words("p", 60), _own_words("q", 60)
+    held = [(1, p), (2, p + q), (3, p + q), (4, q)]
+    rows = [(d, " ".join(_own_words(f"a{d}x", 30) + own + _own_words(f"b{d}x", 30))) for d, own in held]
+    left = substring_dedup.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    count = collections.Counter(w for r in left for w in r.text.split())
+    assert {count[w] for w in p + q} == {1}
+    assert all(count[w] == 1 for d in range(1, 5) for w in _own_words(f"a{d}x", 30) + _own_words(f"b{d}x", 30))
+
+
+def test_short_stretches_of_different_documents_are_no_passage(spark):
+    parts = [_own_words(f"s{k}x", 18) for k in range(3)]
+    rows = [(1, sum(parts, []))] + [(k + 2, _own_words(f"c{k}x", 40) + own + _own_words(f"d{k}x", 40)) for k, own in enumerate(parts)]
+    assert substring_dedup.passage_classes(spark.createDataFrame([(d, " ".join(w)) for d, w in rows], "doc_id long, text string")).count() == 0
+
+
+def test_a_passage_inside_copies_of_another_document_is_found(spark):
+    p, around = _own_words("p", 51), (_own_words("y", 80), _own_words("z", 80))
+    rows = [(1, _own_words("a", 40) + p + _own_words("b", 40)), *((d, around[0] + p + around[1]) for d in (4, 5))]
+    frame = spark.createDataFrame([(d, " ".join(w)) for d, w in rows], "doc_id long, text string")
+    left = {r.doc_id: r.text.split() for r in substring_dedup.without_repeats(frame).collect()}
+    assert left == {1: rows[0][1], 4: around[0] + around[1], 5: []}
+
+
 # 6
 
 
