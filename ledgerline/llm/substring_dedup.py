@@ -153,7 +153,7 @@ def paragraph_classes(docs: DataFrame, threshold: float = 0.8, n: int = 5, min_w
 
 
 def chunks(docs: DataFrame, min_words: int = 20, reach: int = REACH) -> DataFrame:
-    """doc_id, name, begin, end of every stretch between two cuts.
+    """doc_id, name, begin, end of every stretch between two cuts, and of every run of words that repeat with a short period, which has no cuts.
 
     begin and end reach two cuts further on either side: a passage that holds
     the stretch, and no other stretch beside it, ends before them. A stretch's
@@ -181,12 +181,23 @@ def chunks(docs: DataFrame, min_words: int = 20, reach: int = REACH) -> DataFram
         blocks = [_between(prefix, back, starts, until), _between(*_prefix(hashes, 4), starts, until)]
         count = np.maximum(until - starts - min_words + 1, 0)
         low = high = np.arange(len(starts))
+        for period in range(1, reach + 1):
+            same = np.concatenate((np.zeros(period, bool), (hashes[period:] == hashes[:-period]) & (doc[period:] == doc[:-period])))[: len(hashes)]
+            edge = np.diff(np.concatenate(([0], same.astype(np.int8), [0])))
+            begin, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+            long = end - begin >= 2 * reach
+            begin, end = begin[long] - period, end[long]
+            # One name for all turns of the period, however long the run is.
+            turns = [_between(prefix, back, begin + k, begin + k + period) for k in range(period)]
+            names.append(mix(np.min(turns, 0).view(np.uint64) + _U(period)).view(np.int64))
+            low = np.concatenate((low, np.searchsorted(starts, begin, side="right") - 1))
+            high = np.concatenate((high, np.searchsorted(starts, end - 1, side="right") - 1))
         own = doc[starts[low]]
         begin = starts[np.maximum(low - 2, np.searchsorted(starts, first[:-1])[own])]
         end = ends[np.minimum(high + 2, np.searchsorted(starts, first[1:])[own] - 1)]
         count, h1, h2 = (np.concatenate((x, np.zeros(len(low) - len(starts), x.dtype))) for x in (count, *blocks))
         at = first[:-1][own]
-        return pd.DataFrame({"doc_id": doc_ids[own], "name": names[0], "begin": begin - at, "end": end - at, "first_word": starts[low] - at, "n_windows": count, "h1": h1, "h2": h2})
+        return pd.DataFrame({"doc_id": doc_ids[own], "name": np.concatenate(names), "begin": begin - at, "end": end - at, "first_word": starts[low] - at, "n_windows": count, "h1": h1, "h2": h2})
 
     return _batches(docs, run, "doc_id long, name long, begin int, end int, first_word int, n_windows int, h1 long, h2 long")
 

@@ -274,6 +274,19 @@ def test_a_passage_inside_copies_of_another_document_is_found(spark):
     assert left == {1: rows[0][1], 4: around[0] + around[1], 5: []}
 
 
+def test_passages_are_found_to_their_exact_ends(spark):
+    rows, want = [], set()
+    for k in range(300):
+        passage = _own_words(f"p{k}x", 51) if k else ["la", "li", "lo"] * 17
+        for d in (2 * k, 2 * k + 1):
+            before = 40 + d % 7
+            rows.append((d, " ".join(_own_words(f"a{d}x", before) + passage + _own_words(f"b{d}x", 40))))
+            want.add((d, before, 51))
+    got = substring_dedup.passage_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.first_word, r.n_words) for r in got} == want and len(got) == len(want)
+    assert len({r.class_id for r in got}) == 300
+
+
 # 6
 
 
