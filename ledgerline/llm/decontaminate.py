@@ -7,13 +7,15 @@ block-max: items in blocks, with each term's largest weight in a block. A
 passage first needs a word without which no item reaches the threshold, then
 a block whose maxima add up to it; only then are the block's items scored,
 exactly, and all at or above the threshold are returned. Each is verified on
-its word runs, for its question and its answer.
+its word runs, for its question and its answer, in stretches of the passage
+that go by the item's own length.
 
 Passages are overlapping windows twice as long as the longest item of the
 index, stepped by half, so every occurrence of an item lies inside one.
 
 Defined cases: null text is empty; items without a word can't be found; an
-item that occurs twice in a document is returned once, where it scores best;
+item that occurs twice in a document is returned once, where most of both its
+question and its answer is held, then where it scores best;
 repeated rows are searched each; other columns are ignored.
 """
 
@@ -52,7 +54,7 @@ class ItemIndex:
     def __init__(self, ids: list[int], texts: list[str], threshold: float):
         hashes, first = words(texts, separators=_NOT_WORD)
         self.ids, self.threshold = np.array(ids, np.int64), threshold
-        sizes = np.diff(first)
+        self.sizes = sizes = np.diff(first)
         item = np.repeat(np.arange(len(ids)), sizes)
         self.terms, term = np.unique(hashes, return_inverse=True)
         pairs, counts = np.unique(item * max(1, len(self.terms)) + term, return_counts=True)
@@ -114,14 +116,15 @@ class ItemIndex:
         for k in np.flatnonzero(seen[end] > seen[begin]).tolist():
             terms = place[begin[k] : end[k]]
             terms = np.unique(terms[known[begin[k] : end[k]]])
-            out += [(int(text[k]), int(begin[k] - first[text[k]]), *hit) for hit in self._ask(terms, hashes[begin[k] : end[k]])]
+            out += [(int(text[k]), int(begin[k] - first[text[k]]) + at, *hit) for at, *hit in self._ask(terms, hashes[begin[k] : end[k]])]
         best: dict[tuple[int, int], tuple] = {}
         for t, at, item, score, question, answer in out:
-            if (t, item) not in best or score > best[t, item][3]:
+            # Verified before ranked: a passage with all of an item's words scattered scores as much as the item itself.
+            if (t, item) not in best or (min(question, answer), score) > (min(best[t, item][4:]), best[t, item][3]):
                 best[t, item] = (t, item, at, score, question, answer)
         return list(best.values())
 
-    def _ask(self, terms: np.ndarray, hashes: np.ndarray) -> list[tuple[int, float, float, float]]:
+    def _ask(self, terms: np.ndarray, hashes: np.ndarray) -> list[tuple[int, int, float, float, float]]:
         sizes = self.block_begin[terms + 1] - self.block_begin[terms]
         rows = np.arange(sizes.sum()) + np.repeat(self.block_begin[terms] - (np.cumsum(sizes) - sizes), sizes)
         most = np.bincount(self.block_ids[rows], self.block_max[rows], minlength=self.blocks)
@@ -136,7 +139,22 @@ class ItemIndex:
         if not hits:
             return []
         held = {n: _runs(hashes, n) for n in range(1, RUN + 1)}
-        return [(i, float(scores[i]), self._share(self.question[i], held), self._share(self.answer[i], held)) for i in hits]
+        out = []
+        for i in hits:
+            at, question, answer = self._verified(i, len(hashes), held)
+            out.append((at, i, float(scores[i]), question, answer))
+        return out
+
+    def _verified(self, item: int, n: int, held: dict[int, np.ndarray]) -> tuple[int, float, float]:
+        """Where in a passage of n words, and how much of, an item's question and answer stand together: in stretches of four times the item's words, stepped by half."""
+        step = max(8, 2 * int(self.sizes[item]))
+        best = (-1.0, 0, 0.0, 0.0)
+        for at in range(0, max(1, n - step), step):
+            own = {k: runs[at : max(at + 1, at + 2 * step - k + 1)] for k, runs in held.items()} if n > 2 * step else held
+            question, answer = self._share(self.question[item], own), self._share(self.answer[item], own)
+            if min(question, answer) > best[0]:
+                best = (min(question, answer), at, question, answer)
+        return best[1:]
 
     def _share(self, wanted: np.ndarray, held: dict[int, np.ndarray]) -> float:
         # Parts of fewer than RUN words are one run of all their words.

@@ -305,6 +305,22 @@ def test_items_are_found_whole_and_clean_documents_left_alone(spark, sf, odd, no
     assert {r.item_id for r in decontaminate.contaminated(spark.createDataFrame([(1, "two one")], "doc_id long, text string"), blank).collect()} == {3}
 
 
+def test_an_item_is_found_after_its_scattered_words_and_beside_a_long_item(spark):
+    item = "which river runs through the old town of vell. the answer is the green aster"
+    scattered = " ".join(sorted(item.replace(".", "").split()))
+    pad = " ".join(f"x{k}" for k in range(200))
+    plain = lambda rows: spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    got = decontaminate.contaminated(plain([(1, f"{scattered} {pad} {item} {pad}"), (2, f"{scattered} {pad}")]), items).collect()
+    assert [(r.doc_id, r.question, r.answer) for r in got] == [(1, 1.0, 1.0)]
+    long = spark.createDataFrame([(1, item), (2, " ".join(f"y{k}" for k in range(500)))], "item_id long, text string")
+    own = item.replace(".", "").split()
+    apart = f" {pad} ".join(" ".join(own[k : k + 3]) for k in range(len(own) - 2))
+    tight = " ".join(" ".join(own[k : k + 3]) + f" z{k} z{k + 1} z{k + 2} z{k + 3} z{k + 4} z{k + 5} z{k + 6} z{k + 7} z{k + 8}" for k in range(len(own) - 2))
+    got = decontaminate.contaminated(plain([(1, f"{pad} {item} {pad}"), (2, apart), (3, tight)]), long).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(1, 1)}
+
+
 def test_block_max_search_scores_as_a_scan_does():
     random.seed(4)
     vocabulary = [f"w{k}" for k in range(60)]
