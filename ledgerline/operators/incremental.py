@@ -38,13 +38,21 @@ def patched_pages(prior: DataFrame, ever: DataFrame, active: DataFrame, batch: D
     return prior.join(hit, keys, "left_anti").unionByName(pages.pages(placed_ever, placed_active, prefix, page_size))
 
 
-def patched_recent(prior: DataFrame, batch_current: DataFrame, current: DataFrame, n: int) -> DataFrame:
+def patched_recent(prior: DataFrame, batch_current: DataFrame, current: DataFrame, n: int, touched: DataFrame | None = None) -> DataFrame:
     """The newest n after a batch (id, registered_at, ... of the touched ids' current versions).
 
-    What the prior list can't tell (a full list that became shorter) comes from
-    current: the n newest of it are read instead.
+    touched (id) names all ids of the batch, those it withdraws too; without it
+    they are those of batch_current. What the prior list can't tell (a full list
+    of which fewer than n rows are left or come in at or above its end) comes
+    from current: the n newest of it are read instead.
     """
-    kept = prior.join(batch_current.select("id"), "id", "left_anti").unionByName(batch_current)
+    ids = batch_current.select("id") if touched is None else touched.select("id").unionByName(batch_current.select("id"))
+    kept = prior.join(ids.distinct(), "id", "left_anti").unionByName(batch_current)
+    place = F.struct("registered_at", "id")
+    end = prior.agg(F.count("*").alias("was"), F.min(place).alias("end"))
+    known = kept.crossJoin(F.broadcast(end)).agg(F.count_if((F.col("was") < n) | (place >= F.col("end")))).first()[0]
+    if known < n and prior.count() >= n:
+        return select.recent(current.select(prior.columns), n)
     return select.recent(kept, n)
 
 

@@ -58,7 +58,7 @@ def patched_recent(spark: SparkSession, d: str) -> DataFrame:
     columns = ["id", "version", "registered_at"]
     prior = select.recent(select.latest_versions(now)).select(columns)
     batch = current(spark, d).where(BATCH).select(columns)
-    return incremental.patched_recent(prior, batch, current(spark, d), 200).select("id", "version")
+    return incremental.patched_recent(prior, batch, current(spark, d), 200, records(spark, d).where(BATCH)).select("id", "version")
 
 
 @query(CODES_SQL + """, n as (select k.kind as kind, k.code as code, count(*) as was, count_if(serial % 3 <> 0) as now from front group by all)

@@ -268,3 +268,15 @@ def test_targets_must_be_distinct(spark, tmp_path):
     assert readers.repeated_targets(readers.read_targets(spark, str(tmp_path / "t.json"))).count() == 1
     with pytest.raises(ValueError, match="version"):
         readers.require_columns(spark.range(1), {"id": "bigint", "version": "bigint"})
+
+
+def test_a_recent_list_is_refilled_after_a_withdrawal(spark):
+    rows = lambda days: spark.createDataFrame([(f"r{k}", d) for k, d in days.items()], "id string, registered_at int")
+    before = {k: k for k in range(1, 8)}
+    prior = select.recent(rows(before), 3)
+    got = lambda batch, now, touched, n=3: [r.id for r in incremental.patched_recent(prior, rows(batch), rows(now), n, rows(touched).select("id")).collect()]
+    assert got({}, {k: d for k, d in before.items() if k != 6}, {6: 0}) == ["r7", "r5", "r4"]
+    assert got({8: 8}, {k: d for k, d in before.items() if k != 6} | {8: 8}, {6: 0, 8: 0}) == ["r8", "r7", "r5"]
+    # A touched id whose current version is older than the list's end.
+    assert got({6: 1}, before | {6: 1}, {6: 0}) == ["r7", "r5", "r4"]
+    assert got({}, {7: 7, 5: 5}, {6: 0}, n=5) == ["r7", "r5"]
