@@ -6,6 +6,10 @@ meet those of other components, in blocks of bounded size; a block gives no
 more links than it needs to join its components. So every pair of a bucket is
 compared or inside one component, and no class is split that a comparison of
 all pairs in the buckets would join.
+
+A key may hold a third of all rows. Values that go with a key are counted with
+it; the few keys with more than their share are joined by broadcast, the others
+by a shuffle in which no key is large.
 """
 
 from __future__ import annotations
@@ -20,6 +24,8 @@ from .shared import written
 
 #: A block compares about so many outsiders with so many members; small buckets share a task up to about TOGETHER rows.
 OUTSIDERS, MEMBERS, TOGETHER = 32, 256, 2_000
+#: A key is hot with more rows than 1 / HOT of all, so fewer than HOT keys are; and with HOT_ROWS at least.
+HOT, HOT_ROWS = 2_000, 1_000
 
 
 def jaccard(a: Column, b: Column) -> Column:
@@ -29,6 +35,20 @@ def jaccard(a: Column, b: Column) -> Column:
     return F.when(union == 0, 1.0).otherwise(common / union)
 
 
+def attached(rows: DataFrame, values: DataFrame, on: list[str], total: int) -> DataFrame:
+    """rows joined with values, which has a row for each key and n, how many of the total rows have it.
+
+    Fewer than HOT keys are hot, whatever the input, so theirs can be broadcast.
+    """
+    bound = max(HOT_ROWS, total // HOT)
+    hot = values.where(F.col("n") > bound).collect() if total > bound else []
+    if not hot:
+        return rows.join(values.drop("n"), on)
+    known = rows.sparkSession.createDataFrame(hot, values.schema).drop("n")
+    rest = rows.join(F.broadcast(known.select(on)), on, "left_anti").join(values.drop("n"), on)
+    return rows.join(F.broadcast(known), on).unionByName(rest)
+
+
 def _sum_of(edges: DataFrame) -> tuple:
     r = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
     return tuple(r)
@@ -40,10 +60,11 @@ def components(edges: DataFrame) -> DataFrame:
     before = _sum_of(now)
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        large = both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.*")
+        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).withColumn("m", F.least("u", "m"))
+        large = attached(both, least, ["u"], 2 * before[0]).where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = written(large, "edges")
+        least = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+        small = attached(large, least, ["u"], before[0]).select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.*")
         now = written(small.where("u <> v").distinct(), "edges")
         after = _sum_of(now)
         if after == before:
@@ -57,28 +78,33 @@ def shared_buckets(buckets: DataFrame) -> DataFrame:
 
     Ids may be of any type with an order.
     """
-    common = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    rows = written(buckets.join(common, "bucket"), "buckets")
-    weight = rows.groupBy("id").agg(F.sum("n").alias("weight"))
+    common = written(buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "common")
+    total = common.agg(F.sum("n")).first()[0] or 0
+    rows = written(attached(buckets, common.withColumn("size", F.col("n")), ["bucket"], total), "buckets")
+    weight = rows.groupBy("id").agg(F.sum("size").alias("weight"))
     return rows.select("bucket", "id").join(weight, "id")
 
 
 def _similarities(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (a, b) with their exact Jaccard similarity. Both sides grow with the corpus, so both are shuffled at every size."""
-    one, two = (sets.select(F.col("id").alias(k), F.col("elements").alias(f"of_{k}")) for k in "ab")
-    return pairs.join(one.hint("merge"), "a").join(two.hint("merge"), "b").select("a", "b", jaccard(F.col("of_a"), F.col("of_b")).alias("similarity"))
+    """Pairs (id, leader) as (a, b) with their exact Jaccard similarity. Both sides grow with the corpus, so both are shuffled at every size."""
+    own, other = sets.withColumnRenamed("elements", "own"), sets.select(F.col("id").alias("leader"), F.col("elements").alias("other"))
+    joined = pairs.join(own.hint("merge"), "id").join(other.hint("merge"), "leader")
+    return joined.select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b"), jaccard(F.col("own"), F.col("other")).alias("similarity"))
 
 
 def links(members: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """Verified pairs (a, b) among members (bucket, id, weight) that connect all that are similar; sets has id, elements (distinct values)."""
-    members = written(members, "members")
-    first = members.groupBy("bucket").agg(F.max_by("id", F.struct("weight", "id")).alias("leader"))
-    pairs = members.join(first, "bucket").where("id <> leader").select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct()
+    """Verified pairs (a, b) among members (bucket, id, weight; a written table) that connect all that are similar; sets has id, elements (distinct values)."""
+    first = written(members.groupBy("bucket").agg(F.max_by("id", F.struct("weight", "id")).alias("leader"), F.count("*").alias("n")), "leaders")
+    members = written(attached(members.drop("weight"), first, ["bucket"], members.count()), "led")
+    pairs = members.where("id <> leader").select("id", "leader").distinct()
     led = written(_similarities(pairs, sets).where(F.col("similarity") >= threshold).select("a", "b"), "similar")
-    of = components(led)
-    placed = written(members.join(first, "bucket").join(of, "id", "left").select("bucket", "id", "leader", F.coalesce("component", "id").alias("component")), "placed")
-    parts = placed.groupBy("bucket", "component").count().groupBy("bucket").agg(F.max_by("component", F.struct("count", "component")).alias("largest"), F.count("*").alias("parts"))
-    rows = placed.join(parts.where("parts > 1"), "bucket")
+    placed = written(members.join(components(led), "id", "left").select("bucket", "id", "leader", F.coalesce("component", "id").alias("component")), "placed")
+    sizes = placed.groupBy("bucket", "component").agg(F.count("*").alias("size"))
+    parts = sizes.groupBy("bucket").agg(F.max_by("component", F.struct("size", "component")).alias("largest"), F.count("*").alias("parts"), F.sum("size").alias("n")).where("parts > 1")
+    parts = written(parts.drop("parts"), "parts")
+    if parts.isEmpty():
+        return led
+    rows = attached(placed, parts, ["bucket"], placed.count())
     outside = (F.col("component") != F.col("largest")) & (F.col("id") != F.col("leader"))
     return led.unionByName(_across(rows.select("bucket", "id", "component", outside.alias("outside")), sets, threshold))
 
@@ -86,9 +112,10 @@ def links(members: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
 def _across(rows: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """Links (a, b) between outside rows and rows of other components in the same bucket."""
     rows = written(rows, "open")
-    sizes = rows.groupBy("bucket").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("member_blocks"), F.ceil(F.count_if("outside") / OUTSIDERS).cast("int").alias("outside_blocks")).where("outside_blocks > 0")
-    together = max(1, rows.count() // TOGETHER)
-    whole = rows.join(sizes, "bucket").join(sets.hint("merge"), "id")
+    sizes = rows.groupBy("bucket").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("member_blocks"), F.ceil(F.count_if("outside") / OUTSIDERS).cast("int").alias("outside_blocks"), F.count("*").alias("n")).where("outside_blocks > 0")
+    total = rows.count()
+    together = max(1, total // TOGETHER)
+    whole = attached(rows, sizes, ["bucket"], total).join(sets.hint("merge"), "id")
     # Small buckets share tasks; a large one has tasks of its own.
     small = (F.col("member_blocks") == 1) & (F.col("outside_blocks") == 1)
     whole = whole.withColumn("task", F.when(small, F.pmod("bucket", F.lit(together))).otherwise(F.col("bucket"))).withColumn("alone", ~small)

@@ -4,19 +4,23 @@ Paragraphs (lines) with enough words are compared by MinHash: bands tuned for
 high recall bring candidates together, exact Jaccard similarity over word
 shingles settles them, and components of the links are the classes.
 
-A passage may also repeat inside paragraphs that differ around it. For those a
-text is cut where a word's hash is the least among its neighbours, which falls
-at the same words wherever a passage stands. Stretches between cuts that
-different documents share are only seeds: around them every run of min_words
-words is named and held against the other documents, so a passage's ends are
-exact and what is removed stands in an earlier document.
+A passage may also repeat inside paragraphs that differ around it. So every
+window of min_words words is a paragraph too, with one MinHash for a band:
+equal windows have it in common, always, and neighbouring windows mostly share
+theirs, so a text has about one row for each eight words. Windows around hashes
+that several documents share are verified: all their words must be equal. The
+first document that has a window keeps it. A passage's ends are exact, and what
+is removed stands in an earlier document. Windows that touch a removed
+paragraph take no part, so no document is freed of a passage for the sake of
+one that is removed itself.
 
 Places count words: runs of anything but ASCII white space.
 
-Defined cases: null text is empty; a repetition inside one document is none;
-rows of one doc_id are one document; rows without a doc_id take no part; other
-columns are ignored; the result has a row for each repeated passage and none
-for clean documents.
+Defined cases: null text is empty; a repetition inside one document is none,
+and rows of one doc_id are one document, whose places go with the row's text
+(row is its hash); rows without a doc_id take no part and stay as they are;
+other columns are ignored; the result has a row for each repeated passage and
+none for clean documents.
 """
 
 from __future__ import annotations
@@ -26,18 +30,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .linking import components, links, shared_buckets
+from .linking import attached, components, links, shared_buckets
 from .shared import text_or_empty, written
-from .textgrams import distinct, mix, shingles, words
+from .textgrams import distinct, mix, rolled, shingles, words
 
 _U = np.uint64
-#: Cuts are where a word's hash is least among this many words on either side: every 2 * REACH + 1 words on average.
-REACH = 4
 _FACTOR = 0xA24BAED4963EE407
 _INVERSE = pow(_FACTOR, -1, 2**64)
+PLACE = ["doc_id", "row", "first_word"]
+SKETCH = "doc_id long, row int, first_word int, n_words int, f1 long, f2 long, bands array<long>, names array<long>, places array<int>, more array<int>"
 
 
 def tuned_bands(threshold: float, recall: float = 0.998, most: int = 64) -> tuple[int, int]:
@@ -60,34 +65,28 @@ def minhashes(elements: np.ndarray, first: np.ndarray, k: int) -> np.ndarray:
     return out
 
 
-def _nothing() -> pd.Series:
-    return pd.Series([], dtype=object)
+def row_of(text: Column) -> Column:
+    return F.hash(text)
 
 
-def _batches(docs: DataFrame, run, schema: str) -> DataFrame:
-    """run over parts of about a million characters: gets doc_ids and texts."""
+def _texts(docs: DataFrame) -> DataFrame:
+    text = text_or_empty()
+    return docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), row_of(text).alias("row"), text.alias("text"))
 
-    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            sizes = np.cumsum(batch["text"].str.len().to_numpy(np.int64))
-            for own in np.split(np.arange(len(batch)), np.flatnonzero(np.diff(sizes // (1 << 20))) + 1):
-                if len(own):
-                    yield run(batch["doc_id"].to_numpy()[own], batch["text"].iloc[own].tolist())
 
-    rows = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    return rows.mapInPandas(each, schema)
+def _parts(sizes: np.ndarray, chars: int = 1 << 20) -> Iterator[np.ndarray]:
+    """Places of a batch's texts in stretches of about a million characters."""
+    for own in np.split(np.arange(len(sizes)), np.flatnonzero(np.diff(np.cumsum(sizes) // chars)) + 1):
+        if len(own):
+            yield own
 
 
-def _paragraphs(doc_ids: np.ndarray, texts: list[str], min_words: int):
-    """doc_id, first word and words of every paragraph of at least min_words, with its hashes' places."""
+def _lines(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of all words, each line's first word, each line's text, and each text's first word."""
     lines = [t.split("\n") for t in texts]
     count = np.array([len(x) for x in lines], np.int64)
     hashes, first = words([line for own in lines for line in own])
-    doc = np.repeat(np.arange(len(texts)), count)
-    begins = first[:-1] - first[np.cumsum(count) - count][doc]
-    size = np.diff(first)
-    keep = np.flatnonzero(size >= min_words)
-    return doc_ids[doc[keep]], begins[keep], size[keep], hashes, first, keep
+    return hashes, first, np.repeat(np.arange(len(texts)), count), first[np.concatenate(([0], np.cumsum(count)))]
 
 
 def _paragraph_sets(hashes: np.ndarray, first: np.ndarray, keep: np.ndarray, n: int):
@@ -96,110 +95,127 @@ def _paragraph_sets(hashes: np.ndarray, first: np.ndarray, keep: np.ndarray, n:
     return distinct(*shingles(hashes[own], np.concatenate(([0], np.cumsum(size))), n))
 
 
-def _names(elements: np.ndarray, first: np.ndarray) -> list[bytes]:
-    """16 bytes that name each set."""
-    sums = [np.add.reduceat(mix(elements ^ _U(s)), first[:-1]) for s in (1, 2)]
-    return [row.tobytes() for row in np.stack(sums, 1)]
-
-
-def paragraph_sketches(docs: DataFrame, n: int = 5, min_words: int = 20, bands: int = 12, rows: int = 4) -> DataFrame:
-    """doc_id, first_word, n_words, id (a name of its set of shingles) and bands of every paragraph."""
+def _slide(values: np.ndarray, n: int, best) -> np.ndarray:
+    """best of every n neighbours, by doubling; one entry for each first of them."""
+    done = 1
+    while done < n:
+        step = min(done, n - done)
+        values = best(values[: len(values) - step], values[step:])
+        done += step
+    return values
+
+
+def window_hashes(hashes: np.ndarray, first: np.ndarray, n: int, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """The places and names of the shingles that are the MinHash of some window of min_words words inside a text."""
+    span = min_words - n + 1
+    named = rolled(hashes, n)
+    if len(named) < span:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    named[named == 0] = 1
+    least = _slide(named, span, np.minimum)
+    text = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    at = np.arange(len(least))
+    least = np.where(text[at] == text[at + min_words - 1], least, _U(0))
+    # A shingle is chosen where it is the least of some window that holds it.
+    around = np.concatenate((np.zeros(span - 1, np.uint64), least, np.zeros(span - 1, np.uint64)))
+    places = np.flatnonzero(_slide(around, span, np.maximum) == named)
+    return places, named[places]
+
+
+def sketches(docs: DataFrame, n: int = 5, min_words: int = 20, bands: int = 12, rows: int = 4) -> DataFrame:
+    """For every paragraph its place, n_words, f1 and f2 (a name of its set of shingles) and bands; for what is left of a text one row without them.
+
+    names are the MinHashes of windows that lie in the paragraph, from places
+    to places + more.
+    """
 
-    def run(doc_ids: np.ndarray, texts: list[str]) -> pd.DataFrame:
-        ids, begin, size, hashes, first, keep = _paragraphs(doc_ids, texts, min_words)
-        if not len(keep):
-            return pd.DataFrame({"doc_id": ids, "first_word": begin, "n_words": size, "id": _nothing(), "bands": _nothing()})
-        elements, at, _ = _paragraph_sets(hashes, first, keep, n)
-        least = minhashes(elements, at, bands * rows)
-        hashed = np.zeros((len(keep), bands), np.uint64)
-        for r in range(rows):
-            hashed = mix(hashed + least[:, r::rows])
-        hashed = mix(hashed + np.arange(bands, dtype=np.uint64))
-        return pd.DataFrame({"doc_id": ids, "first_word": begin, "n_words": size, "id": _names(elements, at), "bands": list(hashed.view(np.int64))})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            ids, of = batch.column("doc_id").to_numpy(), batch.column("row").to_numpy()
+            for own in _parts(np.array([len(t) for t in texts])):
+                yield part(ids[own], of[own], texts[own[0] : own[-1] + 1])
 
-    return _batches(docs, run, "doc_id long, first_word long, n_words long, id binary, bands array<long>")
+    def part(ids: np.ndarray, of: np.ndarray, texts: list[str]) -> pa.RecordBatch:
+        hashes, first, text, begins = _lines(texts)
+        size = np.diff(first)
+        keep = np.flatnonzero(size >= min_words)
+        # Rows: the paragraphs in order, then what is left of each text.
+        row_text = np.concatenate((text[keep], np.arange(len(texts))))
+        row_first = np.concatenate((first[:-1][keep] - begins[:-1][text[keep]], np.zeros(len(texts), np.int64)))
+        row_size = np.concatenate((size[keep], np.zeros(len(texts), np.int64)))
+        f, band = np.zeros((2, len(keep)), np.int64), np.zeros((len(keep), bands), np.uint64)
+        if len(keep):
+            elements, at, _ = _paragraph_sets(hashes, first, keep, n)
+            f = np.stack([np.add.reduceat(mix(elements ^ _U(s)), at[:-1]) for s in (1, 2)]).view(np.int64)
+            least = minhashes(elements, at, bands * rows)
+            for r in range(rows):
+                band = mix(band + least[:, r::rows])
+            band = mix(band + np.arange(bands, dtype=_U))
+        places, names = window_hashes(hashes, begins, n, min_words)
+        line = np.searchsorted(first, places, side="right") - 1
+        row = np.full(len(size), -1)
+        row[keep] = np.arange(len(keep))
+        row = np.where(row[line] >= 0, row[line], len(keep) + text[line])
+        order = np.argsort(row, kind="stable")
+        row, places, names = row[order], places[order], names[order]
+        # Where words repeat with a short period, one hash is chosen again and again: once is enough.
+        new = np.ones(len(places), bool)
+        new[1:] = (names[1:] != names[:-1]) | (row[1:] != row[:-1]) | (places[1:] - places[:-1] > min_words)
+        start = np.flatnonzero(new)
+        last = np.append(start[1:], len(places)) - 1 if len(start) else start
+        offsets = pa.array(np.searchsorted(row[start], np.arange(len(row_text) + 1)), pa.int32())
+        inside = (places[start] - begins[:-1][row_text[row[start]]]).astype(np.int32)
+        left = np.arange(len(row_text)) >= len(keep)
+        listed = lambda x: pa.ListArray.from_arrays(offsets, pa.array(x))
+        padded = lambda x: pa.array(np.concatenate((x, np.zeros(len(texts), np.int64))), pa.int64(), mask=left)
+        band_ends = pa.array(np.minimum(np.arange(len(row_text) + 1), len(keep)) * bands, pa.int32())
+        columns = [
+            pa.array(ids[row_text]), pa.array(of[row_text]), pa.array(row_first.astype(np.int32)), pa.array(row_size.astype(np.int32)), padded(f[0]), padded(f[1]),
+            pa.ListArray.from_arrays(band_ends, pa.array(band.view(np.int64).ravel())), listed(names[start].view(np.int64)), listed(inside), listed((places[last] - places[start]).astype(np.int32)),
+        ]
+        return pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in SKETCH.split(", ")])
+
+    return _texts(docs).mapInArrow(run, SKETCH)
 
 
 def paragraph_sets(docs: DataFrame, n: int = 5, min_words: int = 20) -> DataFrame:
-    """doc_id, first_word and elements (distinct shingles) of every paragraph."""
+    """doc_id, row, first_word and elements (distinct shingles) of every paragraph."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for own in _parts(batch["text"].str.len().to_numpy(np.int64)):
+                hashes, first, text, begins = _lines(batch["text"].iloc[own].tolist())
+                keep = np.flatnonzero(np.diff(first) >= min_words)
+                if len(keep):
+                    elements, at, _ = _paragraph_sets(hashes, first, keep, n)
+                    values, where = elements.view(np.int64), own[text[keep]]
+                    yield pd.DataFrame({"doc_id": batch["doc_id"].to_numpy()[where], "row": batch["row"].to_numpy()[where], "first_word": first[:-1][keep] - begins[text[keep]], "elements": [values[at[k] : at[k + 1]] for k in range(len(keep))]})
 
-    def run(doc_ids: np.ndarray, texts: list[str]) -> pd.DataFrame:
-        ids, begin, _, hashes, first, keep = _paragraphs(doc_ids, texts, min_words)
-        if not len(keep):
-            return pd.DataFrame({"doc_id": ids, "first_word": begin, "elements": _nothing()})
-        elements, at, _ = _paragraph_sets(hashes, first, keep, n)
-        values = elements.view(np.int64)
-        return pd.DataFrame({"doc_id": ids, "first_word": begin, "elements": [values[at[k] : at[k + 1]] for k in range(len(keep))]})
+    return docs.mapInPandas(run, "doc_id long, row int, first_word int, elements array<long>")
 
-    return _batches(docs, run, "doc_id long, first_word long, elements array<long>")
 
+def paragraph_classes(docs: DataFrame, threshold: float = 0.8, n: int = 5, min_words: int = 20, made: DataFrame | None = None) -> DataFrame:
+    """doc_id, row, first_word, n_words, first (its class's first place) of every paragraph that another document has as well, exactly or nearly.
 
-def paragraph_classes(docs: DataFrame, threshold: float = 0.8, n: int = 5, min_words: int = 20) -> DataFrame:
-    """doc_id, first_word, n_words, class_id of every paragraph that another document has as well, exactly or nearly."""
+    made are the sketches, where they are there already.
+    """
     bands, rows = tuned_bands(threshold)
-    made = written(paragraph_sketches(docs, n, min_words, bands, rows), "paragraphs")
-    # One row for each different set of shingles, with the place of one that has it.
-    place = F.struct("doc_id", "first_word")
-    sets_of = made.groupBy("id").agg(F.min(place).alias("place"), F.min_by("bands", place).alias("bands"))
+    made = (written(sketches(docs, n, min_words, bands, rows), "sketches") if made is None else made).where("f1 is not null")
+    # One row for each different set of shingles, with the first place that has it and a number of its own.
+    place = F.struct(*PLACE)
+    sets_of = made.groupBy("f1", "f2").agg(F.min(place).alias("place"), F.min_by("bands", place).alias("bands"), F.max("doc_id").alias("high"), F.count("*").alias("n"))
+    sets_of = written(sets_of.withColumn("id", F.monotonically_increasing_id()), "paragraphs")
     members = written(shared_buckets(sets_of.select("id", F.explode("bands").alias("bucket"))), "shared")
-    wanted = made.join(members.select("id").distinct(), "id", "left_semi").groupBy("id").agg(F.min(place).alias("place"))
-    wanted = written(wanted.select("id", "place.doc_id", "place.first_word"), "wanted")
-    texts = docs.select("doc_id", "text").join(wanted.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi")
-    sets = written(paragraph_sets(texts, n, min_words).join(wanted, ["doc_id", "first_word"]).select("id", "elements").dropDuplicates(["id"]), "sets")
+    wanted = written(sets_of.join(members.select("id").distinct(), "id", "left_semi").select("id", "place.*"), "wanted")
+    texts = _texts(docs).join(wanted.select("doc_id", "row").distinct().hint("merge"), ["doc_id", "row"], "left_semi").dropDuplicates(["doc_id", "row"])
+    sets = written(paragraph_sets(texts, n, min_words).join(wanted, PLACE).select("id", "elements"), "sets")
     of = components(links(members, sets, threshold))
-    placed = made.select("doc_id", "first_word", "n_words", "id").join(of, "id", "left").withColumn("class", F.coalesce("component", "id")).drop("component")
-    across = placed.groupBy("class").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low <> high").select("class")
-    return placed.join(across, "class").select("doc_id", "first_word", "n_words", F.hex("class").alias("class_id"))
-
-
-def chunks(docs: DataFrame, min_words: int = 20, reach: int = REACH) -> DataFrame:
-    """doc_id, name, begin, end of every stretch between two cuts, and of every run of words that repeat with a short period, which has no cuts.
-
-    begin and end reach two cuts further on either side: a passage that holds
-    the stretch, and no other stretch beside it, ends before them. A stretch's
-    block (first_word, h1, h2) is all windows, runs of min_words words, that
-    start in it; n_windows is how many, 0 where the text ends before.
-    """
-
-    def run(doc_ids: np.ndarray, texts: list[str]) -> pd.DataFrame:
-        hashes, first = words(texts)
-        size = np.diff(first)
-        doc = np.repeat(np.arange(len(texts)), size)
-        # Words of different texts stand so far apart that none is another's neighbour.
-        at = np.arange(len(hashes)) + (doc + 1) * reach
-        spread = np.full(len(hashes) + (len(texts) + 2) * reach, np.iinfo(np.uint64).max, np.uint64)
-        spread[at] = mix(hashes ^ _U(7))
-        least = np.ones(len(hashes), bool)
-        for step in range(1, reach + 1):
-            least &= (spread[at] < spread[at - step]) & (spread[at] <= spread[at + step])
-        least[first[:-1][size > 0]] = True
-        starts = np.flatnonzero(least)
-        ends = np.append(starts[1:], len(hashes))
-        prefix, back = _prefix(hashes, 3)
-        names = [_between(prefix, back, starts, ends)]
-        until = np.minimum(ends + min_words - 1, first[1:][doc[starts]])
-        blocks = [_between(prefix, back, starts, until), _between(*_prefix(hashes, 4), starts, until)]
-        count = np.maximum(until - starts - min_words + 1, 0)
-        low = high = np.arange(len(starts))
-        for period in range(1, reach + 1):
-            same = np.concatenate((np.zeros(period, bool), (hashes[period:] == hashes[:-period]) & (doc[period:] == doc[:-period])))[: len(hashes)]
-            edge = np.diff(np.concatenate(([0], same.astype(np.int8), [0])))
-            begin, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-            long = end - begin >= 2 * reach
-            begin, end = begin[long] - period, end[long]
-            # One name for all turns of the period, however long the run is.
-            turns = [_between(prefix, back, begin + k, begin + k + period) for k in range(period)]
-            names.append(mix(np.min(turns, 0).view(np.uint64) + _U(period)).view(np.int64))
-            low = np.concatenate((low, np.searchsorted(starts, begin, side="right") - 1))
-            high = np.concatenate((high, np.searchsorted(starts, end - 1, side="right") - 1))
-        own = doc[starts[low]]
-        begin = starts[np.maximum(low - 2, np.searchsorted(starts, first[:-1])[own])]
-        end = ends[np.minimum(high + 2, np.searchsorted(starts, first[1:])[own] - 1)]
-        count, h1, h2 = (np.concatenate((x, np.zeros(len(low) - len(starts), x.dtype))) for x in (count, *blocks))
-        at = first[:-1][own]
-        return pd.DataFrame({"doc_id": doc_ids[own], "name": np.concatenate(names), "begin": begin - at, "end": end - at, "first_word": starts[low] - at, "n_windows": count, "h1": h1, "h2": h2})
-
-    return _batches(docs, run, "doc_id long, name long, begin int, end int, first_word int, n_windows int, h1 long, h2 long")
+    named = sets_of.select("f1", "f2", "id", "place", "high", "n").join(of, "id", "left").withColumn("class", F.coalesce("component", "id"))
+    across = named.groupBy("class").agg(F.min("place").alias("first"), F.max("high").alias("high"), F.count("*").alias("n")).where("first.doc_id <> high").drop("high")
+    classed = attached(named.select("f1", "f2", F.col("n").alias("copies"), "class"), across, ["class"], sets_of.count())
+    classed = written(classed.select("f1", "f2", F.col("copies").alias("n"), "first"), "classes")
+    return attached(made.select(*PLACE, "n_words", "f1", "f2"), classed, ["f1", "f2"], made.count()).select(*PLACE, "n_words", "first")
 
 
 def _prefix(hashes: np.ndarray, salt: int) -> tuple[np.ndarray, np.ndarray]:
@@ -212,101 +228,106 @@ def _between(prefix: np.ndarray, back: np.ndarray, starts: np.ndarray, ends: np.
     return mix((prefix[ends] - prefix[starts]) * back[starts]).view(np.int64)
 
 
-def _covered(first: np.ndarray, begins: pd.Series, ends: pd.Series, more: int) -> np.ndarray:
-    """Whether each word lies between some begin and end + more of its text."""
+def _covered(first: np.ndarray, begins: pd.Series, ends: pd.Series) -> np.ndarray:
+    """Whether each word lies between some begin and end of its text."""
     change = np.zeros(first[-1] + 1, np.int64)
     for k, (begin, end) in enumerate(zip(begins, ends, strict=True)):
-        # Rows of one doc_id share their places, and one of them may be shorter.
-        np.add.at(change, np.minimum(first[k] + begin, first[k + 1]), 1)
-        np.add.at(change, np.minimum(first[k] + end + more, first[k + 1]), -1)
+        np.add.at(change, np.clip(first[k] + np.asarray(begin, np.int64), first[k], first[k + 1]), 1)
+        np.add.at(change, np.clip(first[k] + np.asarray(end, np.int64), first[k], first[k + 1]), -1)
     return np.cumsum(change[:-1]) > 0
 
 
-def _firsts(rows: DataFrame) -> DataFrame:
-    """rows (doc_id, first_word, h1, h2) whose words stand in several documents, with their first place (of, at)."""
-    firsts = rows.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "first_word")).alias("first"), F.max("doc_id").alias("last")).where("first.doc_id <> last")
-    return rows.join(firsts.select("h1", "h2", F.col("first.doc_id").alias("of"), F.col("first.first_word").alias("at")).hint("merge"), ["h1", "h2"])
-
-
 def windows(docs: DataFrame, seeds: DataFrame, min_words: int) -> DataFrame:
-    """doc_id, first_word, h1, h2 (a name of its words) of every min_words words inside the seeds (doc_id, begin, end), but those that start in low to high."""
-    listed = [F.collect_list(c).alias(c) for c in ("begin", "end", "low", "high")]
-    places = seeds.groupBy("doc_id").agg(*listed)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).join(places.hint("merge"), "doc_id")
+    """doc_id, row, first_word, h1, h2 (a name of its words) of every window inside the seeds (doc_id, row, begin, end), and outside the stretches from low to high."""
+    places = seeds.groupBy("doc_id", "row").agg(*[F.collect_list(c).alias(c) for c in ("begin", "end", "low", "high")]).where(F.size("begin") > 0)
+    rows = _texts(docs).join(places.hint("merge"), ["doc_id", "row"]).dropDuplicates(["doc_id", "row"])
 
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            sizes = np.cumsum(batch["text"].str.len().to_numpy(np.int64))
-            for own in np.split(np.arange(len(batch)), np.flatnonzero(np.diff(sizes // (1 << 20))) + 1):
-                if len(own):
-                    yield run(batch.iloc[own])
+            for own in _parts(batch["text"].str.len().to_numpy(np.int64)):
+                yield run(batch.iloc[own])
 
     def run(batch: pd.DataFrame) -> pd.DataFrame:
         hashes, first = words(batch["text"].tolist())
-        inside, known = (_covered(first, batch[a], batch[b], more) for a, b, more in (("begin", "end", 0), ("low", "high", 1)))
+        inside = _covered(first, batch["begin"], batch["end"]) & ~_covered(first, batch["low"], batch["high"])
         held = np.concatenate(([0], np.cumsum(inside)))
         doc = np.repeat(np.arange(len(batch)), np.diff(first))
         at = np.arange(max(0, len(hashes) - min_words + 1))
-        at = at[(held[at + min_words] - held[at] == min_words) & (doc[at] == doc[at + min_words - 1]) & ~known[at]]
+        at = at[(held[at + min_words] - held[at] == min_words) & (doc[at] == doc[at + min_words - 1])]
         names = [_between(*_prefix(hashes, salt), at, at + min_words) for salt in (3, 4)]
-        return pd.DataFrame({"doc_id": batch["doc_id"].to_numpy()[doc[at]], "first_word": at - first[:-1][doc[at]], "h1": names[0], "h2": names[1]})
+        return pd.DataFrame({"doc_id": batch["doc_id"].to_numpy()[doc[at]], "row": batch["row"].to_numpy()[doc[at]], "first_word": at - first[:-1][doc[at]], "h1": names[0], "h2": names[1]})
 
-    return rows.mapInPandas(each, "doc_id long, first_word int, h1 long, h2 long")
+    return rows.mapInPandas(each, "doc_id long, row int, first_word int, h1 long, h2 long")
 
 
-def passage_classes(docs: DataFrame, min_words: int = 20, reach: int = REACH) -> DataFrame:
-    """doc_id, first_word, n_words, class_id of every run of words of which each min_words words stand in another document as well.
+def passage_classes(docs: DataFrame, n: int = 5, min_words: int = 20, made: DataFrame | None = None, removed: DataFrame | None = None) -> DataFrame:
+    """doc_id, row, first_word, n_words, first (its class's first place) of every run of words of which each min_words words stand in another document as well.
 
-    The first document that has some min_words words keeps them; what it keeps
-    in one run is a class, with the runs of other documents that stand in it.
-    So each word of a run stands in an earlier document, or in its class's first.
+    The first document that has a window keeps it; what it keeps in one run is
+    a class, with the runs of other documents that stand in it. So each word of
+    a run stands in an earlier document, or in its class's first. removed
+    (doc_id, row, first_word, n_words) are paragraphs that are gone.
     """
-    made = chunks(docs, min_words, reach)
-    common = made.groupBy("name").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low <> high").select("name")
-    seeds = written(made.join(common.hint("merge"), "name").drop("name"), "seeds")
-    high = (F.col("first_word") + F.col("n_windows") - 1).alias("high")
-    blocks = written(_firsts(seeds.where("n_windows > 0").select("doc_id", "first_word", "n_windows", "h1", "h2")).select("doc_id", F.col("first_word").alias("low"), high, "of", "at"), "blocks")
-    # What a block of an earlier document holds needs no look at its windows: that document's are looked at.
-    known = blocks.where("of <> doc_id").select("doc_id", "low", "high")
-    empty = F.lit(None).cast("int")
-    places = seeds.select("doc_id", "begin", "end", empty.alias("low"), empty.alias("high")).unionByName(known.withColumns({"begin": empty, "end": empty}))
-    single = _firsts(written(windows(docs, places, min_words), "windows")).select("doc_id", F.col("first_word").alias("low"), F.col("first_word").alias("high"), "of", "at")
-    some = blocks.unionByName(single).withColumn("own", F.col("of") == F.col("doc_id"))
-    by_place = Window.partitionBy("doc_id", "own").orderBy("low", "of", "at")
+    made = written(sketches(docs, n, min_words), "sketches") if made is None else made
+    paragraphs = made.select("doc_id", "row", "first_word", "n_words", "names", "places", "more").where(F.size("names") > 0)
+    if removed is not None:
+        paragraphs = paragraphs.join(removed.where("n_words > 0").select(*PLACE, "n_words"), [*PLACE, "n_words"], "left_anti")
+    seeds = paragraphs.select("doc_id", "row", F.explode(F.arrays_zip("names", "places", "more")).alias("s")).select("doc_id", "row", F.col("s.names").alias("name"), F.col("s.places").alias("place"), F.col("s.more").alias("more"))
+    common = seeds.groupBy("name").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("n")).where("low <> high").select("name", "n")
+    common = written(common, "common")
+    around = min_words - n
+    found = attached(seeds, common, ["name"], common.agg(F.sum("n")).first()[0] or 0)
+    found = found.select("doc_id", "row", (F.col("place") - around).alias("begin"), (F.col("place") + F.col("more") + min_words).alias("end"))
+    if removed is not None:
+        gone = removed.select("doc_id", "row", F.col("first_word").alias("low"), (F.col("first_word") + F.col("n_words")).alias("high"))
+        found = found.unionByName(gone, allowMissingColumns=True)
+    else:
+        found = found.withColumns({"low": F.lit(None).cast("int"), "high": F.lit(None).cast("int")})
+    named = written(windows(docs, found, min_words), "windows")
+    firsts = named.groupBy("h1", "h2").agg(F.min(F.struct(*PLACE)).alias("of"), F.max("doc_id").alias("last"), F.count("*").alias("n")).where("of.doc_id <> last").drop("last")
+    firsts = written(firsts, "firsts")
+    some = attached(named, firsts, ["h1", "h2"], named.count()).select(*PLACE, "of")
+    same_row = (F.col("of.doc_id") == F.col("doc_id")) & (F.col("of.row") == F.col("row"))
+    # A window that its own document has in another row first is that row's.
+    some = some.where(same_row | (F.col("of.doc_id") != F.col("doc_id"))).withColumn("own", same_row)
+    by_place = Window.partitionBy("doc_id", "row", "own").orderBy("first_word")
     before = lambda c: F.lag(c).over(by_place)
-    follows = F.when(F.col("own"), F.col("low") <= F.max("high").over(by_place.rowsBetween(Window.unboundedPreceding, -1)) + 1)
-    follows = follows.otherwise((F.col("low") <= before("high") + 1) & (before("of") == F.col("of")) & (F.col("at") - before("at") == F.col("low") - before("low")))
-    pieces = some.withColumn("piece", F.sum(F.when(follows, 0).otherwise(1)).over(by_place)).groupBy("doc_id", "own", "piece")
-    pieces = pieces.agg(F.min("of").alias("of"), F.min("at").alias("at"), F.min("low").alias("low"), F.max("high").alias("high"))
-    pieces = written(pieces.drop("piece"), "pieces")
-    kept = pieces.where("own").select("doc_id", "low", "high", F.col("doc_id").alias("of"), F.col("low").alias("from"))
-    runs = kept.select("of", "from", F.col("high").alias("to"))
-    other = pieces.where("not own").join(runs.hint("merge"), "of").where(F.col("at").between(F.col("from"), F.col("to"))).select("doc_id", "low", "high", "of", "from")
+    next_word = F.col("first_word") == before("first_word") + 1
+    next_of = (before("of.doc_id") == F.col("of.doc_id")) & (before("of.row") == F.col("of.row")) & (F.col("of.first_word") == before("of.first_word") + 1)
+    new = ~(next_word & (F.col("own") | next_of))
+    pieces = some.withColumn("piece", F.sum(F.when(F.coalesce(new, F.lit(True)), 1).otherwise(0)).over(by_place)).groupBy("doc_id", "row", "own", "piece")
+    pieces = written(pieces.agg(F.min("of").alias("of"), F.min("first_word").alias("low"), F.max("first_word").alias("high")).drop("piece"), "pieces")
+    kept = pieces.where("own").select("doc_id", "row", "low", "high", F.struct("doc_id", "row", F.col("low").alias("first_word")).alias("first"))
+    runs = kept.select(F.col("doc_id").alias("of_doc"), F.col("row").alias("of_row"), "low", "high").groupBy("of_doc", "of_row").agg(F.array_sort(F.collect_list(F.struct("low", "high"))).alias("runs"))
+    # A document's kept runs are a list as long as it at most; each piece stands in one of them.
+    other = pieces.where("not own").withColumns({"of_doc": F.col("of.doc_id"), "of_row": F.col("of.row"), "at": F.col("of.first_word")}).select("doc_id", "row", "low", "high", "of_doc", "of_row", "at")
+    runs = runs.join(other.groupBy("of_doc", "of_row").agg(F.count("*").alias("n")), ["of_doc", "of_row"])
+    other = attached(other, runs, ["of_doc", "of_row"], pieces.count()).withColumn("from", F.expr("array_max(transform(filter(runs, r -> r.low <= at), r -> r.low))"))
+    other = other.select("doc_id", "row", "low", "high", F.struct(F.col("of_doc").alias("doc_id"), F.col("of_row").alias("row"), F.col("from").alias("first_word")).alias("first"))
     # Pieces of one class that meet are one run, as where words repeat inside it.
-    by_class = Window.partitionBy("doc_id", "of", "from").orderBy("low", "high")
+    by_class = Window.partitionBy("doc_id", "row", "first").orderBy("low", "high")
     until = F.max("high").over(by_class.rowsBetween(Window.unboundedPreceding, -1))
-    other = other.withColumn("run", F.sum(F.when(F.col("low") <= until + 1, 0).otherwise(1)).over(by_class)).groupBy("doc_id", "of", "from", "run")
+    other = other.withColumn("run", F.sum(F.when(F.col("low") <= until + 1, 0).otherwise(1)).over(by_class)).groupBy("doc_id", "row", "first", "run")
     spans = kept.unionByName(other.agg(F.min("low").alias("low"), F.max("high").alias("high")).drop("run"))
-    words_of = (F.col("high") - F.col("low") + min_words).cast("long")
-    return spans.select("doc_id", F.col("low").cast("long").alias("first_word"), words_of.alias("n_words"), F.concat_ws("-", F.hex("of"), F.hex("from")).alias("class_id"))
+    return spans.select("doc_id", "row", F.col("low").alias("first_word"), (F.col("high") - F.col("low") + min_words).cast("int").alias("n_words"), "first")
 
 
 def repeated_passages(docs: DataFrame, threshold: float = 0.8, n: int = 5, min_words: int = 20) -> DataFrame:
-    """doc_id, kind (paragraph or passage), first_word, n_words, class_id and kept (whether it is its class's first) of every repeated passage."""
-    paragraph = paragraph_classes(docs, threshold, n, min_words).withColumn("kind", F.lit("paragraph"))
-    passage = passage_classes(docs, min_words).withColumn("kind", F.lit("passage"))
-    both = written(paragraph.unionByName(passage), "repeated")
-    firsts = both.groupBy("kind", "class_id").agg(F.min(F.struct("doc_id", "first_word")).alias("first"))
-    joined = both.join(firsts, ["kind", "class_id"])
-    kept = (F.col("doc_id") == F.col("first.doc_id")) & (F.col("first_word") == F.col("first.first_word"))
-    return joined.select("doc_id", "kind", "first_word", "n_words", "class_id", kept.alias("kept"))
+    """doc_id, row, kind (paragraph or passage), first_word, n_words, class_id and kept (whether it is its class's first) of every repeated passage."""
+    made = written(sketches(docs, n, min_words, *tuned_bands(threshold)), "sketches")
+    is_first = F.struct(*PLACE) == F.col("first")
+    paragraph = written(paragraph_classes(docs, threshold, n, min_words, made).withColumn("kept", is_first), "repeated")
+    passage = passage_classes(docs, n, min_words, made, paragraph.where("not kept")).withColumn("kept", is_first)
+    both = paragraph.withColumn("kind", F.lit("paragraph")).unionByName(passage.withColumn("kind", F.lit("passage")))
+    class_id = F.concat_ws("-", "first.doc_id", F.hex("first.row"), "first.first_word")
+    return both.select("doc_id", "row", "kind", F.col("first_word").cast("long").alias("first_word"), F.col("n_words").cast("long").alias("n_words"), class_id.alias("class_id"), "kept")
 
 
 def without_repeats(docs: DataFrame, **options: float) -> DataFrame:
     """docs with `text` freed of every repeated passage but each class's first."""
     import re
 
-    gone = repeated_passages(docs, **options).where("not kept").groupBy("doc_id").agg(F.collect_list(F.struct("first_word", "n_words")).alias("_gone"))
+    gone = repeated_passages(docs, **options).where("not kept").groupBy(F.col("doc_id").alias("_doc"), F.col("row").alias("_row")).agg(F.collect_list(F.struct("first_word", "n_words")).alias("_gone"))
 
     @F.pandas_udf("string")
     def freed(texts: pd.Series, places: pd.Series) -> pd.Series:
@@ -322,4 +343,5 @@ def without_repeats(docs: DataFrame, **options: float) -> DataFrame:
             out.append("".join(c for c, d in zip(text, drop, strict=False) if not d))
         return pd.Series(out)
 
-    return docs.join(gone, "doc_id", "left").withColumn("text", freed("text", "_gone")).select(*docs.columns)
+    same = (F.col("doc_id") == F.col("_doc")) & (row_of(text_or_empty()) == F.col("_row"))
+    return docs.join(gone.hint("merge"), same, "left").withColumn("text", freed("text", "_gone")).select(*docs.columns)

@@ -110,16 +110,21 @@ def words(texts: list[str], lower: bool = True, separators: np.ndarray = _WHITE,
     return hashes, first
 
 
+def rolled(hashes: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of all runs of n words, across texts as well."""
+    out = np.zeros(max(0, len(hashes) - n + 1), np.uint64)
+    for j in range(n):
+        out = out * _U(0xD6E8FEB86659FD93) + hashes[j : len(hashes) - n + 1 + j]
+    return mix(out)
+
+
 def shingles(hashes: np.ndarray, first: np.ndarray, n: int = 5) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all runs of n words inside each text, and each text's first shingle.
 
     A text of fewer than n words, but at least one, has one shingle: all of its words.
     """
     counts = np.diff(first)
-    rolled = np.zeros(max(0, len(hashes) - n + 1), np.uint64)
-    for j in range(n):
-        rolled = rolled * _U(0xD6E8FEB86659FD93) + hashes[j : len(hashes) - n + 1 + j]
-    rolled = mix(rolled)
+    runs = rolled(hashes, n)
     short = np.flatnonzero((counts > 0) & (counts < n))
     each = np.where(counts >= n, counts - n + 1, (counts > 0).astype(np.int64))
     begin = np.concatenate(([0], np.cumsum(each)))
@@ -128,7 +133,7 @@ def shingles(hashes: np.ndarray, first: np.ndarray, n: int = 5) -> tuple[np.ndar
     text = np.repeat(np.arange(len(counts)), each)
     keep = counts[text] >= n
     place = np.arange(len(out)) - begin[text] + first[:-1][text]
-    out[keep] = rolled[place[keep]]
+    out[keep] = runs[place[keep]]
     for k in short:
         own = np.full(1, counts[k], np.uint64)
         for j in range(first[k], first[k + 1]):
