@@ -7,7 +7,9 @@ control strings inside roles and texts are escaped reversibly.
 
 Defined cases: null text and null role are empty; records of an unknown layout
 or that are not JSON keep their row, with a fingerprint (null if not JSON) and
-null turns; an empty list of turns gives an empty text.
+null turns, and so do records whose list of turns is none or has entries that
+are no objects; a text or role that is a number, a list or the like is its
+JSON; an empty list of turns gives an empty text.
 """
 
 from __future__ import annotations
@@ -25,18 +27,34 @@ from pyspark.sql import functions as F
 TURNS = "array<struct<role:string,text:string>>"
 
 
+@dataclass(frozen=True)
+class One:
+    """One turn of a fixed role: the texts at its paths, joined by a line break where several aren't empty. None where the record has none of the paths."""
+
+    role: str
+    paths: tuple[str, ...]
+
+
+@dataclass(frozen=True)
+class Many:
+    """A turn for each entry of the list at path, with the role and text at the entry's own paths."""
+
+    path: str
+    role: str
+    text: str
+
+
 @dataclass(frozen=True)
 class Mapping:
-    """Where a layout keeps its turns.
+    """Where a layout keeps its turns, in order.
 
-    turns lists, in order, either (role, path) for one turn of a fixed role,
-    or (path of a list, key of the role, key of the text) for many. required
-    and optional are the record's field paths, `[]` for the entries of a list.
+    required and optional are the record's field paths, with dots between keys
+    and `[]` for the entries of a list; roles renames roles.
     """
 
     name: str
     required: tuple[str, ...]
-    turns: tuple[tuple[str, ...], ...]
+    turns: tuple[One | Many, ...]
     optional: tuple[str, ...] = ()
     roles: dict = field(default_factory=dict)
 
@@ -58,28 +76,52 @@ def fingerprint_of(field_paths: set[str]) -> str:
     return hashlib.sha256("\n".join(sorted(field_paths)).encode()).hexdigest()
 
 
+def _entries(path: str, *keys: str) -> tuple[str, ...]:
+    return (f"{path}[]", *(f"{path}[].{k}" for k in keys))
+
+
 MAPPINGS = (
-    Mapping("messages", ("messages",), (("messages", "role", "content"),), ("messages[]", "messages[].role", "messages[].content", "id")),
-    Mapping("conversations", ("conversations",), (("conversations", "from", "value"),), ("conversations[]", "conversations[].from", "conversations[].value", "id"), {"human": "user", "gpt": "assistant"}),
-    Mapping("prompt", ("prompt", "response"), (("system", "system"), ("user", "prompt"), ("assistant", "response")), ("system", "id")),
-    Mapping("completion", ("prompt", "completion"), (("user", "prompt"), ("assistant", "completion")), ("id",)),
-    Mapping("instruction", ("instruction", "output"), (("system", "system"), ("user", "instruction", "input"), ("assistant", "output")), ("system", "input", "id")),
-)
+    Mapping("messages", ("messages",), (Many("messages", "role", "content"),), (*_entries("messages", "role", "content"), "id")),
+    Mapping("conversations", ("conversations",), (Many("conversations", "from", "value"),), (*_entries("conversations", "from", "value"), "id"), {"human": "user", "gpt": "assistant"}),
+    Mapping("prompt", ("prompt", "response"), (One("system", ("system",)), One("user", ("prompt",)), One("assistant", ("response",))), ("system", "id")),
+    Mapping("completion", ("prompt", "completion"), (One("user", ("prompt",)), One("assistant", ("completion",))), ("id",)),
+    Mapping("instruction", ("instruction", "output"), (One("system", ("system",)), One("user", ("instruction", "input")), One("assistant", ("output",))), ("system", "input", "id")),
+    Mapping("request", ("request", "request.messages", "response", "response.text"), (Many("request.messages", "role", "content"), One("assistant", ("response.text",))), (*_entries("request.messages", "role", "content"), "id")),
+)
+
+_ABSENT = object()
+
+
+def _at(value: object, path: str) -> object:
+    for key in path.split("."):
+        if not isinstance(value, dict) or key not in value:
+            return _ABSENT
+        value = value[key]
+    return value
+
+
+def _text(value: object) -> str:
+    """A text as it is, null or absent as empty, anything else as its JSON."""
+    if isinstance(value, str):
+        return value
+    return "" if value is None or value is _ABSENT else json.dumps(value, ensure_ascii=False)
 
 
-def _turns(record: dict, mapping: Mapping) -> list[dict]:
+def _turns(record: object, mapping: Mapping) -> list[dict] | None:
+    """The turns of a record, None where it hasn't the shape that its layout's mapping needs."""
     out = []
     for spec in mapping.turns:
-        value = record.get(spec[0])
-        if isinstance(value, list) and len(spec) == 3:
-            for entry in value:
-                role = (entry or {}).get(spec[1])
-                out.append({"role": mapping.roles.get(role, role) or "", "text": (entry or {}).get(spec[2]) or ""})
-        elif len(spec) == 2 and spec[1] in record:
-            out.append({"role": spec[0], "text": record[spec[1]] or ""})
-        elif len(spec) == 3 and mapping.name == "instruction":
-            asked = [record.get(k) for k in spec[1:]]
-            out.append({"role": spec[0], "text": "\n".join(x for x in asked if x)})
+        if isinstance(spec, Many):
+            entries = _at(record, spec.path)
+            if not isinstance(entries, list) or not all(isinstance(e, dict) for e in entries):
+                return None
+            for entry in entries:
+                role = _text(_at(entry, spec.role))
+                out.append({"role": mapping.roles.get(role, role), "text": _text(_at(entry, spec.text))})
+        else:
+            values = [v for v in (_at(record, p) for p in spec.paths) if v is not _ABSENT]
+            if values:
+                out.append({"role": spec.role, "text": "\n".join(x for x in map(_text, values) if x)})
     return out
 
 

@@ -11,8 +11,9 @@ Signatures are banded; documents that share a band are compared exactly.
 
 Defined cases: null text is empty; texts without a word are in no class but
 their own; copies share a class whatever their number; rows of one doc_id are
-one document; rows without a doc_id take no part and have a null class; other
-columns are ignored.
+judged each by its own text, and only those of its first text can stand for a
+class; rows without a doc_id take no part, have a null class and are kept;
+other columns are ignored.
 """
 
 from __future__ import annotations
@@ -21,11 +22,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .linking import components, links, shared_buckets
-from .shared import text_or_empty, written
+from .linking import attached, components, links, shared_buckets
+from .shared import kept, scratch, text_or_empty, written
 from .textgrams import distinct, mix, shingles, words
 
 _U = np.uint64
@@ -95,8 +96,18 @@ def _stretches(batch: pd.DataFrame, chars: int = 1 << 20) -> Iterator[pd.DataFra
             yield batch.iloc[part]
 
 
-def sketches(docs: DataFrame, n: int = 5, bands: int = BANDS, rows: int = ROWS, weighted: bool = False) -> DataFrame:
-    """doc_id, f1, f2 (a name of the set; null where it is empty) and the hashes of its bands, for every row."""
+def row_of(text: Column) -> Column:
+    """Names a row among those of its doc_id."""
+    return F.xxhash64(text)
+
+
+def _rows(docs: DataFrame) -> DataFrame:
+    text = text_or_empty()
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_of(text).alias("row"), text.alias("text"))
+
+
+def sketches(docs: DataFrame, n: int = 5, bands: int = BANDS, rows: int = ROWS, weighted: bool = True) -> DataFrame:
+    """doc_id, row, f1, f2 (a name of the set; null where it is empty) and the hashes of its bands, for every row."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -118,14 +129,14 @@ def sketches(docs: DataFrame, n: int = 5, bands: int = BANDS, rows: int = ROWS,
                     hashed = mix(hashed + np.arange(bands, dtype=np.uint64))
                     for k, own in zip(some.tolist(), hashed.view(np.int64), strict=True):
                         band[k] = own
-                yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy(), "f1": pd.array(f1, "Int64"), "f2": pd.array(f2, "Int64"), "bands": band})
+                yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy(), "row": part["row"].to_numpy(), "f1": pd.array(f1, "Int64"), "f2": pd.array(f2, "Int64"), "bands": band})
 
-    rows_in = docs.select(F.col("doc_id").cast("string").alias("doc_id"), text_or_empty().alias("text"))
-    return rows_in.mapInPandas(run, "doc_id string, f1 long, f2 long, bands array<long>").withColumn("doc_id", F.col("doc_id").cast("long"))
+    rows_in = _rows(docs).withColumn("doc_id", F.col("doc_id").cast("string"))
+    return rows_in.mapInPandas(run, "doc_id string, row long, f1 long, f2 long, bands array<long>").withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
-def shingle_sets(docs: DataFrame, n: int = 5, weighted: bool = False) -> DataFrame:
-    """id and elements: each document's distinct shingles (with weighted, a shingle's second and later occurrences are elements too)."""
+def shingle_sets(texts: DataFrame, n: int = 5, weighted: bool = True) -> DataFrame:
+    """id and elements of every row of texts (id, text): distinct shingles (with weighted, a shingle's second and later occurrences are elements too)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -138,35 +149,42 @@ def shingle_sets(docs: DataFrame, n: int = 5, weighted: bool = False) -> DataFra
                     elements = mix(elements[again] + nth.astype(np.uint64))
                     first = np.concatenate(([0], np.cumsum(np.bincount(owner[again], minlength=len(part)))))
                 values = elements.view(np.int64)
-                yield pd.DataFrame({"id": part["doc_id"].to_numpy(), "elements": [values[first[k] : first[k + 1]] for k in range(len(part))]})
+                yield pd.DataFrame({"id": part["id"].to_numpy(), "elements": [values[first[k] : first[k + 1]] for k in range(len(part))]})
 
-    rows_in = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    return rows_in.mapInPandas(run, "id long, elements array<long>")
+    return texts.select("id", "text").mapInPandas(run, "id long, elements array<long>")
 
 
-def near_duplicates(docs: DataFrame, threshold: float = 0.8, n: int = 5, weighted: bool = False) -> DataFrame:
-    """doc_id and class_id (the smallest doc_id of its class) of every row.
+def near_duplicates(docs: DataFrame, threshold: float = 0.8, n: int = 5, weighted: bool = True) -> DataFrame:
+    """doc_id, class_id (the smallest doc_id of its class), row (names the row's text) and kept of every row.
 
-    Documents whose (weighted) Jaccard similarity over shingles of n words is
-    at least threshold are linked; classes are the components. Without
-    weighted every distinct shingle weighs 1; with it, a shingle weighs as
-    often as it occurs.
+    Texts whose weighted Jaccard similarity over shingles of n words is at
+    least threshold are linked; classes are the components. A shingle weighs
+    as often as it occurs; with weighted off every distinct one weighs 1.
+    kept is whether the row has the text that stands for its class.
     """
-    made = written(sketches(docs, n, weighted=weighted), "sketches")
-    texts = made.where("f1 is not null and doc_id is not null").groupBy("f1", "f2").agg(F.min("doc_id").alias("id"), F.min_by("bands", "doc_id").alias("bands"))
-    texts = written(texts, "texts")
-    buckets = shared_buckets(texts.select("id", F.explode("bands").alias("bucket")))
-    members = written(buckets, "shared")
-    ids = members.select(F.col("id").alias("doc_id")).distinct()
-    sets = written(shingle_sets(docs.select("doc_id", "text").join(ids.hint("merge"), "doc_id", "left_semi"), n, weighted), "sets")
-    found = components(links(members, sets, threshold))
-    # A doc_id with several texts joins their classes as well.
-    rows = made.join(texts.select("f1", "f2", "id"), ["f1", "f2"], "left").join(found, "id", "left")
-    return rows.select("doc_id", F.coalesce("component", "id", "doc_id").alias("class_id"))
+    place = F.struct("doc_id", "row")
+    in_class = F.col("f1").isNotNull() & F.col("doc_id").isNotNull()
+    with scratch():
+        made = written(sketches(docs, n, weighted=weighted), "sketches")
+        with scratch():
+            texts = made.where(in_class).groupBy("f1", "f2").agg(F.min(place).alias("place"), F.min_by("bands", place).alias("bands"), F.count("*").alias("n"))
+            texts = written(texts.withColumn("id", F.monotonically_increasing_id()), "texts")
+            members = written(shared_buckets(texts.select("id", F.explode("bands").alias("bucket"))), "shared")
+            wanted = texts.join(members.select("id").distinct(), "id", "left_semi").select("id", "place.*")
+            own = _rows(docs).join(wanted.hint("merge"), ["doc_id", "row"]).dropDuplicates(["doc_id", "row"])
+            found = components(links(members, written(shingle_sets(own, n, weighted), "sets"), threshold))
+            named = texts.select("f1", "f2", "id", "place", "n").join(found, "id", "left").withColumn("class", F.coalesce("component", "id"))
+            firsts = written(named.groupBy("class").agg(F.min("place").alias("first"), F.count("*").alias("n")), "firsts")
+            classed = attached(named.select("f1", "f2", F.col("n").alias("copies"), "class"), firsts, ["class"], texts.count())
+            classed = kept(classed.select("f1", "f2", "first", F.col("copies").alias("n")), "classes")
+        rows = attached(made.where(in_class).select("doc_id", "row", "f1", "f2"), classed, ["f1", "f2"], made.count())
+        rows = rows.select("doc_id", F.col("first.doc_id").alias("class_id"), "row", (place == F.col("first")).alias("kept"))
+        alone = made.where(~in_class).select("doc_id", F.col("doc_id").alias("class_id"), "row", F.lit(True).alias("kept"))
+        return kept(rows.unionByName(alone), "near-duplicates")
 
 
 def deduplicated(docs: DataFrame, **options: object) -> DataFrame:
-    """docs with one document of each class: that with the smallest doc_id; rows without a doc_id stay."""
-    classes = near_duplicates(docs, **options)
-    gone = classes.where(F.col("doc_id") != F.col("class_id")).select("doc_id").distinct()
-    return docs.join(gone.hint("merge"), "doc_id", "left_anti")
+    """docs with one text of each class: that of its smallest doc_id; rows without a doc_id stay."""
+    gone = near_duplicates(docs, **options).where(~F.col("kept")).select(F.col("doc_id").alias("_doc"), F.col("row").alias("_row")).distinct()
+    same = (F.col("doc_id") == F.col("_doc")) & (row_of(text_or_empty()) == F.col("_row"))
+    return docs.join(gone.hint("merge"), same, "left_anti")

@@ -2,25 +2,31 @@
 
 The items are the indexed texts, a passage is a query. A term's weight in an
 item is divided by the item's BM25 score for its own words, so a passage that
-holds a whole item scores 1 and one threshold serves all items. The index is
-block-max: items in blocks, with each term's largest weight in a block. A
-passage first needs a word without which no item reaches the threshold, then
-a block whose maxima add up to it; only then are the block's items scored,
-exactly, and all at or above the threshold are returned. Each is verified on
-its word runs, for its question and its answer, in stretches of the passage
-that go by the item's own length.
-
-Passages are overlapping windows twice as long as the longest item of the
-index, stepped by half, so every occurrence of an item lies inside one.
-
-Defined cases: null text is empty; items without a word can't be found; an
-item that occurs twice in a document is returned once, where most of both its
-question and its answer is held, then where it scores best;
-repeated rows are searched each; other columns are ignored.
+holds a whole item scores 1 and one threshold serves all items. The statistics
+of BM25 are those of all items, however the index is split.
+
+The index is block-max: each term's postings in the order of items, with its
+largest weight over all and in each block of items. A passage first needs a
+word without which no item reaches the threshold. Then WAND: cursors sorted by
+item, a pivot where the terms' largest weights add up to the threshold, blocks
+skipped whose maxima don't, exact scores for the rest. All items at or above
+the threshold are returned. Each is verified on its word runs, for its question
+and its answer, in stretches of the passage that go by the item's own length.
+
+Passages are overlapping windows that go by the power of two that an item's
+words fit in: twice that long, stepped by half, so every occurrence lies inside
+one.
+
+Defined cases: null text is empty; items without a word or an item_id can't be
+found; an item that occurs twice in a document is returned once, where most of
+both its question and its answer is held, then where it scores best; repeated
+rows are searched each; a row without a doc_id is searched too and goes if it
+holds an item; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,15 +34,15 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import text_or_empty
+from .shared import text_or_empty, written
 from .textgrams import _NOT_WORD, mix, words
 
 K1, B, BLOCK = 1.2, 0.75, 16
-#: Items in one index. More items make more indexes, each asked by all passages.
-INDEX_ITEMS = 20_000
+#: Items and words in one index, at most (but for a single longer item), and indexes in one pass over the documents.
+INDEX_ITEMS, INDEX_WORDS, INDEXES = 20_000, 4_000_000, 16
 RUN = 3
 _U = np.uint64
-FOUND = "doc_id string, item_id long, first_word long, score double, question double, answer double"
+FOUND = "doc_id string, row long, item_id long, first_word long, score double, question double, answer double"
 
 
 def _runs(hashes: np.ndarray, n: int = RUN) -> np.ndarray:
@@ -49,31 +55,36 @@ def _runs(hashes: np.ndarray, n: int = RUN) -> np.ndarray:
 
 
 class ItemIndex:
-    """The inverted index of some items, and what verification needs of them."""
+    """The inverted index of some items, and what verification needs of them.
+
+    terms, df are how many of all n_items items hold each word; mean is their
+    mean number of words. step is half the length of a passage.
+    """
 
-    def __init__(self, ids: list[int], texts: list[str], threshold: float):
+    def __init__(self, ids: list[int], texts: list[str], threshold: float, step: int, n_items: int, mean: float, terms: np.ndarray, df: np.ndarray):
         hashes, first = words(texts, separators=_NOT_WORD)
-        self.ids, self.threshold = np.array(ids, np.int64), threshold
+        self.ids, self.threshold, self.step = np.array(ids, np.int64), threshold, step
         self.sizes = sizes = np.diff(first)
         item = np.repeat(np.arange(len(ids)), sizes)
         self.terms, term = np.unique(hashes, return_inverse=True)
+        self.n = len(ids)
         pairs, counts = np.unique(item * max(1, len(self.terms)) + term, return_counts=True)
         item, term = np.divmod(pairs, max(1, len(self.terms)))
-        df = np.bincount(term, minlength=len(self.terms))
-        idf = np.log1p((len(ids) - df + 0.5) / (df + 0.5))
-        mean = max(1.0, sizes.mean() if len(sizes) else 1.0)
-        weight = idf[term] * counts * (K1 + 1) / (counts + K1 * (1 - B + B * sizes[item] / mean))
+        order = np.argsort(terms)
+        df = df[order][np.searchsorted(terms[order], self.terms)]
+        idf = np.log1p((n_items - df + 0.5) / (df + 0.5))
+        weight = idf[term] * counts * (K1 + 1) / (counts + K1 * (1 - B + B * sizes[item] / max(1.0, mean)))
         own = np.bincount(item, weight, minlength=len(ids))
         weight = weight / own[item]
-        # Postings by term, and each term's largest weight in each block of items.
+        # Postings by term, then item; each term's largest weight, and that in each block of items.
         order = np.lexsort((item, term))
-        self.items, self.weights = item[order], weight[order]
-        self.begin = np.searchsorted(term[order], np.arange(len(self.terms) + 1))
-        self.blocks = -(-len(ids) // BLOCK)
-        block_of, starts = np.unique(term[order] * self.blocks + self.items // BLOCK, return_index=True)
-        self.block_terms, self.block_ids = np.divmod(block_of, max(1, self.blocks))
+        self.items, self.weights, by_term = item[order], weight[order], term[order]
+        self.keys = by_term * self.n + self.items
+        self.begin = np.searchsorted(by_term, np.arange(len(self.terms) + 1))
+        self.most = np.maximum.reduceat(self.weights, self.begin[:-1]) if len(self.terms) else np.zeros(0)
+        self.blocks = -(-self.n // BLOCK)
+        self.block_keys, starts = np.unique(by_term * self.blocks + self.items // BLOCK, return_index=True)
         self.block_max = np.maximum.reduceat(self.weights, starts) if len(starts) else np.zeros(0)
-        self.block_begin = np.searchsorted(self.block_terms, np.arange(len(self.terms) + 1))
         # Of each item, its lightest words that together stay below the threshold aren't enough: a passage needs one of the others.
         light = np.lexsort((weight, item))
         sums = np.cumsum(weight[light])
@@ -82,7 +93,7 @@ class ItemIndex:
         needed = sums - before[item[light]] >= threshold - 1e-9
         self.needed = np.zeros(len(self.terms), bool)
         self.needed[term[light][needed]] = True
-        self.span = int(sizes.max()) if len(sizes) else 1
+        self.scored = self.skipped = 0
         self.question, self.answer = [], []
         for k, text in enumerate(texts):
             cut = self._cut(text, int(sizes[k]))
@@ -102,48 +113,68 @@ class ItemIndex:
 
     def search(self, hashes: np.ndarray, first: np.ndarray) -> list[tuple[int, int, int, float, float, float]]:
         """(text, item, first word, score, question share, answer share) of every item that a text of hashes holds."""
-        step = max(8, self.span)
+        step = self.step
         place = np.searchsorted(self.terms, hashes)
         place[place == len(self.terms)] = 0
         known = self.terms[place] == hashes if len(self.terms) else np.zeros(len(hashes), bool)
         seen = np.concatenate(([0], np.cumsum(known & self.needed[place])))
-        out = []
         counts = np.diff(first)
         windows = np.maximum(1, -(-(counts - step) // step))
         text = np.repeat(np.arange(len(counts)), windows)
         begin = first[:-1][text] + (np.arange(len(text)) - np.repeat(np.cumsum(windows) - windows, windows)) * step
         end = np.minimum(begin + 2 * step, first[1:][text])
+        best: dict[tuple[int, int], tuple] = {}
         for k in np.flatnonzero(seen[end] > seen[begin]).tolist():
             terms = place[begin[k] : end[k]]
             terms = np.unique(terms[known[begin[k] : end[k]]])
-            out += [(int(text[k]), int(begin[k] - first[text[k]]) + at, *hit) for at, *hit in self._ask(terms, hashes[begin[k] : end[k]])]
-        best: dict[tuple[int, int], tuple] = {}
-        for t, at, item, score, question, answer in out:
-            # Verified before ranked: a passage with all of an item's words scattered scores as much as the item itself.
-            if (t, item) not in best or (min(question, answer), score) > (min(best[t, item][4:]), best[t, item][3]):
-                best[t, item] = (t, item, at, score, question, answer)
+            hits = self.wand(terms)
+            if not hits:
+                continue
+            inside, t = hashes[begin[k] : end[k]], int(text[k])
+            held = {n: _runs(inside, n) for n in range(1, RUN + 1)}
+            for item, score in hits:
+                at, question, answer = self._verified(item, len(inside), held)
+                # Verified before ranked: a passage with all of an item's words scattered scores as much as the item itself.
+                if (t, item) not in best or (min(question, answer), score) > (min(best[t, item][4:]), best[t, item][3]):
+                    best[t, item] = (t, item, int(begin[k] - first[t]) + at, score, question, answer)
         return list(best.values())
 
-    def _ask(self, terms: np.ndarray, hashes: np.ndarray) -> list[tuple[int, int, float, float, float]]:
-        sizes = self.block_begin[terms + 1] - self.block_begin[terms]
-        rows = np.arange(sizes.sum()) + np.repeat(self.block_begin[terms] - (np.cumsum(sizes) - sizes), sizes)
-        most = np.bincount(self.block_ids[rows], self.block_max[rows], minlength=self.blocks)
-        open_blocks = most >= self.threshold - 1e-9
-        if not open_blocks.any():
-            return []
-        sizes = self.begin[terms + 1] - self.begin[terms]
-        rows = np.arange(sizes.sum()) + np.repeat(self.begin[terms] - (np.cumsum(sizes) - sizes), sizes)
-        rows = rows[open_blocks[self.items[rows] // BLOCK]]
-        scores = np.bincount(self.items[rows], self.weights[rows], minlength=len(self.ids))
-        hits = np.flatnonzero(scores >= self.threshold - 1e-9).tolist()
-        if not hits:
-            return []
-        held = {n: _runs(hashes, n) for n in range(1, RUN + 1)}
-        out = []
-        for i in hits:
-            at, question, answer = self._verified(i, len(hashes), held)
-            out.append((at, i, float(scores[i]), question, answer))
-        return out
+    def wand(self, terms: np.ndarray) -> list[tuple[int, float]]:
+        """Every item whose score for the terms reaches the threshold, with the score."""
+        limit = self.threshold - 1e-9
+        most, at, end = self.most[terms], self.begin[terms], self.begin[terms + 1]
+        hits = []
+        while len(terms):
+            item = self.items[at]
+            order = np.argsort(item, kind="stable")
+            pivot = int(np.searchsorted(np.cumsum(most[order]), limit))
+            if pivot == len(terms):
+                break  # what is left of all terms together stays below
+            pivot_item = int(item[order[pivot]])
+            up_to = item <= pivot_item
+            block = pivot_item // BLOCK
+            keys = terms[up_to] * self.blocks + block
+            found = np.minimum(np.searchsorted(self.block_keys, keys), len(self.block_keys) - 1)
+            if self.block_max[found][self.block_keys[found] == keys].sum() < limit:
+                # Neither this item nor another of the block before the next term begins can reach it.
+                after = item[~up_to]
+                target = min((block + 1) * BLOCK, int(after.min())) if len(after) else (block + 1) * BLOCK
+                self.skipped += 1
+            elif item[order[0]] == pivot_item:
+                score = float(self.weights[at[up_to]].sum())
+                self.scored += 1
+                if score >= limit:
+                    hits.append((pivot_item, score))
+                target = pivot_item + 1
+            else:
+                target = pivot_item
+            # Cursors of the terms up to the pivot go to the first posting at or after target.
+            moved = np.flatnonzero(up_to)
+            at[moved] = np.searchsorted(self.keys, terms[moved] * self.n + min(target, self.n))
+            live = at < end
+            if not live.all():
+                terms, most, at, end = terms[live], most[live], at[live], end[live]
+        return hits
 
     def _verified(self, item: int, n: int, held: dict[int, np.ndarray]) -> tuple[int, float, float]:
         """Where in a passage of n words, and how much of, an item's question and answer stand together: in stretches of four times the item's words, stepped by half."""
@@ -162,36 +193,63 @@ class ItemIndex:
 
 
 def item_indexes(items: DataFrame, threshold: float, index_items: int = INDEX_ITEMS) -> Iterator[ItemIndex]:
-    """Indexes of at most index_items items each, one after another, so that only one is in the driver or sent out at a time."""
+    """Indexes of at most index_items items each, one after another, so that only one is built at a time."""
     rows = items.select(F.col("item_id").cast("long").alias("item_id"), text_or_empty().alias("text")).where(F.col("item_id").isNotNull())
-    parts = -(-rows.count() // index_items)
-    for part in range(parts):
-        own = rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part).orderBy("item_id", "text").collect() if parts > 1 else rows.orderBy("item_id", "text").collect()
-        if own:
-            yield ItemIndex([r["item_id"] for r in own], [r["text"] for r in own], threshold)
+
+    def told(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            hashes, first = words(batch["text"].tolist(), separators=_NOT_WORD)
+            own = [np.unique(hashes[first[k] : first[k + 1]]).view(np.int64) for k in range(len(batch))]
+            yield batch.assign(size=np.diff(first), terms=own)
+
+    made = written(rows.mapInPandas(told, "item_id long, text string, size long, terms array<long>"), "items")
+    df = written(made.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df")), "item-terms")
+    about = made.agg(F.count("*").alias("n"), F.avg("size").alias("mean")).first()
+    # Items that fit in the same power of two of words are asked by the same passages.
+    made = made.where("size > 0").withColumn("step", F.greatest(F.lit(8), F.pow(F.lit(2), F.ceil(F.log2("size")))).cast("int"))
+    for c in made.groupBy("step").agg(F.count("*").alias("n"), F.sum("size").alias("words")).orderBy("step").collect():  # a row for each power of two
+        parts = max(-(-c["n"] // index_items), -(-c["words"] // INDEX_WORDS))
+        for part in range(parts):
+            own = made.where((F.col("step") == c["step"]) & (F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part))
+            listed = own.orderBy("item_id", "text").select("item_id", "text").collect()
+            if listed:
+                counts = df.join(own.select(F.explode("terms").alias("term")).distinct(), "term").toPandas()
+                yield ItemIndex([r["item_id"] for r in listed], [r["text"] for r in listed], threshold, c["step"], about["n"], about["mean"], counts["term"].to_numpy(np.int64).view(_U), counts["df"].to_numpy())
 
 
 def retrieve(docs: DataFrame, items: DataFrame, threshold: float = 0.6, index_items: int = INDEX_ITEMS) -> DataFrame:
-    """Every item of which some passage of a document scores at least threshold: doc_id, item_id, first_word, score, question, answer (shares of their word runs that the passage holds)."""
+    """Every item of which some passage of a document scores at least threshold: doc_id, row (names the text), item_id, first_word, score, question, answer (shares of their word runs that the passage holds).
+
+    Documents are read and told into words once for INDEXES indexes, of which a
+    task holds one at a time; only more items than that make another pass.
+    """
     spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), text_or_empty().alias("text"))
+    text = text_or_empty()
+    rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.xxhash64(text).alias("row"), text.alias("text"))
     found = spark.createDataFrame([], FOUND)
-    for index in item_indexes(items, threshold, index_items):
-        sent = spark.sparkContext.broadcast(index)  # index_items items at most
+    sent: list = []
 
-        def run(batches: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
+    def asked(sent: list) -> DataFrame:
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            only = pickle.loads(sent[0].value) if len(sent) == 1 else None
             for batch in batches:
                 sizes = np.cumsum(batch["text"].str.len().to_numpy(np.int64))
-                for own in np.split(np.arange(len(batch)), np.flatnonzero(np.diff(sizes // (1 << 20))) + 1):
-                    if not len(own):
-                        continue
-                    part = batch.iloc[own]
-                    hashes, first = words(part["text"].tolist(), separators=_NOT_WORD)
-                    hits = sent.value.search(hashes, first)
-                    ids = part["doc_id"].to_numpy()
-                    yield pd.DataFrame([(ids[t], int(sent.value.ids[i]), at, score, q, a) for t, i, at, score, q, a in hits], columns=["doc_id", "item_id", "first_word", "score", "question", "answer"])
-
-        found = found.unionByName(rows.mapInPandas(run, FOUND))
+                splits = [x for x in np.split(np.arange(len(batch)), np.flatnonzero(np.diff(sizes // (1 << 20))) + 1) if len(x)]
+                told = [words(batch["text"].iloc[own].tolist(), separators=_NOT_WORD) for own in splits]
+                ids, of, out = batch["doc_id"].to_numpy(), batch["row"].to_numpy(), []
+                for one in sent:
+                    index = only or pickle.loads(one.value)
+                    for own, (hashes, first) in zip(splits, told, strict=True):
+                        out += [(ids[own[t]], of[own[t]], int(index.ids[i]), at, score, q, a) for t, i, at, score, q, a in index.search(hashes, first)]
+                yield pd.DataFrame(out, columns=["doc_id", "row", "item_id", "first_word", "score", "question", "answer"])
+
+        return rows.mapInPandas(run, FOUND)
+
+    for index in item_indexes(items, threshold, index_items):
+        sent.append(spark.sparkContext.broadcast(pickle.dumps(index)))  # INDEX_ITEMS items and INDEX_WORDS words at most
+        if len(sent) == INDEXES:
+            found, sent = found.unionByName(asked(sent)), []
+    found = found.unionByName(asked(sent)) if sent else found
     return found.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
@@ -201,6 +259,6 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = 0.6, over
 
 
 def decontaminated(docs: DataFrame, items: DataFrame, **options: float) -> DataFrame:
-    """docs without those that hold an item."""
-    gone = contaminated(docs, items, **options).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+    """docs without the rows that hold an item."""
+    gone = contaminated(docs, items, **options).select(F.col("doc_id").alias("_doc"), F.col("row").alias("_row")).distinct()
+    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.xxhash64(text_or_empty()) == F.col("_row")), "left_anti")

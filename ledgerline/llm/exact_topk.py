@@ -1,18 +1,22 @@
 """Exact top-k by inner product over an impact-ordered index, score at a time.
 
 Every dimension's values are quantised to levels; a posting segment is the
-vectors of one level of one dimension. A query processes segments by
-descending quantised impact and adds each to its vectors' accumulators. It
-stops only where it is proven that no vector outside a small set of possible
-members can be among the k best; those are scored exactly.
+vectors of one level of one dimension, with their values. A query processes
+segments by descending quantised impact, the most that a vector of the segment
+can gain, and adds what each of its vectors gains to its accumulator. Where an
+unprocessed segment's impact is at most i, a vector with u dimensions to come
+can gain u * i at most, which is negative in the end. The search stops where
+that proves that no vector outside a small set of possible members can be among
+the k best; those are scored exactly.
 
 The candidates lie in blocks, each with an index of its own; all queries visit
-every block, and a block's k best meet the other blocks' by query.
+every block, in blocks too, and a block's k best meet the other blocks' by query.
 
 Defined cases: vectors that are null, or hold null or non-finite components,
-take no part; a query meets vectors of its own dimension only; ties go to the
-smaller id; repeated rows of one id are ranked each; ids must not be null
-(such rows take no part).
+take no part; a query meets vectors of its own dimension only, and vectors of
+none score 0; ties go to the smaller id; repeated rows of one id are ranked
+each; ids must not be null (such rows take no part); scores are exact, and one
+beyond 64 bits is an error.
 """
 
 from __future__ import annotations
@@ -22,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCK, QUERY_BLOCK, LEVELS = 4096, 1024, 16
+BLOCK, QUERY_BLOCK, LEVELS = 8192, 4096, 16
 FOUND = "query_id long, vec_id long, score long"
 
 
@@ -32,19 +36,21 @@ class ImpactIndex:
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, levels: int = LEVELS):
         order = np.argsort(ids, kind="stable")
         self.ids, self.vectors = ids[order], vectors[order]
-        lowest, highest = self.vectors.min(0), self.vectors.max(0)
-        width = (highest - lowest) // levels + 1
-        level = (self.vectors - lowest) // width
-        self.rows, dims, least, most = [], [], [], []
-        for d in range(self.vectors.shape[1]):
-            by_level = np.argsort(level[:, d], kind="stable")
-            bounds = np.flatnonzero(np.diff(level[by_level, d])) + 1
-            for rows in np.split(by_level, bounds):
+        #: How many segments the last search processed, of how many.
+        self.processed = 0
+        self.rows, self.values, dims = [], [], []
+        for d in range(vectors.shape[1]):
+            own = self.vectors[:, d]
+            by_value = np.argsort(own, kind="stable")
+            low, high = int(own[by_value[0]]), int(own[by_value[-1]])
+            level = (own[by_value] - low) // ((high - low) // levels + 1)
+            for rows in np.split(by_value, np.flatnonzero(np.diff(level)) + 1):
                 dims.append(d)
-                least.append(self.vectors[rows, d].min())
-                most.append(self.vectors[rows, d].max())
                 self.rows.append(rows)
-        self.dims, self.least, self.most = np.array(dims), np.array(least), np.array(most)
+                self.values.append(own[rows])
+        self.dims = np.array(dims, np.int64)
+        self.least, self.most = (np.array([v[k] for v in self.values], np.int64) for k in (0, -1))
+        self.largest = int(max(abs(int(self.vectors.min(initial=0))), abs(int(self.vectors.max(initial=0)))))
 
     def search(self, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
         """The k best (ids, exact scores) but for the query's own id, ties to the smaller id."""
@@ -52,47 +58,38 @@ class ImpactIndex:
         k = min(k, int(other.sum()))
         if not k:
             return self.ids[:0], self.ids[:0]
+        if self.largest * max(abs(int(query.min(initial=0))), abs(int(query.max(initial=0)))) * (len(query) + 1) >= 2**62:
+            return self._best(np.flatnonzero(other), query.astype(object), k)
         weight = query[self.dims]
-        bound = np.maximum(weight * self.least, weight * self.most)  # no vector of the segment gains more
-        floor = np.full(len(query), np.iinfo(np.int64).max)
-        np.minimum.at(floor, self.dims, bound)
-        impact = bound - floor[self.dims]
+        impact = np.maximum(weight * self.least, weight * self.most)  # no vector of the segment gains more
         order = np.argsort(-impact, kind="stable")
-        left = self._left(order, impact, len(query))
-        reached = np.full(len(self.ids), floor.sum())
-        checks = set(np.unique(np.linspace(len(order) // 4, len(order), 7).astype(int)).tolist())
-        best = np.zeros(0, np.int64)
+        gained, left = np.zeros(len(self.ids), np.int64), np.full(len(self.ids), len(query), np.int64)
+        checks = set(np.linspace(0, len(order), 33).astype(int)[8:].tolist())
+        nothing = np.iinfo(np.int64).min
+        possible = np.flatnonzero(other)
         for done, segment in enumerate(order.tolist(), 1):
-            if impact[segment]:
-                reached[self.rows[segment]] += impact[segment]
-            if done not in checks:
+            rows = self.rows[segment]
+            gained[rows] += weight[segment] * self.values[segment]
+            left[rows] -= 1
+            self.processed = done
+            if done not in checks or done == len(order):
                 continue
+            most = gained + left * impact[order[done]]
             # A lower limit for the k-th best score: exact scores of those that lead now.
-            take = min(4 * k, len(reached))
-            leading = np.argpartition(-np.where(other, reached, np.iinfo(np.int64).min), take - 1)[:take]
+            take = min(4 * k, len(most))
+            leading = np.argpartition(-np.where(other, most, nothing), take - 1)[:take]
             leading = leading[other[leading]]
             exact = np.sort(self.vectors[leading] @ query)
-            limit = exact[-k] if len(exact) >= k else np.iinfo(np.int64).min
-            possible = np.flatnonzero(other & (reached + left[done] >= limit))
-            if len(possible) <= max(8 * k, len(reached) // 16) or done == len(order):
-                best = possible
+            limit = exact[-k] if len(exact) >= k else nothing
+            possible = np.flatnonzero(other & (most >= limit))
+            if len(possible) <= max(8 * k, len(most) // 16):
                 break
-        scores = self.vectors[best] @ query
-        first = np.lexsort((self.ids[best], -scores))[:k]
-        return self.ids[best][first], scores[first]
-
-    def _left(self, order: np.ndarray, impact: np.ndarray, dims: int) -> np.ndarray:
-        """After each number of processed segments, what a vector can still gain at most: the largest unprocessed impact of every dimension."""
-        changes = np.zeros(len(order) + 1, np.int64)
-        place = np.empty(len(order), np.int64)
-        place[order] = np.arange(len(order))
-        by_dim = np.lexsort((place, self.dims))
-        same = np.append(self.dims[by_dim][1:] == self.dims[by_dim][:-1], False)
-        following = np.where(same, impact[np.append(by_dim[1:], 0)], 0)
-        changes[place[by_dim] + 1] = impact[by_dim] - following
-        total = np.zeros(dims, np.int64)
-        np.maximum.at(total, self.dims, impact)
-        return total.sum() - np.cumsum(changes)
+        return self._best(possible, query, k)
+
+    def _best(self, possible: np.ndarray, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        scores = self.vectors[possible] @ query
+        first = np.lexsort((self.ids[possible], -scores))[:k]
+        return self.ids[possible][first], scores[first].astype(np.int64)
 
 
 def quantised(vectors: DataFrame, id_column: str, vector: str, scale: int = 1024) -> DataFrame:
@@ -111,7 +108,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
     def search(key: tuple, queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         if not len(queries) or not len(rows):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
-        index = ImpactIndex(rows["vec_id"].to_numpy(), np.stack(rows["v"].to_numpy()).astype(np.int64))
+        index = ImpactIndex(rows["vec_id"].to_numpy(), np.stack(rows["v"].to_numpy()).astype(np.int64))  # once for QUERY_BLOCK queries
         out = []
         for own, v in zip(queries["vec_id"].tolist(), queries["v"], strict=True):
             ids, scores = index.search(np.asarray(v, np.int64), own, k)

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import written
+from .shared import discarded, written
 
 #: A block compares about so many outsiders with so many members; small buckets share a task up to about TOGETHER rows.
 OUTSIDERS, MEMBERS, TOGETHER = 32, 256, 2_000
@@ -65,7 +65,9 @@ def components(edges: DataFrame) -> DataFrame:
         large = written(large, "edges")
         least = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
         small = attached(large, least, ["u"], before[0]).select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.*")
-        now = written(small.where("u <> v").distinct(), "edges")
+        last, now = now, written(small.where("u <> v").distinct(), "edges")
+        discarded(last)
+        discarded(large)
         after = _sum_of(now)
         if after == before:
             break

@@ -4,7 +4,8 @@ A document is its token ids and an end id. It is cut into full sequences and
 one remainder, so every piece is at most `capacity` long. Only the histogram
 of piece lengths (at most `capacity` numbers, whatever the corpus) reaches the
 driver, which counts packing patterns; patterns go back to the pieces by each
-piece's rank among those of its length.
+piece's rank among those of its length. Full pieces are sequences of their own
+and need no rank.
 
 Defined cases: null text is empty and is packed as its end id alone; repeated
 rows are packed as often as they occur; a null doc_id is kept; other columns
@@ -25,7 +26,7 @@ from .byte_bpe import loaded
 from .shared import text_or_empty, written
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
-#: Pieces of one length are ranked in groups of about this many rows.
+#: Pieces of one length are ranked in groups of about this many rows, and groups in blocks of so many.
 RANK_GROUP = 1_000
 
 
@@ -71,7 +72,9 @@ def shortest_pack_first(histogram: dict[int, int], capacity: int) -> list[tuple[
 
     Lengths go in longest first, each into the shortest pack that can take it
     (so the emptiest), in bulk by counts; packs are split where fewer of a
-    length are left than packs.
+    length are left than packs. Piece by piece, a new pack would be begun only
+    where none has room, and would then be the only one with room for the next
+    piece of its length: so new packs are filled with copies of that length.
     """
     open_packs: dict[int, list[tuple[int, list[int]]]] = {}  # space left: (count, lengths)
     done: list[tuple[list[int], int]] = []
@@ -87,7 +90,6 @@ def shortest_pack_first(histogram: dict[int, int], capacity: int) -> list[tuple[
                 grown = [*lengths, length]
                 rest = space - length
             else:
-                # As many of this length as fit side by side start the packs, so a common length fills its packs with itself.
                 fit = max(1, min(capacity // length, left))
                 used_packs = max(1, left // fit)
                 used, grown, rest = fit * used_packs, [length] * fit, capacity - fit * length
@@ -118,13 +120,18 @@ def ranked(rows: DataFrame, histogram: list[tuple[int, int]]) -> DataFrame:
     """rows with their rank (from 0) among those of their length, also where one length has most rows.
 
     A length's rows are dealt to groups by hash, ranked within the group, and
-    moved by the sizes of the groups before; no task needs all rows of a length.
+    moved by the sizes of the groups before. Groups are summed in blocks, so no
+    task needs all rows or all groups of a length: a thousand million rows of
+    one length are a thousand blocks.
     """
     spark = rows.sparkSession
     groups = spark.createDataFrame([(n, -(-c // RANK_GROUP)) for n, c in histogram], "length long, groups long")
     dealt = rows.join(F.broadcast(groups), "length").withColumn("group", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.col("groups"))).drop("groups")
-    sizes = dealt.groupBy("length", "group").agg(F.count("*").alias("size"))
-    before = sizes.withColumn("before", F.sum("size").over(Window.partitionBy("length").orderBy("group")) - F.col("size")).drop("size")
+    sizes = dealt.groupBy("length", "group").agg(F.count("*").alias("size")).withColumn("block", F.floor(F.col("group") / RANK_GROUP))
+    blocks = sizes.groupBy("length", "block").agg(F.sum("size").alias("whole"))
+    blocks = blocks.withColumn("earlier", F.sum("whole").over(Window.partitionBy("length").orderBy("block")) - F.col("whole")).drop("whole")
+    before = sizes.withColumn("before", F.sum("size").over(Window.partitionBy("length", "block").orderBy("group")) - F.col("size"))
+    before = before.join(blocks, ["length", "block"]).select("length", "group", (F.col("before") + F.col("earlier")).alias("before"))
     inside = F.row_number().over(Window.partitionBy("length", "group").orderBy("doc_id", "start", "ids_crc32")) - 1
     return dealt.withColumn("inside", inside).join(before, ["length", "group"]).withColumn("rank", F.col("before") + F.col("inside")).drop("group", "inside", "before")
 
@@ -134,13 +141,18 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 0)
     spark = docs.sparkSession
     cut = written(pieces(docs, tokenizer, capacity, end_id), "pieces")
     # At most `capacity` rows.
-    histogram = [(r["length"], r["count"]) for r in cut.groupBy("length").count().collect()]
-    slots = slots_of(shortest_pack_first(dict(histogram), capacity))
+    histogram = [(r["length"], r["count"]) for r in cut.where(F.col("length") < capacity).groupBy("length").count().collect()]
+    patterns = shortest_pack_first(dict(histogram), capacity)
     # Every pattern but a few per length is full or starts at its own length: at most some thousand rows at any input size.
-    places = spark.createDataFrame(slots, "length long, first long, ranks long, offset long, sequence long")
+    places = spark.createDataFrame(slots_of(patterns), "length long, first long, ranks long, offset long, sequence long")
     where = (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("first") + F.col("ranks"))
-    placed = ranked(cut, histogram).join(F.broadcast(places.withColumnRenamed("length", "slot_length")), (F.col("length") == F.col("slot_length")) & where)
-    return placed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", (F.col("sequence") + F.col("rank") - F.col("first")).alias("sequence_id"), "offset")
+    part = cut.where(F.col("length") < capacity)
+    placed = ranked(part, histogram).join(F.broadcast(places.withColumnRenamed("length", "slot_length")), (F.col("length") == F.col("slot_length")) & where)
+    columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
+    placed = placed.select(*columns, (F.col("sequence") + F.col("rank") - F.col("first")).alias("sequence_id"), "offset")
+    # A full piece's number comes from where it is stored, after those of the patterns.
+    own = F.lit(sum(count for _, count in patterns)) + F.monotonically_increasing_id()
+    return placed.unionByName(cut.where(F.col("length") == capacity).select(*columns, own.alias("sequence_id"), F.lit(0).cast("long").alias("offset")))
 
 
 def sequences(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 0, pad_id: int = 0) -> DataFrame:

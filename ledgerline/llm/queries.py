@@ -134,8 +134,8 @@ with whole as (
   select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)::bigint) as v from embeddings
   where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
 ), scored as (
-  select q.vec_id as query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::bigint as score
-  from whole q join whole c on q.vec_id % 100 = 0 and c.vec_id <> q.vec_id
+  select q.vec_id as query_id, c.vec_id, coalesce(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])), 0)::bigint as score
+  from whole q join whole c on q.vec_id % 100 = 0 and c.vec_id <> q.vec_id and len(c.v) = len(q.v)
 )
 select query_id, row_number() over (partition by query_id order by score desc, vec_id)::int as rank, vec_id, score from scored
 qualify rank <= 10

@@ -8,8 +8,9 @@ A passage may also repeat inside paragraphs that differ around it. So every
 window of min_words words is a paragraph too, with one MinHash for a band:
 equal windows have it in common, always, and neighbouring windows mostly share
 theirs, so a text has about one row for each eight words. Windows around hashes
-that several documents share are verified: all their words must be equal. The
-first document that has a window keeps it. A passage's ends are exact, and what
+that several documents share, with half of the other words on one side, are
+verified: all their words must be equal. The first document that has a window
+keeps it. A passage's ends are exact, and what
 is removed stands in an earlier document. Windows that touch a removed
 paragraph take no part, so no document is freed of a passage for the sake of
 one that is removed itself.
@@ -35,14 +36,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .linking import attached, components, links, shared_buckets
-from .shared import text_or_empty, written
+from .shared import kept, scratch, text_or_empty, written
 from .textgrams import distinct, mix, rolled, shingles, words
 
 _U = np.uint64
 _FACTOR = 0xA24BAED4963EE407
 _INVERSE = pow(_FACTOR, -1, 2**64)
 PLACE = ["doc_id", "row", "first_word"]
-SKETCH = "doc_id long, row int, first_word int, n_words int, f1 long, f2 long, bands array<long>, names array<long>, places array<int>, more array<int>"
+SKETCH = "doc_id long, row int, first_word int, n_words int, f1 long, f2 long, bands array<long>, names array<long>, places array<int>, more array<int>, lefts array<int>, rights array<int>"
 
 
 def tuned_bands(threshold: float, recall: float = 0.998, most: int = 64) -> tuple[int, int]:
@@ -126,8 +127,10 @@ def sketches(docs: DataFrame, n: int = 5, min_words: int = 20, bands: int = 12,
     """For every paragraph its place, n_words, f1 and f2 (a name of its set of shingles) and bands; for what is left of a text one row without them.
 
     names are the MinHashes of windows that lie in the paragraph, from places
-    to places + more.
+    to places + more; lefts and rights name them with the words beside them (0
+    where there are none, 1 where words repeat with a short period).
     """
+    side = (min_words - n + 1) // 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -153,6 +156,7 @@ def sketches(docs: DataFrame, n: int = 5, min_words: int = 20, bands: int = 12,
                 band = mix(band + least[:, r::rows])
             band = mix(band + np.arange(bands, dtype=_U))
         places, names = window_hashes(hashes, begins, n, min_words)
+        prefix = _prefix(hashes, 5)
         line = np.searchsorted(first, places, side="right") - 1
         row = np.full(len(size), -1)
         row[keep] = np.arange(len(keep))
@@ -165,6 +169,12 @@ def sketches(docs: DataFrame, n: int = 5, min_words: int = 20, bands: int = 12,
         start = np.flatnonzero(new)
         last = np.append(start[1:], len(places)) - 1 if len(start) else start
         offsets = pa.array(np.searchsorted(row[start], np.arange(len(row_text) + 1)), pa.int32())
+        again = places[last] > places[start]
+        sides = []
+        for a, b in ((places[start] - side, places[start] + n), (places[start], places[start] + n + side)):
+            fits = (a >= begins[:-1][row_text[row[start]]]) & (b <= begins[1:][row_text[row[start]]])
+            named = _between(*prefix, np.where(fits, a, 0), np.where(fits, b, 0)).astype(np.int32) | 2
+            sides.append(np.where(again, 1, np.where(fits, named, 0)).astype(np.int32))
         inside = (places[start] - begins[:-1][row_text[row[start]]]).astype(np.int32)
         left = np.arange(len(row_text)) >= len(keep)
         listed = lambda x: pa.ListArray.from_arrays(offsets, pa.array(x))
@@ -172,7 +182,7 @@ def sketches(docs: DataFrame, n: int = 5, min_words: int = 20, bands: int = 12,
         band_ends = pa.array(np.minimum(np.arange(len(row_text) + 1), len(keep)) * bands, pa.int32())
         columns = [
             pa.array(ids[row_text]), pa.array(of[row_text]), pa.array(row_first.astype(np.int32)), pa.array(row_size.astype(np.int32)), padded(f[0]), padded(f[1]),
-            pa.ListArray.from_arrays(band_ends, pa.array(band.view(np.int64).ravel())), listed(names[start].view(np.int64)), listed(inside), listed((places[last] - places[start]).astype(np.int32)),
+            pa.ListArray.from_arrays(band_ends, pa.array(band.view(np.int64).ravel())), listed(names[start].view(np.int64)), listed(inside), listed((places[last] - places[start]).astype(np.int32)), listed(sides[0]), listed(sides[1]),
         ]
         return pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in SKETCH.split(", ")])
 
@@ -260,6 +270,13 @@ def windows(docs: DataFrame, seeds: DataFrame, min_words: int) -> DataFrame:
     return rows.mapInPandas(each, "doc_id long, row int, first_word int, h1 long, h2 long")
 
 
+def _shared(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """rows (with doc_id) whose keys several documents have."""
+    common = rows.groupBy(*keys).agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("n")).where("low <> high").select(*keys, "n")
+    common = written(common, "common")
+    return attached(rows, common, keys, common.agg(F.sum("n")).first()[0] or 0)
+
+
 def passage_classes(docs: DataFrame, n: int = 5, min_words: int = 20, made: DataFrame | None = None, removed: DataFrame | None = None) -> DataFrame:
     """doc_id, row, first_word, n_words, first (its class's first place) of every run of words of which each min_words words stand in another document as well.
 
@@ -269,15 +286,20 @@ def passage_classes(docs: DataFrame, n: int = 5, min_words: int = 20, made: Data
     (doc_id, row, first_word, n_words) are paragraphs that are gone.
     """
     made = written(sketches(docs, n, min_words), "sketches") if made is None else made
-    paragraphs = made.select("doc_id", "row", "first_word", "n_words", "names", "places", "more").where(F.size("names") > 0)
+    paragraphs = made.select("doc_id", "row", "first_word", "n_words", "names", "places", "more", "lefts", "rights").where(F.size("names") > 0)
     if removed is not None:
         paragraphs = paragraphs.join(removed.where("n_words > 0").select(*PLACE, "n_words"), [*PLACE, "n_words"], "left_anti")
-    seeds = paragraphs.select("doc_id", "row", F.explode(F.arrays_zip("names", "places", "more")).alias("s")).select("doc_id", "row", F.col("s.names").alias("name"), F.col("s.places").alias("place"), F.col("s.more").alias("more"))
-    common = seeds.groupBy("name").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("n")).where("low <> high").select("name", "n")
-    common = written(common, "common")
-    around = min_words - n
-    found = attached(seeds, common, ["name"], common.agg(F.sum("n")).first()[0] or 0)
-    found = found.select("doc_id", "row", (F.col("place") - around).alias("begin"), (F.col("place") + F.col("more") + min_words).alias("end"))
+    listed = ("names", "places", "more", "lefts", "rights")
+    seeds = paragraphs.select("doc_id", "row", F.explode(F.arrays_zip(*listed)).alias("s")).select("doc_id", "row", *[F.col(f"s.{c}").alias(c) for c in listed])
+    found = written(_shared(seeds, ["names"]), "seeds")
+    # Of a window's other words, at least half (rounded up) stand on one side of its hash.
+    side, rest = (min_words - n + 1) // 2, min_words - n
+    beside = F.array(F.struct(F.lit(0).alias("side"), F.col("lefts").alias("h")), F.struct(F.lit(1).alias("side"), F.col("rights").alias("h")))
+    sided = found.withColumn("s", F.explode(beside)).select("doc_id", "row", "names", "places", "more", "s.*").where("h <> 0")
+    sure = _shared(sided, ["names", "side", "h"])
+    begin = F.col("places") - F.when((F.col("side") == 0) | (F.col("more") > 0), rest).otherwise(rest - side)
+    end = F.col("places") + F.col("more") + F.when((F.col("side") == 1) | (F.col("more") > 0), min_words).otherwise(min_words - side)
+    found = sure.select("doc_id", "row", begin.alias("begin"), end.alias("end"))
     if removed is not None:
         gone = removed.select("doc_id", "row", F.col("first_word").alias("low"), (F.col("first_word") + F.col("n_words")).alias("high"))
         found = found.unionByName(gone, allowMissingColumns=True)
@@ -297,8 +319,8 @@ def passage_classes(docs: DataFrame, n: int = 5, min_words: int = 20, made: Data
     new = ~(next_word & (F.col("own") | next_of))
     pieces = some.withColumn("piece", F.sum(F.when(F.coalesce(new, F.lit(True)), 1).otherwise(0)).over(by_place)).groupBy("doc_id", "row", "own", "piece")
     pieces = written(pieces.agg(F.min("of").alias("of"), F.min("first_word").alias("low"), F.max("first_word").alias("high")).drop("piece"), "pieces")
-    kept = pieces.where("own").select("doc_id", "row", "low", "high", F.struct("doc_id", "row", F.col("low").alias("first_word")).alias("first"))
-    runs = kept.select(F.col("doc_id").alias("of_doc"), F.col("row").alias("of_row"), "low", "high").groupBy("of_doc", "of_row").agg(F.array_sort(F.collect_list(F.struct("low", "high"))).alias("runs"))
+    held = pieces.where("own").select("doc_id", "row", "low", "high", F.struct("doc_id", "row", F.col("low").alias("first_word")).alias("first"))
+    runs = held.select(F.col("doc_id").alias("of_doc"), F.col("row").alias("of_row"), "low", "high").groupBy("of_doc", "of_row").agg(F.array_sort(F.collect_list(F.struct("low", "high"))).alias("runs"))
     # A document's kept runs are a list as long as it at most; each piece stands in one of them.
     other = pieces.where("not own").withColumns({"of_doc": F.col("of.doc_id"), "of_row": F.col("of.row"), "at": F.col("of.first_word")}).select("doc_id", "row", "low", "high", "of_doc", "of_row", "at")
     runs = runs.join(other.groupBy("of_doc", "of_row").agg(F.count("*").alias("n")), ["of_doc", "of_row"])
@@ -308,16 +330,18 @@ def passage_classes(docs: DataFrame, n: int = 5, min_words: int = 20, made: Data
     by_class = Window.partitionBy("doc_id", "row", "first").orderBy("low", "high")
     until = F.max("high").over(by_class.rowsBetween(Window.unboundedPreceding, -1))
     other = other.withColumn("run", F.sum(F.when(F.col("low") <= until + 1, 0).otherwise(1)).over(by_class)).groupBy("doc_id", "row", "first", "run")
-    spans = kept.unionByName(other.agg(F.min("low").alias("low"), F.max("high").alias("high")).drop("run"))
+    spans = held.unionByName(other.agg(F.min("low").alias("low"), F.max("high").alias("high")).drop("run"))
     return spans.select("doc_id", "row", F.col("low").alias("first_word"), (F.col("high") - F.col("low") + min_words).cast("int").alias("n_words"), "first")
 
 
 def repeated_passages(docs: DataFrame, threshold: float = 0.8, n: int = 5, min_words: int = 20) -> DataFrame:
     """doc_id, row, kind (paragraph or passage), first_word, n_words, class_id and kept (whether it is its class's first) of every repeated passage."""
-    made = written(sketches(docs, n, min_words, *tuned_bands(threshold)), "sketches")
     is_first = F.struct(*PLACE) == F.col("first")
-    paragraph = written(paragraph_classes(docs, threshold, n, min_words, made).withColumn("kept", is_first), "repeated")
-    passage = passage_classes(docs, n, min_words, made, paragraph.where("not kept")).withColumn("kept", is_first)
+    with scratch():
+        made = written(sketches(docs, n, min_words, *tuned_bands(threshold)), "sketches")
+        with scratch():
+            paragraph = kept(paragraph_classes(docs, threshold, n, min_words, made).withColumn("kept", is_first), "repeated")
+        passage = kept(passage_classes(docs, n, min_words, made, paragraph.where("not kept")).withColumn("kept", is_first), "repeated")
     both = paragraph.withColumn("kind", F.lit("paragraph")).unionByName(passage.withColumn("kind", F.lit("passage")))
     class_id = F.concat_ws("-", "first.doc_id", F.hex("first.row"), "first.first_word")
     return both.select("doc_id", "row", "kind", F.col("first_word").cast("long").alias("first_word"), F.col("n_words").cast("long").alias("n_words"), class_id.alias("class_id"), "kept")

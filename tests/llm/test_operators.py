@@ -83,6 +83,17 @@ def test_layouts_become_the_same_turns(spark):
     assert [[(t.role, t.text) for t in r.turns] if r.turns is not None else None for r in got] == [[("user", "q"), ("assistant", "a")]] * 5 + [None] * 3 + [[]]
     assert [r.layout for r in got][5:8] == [None] * 3 and got[5].fingerprint and got[6].fingerprint is None
     assert chat_format.canonical_turns(rows, "raw").columns.count("turns") == 1
+    assert chat_format.read_back(chat_format.render(chat_format.canonical_turns(rows.limit(0), "raw")), "id").count() == 0
+
+
+def test_odd_values_and_nested_layouts(spark):
+    records = [
+        '{"prompt":5,"response":[]}', '{"messages":["x",{"role":"user","content":"q"}]}', '{"messages":[{"role":"user","content":7}]}', '{"messages":[null,{"role":null,"content":null}]}', '{"messages":[{"role":null,"content":null}]}',
+        '{"messages":"x"}', '{"instruction":"a","input":"b","output":null}', '{"request":{"messages":[{"role":"user","content":"q"}]},"response":{"text":"a"}}', "5", '"x"', "[]",
+    ]
+    rows = spark.createDataFrame([(k, r) for k, r in enumerate(records)], "id long, raw string")
+    got = [r.turns and [(t.role, t.text) for t in r.turns] for r in chat_format.canonical_turns(rows, "raw").orderBy("id").collect()]
+    assert got == [[("user", "5"), ("assistant", "[]")], None, [("user", "7")], None, [("", "")], None, [("user", "a\nb"), ("assistant", "")], [("user", "q"), ("assistant", "a")], None, None, None]
 
 
 def test_formatting_is_reversible_and_masks_the_assistant(spark):
@@ -115,6 +126,25 @@ def test_top_k_is_that_of_all_scores(spark):
     assert exact_topk.top_k(table.limit(0), F.col("vec_id") % 100 == 0).count() == 0
 
 
+def test_search_stops_on_proof_and_is_exact():
+    rng = np.random.default_rng(12)
+    vectors = np.floor(1024 * rng.normal(0, 0.125, (3000, 64))).astype(np.int64)
+    ids = np.arange(3000) * 7
+    index = exact_topk.ImpactIndex(ids, vectors)
+    for q in range(0, 3000, 300):
+        found, scores = index.search(vectors[q], ids[q], 10)
+        want = sorted((-int(vectors[q] @ v), i) for v, i in zip(vectors, ids.tolist(), strict=True) if i != ids[q])[:10]
+        assert list(zip((-scores).tolist(), found.tolist(), strict=True)) == want
+        assert index.processed < 0.85 * len(index.dims)
+
+
+def test_vectors_without_components_and_with_huge_ones(spark):
+    rows = spark.createDataFrame([(0, []), (1, []), (100, [4.0e6] * 3), (101, [4.0e5] * 3), (102, [-4.0e5, 1.0, 0.0])], "vec_id long, embedding array<double>")
+    got = sorted(tuple(r) for r in exact_topk.top_k(exact_topk.quantised(rows, "vec_id", "embedding"), F.col("vec_id") % 100 == 0, 2).collect())
+    q = 1024 * 4 * 10**6
+    assert got == [(0, 1, 1, 0), (100, 1, 101, 3 * q * 1024 * 4 * 10**5), (100, 2, 102, q * 1024 * (1 - 4 * 10**5))]
+
+
 # 3
 
 
@@ -160,12 +190,14 @@ def brute_lines(rows, least=40, docs=5):
     for d, t in rows:
         for k in {key(x) for x in (t or "").split("\n")}:
             held[k].append(d)
-    keeper = {k: max((x for x in v if x is not None), default=None) for k, v in held.items() if len(v) >= docs and len(k) >= least}
+    owners = {k: {x for x in v if x is not None} for k, v in held.items() if len(k) >= least}
+    keeper = {k: max(v) for k, v in owners.items() if len(v) >= docs}
     return sorted((str(d), "\n".join(x for x in (t or "").split("\n") if key(x) not in keeper or keeper[key(x)] == d)) for d, t in rows)
 
 
 def test_lines_kept_are_those_of_the_definition(spark, odd, none, texts):
-    more = [(100 + k, f"  {LINE.upper() if k % 2 else LINE}\t\nown {k}", "en", "s", 1) for k in range(6)]
+    more = [(200 + k % 4, f"{LINE[::-1]}\nagain {k}", "en", "s", 1) for k in range(9)]  # four documents alone
+    more += [(100 + k, f"  {LINE.upper() if k % 2 else LINE}\t\nown {k}", "en", "s", 1) for k in range(6)]
     frame = odd.select("doc_id", "text", "lang", "source", "n_chars").unionByName(spark.createDataFrame(more, SCHEMA)).withColumn("key", F.lit(1))
     for rows in (frame, spark.createDataFrame(texts, "doc_id long, text string")):
         listed = [(r.doc_id, r.text) for r in rows.select("doc_id", "text").collect()]
@@ -174,30 +206,58 @@ def test_lines_kept_are_those_of_the_definition(spark, odd, none, texts):
     assert line_dedup.dedup_lines(none).count() == 0
 
 
-def test_a_deletion_undoes_an_insertion(spark):
-    docs = spark.createDataFrame([(k, f"{LINE}\n{LINE} {k % 2}") for k in range(8)], "doc_id long, text string")
-    one, two = docs.where("doc_id < 5"), docs.where("doc_id >= 5")
-    table = line_dedup.references(one)
-    both = line_dedup.insert(table, two)
-    assert both.exceptAll(line_dedup.references(docs)).count() == 0
-    back = line_dedup.delete(both, two.select("doc_id"))
-    assert back.exceptAll(table).count() == 0 and table.exceptAll(back).count() == 0
-    assert line_dedup.counts(both).first().keeper == 7 and line_dedup.counts(back).first().keeper == 4
+def _held(index):
+    """Each shard's filter, by shard."""
+    return {r.shard: line_dedup.CuckooFilter(cells=bytes(r.cells)) for r in index.filters.collect()}
 
 
-def test_cuckoo_filters_never_lose_a_key():
-    keys = np.random.default_rng(1).integers(0, 2**63, 5000).astype(np.uint64)
-    held = line_dedup.CuckooFilter(keys)
-    assert held.may_hold(keys).all()
-    for k in keys[:2000]:
-        assert held.remove(int(k))
-    assert held.may_hold(keys[2000:]).all() and held.may_hold(keys[:2000]).mean() < 0.01
+def _may_hold(index, keys):
+    held = _held(index)
+    return [k.k1 % index.shards in held and bool(held[k.k1 % index.shards].may_hold(np.array([k.k2], np.int64).view(np.uint64))[0]) for k in keys]
+
+
+def test_a_deletion_undoes_an_insertion(spark):
+    docs = spark.createDataFrame([(k, f"{LINE}\n{LINE} {k % 2}\nx") for k in range(12)], "doc_id long, text string")
+    one, two = docs.where("doc_id < 7"), docs.where("doc_id >= 7")
+    before = line_dedup.build_index(one)
+    after = line_dedup.insert(line_dedup.insert(before, two), two)
+    assert sorted(after.references.collect()) == sorted(line_dedup.references(docs).distinct().collect())
+    keys = line_dedup.counts(after.references).orderBy("k1").collect()
+    assert len(keys) == 3 and {k.keeper for k in keys} == {10, 11} and all(_may_hold(after, keys))
+    back = line_dedup.delete(after, two.select("doc_id"))
+    assert sorted(back.references.collect()) == sorted(before.references.collect())
+    repeated = {(k.k1, k.k2) for k in line_dedup.counts(back.references).collect()}
+    assert len(repeated) == 1 and _may_hold(back, keys) == [(k.k1, k.k2) in repeated for k in keys] == _may_hold(before, keys)
+    kept = lambda index, rows: sorted((r.doc_id, r.kept) for r in line_dedup.dedup_lines(rows, index=index).collect())
+    assert kept(after, docs) == kept(None, docs) and kept(back, one) == kept(None, one) == kept(before, one)
+    assert line_dedup.delete(back, one.select("doc_id")).references.count() == 0
 
 
-def test_lines_without_filters_are_the_same(spark, texts, monkeypatch):
+def test_cuckoo_filters_never_lose_a_key():
+    keys = np.random.default_rng(1).integers(0, 2**63, 50_000).astype(np.uint64)
+    held = line_dedup.CuckooFilter(keys[:40_000])
+    assert held.may_hold(keys[:40_000]).all()
+    cells = held.cells.copy()
+    while held.add(keys[40_000:]):
+        assert held.may_hold(keys).all()
+    assert held.may_hold(keys[:40_000]).all() and len(held.cells) == len(cells)
+    held = line_dedup.CuckooFilter(cells=cells.tobytes())
+    held.remove(keys[:10_000])
+    assert held.may_hold(keys[10_000:40_000]).all() and held.may_hold(keys[:10_000]).mean() < 0.01
+    assert held.add(keys[:10_000]) and held.may_hold(keys[:40_000]).all()
+    same = np.full(7, 12345, np.uint64)
+    held = line_dedup.CuckooFilter(same)
+    held.remove(same[:6])
+    assert held.may_hold(same[:1]).all()
+    held.remove(same[:1])
+    assert not held.may_hold(same[:1]).any()
+
+
+def test_lines_dealt_to_the_filters_are_the_same(spark, texts, monkeypatch):
     rows = spark.createDataFrame(texts, "doc_id long, text string")
     whole = sorted((r.doc_id, r.kept) for r in line_dedup.dedup_lines(rows).collect())
     monkeypatch.setattr(line_dedup, "FILTER_BYTES", 0)
+    monkeypatch.setattr(line_dedup, "SHARD_LINES", 10)
     assert whole == sorted((r.doc_id, r.kept) for r in line_dedup.dedup_lines(rows).collect())
 
 
@@ -321,33 +381,56 @@ def test_an_item_is_found_after_its_scattered_words_and_beside_a_long_item(spark
     assert {(r.doc_id, r.item_id) for r in got} == {(1, 1)}
 
 
-def test_block_max_search_scores_as_a_scan_does():
+def test_block_max_search_gives_what_a_scan_gives():
     random.seed(4)
     vocabulary = [f"w{k}" for k in range(60)]
-    items = [" ".join(random.choices(vocabulary, k=random.randint(3, 20))) for _ in range(50)]
-    index = decontaminate.ItemIndex(list(range(50)), items, 0.5)
-    passages = [" ".join(random.choices(vocabulary, k=30)) for _ in range(60)] + items
-    hashes, first = textgrams.words(passages, separators=textgrams._NOT_WORD)
-    got = {(t, i) for t, i, *_ in index.search(hashes, first)}
+    items = [" ".join(random.choices(vocabulary, k=random.randint(3, 20))) for _ in range(200)]
+    hashes, first = textgrams.words(items, separators=textgrams._NOT_WORD)
+    terms, df = np.unique(np.concatenate([np.unique(hashes[a:b]) for a, b in zip(first, first[1:], strict=False)]), return_counts=True)
+    index = decontaminate.ItemIndex(list(range(200)), items, 0.6, 32, 200, float(np.diff(first).mean()), terms, df)
     weights = collections.defaultdict(dict)
-    for k, term in enumerate(index.terms.tolist()):
+    for k in range(len(index.terms)):
         for j in range(index.begin[k], index.begin[k + 1]):
-            weights[int(index.items[j])][term] = index.weights[j]
-    for t in range(len(passages)):
-        held = set(hashes[first[t] : first[t + 1]].tolist())
-        for i, own in weights.items():
-            if sum(w for term, w in own.items() if term in held) >= 0.5:
-                assert (t, i) in got
+            weights[int(index.items[j])][k] = index.weights[j]
+    for n in (3, 10, 30):
+        for _ in range(60):
+            held = np.unique(np.searchsorted(index.terms, textgrams.words([" ".join(random.choices(vocabulary, k=n))])[0]))
+            scores = {i: sum(w for k, w in own.items() if k in set(held.tolist())) for i, own in weights.items()}
+            got = dict(index.wand(held))
+            assert set(got) == {i for i, x in scores.items() if x >= 0.6 - 1e-9}
+            assert all(abs(got[i] - scores[i]) < 1e-9 for i in got)
+    assert index.skipped and 0 < index.scored < 0.5 * 180 * 200
+
+
+def test_rows_are_the_same_however_the_index_is_split(spark, texts):
+    random.seed(13)
+    vocabulary = [w for _, t in texts for w in (t or "").split()][:400]
+    items = [(k, " ".join(random.choices(vocabulary, k=random.choice([6, 15, 40, 90])))) for k in range(60)]
+    docs = []
+    for k in range(120):
+        own = items[k % 60][1].split()
+        cut = random.randint(0, len(own) // 3)
+        docs.append((k if k % 7 else None, " ".join(random.choices(vocabulary, k=50) + own[cut:] + random.choices(vocabulary, k=30))))
+    docs, items = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = [sorted(decontaminate.retrieve(docs, items, index_items=size).collect(), key=str) for size in (20_000, 9)]
+    assert got[0] and got[0] == got[1]
+    found = {(r.doc_id, r.row) for r in decontaminate.contaminated(docs, items).collect()}
+    left = {(r.doc_id, r.row) for r in decontaminate.decontaminated(docs, items).select("doc_id", F.xxhash64("text").alias("row")).collect()}
+    assert any(d is None for d, _ in found) and not found & left and len(left) == 120 - len(found)
 
 
 # 7
 
 
-def brute_classes(rows, least=0.8):
+def brute_classes(rows, least=0.8, weighted=True):
     sets = {}
     for d, t in rows:
         w = (t or "").lower().split()
-        sets[d] = frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
+        shingles = [tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))] if w else []
+        seen = collections.Counter()
+        for g in shingles:
+            seen[g] += 1
+        sets[d] = frozenset((g, k) for g, n in seen.items() for k in range(n if weighted else 1))
     root = {d: d for d in sets}
 
     def find(x):
@@ -368,8 +451,9 @@ def brute_classes(rows, least=0.8):
 
 
 def test_classes_are_those_of_all_pairs(spark, texts):
-    got = {r.doc_id: r.class_id for r in dart_minhash.near_duplicates(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
-    assert got == brute_classes(texts)
+    for weighted in (True, False):
+        got = {r.doc_id: r.class_id for r in dart_minhash.near_duplicates(spark.createDataFrame(texts, "doc_id long, text string"), weighted=weighted).collect()}
+        assert got == brute_classes(texts, weighted=weighted)
 
 
 def test_a_large_bucket_of_variants_is_resolved(spark):
@@ -404,7 +488,14 @@ def test_odd_documents_have_classes(spark, odd, none):
     assert dart_minhash.near_duplicates(none).count() == 0
     kept = dart_minhash.deduplicated(odd)
     assert kept.columns == odd.columns and sorted(str(r.doc_id) for r in kept.collect()) == ["1", "2", "3", "4", "5", "7", "8", "9", "None"]
-    assert dart_minhash.near_duplicates(odd, weighted=True).count() == odd.count()
+    assert dart_minhash.near_duplicates(odd, weighted=False).count() == odd.count()
+
+
+def test_rows_of_one_doc_id_are_deduplicated_by_text(spark):
+    x, y, z = (" ".join(f"{name}{k}" for k in range(50)) for name in "xyz")
+    rows = spark.createDataFrame([(3, x), (5, x), (5, y), (7, z), (7, y), (3, z)], "doc_id long, text string")
+    assert sorted((r.doc_id, r.text[0]) for r in dart_minhash.deduplicated(rows).collect()) == [(3, "x"), (3, "z"), (5, "y")]
+    assert sorted((r.doc_id, r.class_id) for r in dart_minhash.near_duplicates(rows).collect()) == [(3, 3), (3, 3), (5, 3), (5, 5), (7, 3), (7, 5)]
 
 
 def test_components(spark):
@@ -517,7 +608,7 @@ def test_sequences_are_padded_to_capacity_or_a_power_of_two(spark, texts):
 
 
 def test_ranks_are_whole_also_where_one_length_has_most_rows(spark, monkeypatch):
-    monkeypatch.setattr(packing, "RANK_GROUP", 100)
+    monkeypatch.setattr(packing, "RANK_GROUP", 5)
     rows = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit(0).cast("long").alias("start"), F.when(F.col("id") % 3 == 0, 5).otherwise(7).cast("long").alias("length"), F.lit(1).cast("long").alias("ids_crc32"))
     got = packing.ranked(rows, [(5, 1000), (7, 2000)]).collect()
     for length, n in ((5, 1000), (7, 2000)):
