@@ -85,6 +85,23 @@ def recheck_queue(targets: DataFrame, state_rows: DataFrame, n: int = BUDGET) ->
     return joined.select(F.when(urgent, 0).otherwise(1).alias("later"), text.alias("checked"), "key").orderBy("later", "checked", "key").limit(n)
 
 
+def canonical_spellings(asked: DataFrame) -> DataFrame:
+    """Of repositories (repository, commit) that differ in case alone, the least spelling: low, commit, repository."""
+    return asked.groupBy(F.lower("repository").alias("low"), "commit").agg(F.min("repository").alias("repository"))
+
+
+def recheck_sources(asked: DataFrame, state_rows: DataFrame, n: int = BUDGET) -> DataFrame:
+    """The n sources (repository, commit) to check next, as recheck_queue; ties go by lower case, spelling, commit.
+
+    state_rows: low, commit, status, checked_at.
+    """
+    joined = canonical_spellings(asked).join(state_rows, ["low", "commit"], "left")
+    urgent = F.col("status").isNull() | (F.col("status") == "unknown") | F.col("checked_at").isNull()
+    text = F.coalesce(F.date_format("checked_at", "yyyy-MM-dd'T'HH:mm:ss'Z'"), F.lit(""))
+    rows = joined.select(F.when(urgent, 0).otherwise(1).alias("later"), text.alias("checked"), "low", "repository", "commit")
+    return rows.orderBy("later", "checked", "low", "repository", "commit").limit(n).drop("low")
+
+
 def degraded(state_rows: DataFrame) -> DataFrame:
     return state_rows.where((F.col("status") == "missing") | (F.col("streak") >= 2)).select("key", "status", "streak")
 
