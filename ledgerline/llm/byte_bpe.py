@@ -2,8 +2,9 @@
 
 Byte-level BPE never merges across the pieces of its pre-tokeniser, so a
 text's ids are its pieces' ids in order. The pieces are found with array
-passes over code points; each distinct piece goes through `tokenizers` once
-for a worker, and its ids are kept for the next texts.
+passes over code points; each distinct piece is merged by the ranks of the
+file's own vocabulary once for a worker, and its ids are kept for the next
+texts. Files whose ids are not in merge order go through `tokenizers` instead.
 """
 
 from __future__ import annotations

@@ -23,9 +23,9 @@ from pyspark.sql import types as T
 from .shared import discarded, written
 
 #: A block compares about so many outsiders with so many members; small buckets share a task up to about TOGETHER rows.
-OUTSIDERS, MEMBERS, TOGETHER = 32, 256, 2_000
+OUTSIDERS, MEMBERS, TOGETHER = 32, 256, 500
 #: A key is hot with more rows than 1 / HOT of all, so fewer than HOT keys are; and with HOT_ROWS at least.
-HOT, HOT_ROWS = 2_000, 1_000
+HOT, HOT_ROWS = 2_000, 250
 
 
 def jaccard(a: Column, b: Column) -> Column:

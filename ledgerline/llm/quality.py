@@ -2,9 +2,10 @@
 
 Random indexing: every word has a fixed sparse random index vector, and a word
 vector is the sum of the index vectors of the words beside it, over the whole
-corpus. Words share a table of BUCKETS rows by hash, so that table has one
-size for any corpus and can be sent to every task. A document is the mean of
-its words' vectors with a few pooled figures of its own. The network is fitted
+corpus. A word that is at least SHARE of all words has a row of its own in the
+table, so the table grows with the corpus's vocabulary up to 1 / SHARE rows,
+which is small enough for every task; rarer words share BUCKETS rows by hash. A
+document is the mean of its words' vectors with a few pooled figures of its own. The network is fitted
 in numpy on at most `sample` labelled documents and its logits are divided by
 a temperature fitted on others.
 
@@ -26,6 +27,12 @@ from .shared import text_or_empty, written
 from .textgrams import words
 
 BUCKETS, WIDTH, NONZERO, WINDOW = 1 << 13, 32, 4, 2
+#: The part of all words from which on a word has a vector of its own; so at most 1 / SHARE words have.
+SHARE = 1e-5
+#: How often such a word must occur at least, or its vector would be that of a few places.
+LEAST = 5
+#: Distinct words that a task counts before it passes them on.
+COUNTED = 1 << 20
 #: Tasks whose tables are added together.
 FAN_IN = 256
 #: Labelled documents that the network is fitted on, at most, chosen by hash.
@@ -61,32 +68,69 @@ def _groups(texts: pd.Series, chars: int = 1 << 20) -> Iterator[tuple[int, list[
         yield first, group
 
 
-def word_vectors(docs: DataFrame) -> np.ndarray:
-    """The table of word vectors over all documents: BUCKETS rows of WIDTH, each of length 1 or 0.
+def own_words(docs: DataFrame, share: float = SHARE) -> np.ndarray:
+    """The hashes, in order, of the words that are at least `share` of all words of all documents and occur LEAST times: at most 1 / share."""
+
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, size = [], 0
+        for batch in batches:
+            for _, texts in _groups(batch["text"]):
+                word, n = np.unique(_tokens(texts)[0], return_counts=True)
+                held.append((word, n))
+                size += len(word)
+                if size >= COUNTED:
+                    yield merged(held)
+                    held, size = [], 0
+        if held:
+            yield merged(held)
+
+    def merged(held: list) -> pd.DataFrame:
+        word, place = np.unique(np.concatenate([w for w, _ in held]), return_inverse=True)
+        return pd.DataFrame({"word": word.view(np.int64), "n": np.bincount(place, np.concatenate([n for _, n in held])).astype(np.int64)})
+
+    counts = written(docs.select(text_or_empty().alias("text")).mapInPandas(counted, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    rows = counts.where(F.col("n") >= max(LEAST, total * share)).select("word").toPandas() if total else pd.DataFrame({"word": []})
+    return np.sort(rows["word"].to_numpy(np.int64).view(np.uint64))
+
+
+def row_of(hashes: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """The table's row for each word: its own, or one of the shared rows after those."""
+    shared = len(own) + (hashes & _U(BUCKETS - 1)).astype(np.int64)
+    if not len(own):
+        return shared
+    place = np.minimum(np.searchsorted(own, hashes), len(own) - 1)
+    return np.where(own[place] == hashes, place, shared)
+
+
+def word_vectors(docs: DataFrame, own: np.ndarray) -> np.ndarray:
+    """The table of word vectors over all documents: a row of WIDTH for each word of own, then BUCKETS shared ones, each of length 1 or 0.
 
     A task adds up its own documents' table; tables are added by blocks of rows,
-    so what is shuffled is a table of fixed size per task.
+    so what is shuffled is at most a table per task.
     """
-    block = 256
+    block, size = 256, len(own) + BUCKETS
+    sent = docs.sparkSession.sparkContext.broadcast(own)  # 8 / SHARE bytes at most
 
     def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        index, total = index_vectors(), np.zeros((BUCKETS, WIDTH))
+        index, total = index_vectors(), np.zeros((size, WIDTH))
         for batch in batches:
             for _, texts in _groups(batch["text"]):
                 hashes, first = _tokens(texts)
-                bucket = (hashes & _U(BUCKETS - 1)).astype(np.int64)
+                bucket, row = (hashes & _U(BUCKETS - 1)).astype(np.int64), row_of(hashes, sent.value)
                 text = np.repeat(np.arange(len(texts)), np.diff(first))
                 near = np.zeros((len(bucket), WIDTH), np.float32)
                 for step in range(1, WINDOW + 1):
                     same = (text[step:] == text[:-step])[:, None]
                     near[step:] += index[bucket[:-step]] * same
                     near[:-step] += index[bucket[step:]] * same
-                order = np.argsort(bucket, kind="stable")
-                own, start = np.unique(bucket[order], return_index=True)
-                if len(own):
-                    total[own] += np.add.reduceat(near[order], start, axis=0)
-        for k in range(0, BUCKETS, block):
-            yield pd.DataFrame({"block": [k // block], "sums": [total[k : k + block].astype(np.float64).ravel()]})
+                order = np.argsort(row, kind="stable")
+                seen, start = np.unique(row[order], return_index=True)
+                if len(seen):
+                    total[seen] += np.add.reduceat(near[order], start, axis=0)
+        for k in range(0, size, block):
+            if total[k : k + block].any():
+                yield pd.DataFrame({"block": [k // block], "sums": [total[k : k + block].ravel()]})
 
     def added(rows: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame({"block": rows["block"].iloc[:1], "sums": [np.sum(np.stack(rows["sums"].to_numpy()), axis=0)], "task": rows["task"].iloc[:1]})
@@ -96,10 +140,10 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
     for _ in range(3):
         near = parts.withColumn("task", F.floor(F.col("task") / FAN_IN).cast("int"))
         parts = near.groupBy("block", "task").applyInPandas(added, "block int, sums array<double>, task int")
-    rows = parts.collect()  # BUCKETS / block rows
-    table = np.zeros((BUCKETS, WIDTH))
+    rows = parts.collect()  # at most (1 / SHARE + BUCKETS) / block rows
+    table = np.zeros((size, WIDTH))
     for r in rows:
-        table[r["block"] * block : (r["block"] + 1) * block] = np.array(r["sums"]).reshape(block, WIDTH)
+        table[r["block"] * block : (r["block"] + 1) * block] = np.array(r["sums"]).reshape(-1, WIDTH)
     # What every word has beside it says little: the common direction goes, then rows get length 1.
     lengths = np.linalg.norm(table, axis=1, keepdims=True)
     table = np.divide(table, lengths, out=np.zeros_like(table), where=lengths > 0)
@@ -111,14 +155,14 @@ def word_vectors(docs: DataFrame) -> np.ndarray:
     return table.astype(np.float32)
 
 
-def _pool(texts: list[str], table: np.ndarray) -> np.ndarray:
+def _pool(texts: list[str], table: np.ndarray, own: np.ndarray) -> np.ndarray:
     hashes, first = _tokens(texts)
-    bucket = (hashes & _U(BUCKETS - 1)).astype(np.int64)
+    row = row_of(hashes, own)
     n = np.diff(first)
     out = np.zeros((len(texts), WIDTH + EXTRA), np.float32)
     some = np.flatnonzero(n)
     if len(some):
-        sums = np.add.reduceat(table[bucket], first[:-1][some], axis=0)
+        sums = np.add.reduceat(table[row], first[:-1][some], axis=0)
         out[some, :WIDTH] = sums / n[some, None]
     for k, text in enumerate(texts):
         out[k, WIDTH:] = _figures(text, hashes[first[k] : first[k + 1]])
@@ -152,17 +196,19 @@ for _sign in ".,;:!?'\"()-":
 _BYTE_KIND[[9, 10, 13, 32]] = 5
 
 
-def pooled(docs: DataFrame, table: np.ndarray) -> DataFrame:
-    """doc_id and features (WIDTH + EXTRA floats) of every document."""
-    sent = docs.sparkSession.sparkContext.broadcast(table)  # BUCKETS * WIDTH * 4 bytes: 1 MB at any input size
+def pooled(docs: DataFrame, table: np.ndarray, own: np.ndarray) -> DataFrame:
+    """doc_id, row (names its text) and features (WIDTH + EXTRA floats) of every row."""
+    sent = docs.sparkSession.sparkContext.broadcast((table, own))  # at most (1 / SHARE + BUCKETS) * WIDTH * 4 bytes: 14 MB
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for first, texts in _groups(batch["text"]):
-                yield pd.DataFrame({"doc_id": batch["doc_id"].iloc[first : first + len(texts)].to_numpy(), "features": list(_pool(texts, sent.value))})
+                part = batch.iloc[first : first + len(texts)]
+                yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy(), "row": part["row"].to_numpy(), "features": list(_pool(texts, *sent.value))})
 
-    rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), text_or_empty().alias("text"))
-    return rows.mapInPandas(run, "doc_id string, features array<float>").withColumn("doc_id", F.col("doc_id").cast("long"))
+    text = text_or_empty()
+    rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.xxhash64(text).alias("row"), text.alias("text"))
+    return rows.mapInPandas(run, "doc_id string, row long, features array<float>").withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 class Network:
@@ -216,13 +262,14 @@ def fold_of(doc_id: str = "doc_id"):
 
 
 def score(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE, threshold: float = 0.3) -> DataFrame:
-    """doc_id, held_out, score (0 to 1, higher: label 1 likelier), predicted of every document.
+    """doc_id, row (names its text), held_out, score (0 to 1, higher: label 1 likelier), predicted of every row.
 
     Learns word vectors from all documents, and labels from at most `sample`
     labelled documents outside fold 0. With labels of one class only, or none,
     every score is that class's share (1 where there are none).
     """
-    features = written(pooled(docs, word_vectors(docs)), "features")
+    own = own_words(docs)
+    features = written(pooled(docs, word_vectors(docs, own), own), "features")
     told = labels.where(F.col(label).isNotNull() & (fold_of() != 0)).groupBy("doc_id").agg(F.min(label).alias("y"))
     # Too many labels are thinned by a hash first, so that no task sends its own `sample` rows to the driver.
     taken_part = min(1.0, sample / max(1, told.count()))
@@ -246,5 +293,5 @@ def score(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: in
         return pd.Series(network.probability(np.stack(values.to_numpy()).astype(np.float64)))
 
     held_out = F.coalesce(fold_of() == 0, F.lit(False))
-    scored = features.select("doc_id", held_out.alias("held_out"), probability("features").alias("score"))
+    scored = features.select("doc_id", "row", held_out.alias("held_out"), probability("features").alias("score"))
     return scored.withColumn("predicted", F.when(F.col("score") >= threshold, 1).otherwise(0))

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .line_dedup import LOWER, UPPER
+from .shared import written
 
 RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block"))
 BAD = "label=bad"
@@ -51,13 +52,26 @@ def tokens(url: Column, host: Column, path: Column) -> Column:
 
 
 def mine(labelled: DataFrame, min_support: float = 0.002, min_confidence: float = 0.6, min_lift: float = 1.2, least_urls: int = 30) -> DataFrame:
-    """Rules (rule_id, tokens, n_tokens, confidence, support) from rows with tokens and bad (boolean).
+    """Rules (rule_id, tokens, n_tokens, confidence, support) from rows with labelled_id, tokens and bad (boolean).
 
     A rule's tokens and label stand together in min_support of all labelled URLs, and in least_urls of them at least.
     Pruned: a rule whose tokens contain those of another kept rule of at least its confidence goes.
+
+    Before mining, tokens go that no such rule can need: those without the
+    support of their own, and those of every URL. Of tokens that stand in just
+    the same URLs, as those of a site's template do, the least stands for all,
+    so they don't make a set of items for each combination of them.
     """
-    baskets = labelled.select(F.when(F.col("bad"), F.concat("tokens", F.array(F.lit(BAD)))).otherwise(F.col("tokens")).alias("items")).where(F.size("items") > 0)
-    support = min(1.0, max(min_support, least_urls / max(1, baskets.count())))
+    rows = labelled.where(F.size("tokens") > 0)
+    total = rows.count()
+    support = min(1.0, max(min_support, least_urls / max(1, total)))
+    of_token = rows.select(F.xxhash64("labelled_id", "tokens").cast("decimal(38,0)").alias("url"), "bad", F.explode("tokens").alias("token"))
+    of_token = of_token.groupBy("token").agg(F.count("*").alias("n"), F.count_if("bad").alias("n_bad"), F.sum("url").alias("urls"))
+    apart = of_token.where((F.col("n_bad") >= support * total) & (F.col("n") < total)).groupBy("n", "urls").agg(F.min("token").alias("token"))
+    # A token of that support stands in so many URLs that there are at most (tokens of a URL) / support of them.
+    used = F.array(*[F.lit(r["token"]) for r in apart.select("token").collect()]).cast("array<string>")
+    tokens = F.array_intersect("tokens", used)
+    baskets = rows.select(F.when(F.col("bad"), F.concat(tokens, F.array(F.lit(BAD)))).otherwise(tokens).alias("items"))
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence).fit(baskets)
     rules = model.associationRules.where((F.size("consequent") == 1) & (F.col("consequent")[0] == BAD) & (F.col("lift") >= min_lift))
     rules = rules.select(F.array_sort("antecedent").alias("tokens"), "confidence", "support").withColumn("n_tokens", F.size("tokens")).withColumn("rule_id", F.xxhash64("tokens"))
@@ -98,7 +112,7 @@ def judge(pages: DataFrame, bad_ids: DataFrame, rules: tuple = RULES, **mining:
     host, path = host_and_path(F.col("url"))
     urls = pages.select("page_id", "url", host.alias("host"), path.alias("path"))
     urls = urls.withColumn("tokens", tokens(F.col("url"), F.col("host"), F.col("path")))
-    labelled = urls.join(bad_ids.select(F.col("page_id").alias("labelled_id"), "bad"), F.col("page_id") == F.col("labelled_id")).select("tokens", "bad")
-    judged = matched(urls, mine(labelled, **mining))
+    labelled = urls.join(bad_ids.select(F.col("page_id").alias("labelled_id"), "bad"), F.col("page_id") == F.col("labelled_id")).select("labelled_id", "tokens", "bad")
+    judged = matched(urls, written(mine(written(labelled, "labelled-urls"), **mining), "url-rules"))
     name, verdict = written_rule(F.col("host"), F.col("path"), rules)
     return judged.select("page_id", "host", "path", name.alias("rule"), F.coalesce(verdict, F.when(F.col("mined"), "block").otherwise("allow")).alias("verdict"), "mined")

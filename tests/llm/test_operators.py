@@ -518,6 +518,32 @@ def test_held_out_documents_are_told_apart(spark, sf):
     assert (held["predicted"] == held["quality"]).mean() >= 0.9
 
 
+def test_vectors_and_pooling_are_those_of_loops(spark, texts):
+    rows = [(d, t) for d, t in texts if t][:60] + [(10**6, None), (10**6 + 1, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    told = [[int(h) for h in quality._tokens([t or ""])[0]] for _, t in rows]
+    counts = collections.Counter(w for own in told for w in own)
+    least = max(quality.LEAST, sum(counts.values()) * 0.002)
+    own = quality.own_words(docs, 0.002)
+    assert own.tolist() == sorted(w for w, n in counts.items() if n >= least) and 5 < len(own) <= 500
+    row = {w: own.tolist().index(w) if w in set(own.tolist()) else len(own) + w % quality.BUCKETS for w in counts}
+    index, sums = quality.index_vectors(), np.zeros((len(own) + quality.BUCKETS, quality.WIDTH))
+    for words in told:
+        for k, w in enumerate(words):
+            for j in range(max(0, k - quality.WINDOW), min(len(words), k + quality.WINDOW + 1)):
+                sums[row[w]] += index[words[j] % quality.BUCKETS] if j != k else 0
+    unit = lambda m: np.divide(m, np.linalg.norm(m, axis=1, keepdims=True), out=np.zeros_like(m), where=np.linalg.norm(m, axis=1, keepdims=True) > 0)
+    seen = np.linalg.norm(sums, axis=1) > 0
+    want = unit(sums)
+    want[seen] -= want[seen].mean(0)
+    want = unit(want)
+    table = quality.word_vectors(docs, own)
+    assert np.abs(table - want).max() < 1e-4
+    got = {r.doc_id: r.features[: quality.WIDTH] for r in quality.pooled(docs, table, own).collect()}
+    for (d, _), words in zip(rows, told, strict=True):
+        assert np.abs(np.array(got[d]) - (np.mean([want[row[w]] for w in words], axis=0) if words else 0)).max() < 1e-4
+
+
 def test_odd_documents_get_scores(spark, odd, none, sf):
     labels = spark.createDataFrame([(2, 0, 0), (3, 1, 0), (5, 1, None), (6, None, 1), (5, 0, 0), (None, 1, 1), (4, 0, 0), (8, 1, 0)], "doc_id long, quality int, toxic int")
     for told in (labels, labels.limit(0), labels.where("quality = 1")):
@@ -548,7 +574,7 @@ def test_mined_rules_are_those_of_counting_and_match_either_way(spark):
     for k in range(300):
         own = random.sample("abcdef", 3)
         rows.append((k, sorted(f"host={x}" for x in own), ("a" in own and "b" in own) or random.random() < 0.1))
-    table = spark.createDataFrame(rows, "page_id long, tokens array<string>, bad boolean")
+    table = spark.createDataFrame(rows, "page_id long, tokens array<string>, bad boolean").withColumn("labelled_id", F.col("page_id"))
     mined = url_filter.mine(table, 0.02, 0.6, 1.2, 1)
     share = sum(b for _, _, b in rows) / len(rows)
     want = set()
@@ -565,6 +591,13 @@ def test_mined_rules_are_those_of_counting_and_match_either_way(spark):
     assert by[0] == by[1] == [any(set(g) <= set(t) for g in got) for _, t, _ in rows]
 
 
+def test_tokens_of_one_template_are_mined_as_one(spark):
+    template = [f"path=t{k:02d}" for k in range(40)]
+    rows = [(k, sorted(["host=all", *(template if k % 3 == 0 else ["host=x"])]), k % 3 == 0) for k in range(300)]
+    mined = url_filter.mine(spark.createDataFrame(rows, "labelled_id long, tokens array<string>, bad boolean"), 0.02, 0.6, 1.2, 1).collect()
+    assert [(r.tokens, r.confidence) for r in mined] == [(["path=t00"], 1.0)]
+
+
 # 10
 
 
@@ -646,6 +679,18 @@ def test_pipeline_keeps_what_each_stage_should(spark, sf):
     assert corpus_pipeline.ORACLE_SQL is None
 
 
+def test_pipeline_stages_take_odd_rows(spark, odd, none, sf):
+    import corpus_pipeline
+
+    for rows in (odd, none):
+        docs = rows
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            docs = stage(spark, docs, sf)
+            assert docs.columns == list(corpus_pipeline.COLUMNS)
+            docs = spark.createDataFrame(docs.collect(), docs.schema)
+        assert corpus_pipeline.STAGES[-1][1](spark, docs, sf).select("doc_id").distinct().count() == docs.select("doc_id").distinct().count()
+
+
 def test_hashes_are_lower_case_hex(spark, sf):
     r = queries.op1_chat_format(spark, sf).where("conv_id = -7").first()
     text = "</s>[INST] ok [/INST]"
