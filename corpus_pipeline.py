@@ -12,16 +12,16 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm import dart_minhash, decontaminate, line_dedup, packing, quality
 from ledgerline.llm.queries import TOKENIZER
-from ledgerline.llm.shared import table, written
+from ledgerline.llm.shared import table, text_or_empty, written
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier does not reject; a document without a doc_id is judged by none and stays."""
-    scored = quality.score(docs, table(spark, sf_dir, "labels"))
-    rejected = scored.groupBy("doc_id").agg(F.min("predicted").alias("predicted")).where("predicted = 0")
-    return docs.join(rejected.hint("merge"), "doc_id", "left_anti").select(*COLUMNS)
+    """Rows that the classifier does not reject; rows of one doc_id are judged each by its own text, as are those without."""
+    rejected = quality.score(docs, table(spark, sf_dir, "labels")).where("predicted = 0").select(F.col("doc_id").alias("_doc"), F.col("row").alias("_row")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.xxhash64(text_or_empty()) == F.col("_row"))
+    return docs.join(rejected.hint("merge"), same, "left_anti").select(*COLUMNS)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import mimetypes
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -72,8 +74,12 @@ def safe_relative_path(path: Column, allow_dot: bool = False) -> Column:
     return F.coalesce(~bad & (~dot | ((path == ".") if allow_dot else F.lit(False))), F.lit(False))
 
 
+#: How files of a licence are called.
+LICENSE_NAME = r"(?i)^(?:licen[cs]e|copying|unlicense|ofl)(?:\.(?:md|markdown|txt))?$"
+
+
 def license_filename(name: Column) -> Column:
-    return name.rlike(r"(?i)^(?:licen[cs]e|copying|unlicense|ofl)(?:\.(?:md|markdown|txt))?$")
+    return name.rlike(LICENSE_NAME)
 
 
 #: How public paths are classed.
@@ -101,24 +107,32 @@ def frozen_path(path: Column, prefixes: tuple[str, ...] = FROZEN_PREFIXES) -> Co
     return _starts(path, prefixes)
 
 
+#: Media types that systems add to the standard table.
+MORE_TYPES = {".ts": "video/mp2t", ".woff": "font/woff", ".woff2": "font/woff2"}
+
+
 def content_type(path: Column) -> Column:
-    """The media type by a path's ending."""
-    ends = lambda *xs: F.lower(path).rlike("(?:" + "|".join(x.replace(".", r"\.") for x in xs) + ")$")
+    """The media type by a path's ending: three forms of its own, else what the standard table of endings says, with a charset for text."""
+    known = mimetypes.MimeTypes()
+    packed, types = known.encodings_map, {**known.types_map[True], **MORE_TYPES}
+    ending = F.lower(F.regexp_extract(path, r"[^/.][^/]*?(\.[^./]*)$", 1))
+    inner = F.lower(F.regexp_extract(path, r"[^/.][^/]*?(\.[^./]*)\.[^./]*$", 1))
+    own = F.when(ending.isin(*map(str.lower, packed)), inner).otherwise(ending)
+    guessed = F.element_at(F.create_map(*[F.lit(x) for pair in sorted(types.items()) for x in pair]), own)
+    text = guessed.startswith("text/") | (guessed == "application/javascript")
     return (
         F.when(path.endswith(".json"), "application/json; charset=utf-8")
         .when(path.endswith(".xml"), "application/rss+xml; charset=utf-8")
         .when((path == "LICENSE") | path.endswith(".md") | path.endswith(".txt"), "text/plain; charset=utf-8")
-        .when(ends(".html", ".htm"), "text/html; charset=utf-8")
-        .when(ends(".css"), "text/css; charset=utf-8")
-        .when(ends(".js"), "text/javascript; charset=utf-8")
-        .when(ends(".png"), "image/png")
-        .otherwise("application/octet-stream")
+        .when(guessed.isNull(), "application/octet-stream")
+        .otherwise(F.when(text, F.concat(guessed, F.lit("; charset=utf-8"))).otherwise(guessed))
     )
 
 
 def path_kind(path: Column, prefix: str) -> Column:
     """Which canonical document a path names; null for none."""
     id_ = identifier(prefix)
+    # The forms of canonical paths.
     kinds = {
         "entry": rf"entries/{id_}-v[1-9][0-9]*\.json",
         "score": rf"scores/{id_}-v[1-9][0-9]*\.json",
@@ -140,6 +154,7 @@ def served_path(path: Column, prefix: str) -> Column:
     """Whether a path has the form of a derived document that is served."""
     id_, code = identifier(prefix), r"[a-z]+/[A-Za-z0-9.-]+"
     pages = r"(?:[0-9]{4}\.json|[0-9]{4}-[0-9]{2}-[0-9]{2}/[1-9][0-9]*\.json)"
+    # The forms of served paths.
     forms = (
         r"feed\.xml", r"recent\.json", rf"versions/{id_}\.json", r"registration-identities/[0-9a-f]{64}\.json",
         r"repositories/[a-z0-9_.-]+/[a-z0-9_.-]+\.json", rf"browse/(?:index\.json|{pages})", rf"feeds/{code}\.xml",

@@ -61,6 +61,26 @@ def tree_hashes(files: DataFrame, bundle: str) -> DataFrame:
     return files.groupBy(bundle).agg(F.count("*").alias("files"), F.sum("bytes").alias("total_bytes"), F.max("bytes").alias("largest"), F.sha2(canonical_rows(files), 256).alias("tree_sha256"))
 
 
+def listing_width(n: int, rows: int = 4096) -> int:
+    """Hex digits by which n rows are dealt to groups of about `rows`, at least one."""
+    width = 1
+    while rows * 16**width < n:
+        width += 1
+    return width
+
+
+def listing_digest(rows: DataFrame, key: Column, item: Column, width: int) -> DataFrame:
+    """digest and n of all rows at any size: the digest of the digests of groups, each of its items in the order of their keys.
+
+    Rows are dealt to groups by the first hex digits of their key's digest, so a
+    group is bounded by the width, and what is listed last is one digest a group.
+    """
+    dealt = rows.select(F.substring(F.sha2(key, 256), 1, width).alias("group"), F.struct(key.alias("key"), item.alias("item")).alias("x"))
+    groups = dealt.groupBy("group").agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["item"]), ","), 256).alias("digest"), F.count("*").alias("n"))
+    listed = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("group", "digest"))), lambda x: x["digest"]), "")
+    return groups.agg(F.sha2(listed, 256).alias("digest"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+
+
 def sectioned(inventory: DataFrame, excluded: tuple[str, ...] = ("index.json", "release-delta.json")) -> DataFrame:
     """Inventory rows with the section of a release that they belong to."""
     from ledgerline.functions.keys import object_class

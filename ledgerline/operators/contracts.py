@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions import keys
 from ledgerline.operators.attest import canonical_rows
-from ledgerline.operators.rules import Rule, pattern, required, validate
+from ledgerline.operators.rules import Rule, closed_shape, pattern, required, strict_json, validate
 
 #: Bounds of lists and bundles.
 RECENT_ROWS, POSTING_PAGE, POSTING_PAGES, REPOSITORY_ROWS = 200, 128, 2_048, 500
@@ -385,6 +385,42 @@ def rebuild_inputs(changes: DataFrame, projections: Sequence[str], ignored: Sequ
     return changes.where((F.col("status") != "A") & ~under(projections) & ~under(ignored)).select("path", "status")
 
 
+def date_contract(records: DataFrame, entity: Column) -> DataFrame:
+    """Records (id, version, registered_at as text, first_registered_on): all versions of an id name one first day, none is before it, and the first version is of it."""
+    first = records.where("version = 1").select("id", F.substring("registered_at", 1, 10).alias("_day"))
+    joined = records.join(first, "id", "left")
+    day = F.substring("registered_at", 1, 10)
+    return validate(joined, entity, [
+        Rule("first version", "id", F.col("_day").isNull()), Rule("first day", "first_registered_on", F.coalesce(F.col("first_registered_on") != F.col("_day"), F.lit(False))),
+        Rule("before first", "registered_at", day < F.col("first_registered_on")), Rule("instant", "registered_at", ~keys.strict_instant(F.col("registered_at"))),
+    ])
+
+
+def authority_shapes(documents: DataFrame, kind: str, allowed: Sequence[str]) -> DataFrame:
+    """Documents (entity, body) of one kind with keys that are missing or too many, or that are no strict JSON."""
+    extra, missing = closed_shape(F.col("body"), allowed, allowed)
+    told = documents.withColumns({"_extra": extra, "_missing": missing})
+    return validate(told, F.col("entity"), [Rule("json", kind, ~strict_json(F.col("body"))), Rule("extra", kind, F.col("_extra") != ""), Rule("missing", kind, F.col("_missing") != "")])
+
+
+def served_rows(served: DataFrame, authority: DataFrame, by: Sequence[str], fields: Sequence[str], entity: Column) -> DataFrame:
+    """Served rows that are not what the authority says: unknown ones, absent ones, and a violation for each field that differs."""
+    own = authority.select(*by, F.struct(*fields).alias("_own"))
+    joined = served.select(*by, F.struct(*fields).alias("_shown")).join(own, list(by), "full_outer")
+    both = F.col("_own").isNotNull() & F.col("_shown").isNotNull()
+    return validate(joined, entity, [Rule("unknown", "row", F.col("_own").isNull()), Rule("absent", "row", F.col("_shown").isNull()), *[Rule("differs", f, both & ~F.col(f"_shown.{f}").eqNullSafe(F.col(f"_own.{f}"))) for f in fields]])
+
+
+def touched_rows(before: DataFrame, after: DataFrame, touched: DataFrame, by: Sequence[str], entity: Column) -> DataFrame:
+    """Rows that an append may not change: those not touched by it that came, went or differ, and touched ones that went."""
+    columns = [c for c in before.columns if c not in by]
+    one = before.select(*by, F.struct(*columns).alias("_before"))
+    two = after.select(*by, F.struct(*columns).alias("_after"))
+    joined = one.join(two, list(by), "full_outer").join(touched.select(*by, F.lit(True).alias("_touched")).distinct(), list(by), "left")
+    own = F.coalesce(F.col("_touched"), F.lit(False))
+    return validate(joined, entity, [Rule("removed", "row", F.col("_after").isNull()), Rule("untouched", "row", ~own & F.col("_after").isNotNull() & ~F.col("_before").eqNullSafe(F.col("_after")))])
+
+
 def audit(claimed_root: Column, recomputed: DataFrame, inventory: DataFrame, allowed: Column) -> DataFrame:
     """One row: whether the root is the claimed one, how many paths nothing allows, how many rows have no digest."""
     rest = inventory.agg(F.count_if(~F.coalesce(allowed, F.lit(False))).alias("unexpected"), F.count_if(F.col("sha256").isNull()).alias("undigested"))

@@ -2,24 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.keys import dependency_rank, frozen_path
+from ledgerline.operators.ordering import numbered
 
 REGULAR = "100644"
 
 
-def inventory_diff(base: DataFrame, head: DataFrame) -> DataFrame:
-    """path, status (A, D, M; T where only the mode differs) and both digests; equal rows are left out. A rename is D and A."""
+def inventory_diff(base: DataFrame, head: DataFrame, by: tuple[str, ...] = ("path",)) -> DataFrame:
+    """path, status (A, D, M; T where only the mode differs) and both digests; equal rows are left out. A rename is D and A. by names what tells rows apart."""
     modes = "mode" in base.columns and "mode" in head.columns
-    old = base.select("path", F.col("sha256").alias("old_sha256"), F.col("bytes").alias("old_bytes"), (F.col("mode") if modes else F.lit(REGULAR)).alias("old_mode"))
-    new = head.select("path", F.col("sha256").alias("new_sha256"), F.col("bytes").alias("new_bytes"), (F.col("mode") if modes else F.lit(REGULAR)).alias("new_mode"))
+    old = base.select(*by, F.col("sha256").alias("old_sha256"), F.col("bytes").alias("old_bytes"), (F.col("mode") if modes else F.lit(REGULAR)).alias("old_mode"))
+    new = head.select(*by, F.col("sha256").alias("new_sha256"), F.col("bytes").alias("new_bytes"), (F.col("mode") if modes else F.lit(REGULAR)).alias("new_mode"))
     status = (
         F.when(F.col("old_sha256").isNull(), "A").when(F.col("new_sha256").isNull(), "D")
         .when(F.col("old_mode") != F.col("new_mode"), "T").when(F.col("old_sha256") != F.col("new_sha256"), "M")
     )
-    return old.join(new, "path", "full_outer").withColumn("status", status).where("status is not null")
+    return old.join(new, list(by), "full_outer").withColumn("status", status).where("status is not null")
 
 
 def mode_label(mode: Column) -> Column:
@@ -27,14 +28,14 @@ def mode_label(mode: Column) -> Column:
     return F.when(mode == "120000", "a symbolic link").when(mode == "160000", "a submodule").when(mode == "100755", "an executable file").otherwise(F.concat(F.lit("mode "), mode))
 
 
-def append_only(changes: DataFrame, prefixes: tuple[str, ...], armed: bool = True, allowed: DataFrame | None = None, schema_path: str | None = None) -> DataFrame:
+def append_only(changes: DataFrame, prefixes: tuple[str, ...], armed: bool = True, allowed: DataFrame | None = None, schema_path: str | None = None, by: tuple[str, ...] = ("path",)) -> DataFrame:
     """Violations (path, rule, detail) of frozen paths: nothing is deleted or changed, additions are ordinary files.
 
     allowed (path, old_sha256, new_sha256) lists changes that a manifest
     permits once. Where the base is not armed nothing is checked.
     """
     if not armed:
-        return changes.where("false").select("path", F.lit("").alias("rule"), F.lit("").alias("detail"))
+        return changes.where("false").select(*by, F.lit("").alias("rule"), F.lit("").alias("detail"))
     ordinary = F.col("new_mode") == REGULAR
     rule = (
         F.when(F.col("status").isin("A", "T") & ~ordinary, "not ordinary")
@@ -47,7 +48,7 @@ def append_only(changes: DataFrame, prefixes: tuple[str, ...], armed: bool = Tru
     if allowed is not None:
         found = found.join(allowed, ["path", "old_sha256", "new_sha256"], "left_anti")
     detail = F.when(F.col("rule") == "not ordinary", mode_label(F.col("new_mode"))).otherwise(F.col("status"))
-    return found.select("path", "rule", detail.alias("detail"))
+    return found.select(*by, "rule", detail.alias("detail"))
 
 
 def reconcile(expected: DataFrame, served: DataFrame) -> DataFrame:
@@ -69,22 +70,17 @@ def unexplained_removals(existing: DataFrame, staged: DataFrame, tombstones: Dat
 def publish_order(paths: DataFrame, deleting: bool = False) -> DataFrame:
     """path, rank and place: leaves before what names them; the other way round when deleting."""
     ranked = paths.withColumn("rank", dependency_rank(F.col("path")))
-    sizes = ranked.groupBy("rank").agg(F.count("*").alias("n"))
-    order = Window.orderBy(F.desc("rank") if deleting else F.col("rank"))
-    # Three ranks at most: the window over them is tiny; places inside a rank are counted per rank and first folder.
-    before = sizes.withColumn("before", F.sum("n").over(order) - F.col("n")).drop("n")
-    place = F.row_number().over(Window.partitionBy("rank").orderBy("path"))
-    return ranked.withColumn("place", place).join(before, "rank").select("path", "rank", (F.col("before") + F.col("place")).cast("long").alias("place"))
+    first = F.lit(2) - F.col("rank") if deleting else F.col("rank")  # one digit
+    return numbered(ranked, F.concat(first.cast("string"), F.col("path"))).select("path", "rank", "place")
 
 
 def history_violations(states: DataFrame, prefixes: tuple[str, ...]) -> DataFrame:
-    """Violations in each step of a history of inventories (seq, path, sha256, bytes)."""
-    after = states.select((F.col("seq") - 1).alias("seq"), "path", F.col("sha256").alias("new_sha256"))
-    last = states.agg(F.max("seq").alias("last"))
-    steps = states.select("seq", "path", F.col("sha256").alias("old_sha256")).join(F.broadcast(last), F.col("seq") < F.col("last"))
-    both = steps.join(after, ["seq", "path"], "left")
-    rule = F.when(F.col("new_sha256").isNull(), "deleted").when(F.col("new_sha256") != F.col("old_sha256"), "content")
-    return both.where(frozen_path(F.col("path"), prefixes)).select((F.col("seq") + 1).alias("seq"), "path", rule.alias("rule")).where("rule is not null")
+    """Violations (seq, path, rule) in each step of a history of inventories (seq, path, sha256, bytes, and mode where there is one): those of append_only between a state and the next."""
+    ends = F.broadcast(states.agg(F.min("seq").alias("_first"), F.max("seq").alias("_last")))
+    of = states.join(ends)
+    base = of.where(F.col("seq") < F.col("_last")).withColumn("seq", F.col("seq") + 1)
+    changes = inventory_diff(base, of.where(F.col("seq") > F.col("_first")), ("seq", "path"))
+    return append_only(changes, prefixes, by=("seq", "path")).select("seq", "path", "rule")
 
 
 def component_prefixes(path: Column) -> Column:

@@ -11,8 +11,11 @@ from ledgerline.functions.keys import _starts
 from ledgerline.operators import pages, select
 
 #: What forces a full run, and what never touches what is published.
-FULL_INPUTS = ("LICENSE", "requirements-tools.txt", "schema-v3.json", "scores-v1.json", "takedowns.json")
-FULL_PREFIXES = ("tools/", ".github/workflows/publish")
+FULL_INPUTS = ("LICENSE", "requirements-tools.txt", "schema-v3.json", "scores-v1.json", "takedowns.json", ".github/workflows/publish.yml")
+FULL_PREFIXES = ("tools/",)
+#: What changes the meaning of records that were accepted before.
+POLICY_INPUTS = ("schema-v3.json", "scores-v1.json", "takedowns.json")
+POLICY_PREFIXES = ("tools/",)
 IGNORED = (".gitattributes", ".gitignore", "README.md", "requirements-tools.in", "requirements-test.in", "requirements-test.txt")
 IGNORED_PREFIXES = (".github/", "docs/", "tests/", "worker/")
 APPEND_PREFIXES = ("entries/", "renders/", "evidence/", "scores/", "registrations/")
@@ -63,12 +66,20 @@ def refill_groups(before: DataFrame, after: DataFrame, keys: Sequence[str], cap:
     return b.join(a, list(keys), "left").where((F.col("was") >= cap) & (F.coalesce("now", F.lit(0)) < F.col("was"))).select(*keys)
 
 
-def scope_decision(changes: DataFrame) -> DataFrame:
-    """full or incremental, with the first reason, from changed paths (path, status)."""
+def global_policy_path(path: Column, inputs: Sequence[str] = POLICY_INPUTS, prefixes: Sequence[str] = POLICY_PREFIXES) -> Column:
+    """Whether a change of path changes what was concluded before, so that a scoped validation tells nothing."""
+    return path.isin(*inputs) | _starts(path, tuple(prefixes))
+
+
+def scope_decision(changes: DataFrame, validation: bool = False) -> DataFrame:
+    """full or incremental, with the first reason, from changed paths (path, status); for a validation what changes the meaning of old records comes first."""
+    policy = F.lit(validation)
     path, added = F.col("path"), F.col("status") == "A"
-    ignored = path.isin(*IGNORED) | _starts(path, IGNORED_PREFIXES) & ~_starts(path, FULL_PREFIXES)
+    full = path.isin(*FULL_INPUTS) | _starts(path, FULL_PREFIXES)
+    ignored = (path.isin(*IGNORED) | _starts(path, IGNORED_PREFIXES)) & ~full
     append = added & _starts(path, APPEND_PREFIXES)
-    reason = F.when(path.isin(*FULL_INPUTS) | _starts(path, FULL_PREFIXES), F.struct(F.lit(0).alias("p"), F.concat(F.lit("input: "), path).alias("reason"))).when(~ignored & ~append, F.struct(F.lit(1).alias("p"), F.concat(F.lit("not an append: "), path).alias("reason")))
+    why = lambda p, name: F.struct(F.lit(p).alias("p"), F.concat(F.lit(f"{name}: "), path).alias("reason"))
+    reason = F.when(policy & global_policy_path(path), why(0, "policy")).when(full, why(1, "input")).when(~ignored & ~append, why(2, "not an append"))
     worst = changes.agg(F.min(reason).alias("w"))
     return worst.select(F.when(F.col("w").isNull(), "incremental").otherwise("full").alias("scope"), F.col("w.reason").alias("reason"))
 

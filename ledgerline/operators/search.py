@@ -13,9 +13,9 @@ PAGE_SIZE, MAX_TERMS, MAX_PAGES = 128, 4_000, 2_048
 def terms(docs: DataFrame, name: str, body: str) -> DataFrame:
     """name and term of every document, each term once; rows with unusual characters are folded in Python, the rest by expressions."""
     rows = docs.select(name, F.coalesce(F.col(body), F.lit("")).alias("_body"))
-    wide = text.needs_wide_fold(F.col("_body"))
-    plain = rows.where(~wide).select(name, text.fold(F.col("_body")).alias("f"))
-    folded = plain.unionByName(rows.where(wide).select(name, text.wide_fold(F.col("_body")).alias("f")))
+    # One scan: Python gets a null for every text that expressions can fold.
+    rows = rows.withColumn("_wide", F.when(text.needs_wide_fold(F.col("_body")), F.col("_body")))
+    folded = rows.withColumn("f", F.coalesce(text.wide_fold(F.col("_wide")), text.fold(F.col("_body"))))
     return folded.select(name, F.explode(text.words(F.col("f"))).alias("term"))
 
 

@@ -237,3 +237,27 @@ def preservation_rules(archive: str, ref: str) -> list[Rule]:
         Rule("ref", "preservation.repositories.ref", _some(mapped, lambda m: _differs(m["ref"], expected(m)))),
         Rule("owner", "preservation.repositories.fork_repository", _some(mapped, lambda m: ~m["fork_repository"].startswith(f"{archive}/"))),
     ]
+
+
+def key_rules(prefix: str) -> list[Rule]:
+    """A record's file is named by its key, and its identifier's day is that of the first registration."""
+    day = F.regexp_extract("id", rf"^{prefix}-([0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}})-[0-9]{{6}}$", 1)
+    return [
+        Rule("file name", "file", _differs(F.col("file"), F.concat("id", F.lit("-v"), F.col("version").cast("string"), F.lit(".json")))),
+        Rule("first day", "id", day != F.col("first_registered_on")),
+    ]
+
+
+def score_shape(prefix: str) -> list[Field]:
+    """The declared fields of a record's score."""
+    marks = ("statement_alignment", "definition_fidelity", "notability", "literature", "clarity")
+    return [Field("schema_version", values=(1,)), Field("id", pattern=identifier(prefix)), Field("version", least=1), Field("reviewed_at", instant=True), Field("policy_commit", pattern=COMMIT), *[Field(f"scores.{m}", least=0) for m in marks]]
+
+
+#: The keys of the registry's own documents.
+AUTHORITY_KEYS = {
+    "result": ("schema_version", "id", "first_registered_on", "identity", "versions"),
+    "submission": ("schema_version", "submission_id", "id", "version", "entry_path"),
+    "day": ("schema_version", "date", "last_serial"),
+    "identity": ("schema_version", "identity", "registration_id"),
+}

@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions import keys
-from ledgerline.operators import migrate, rules
+from ledgerline.operators import attest, contracts, migrate, rules
+from ledgerline.operators.ordering import numbered
 from ledgerline.plans.base import INVENTORIES, RECORDS, query
+from ledgerline.plans.inventories import listing_sql
 from ledgerline.sources.views import PREFIX, instant, inventory, records, reviews, table, takedowns
 
 ENTITY = "id || '-v' || version"
@@ -158,9 +160,9 @@ ALLOWED_EXTENSIONS = (".css", ".gif", ".html", ".ico", ".jpeg", ".jpg", ".js", "
 @query(RECORDS + f", s as (select *, case when size % 10 = 0 then title || '!' else title end as served_title from a) select {ENTITY} as entity from s where served_title <> title")
 def version_binding(spark: SparkSession, d: str) -> DataFrame:
     """Served rows that are not what the registry says."""
-    r = records(spark, d).where("not withdrawn")
-    served = r.select("id", "version", F.struct(F.when(F.col("size") % 10 == 0, F.concat("title", F.lit("!"))).otherwise(F.col("title")).alias("title"), F.col("brand")).alias("served"))
-    return r.join(served, ["id", "version"]).where(~F.struct("title", "brand").eqNullSafe(F.col("served"))).select(_entity().alias("entity"))
+    r = records(spark, d).where("not withdrawn").select("id", "version", "title", "brand", "size")
+    served = r.withColumn("title", F.when(F.col("size") % 10 == 0, F.concat("title", F.lit("!"))).otherwise(F.col("title")))
+    return contracts.served_rows(served, r, ["id", "version"], ["title", "brand"], _entity()).select("entity")
 
 
 @query(RECORDS + f"select {ENTITY} as entity, 'commit' as field, upper(commit_sha) as actual, commit_sha as expected from r where size % 6 = 0 union all select {ENTITY}, 'project', null, project_path from r where project_path is not null and size % 8 = 0")
@@ -180,11 +182,15 @@ def evidence_match(spark: SparkSession, d: str) -> DataFrame:
     return marked.where("a is null or b is null").select("path", F.col("a").isNull().alias("extra"), F.col("b").isNull().alias("missing"))
 
 
-@query(RECORDS + ", tg as (select distinct repository, commit_sha, owner from a where serial = 1) select sha256('[' || string_agg('{\"source_repository\":\"' || repository || '\",\"commit\":\"' || commit_sha || '\",\"fork\":\"' || owner || '\"}', ',' order by repository, commit_sha, owner) || ']') as digest, count(*) as n from tg")
+TARGET = """'{"source_repository":"' || repository || '","commit":"' || commit_sha || '","fork":"' || owner || '"}'"""
+
+
+@query(RECORDS + ", tg as (select distinct repository, commit_sha, owner from a) " + listing_sql("tg", "(repository || ' ' || commit_sha || ' ' || owner)", TARGET))
 def target_digest(spark: SparkSession, d: str) -> DataFrame:
-    """The digest of the canonical list of targets (first results of each day)."""
-    t = records(spark, d).where("not withdrawn and serial = 1").select(F.col("repository").alias("source_repository"), F.col("commit_sha").alias("commit"), F.col("owner").alias("fork")).distinct()
-    return t.agg(F.sha2(F.to_json(F.array_sort(F.collect_list(F.struct("source_repository", "commit", "fork")))), 256).alias("digest"), F.count("*").alias("n"))
+    """The digest of the list of all targets."""
+    t = records(spark, d).where("not withdrawn").select(F.col("repository").alias("source_repository"), F.col("commit_sha").alias("commit"), F.col("owner").alias("fork")).distinct()
+    key = F.concat_ws(" ", "source_repository", "commit", "fork")
+    return attest.listing_digest(t, key, F.to_json(F.struct("source_repository", "commit", "fork")), attest.listing_width(t.count()))
 
 
 @query(RECORDS + f", p as (select 'entries/' || {ENTITY} || '.json' as path from r where version % 2 = 1 union all select 'renders/' || {ENTITY} || '/x/a.html' from r where version % 2 = 0) select regexp_extract(path, '^(?:entries|renders)/(.*)-v([0-9]+)', 1) as id, regexp_extract(path, '-v([0-9]+)', 1)::bigint as version, starts_with(path, 'entries/') as is_entry from p")
@@ -199,9 +205,9 @@ def release_versions(spark: SparkSession, d: str) -> DataFrame:
 @query(INVENTORIES + ", o as (select path, lag(path) over (order by doc_id) as before, doc_id from inv) select path, 'order' as rule from o where before is not null and not before < path")
 def release_rules(spark: SparkSession, d: str) -> DataFrame:
     """Paths in document order that don't ascend, and unsafe ones; one release's section is one sorted list."""
-    rows = inventory(spark, d).withColumns({"doc_id": F.substring_index("path", "/", -1).cast("long"), "section": F.lit("additions")})
+    rows = numbered(inventory(spark, d), F.lpad(F.substring_index("path", "/", -1), 20, "0"))
     unsafe = rows.where(~keys.safe_relative_path(F.col("path"))).select("path", F.lit("unsafe").alias("rule"))
-    return rules.ascending(rows, ["section"], F.col("doc_id"), F.col("path")).select("path", F.lit("order").alias("rule")).unionByName(unsafe)
+    return contracts.out_of_order(rows, "path", [], "place", F.col("path")).select(F.col("entity").alias("path"), "rule").unionByName(unsafe)
 
 
 WORDS = (("the", "one"), ("one of", "some of"), ("and", "or"))

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import mimetypes
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions import keys
-from ledgerline.operators import attest, diff
+from ledgerline.operators import attest, contracts, diff
 from ledgerline.plans.base import INVENTORIES, RECORDS, query
 from ledgerline.sources.views import PREFIX, inventory, records, table
 
@@ -100,7 +102,7 @@ def release_arithmetic(spark: SparkSession, d: str) -> DataFrame:
 LISTING = """'[' || string_agg('{"bytes":' || bytes || ',"path":"' || path || '","sha256":"' || sha256 || '"}', ',' order by path) || ']'"""
 
 
-@query(f"""with h as (select page_id % 50 as bundle, 'page-' || page_id || '.html' as path, strlen(coalesce(html, ''))::bigint as bytes, sha256(coalesce(html, '')) as sha256 from pages)
+@query(f"""with h as (select page_id // 50 as bundle, 'page-' || page_id || '.html' as path, strlen(coalesce(html, ''))::bigint as bytes, sha256(coalesce(html, '')) as sha256 from pages)
 select bundle, count(*) as files, sum(bytes)::bigint as total_bytes, max(bytes) as largest, sha256({LISTING}) as tree_sha256 from h group by bundle""")
 def bundle_tree_hash(spark: SparkSession, d: str) -> DataFrame:
     return attest.tree_hashes(_bundles(spark, d), "bundle")
@@ -108,14 +110,25 @@ def bundle_tree_hash(spark: SparkSession, d: str) -> DataFrame:
 
 def _bundles(spark: SparkSession, d: str) -> DataFrame:
     html = F.coalesce("html", F.lit(""))
-    return table(spark, d, "pages").select((F.col("page_id") % 50).alias("bundle"), F.concat(F.lit("page-"), "page_id", F.lit(".html")).alias("path"), F.octet_length(html).cast("long").alias("bytes"), F.sha2(html, 256).alias("sha256"))
+    return table(spark, d, "pages").select(F.floor(F.col("page_id") / 50).alias("bundle"), F.concat(F.lit("page-"), "page_id", F.lit(".html")).alias("path"), F.octet_length(html).cast("long").alias("bytes"), F.sha2(html, 256).alias("sha256"))
+
+
+def listing_sql(source: str, key: str, item: str) -> str:
+    """SQL for attest.listing_digest with the width that listing_width gives."""
+    width = f"(select greatest(1, ceil(ln(greatest(count(*), 1) / 4096.0) / ln(16)))::int from {source})"
+    groups = f"select substr(sha256({key}), 1, {width}) as g, sha256(string_agg({item}, ',' order by {key})) as dg, count(*) as n from {source} group by 1"
+    return f"select sha256(string_agg(dg, '' order by g)) as digest, sum(n)::bigint as n from ({groups})"
+
 
+ITEM = """'{"bytes":' || bytes || ',"path":"' || path || '","sha256":"' || sha256 || '"}'"""
 
-@query(INVENTORIES + f"select sha256({LISTING}) as release_id, count(*) as n from (select * from inv1 where path like 'documents/1%')")
+
+@query(INVENTORIES + f"select digest as release_id, n from ({listing_sql('inv1', 'path', ITEM)})")
 def release_id(spark: SparkSession, d: str) -> DataFrame:
-    """The digest of a release's canonical listing; a release's own rows are few."""
-    rows = inventory(spark, d, 1).where(F.col("path").startswith("documents/1"))
-    return rows.agg(F.sha2(attest.canonical_rows(rows), 256).alias("release_id"), F.count("*").alias("n"))
+    """The digest of a release's listing, over all its rows."""
+    rows = inventory(spark, d, 1)
+    item = F.concat(F.lit('{"bytes":'), F.col("bytes").cast("string"), F.lit(',"path":"'), "path", F.lit('","sha256":"'), "sha256", F.lit('"}'))
+    return attest.listing_digest(rows, F.col("path"), item, attest.listing_width(rows.count())).withColumnRenamed("digest", "release_id")
 
 
 @query("with c as (select conv_id, turn, role, text from conversations) select conv_id, turn, '{\"role\":' || to_json(role) || ',\"turn\":' || turn || '}' as canonical from c")
@@ -167,6 +180,14 @@ def audit(spark: SparkSession, d: str) -> DataFrame:
     return attest.multiset_root(inventory(spark, d, 1)).withColumn("one", F.lit(1)).join(reasons, "one").drop("one")
 
 
+@query(INVENTORIES + f""", r as ({root_sql('inv1')}), i as (select path, case when bytes % 6 = 0 then null else sha256 end as sha256 from inv1) select record_count, record_root, false as root_holds, (select count_if(not regexp_matches(path, '^documents/[0-9]*[0-8]$'))::bigint from i) as unexpected, (select count_if(sha256 is null)::bigint from i) as undigested from r""")
+def audit_claims(spark: SparkSession, d: str) -> DataFrame:
+    """The later state against a claimed root, what paths may be there, and rows whose digest is unknown."""
+    later = inventory(spark, d, 1)
+    known = later.withColumn("sha256", F.when(F.col("bytes") % 6 != 0, F.col("sha256")))
+    return contracts.audit(F.lit("0" * 64), attest.multiset_root(later), known, F.col("path").rlike("^documents/[0-9]*[0-8]$"))
+
+
 URLS = """with u as (select distinct case when url like '%://%' then regexp_extract(url, '://([^?#]*)', 1) else '' end as path from pages)
 """
 
@@ -225,11 +246,32 @@ def object_class(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(NAMES + """select doc_id, path, case when path like '%.json' then 'application/json; charset=utf-8' when path like '%.xml' then 'application/rss+xml; charset=utf-8' when path = 'LICENSE' or path like '%.md' or path like '%.txt' then 'text/plain; charset=utf-8'
- when path like '%.html' then 'text/html; charset=utf-8' else 'application/octet-stream' end as type from p""")
+ when path like '%.html' then 'text/html; charset=utf-8' when path ilike '%.md' then 'text/markdown; charset=utf-8' else 'application/octet-stream' end as type from p""")
 def content_types(spark: SparkSession, d: str) -> DataFrame:
     return _names(spark, d).withColumn("type", keys.content_type(F.col("path")))
 
 
+ENDINGS = (".css", ".gif", ".GIF", ".html", ".ico", ".jpeg", ".jpg", ".js", ".json", ".md", ".png", ".svg", ".tar.gz", ".ts", ".txt", ".webp", ".woff", ".woff2", ".xml", ".unheard-of", "", ".d/x", "/.gif")
+
+
+def _media_sql() -> str:
+    def told(ending: str) -> str:
+        guessed = keys.MORE_TYPES.get(ending) or mimetypes.MimeTypes().guess_type("a" + ending)[0] or "application/octet-stream"
+        return guessed + "; charset=utf-8" if guessed.startswith("text/") else guessed
+
+    rows = ", ".join(f"({k}, '{e}', '{told(e)}')" for k, e in enumerate(ENDINGS))
+    return f"""with e as (select * from (values {rows}) as t(k, ending, guessed)) select doc_id, 'a' || doc_id || ending as path,
+ case when ending = '.json' then 'application/json; charset=utf-8' when ending = '.xml' then 'application/rss+xml; charset=utf-8' when ending in ('.md', '.txt') then 'text/plain; charset=utf-8' else guessed end as type from documents join e on doc_id % {len(ENDINGS)} = k"""
+
+
+@query(_media_sql())
+def media_types(spark: SparkSession, d: str) -> DataFrame:
+    """Media types of many endings, against a guess by the standard library."""
+    n = F.col("doc_id")
+    path = F.concat(F.lit("a"), n.cast("string"), F.element_at(F.array(*map(F.lit, ENDINGS)), (n % len(ENDINGS) + 1).cast("int")))
+    return table(spark, d, "documents").select("doc_id", path.alias("path")).withColumn("type", keys.content_type(F.col("path")))
+
+
 @query(NAMES + "select doc_id, path, doc_id % 13 in (2, 7, 12) as license from p")
 def license_names(spark: SparkSession, d: str) -> DataFrame:
     return _names(spark, d).withColumn("license", keys.license_filename(F.col("path")))

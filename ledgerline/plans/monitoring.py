@@ -122,11 +122,11 @@ def suppressed_paths(spark: SparkSession, d: str) -> DataFrame:
     return _path(takedowns(spark, d))
 
 
-@query(RECORDS + f"select {PATH} as path, false as missing from a where serial = 1 union all select distinct 'entries/' || id || '-v99.json', true from r where serial = 1")
+@query(RECORDS + f"select {PATH} as path, false as missing from a union all select distinct 'entries/' || id || '-v99.json', true from r")
 def named_paths(spark: SparkSession, d: str) -> DataFrame:
-    """The paths of listed versions (all of each day's first result, and a 99th) but for withdrawn ones; what doesn't exist is marked."""
+    """The paths of listed versions (all there are, and a 99th of each id) but for withdrawn ones; what doesn't exist is marked."""
     r = records(spark, d)
-    listed = r.where("serial = 1").select("id", "version").unionByName(r.where("serial = 1").select("id").distinct().withColumn("version", F.lit(99).cast("long")))
+    listed = r.select("id", "version").unionByName(r.select("id").distinct().withColumn("version", F.lit(99).cast("long")))
     there = listed.join(r.select("id", "version", F.lit(False).alias("there")), ["id", "version"], "left").join(takedowns(spark, d).select("id", "version"), ["id", "version"], "left_anti")
     return there.select(F.concat(F.lit("entries/"), "id", F.lit("-v"), "version", F.lit(".json")).alias("path"), F.col("there").isNull().alias("missing"))
 

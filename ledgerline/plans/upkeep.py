@@ -9,7 +9,7 @@ from ledgerline.functions import keys
 from ledgerline.operators import cards, incremental, pages, rules, select
 from ledgerline.plans.base import INVENTORIES, RECORDS, query
 from ledgerline.plans.collections import CODES_SQL, PAGE, PAGES_SQL, active, current
-from ledgerline.sources.views import PREFIX, inventory, records, table, takedowns
+from ledgerline.sources.views import PREFIX, inventory, records
 
 #: The batch: every fifth result of a day.
 BATCH = "serial % 5 = 0"
@@ -18,7 +18,7 @@ BATCH = "serial % 5 = 0"
 def _before(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """Records before the batch: ever and active."""
     ever = records(spark, d).where(f"not ({BATCH})")
-    return ever, select.active(ever, takedowns(spark, d))
+    return ever, ever.where("not withdrawn")
 
 
 @query(PAGES_SQL + "select * from pg")

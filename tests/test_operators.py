@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.functions import keys, text
-from ledgerline.operators import attest, availability, diff, incremental, lookups, migrate, pages, rules, search, select
+from ledgerline.operators import attest, availability, contracts, diff, incremental, lookups, migrate, ordering, pages, rules, search, select, shapes
 from ledgerline.sources import readers
 from ledgerline.streaming import observe
 
@@ -192,6 +192,132 @@ def test_ingested_batches_are_written_once(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == 2
 
 
+def test_a_key_of_a_later_batch_is_not_ingested_again(spark, tmp_path):
+    for rows in ([("a", 1), ("b", 1)], [("a", 1), ("c", 1)], [("c", 1)]):
+        spark.createDataFrame(rows, "id string, version long").write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema("id string, version long").parquet(str(tmp_path / "in"))
+        observe.ingest(stream, str(tmp_path / "out"), str(tmp_path / "ck"), ["id", "version"])
+    assert sorted((r.id, r.batch) for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [("a", 0), ("b", 0), ("c", 1)]
+
+
+def test_a_release_catches_up_from_the_served_one(spark, tmp_path):
+    path, rows = str(tmp_path), lambda *ids: spark.createDataFrame([(i,) for i in ids], "id string")
+    assert observe.release(spark, rows("a"), path, ["id"]) == 1
+    # A release that broke off after its rows, and a batch that was never released.
+    rows("a", "x").withColumn("release", F.lit(2)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("release").parquet(f"{path}/rows")
+    assert [r.id for r in observe.served(spark, path).collect()] == ["a"]
+    assert observe.release(spark, rows("a", "b", "c"), path, ["id"]) == 2
+    assert sorted((r.id, r.release) for r in observe.served(spark, path).collect()) == [("a", 1), ("b", 2), ("c", 2)]
+
+
+def test_a_timer_makes_old_states_unknown(spark, tmp_path):
+    schema, late = "key long, at timestamp, seq long, outcome string", 3 * 86_400
+    seen = []
+    for rows in ([(1, at(0), 1, "available")], [(2, at(late), 2, "missing")], [(2, at(late + 900), 3, "missing")]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+        observe.observe(stream).writeStream.outputMode("update").foreachBatch(lambda b, _: seen.extend((r.key, r.status, r.last_error) for r in b.collect())).option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start().awaitTermination()
+    assert (1, "unknown", availability.STALE) in seen and seen[0] == (1, "available", None) and (2, "missing", None) in seen
+
+
+def test_media_types_are_those_of_the_standard_table(spark):
+    names = ["a.json", "x/a.xml", "LICENSE", "b.md", "c.gif", "c.svg", "c.jpeg", "c.webp", "c.woff2", "c.js", "c.PNG", "c.tar.gz", "c", ".gif", "a.b/c", "c.unheard"]
+    want = ["application/json; charset=utf-8", "application/rss+xml; charset=utf-8", "text/plain; charset=utf-8", "text/plain; charset=utf-8", "image/gif", "image/svg+xml", "image/jpeg", "image/webp", "font/woff2", "text/javascript; charset=utf-8", "image/png", "application/x-tar", *["application/octet-stream"] * 4]
+    assert col(spark, names, keys.content_type) == want
+
+
+def test_places_in_one_order(spark):
+    rows = spark.range(500).select(F.sha2(F.col("id").cast("string"), 256).alias("k"))
+    got = ordering.numbered(rows, F.col("k"), ranges=7)
+    assert [r.k for r in got.orderBy("place").collect()] == sorted(r.k for r in rows.collect()) and {r.place for r in got.collect()} == set(range(1, 501))
+    assert ordering.numbered(rows.limit(0), F.col("k")).count() == 0
+
+
+def found(rows):
+    return {(r.entity, r.rule, r.field) for r in rows.collect()}
+
+
+def test_targets_and_withdrawals_must_be_sorted(spark):
+    rows = spark.createDataFrame([(0, "B/x", "1" * 40, "f"), (1, "a/x", "1" * 40, "f"), (2, "A/X", "1" * 40, "F"), (3, "c/x", "short", "f")], "position long, source_repository string, commit string, fork_repository string")
+    assert found(contracts.target_contract(rows)) == {("a/x", "order", "position"), ("A/X", "order", "position"), ("c/x", "pattern", "commit")}
+    rows = spark.createDataFrame([(0, "a", 2, 5), (1, "a", 1, 6), (2, "b", 1, 5)], "position long, id string, version long, issue long")
+    assert found(contracts.takedown_order(rows)) == {("a-v1", "order", "position"), ("5", "unique", "issue")}
+
+
+def test_lookups_rows_and_node_caps(spark):
+    one = "REC-2026-01-02-00000"
+    rows = spark.createDataFrame([("good", 2, False, [f"{one}2", f"{one}1"]), ("cut", 9, True, [f"{one}3", f"{one}2", f"{one}1"]), ("short", 9, True, [f"{one}1"]), ("silent", 9, False, [f"{one}1"]), ("turned", 2, False, [f"{one}1", f"{one}2"])], "repository string, total long, truncated boolean, ids array<string>")
+    assert found(contracts.lookup_contract(rows, "REC", 3)) == {("short", "truncated", "truncated"), ("silent", "truncated", "truncated"), ("turned", "order", "ids")}
+    placed = spark.createDataFrame([("2026-01-02", 1, f"{one}1", 1, "t", "s", f"entries/{one}1-v1.json"), ("2026-01-02", 2, f"{one}2", 1, "t", "s", "entries/x")], "day string, page long, id string, version long, title string, status string, path string")
+    assert found(contracts.page_contract(placed, "REC", 200)) == {(f"{one}2", "path", "path"), (f"{one}2", "place", "page")}
+    assert contracts.node_cap(spark.range(9), spark.range(2), 4).count() == 1 and contracts.node_cap(spark.range(8), spark.range(2), 4).count() == 0
+
+
+def test_both_lists_or_neither(spark, tmp_path):
+    lists = spark.createDataFrame([("a",)], "id string")
+    bad = spark.createDataFrame([("a", "order", "position")], "entity string, rule string, field string")
+    with pytest.raises(ValueError, match="a: order position"):
+        contracts.write_recent(lists, lists, bad.limit(0), bad, str(tmp_path / "out"))
+    assert not (tmp_path / "out").exists()
+    contracts.write_recent(lists, lists, bad.limit(0), bad.limit(0), str(tmp_path / "out"))
+    assert spark.read.parquet(str(tmp_path / "out" / "recent-renders")).count() == 1
+
+
+def test_scripts_of_a_bundle_and_an_empty_one(spark):
+    files = spark.createDataFrame([(1, "a.js", 1, "11"), (1, "x.js", 1, "22"), (1, "artifact-manifest.json", 1, "33")], "bundle long, path string, bytes long, sha256 string")
+    tree = attest.tree_hashes(files.where("path like '%.js'"), "bundle").select("bundle", "tree_sha256")
+    empty = spark.createDataFrame([(2, hashlib.sha256(b"[]").hexdigest())], "bundle long, tree_sha256 string")
+    got = found(contracts.bundle_contract(tree.unionByName(empty), files, files.where("path like '%.js'"), (".js",), trusted={"a.js": ["11"], "b.js": ["44"]}))
+    assert got == {("1/x.js", "script", "path"), ("1/b.js", "missing", "script"), ("2/a.js", "missing", "script"), ("2/b.js", "missing", "script")}
+
+
+def test_dates_keys_and_served_rows(spark):
+    one, two = "REC-2026-01-02-000001", "REC-2026-01-03-000001"
+    schema = "id string, version long, registered_at string, first_registered_on string, file string"
+    rows = [(one, 1, "2026-01-02T10:00:00Z", "2026-01-02", f"{one}-v1.json"), (one, 2, "2026-01-01T10:00:00Z", "2026-01-02", f"{one}-v3.json"), (two, 2, "2026-01-03", "2026-01-04", f"{two}-v2.json")]
+    frame = spark.createDataFrame(rows, schema)
+    entity = F.concat_ws("-v", "id", F.col("version").cast("string"))
+    assert found(contracts.date_contract(frame, entity)) == {(f"{one}-v2", "before first", "registered_at"), (f"{two}-v2", "first version", "id"), (f"{two}-v2", "before first", "registered_at"), (f"{two}-v2", "instant", "registered_at")}
+    assert found(rules.validate(frame, entity, shapes.key_rules("REC"))) == {(f"{one}-v2", "file name", "file"), (f"{two}-v2", "first day", "id")}
+    side = lambda **x: spark.createDataFrame([(k, v, "same") for k, v in x.items()], "k string, v string, w string")
+    assert found(contracts.served_rows(side(a="1", b="2", c="3"), side(a="1", b="x", d="4"), ["k"], ["v", "w"], F.col("k"))) == {("b", "differs", "v"), ("c", "unknown", "row"), ("d", "absent", "row")}
+    assert found(contracts.touched_rows(side(a="1", b="2", c="3"), side(a="x", b="y", d="4"), side(a="", d="").select("k"), ["k"], F.col("k"))) == {("b", "untouched", "row"), ("c", "removed", "row")}
+
+
+def test_shapes_of_authority_documents_and_scores(spark):
+    docs = spark.createDataFrame([("good", '{"schema_version":1,"date":"d","last_serial":2}'), ("extra", '{"schema_version":1,"date":"d","last_serial":2,"x":1}'), ("short", '{"schema_version":1,"date":"d"}'), ("twice", '{"schema_version":1,"date":"d","last_serial":2,"date":"e"}')], "entity string, body string")
+    got = {(r.entity, r.rule) for r in contracts.authority_shapes(docs, "day", shapes.AUTHORITY_KEYS["day"]).collect()}
+    assert {("extra", "extra"), ("short", "missing"), ("twice", "json")} <= got and not any(e == "good" for e, _ in got)
+    marks = "scores struct<statement_alignment:int,definition_fidelity:int,notability:int,literature:int,clarity:int>"
+    rows = spark.createDataFrame([(1, "REC-2026-01-02-000001", 1, "2026-01-02T10:00:00Z", "1" * 40, (1, 2, 3, 4, 5)), (1, "x", 1, "2026-01-02T10:00:00Z", "1" * 40, (1, None, 3, 4, -5))], f"schema_version int, id string, version long, reviewed_at string, policy_commit string, {marks}")
+    assert found(rules.validate(rows, F.col("id"), shapes.rules_of(shapes.score_shape("REC")))) == {("x", "pattern", "id"), ("x", "required", "scores.definition_fidelity"), ("x", "minimum", "scores.clarity")}
+
+
+def test_history_of_modes(spark):
+    rows = [(0, "entries/a", "1", 1, "100644"), (1, "entries/a", "1", 1, "100755"), (1, "entries/b", "2", 1, "120000"), (2, "entries/b", "3", 1, "120000")]
+    states = spark.createDataFrame(rows, "seq int, path string, sha256 string, bytes long, mode string")
+    assert {tuple(r) for r in diff.history_violations(states, ("entries/",)).collect()} == {(1, "entries/a", "not ordinary"), (1, "entries/b", "not ordinary"), (2, "entries/a", "deleted"), (2, "entries/b", "content")}
+
+
+def test_dependencies_and_preservation_of_a_record(spark):
+    dep = "array<struct<name:string,repository:string,revision:string,path:string>>"
+    schema = f"id string, version long, source struct<repository:string,commit:string>, provenance struct<substantive_formalization:struct<repository:string,commit:string>>, formalization struct<project_dependencies:{dep}>, trust struct<level:string,challenge_dependencies:array<struct<repository:string,provenance:string>>>, preservation struct<repositories:array<struct<source_repository:string,commit:string,fork_repository:string,ref:string>>>"
+    kept = lambda *pairs: ([(r, c, "keep/x", f"refs/{i}-v1/{c}") for i, r, c in pairs],)
+
+    def record(i, deps=(("d", "Dep/A", "2", None),), asked=(("new/a", "allowlisted"),), level="qualified", mapped=None):
+        mapped = mapped or kept((i, "Dep/A", "2"), (i, "own/r", "1"))
+        return i, 1, ("own/r", "1"), (None,), (list(deps),), (level, list(asked)), mapped
+
+    rows = [
+        record("good"), record("twice", deps=[("d", "Dep/A", "2", None), ("d", None, None, "."), ("e", None, None, ".")]), record("unknown", asked=[("other/b", "allowlisted")]), record("high", level="high"),
+        record("retired", asked=[("dep/a", "indexed")]), record("short", mapped=kept(("short", "own/r", "1"))), record("turned", mapped=kept(("turned", "own/r", "1"), ("turned", "Dep/A", "2"))), record("ref", mapped=kept(("x", "Dep/A", "2"), ("x", "own/r", "1"))),
+    ]
+    own = [*shapes.dependency_rules(("safe/s",), {"new/a": "dep/a"}), *shapes.preservation_rules("keep", "refs/")]
+    got = found(rules.validate(spark.createDataFrame(rows, schema), F.col("id"), own))
+    d, p = "formalization.project_dependencies", "preservation.repositories"
+    assert got == {("twice", "unique", f"{d}.name"), ("twice", "unique", f"{d}.path"), ("unknown", "known", "trust.challenge_dependencies.repository"), ("high", "trust", "trust.level"), ("retired", "retired", "trust.challenge_dependencies.provenance"), ("short", "cover", p), ("turned", "cover", p), ("ref", "ref", f"{p}.ref")}
+
+
 def test_cost_of_one_append_does_not_grow_with_the_table(spark):
     def touched(n):
         ever = spark.range(1, n + 1).select(F.format_string("REC-2026-01-02-%06d", "id").alias("id"), F.lit(1).cast("long").alias("version"))
@@ -246,6 +372,9 @@ def test_scope(spark):
     assert decide(("entries/x", "A"), ("README.md", "M"), ("docs/x", "D")) == ("incremental", None)
     assert decide(("entries/x", "A"), ("tools/x.py", "M"))[1] == "input: tools/x.py"
     assert decide(("entries/x", "M")) == ("full", "not an append: entries/x")
+    assert decide((".github/workflows/publish.yml", "M"))[0] == "full" and decide((".github/workflows/publish-other.yml", "M")) == ("incremental", None)
+    changed = spark.createDataFrame([("LICENSE", "M"), ("takedowns.json", "M")], "path string, status string")
+    assert incremental.scope_decision(changed, validation=True).first().reason == "policy: takedowns.json"
 
 
 def test_records_are_read_with_their_file_and_what_is_wrong(spark, tmp_path):
