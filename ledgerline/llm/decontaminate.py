@@ -13,7 +13,7 @@ skipped whose maxima don't, exact scores for the rest. All items at or above
 the threshold are returned. Each is verified on its word runs, for its question
 and its answer, in stretches of the passage that go by the item's own length.
 
-Passages are overlapping windows that go by the power of two that an item's
+Passages are overlapping windows that go by the power of four that an item's
 words fit in: twice that long, stepped by half, so every occurrence lies inside
 one.
 
@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from .shared import text_or_empty, written
 from .textgrams import _NOT_WORD, mix, words
 
-K1, B, BLOCK = 1.2, 0.75, 16
+K1, B, BLOCK = 1.2, 0.75, 2
 #: Items and words in one index, at most (but for a single longer item), and indexes in one pass over the documents.
 INDEX_ITEMS, INDEX_WORDS, INDEXES = 20_000, 4_000_000, 16
 RUN = 3
@@ -85,6 +85,15 @@ class ItemIndex:
         self.blocks = -(-self.n // BLOCK)
         self.block_keys, starts = np.unique(by_term * self.blocks + self.items // BLOCK, return_index=True)
         self.block_max = np.maximum.reduceat(self.weights, starts) if len(starts) else np.zeros(0)
+        # Block maxima of the terms in many blocks as a matrix, of the others as lists.
+        self.block_begin = np.searchsorted(self.block_keys, np.arange(len(self.terms) + 1) * self.blocks)
+        held = np.diff(self.block_begin)
+        wide = np.flatnonzero(held >= max(2, self.blocks // 8))
+        self.column = np.full(len(self.terms), -1)
+        self.column[wide] = np.arange(len(wide))
+        self.matrix = np.zeros((len(wide), max(1, self.blocks)), np.float32)
+        rows = np.flatnonzero(self.column[self.block_keys // max(1, self.blocks)] >= 0)
+        self.matrix[self.column[self.block_keys[rows] // max(1, self.blocks)], self.block_keys[rows] % max(1, self.blocks)] = self.block_max[rows]
         # Of each item, its lightest words that together stay below the threshold aren't enough: a passage needs one of the others.
         light = np.lexsort((weight, item))
         sums = np.cumsum(weight[light])
@@ -119,12 +128,16 @@ class ItemIndex:
         known = self.terms[place] == hashes if len(self.terms) else np.zeros(len(hashes), bool)
         seen = np.concatenate(([0], np.cumsum(known & self.needed[place])))
         counts = np.diff(first)
-        windows = np.maximum(1, -(-(counts - step) // step))
+        # A passage is two steps of its text, the last one where there are fewer.
+        steps = np.maximum(1, -(-counts // step))
+        windows = np.maximum(1, steps - 1)
         text = np.repeat(np.arange(len(counts)), windows)
-        begin = first[:-1][text] + (np.arange(len(text)) - np.repeat(np.cumsum(windows) - windows, windows)) * step
+        nth = np.arange(len(text)) - np.repeat(np.cumsum(windows) - windows, windows)
+        begin = first[:-1][text] + nth * step
         end = np.minimum(begin + 2 * step, first[1:][text])
         best: dict[tuple[int, int], tuple] = {}
-        for k in np.flatnonzero(seen[end] > seen[begin]).tolist():
+        asked = (seen[end] > seen[begin]) & self._open(place, known, first, steps, (np.cumsum(steps) - steps)[text] + nth, nth + 1 < steps[text])
+        for k in np.flatnonzero(asked).tolist():
             terms = place[begin[k] : end[k]]
             terms = np.unique(terms[known[begin[k] : end[k]]])
             hits = self.wand(terms)
@@ -139,6 +152,27 @@ class ItemIndex:
                     best[t, item] = (t, item, int(begin[k] - first[t]) + at, score, question, answer)
         return list(best.values())
 
+    def _open(self, place: np.ndarray, known: np.ndarray, first: np.ndarray, steps: np.ndarray, own: np.ndarray, more: np.ndarray) -> np.ndarray:
+        """Which passages some block's maxima let reach the threshold, for all passages at once: of step own, and of the next where more.
+
+        Words of both steps count twice here; WAND looks at what is left.
+        """
+        text = np.repeat(np.arange(len(steps)), np.diff(first))
+        at = (np.cumsum(steps) - steps)[text] + (np.arange(len(place)) - first[:-1][text]) // self.step
+        pairs = np.sort(at[known] * max(1, len(self.terms)) + place[known])
+        pairs = pairs[np.concatenate(([True], pairs[1:] != pairs[:-1]))] if len(pairs) else pairs
+        at, term = np.divmod(pairs, max(1, len(self.terms)))
+        wide = self.column[term] >= 0
+        held = np.zeros((int(steps.sum()), len(self.matrix)), np.float32)
+        held[at[wide], self.column[term[wide]]] = 1
+        at, term = at[~wide], term[~wide]
+        each = (self.block_begin[1:] - self.block_begin[:-1])[term]
+        rows = np.arange(each.sum()) + np.repeat(self.block_begin[term] - (np.cumsum(each) - each), each)
+        keys = np.repeat(at, each) * self.blocks + self.block_keys[rows] % max(1, self.blocks)
+        sums = np.bincount(keys, self.block_max[rows], minlength=len(held) * max(1, self.blocks)).reshape(-1, max(1, self.blocks)) + held @ self.matrix
+        following = np.where(more[:, None], sums[np.minimum(own + 1, len(sums) - 1)], 0.0)
+        return (sums[own] + following).max(1) >= self.threshold - 1e-4  # the matrix is of single precision
+
     def wand(self, terms: np.ndarray) -> list[tuple[int, float]]:
         """Every item whose score for the terms reaches the threshold, with the score."""
         limit = self.threshold - 1e-9
@@ -205,9 +239,9 @@ def item_indexes(items: DataFrame, threshold: float, index_items: int = INDEX_IT
     made = written(rows.mapInPandas(told, "item_id long, text string, size long, terms array<long>"), "items")
     df = written(made.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("df")), "item-terms")
     about = made.agg(F.count("*").alias("n"), F.avg("size").alias("mean")).first()
-    # Items that fit in the same power of two of words are asked by the same passages.
-    made = made.where("size > 0").withColumn("step", F.greatest(F.lit(8), F.pow(F.lit(2), F.ceil(F.log2("size")))).cast("int"))
-    for c in made.groupBy("step").agg(F.count("*").alias("n"), F.sum("size").alias("words")).orderBy("step").collect():  # a row for each power of two
+    # Items that fit in the same power of four of words are asked by the same passages.
+    made = made.where("size > 0").withColumn("step", F.greatest(F.lit(16), F.pow(F.lit(4), F.ceil(F.log2("size") / 2))).cast("int"))
+    for c in made.groupBy("step").agg(F.count("*").alias("n"), F.sum("size").alias("words")).orderBy("step").collect():  # a row for each power of four
         parts = max(-(-c["n"] // index_items), -(-c["words"] // INDEX_WORDS))
         for part in range(parts):
             own = made.where((F.col("step") == c["step"]) & (F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part))
