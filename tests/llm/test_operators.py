@@ -320,6 +320,20 @@ def test_passages_side_by_side_each_keep_one_copy(spark):
     assert all(count[w] == 1 for d in range(1, 5) for w in _own_words(f"a{d}x", 30) + _own_words(f"b{d}x", 30))
 
 
+def test_no_passage_loses_its_last_copy(spark):
+    random.seed(21)
+    parts = [_own_words(f"s{k}x", 40) for k in range(9)]
+    held = [(1, [0, 1]), (2, [0, 1, 2]), (3, [1, 2])] + [(d, random.sample(range(3, 9), random.randint(2, 5))) for d in range(4, 24)]
+    held += [(24, [3]), (24, [8]), (25, [8, 4])]  # two rows of one doc_id
+    rows = spark.createDataFrame([(d, " ".join(w for k in own for w in parts[k])) for d, own in held], "doc_id long, text string")
+    left = [r.text.split() for r in substring_dedup.without_repeats(rows).collect()]
+    count = collections.Counter(w for own in left for w in own)
+    windows = {tuple(own[i : i + 20]) for own in left for i in range(len(own) - 19)}
+    for own in parts:
+        assert all(tuple(own[i : i + 20]) in windows for i in range(21)) and all(count[w] <= 2 for w in own)
+    assert sum(count.values()) < 1.3 * sum(map(len, parts))
+
+
 def test_short_stretches_of_different_documents_are_no_passage(spark):
     parts = [_own_words(f"s{k}x", 18) for k in range(3)]
     rows = [(1, sum(parts, []))] + [(k + 2, _own_words(f"c{k}x", 40) + own + _own_words(f"d{k}x", 40)) for k, own in enumerate(parts)]
