@@ -121,7 +121,7 @@ def takedown_rules(takedowns: DataFrame, records: DataFrame, authorities: DataFr
 
 
 def ascending(rows: DataFrame, group: Sequence[str], order: Column, key: Column) -> DataFrame:
-    """Rows whose key is not above the one before, in the given order."""
+    """Rows whose key is not above the one before, in the given order. A group has to fit a task; contracts.out_of_order is for lists of any length."""
     before = F.lag(key).over(Window.partitionBy(*group).orderBy(order))
     return rows.withColumn("_before", before).where(F.col("_before").isNotNull() & ~(F.col("_before") < key)).drop("_before")
 
