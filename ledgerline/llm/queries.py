@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from . import chat_format, dart_minhash, decontaminate, exact_topk, line_dedup, packing, pii, quality, substring_dedup, url_filter
+from . import chat_format, dart_minhash, decontaminate, exact_topk, line_dedup, packing, periodic_runs, pii, prefix_trie, quality, substring_dedup, url_filter, word_bpe
 from .shared import table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,6 +71,43 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations that begin as the one at the head of their five does, for as many turns as their number's hash says."""
+    own = prefix_trie.turns(table(spark, sf_dir, "conversations"))
+    base, h = F.col("conv_id") - F.col("conv_id") % 5, (F.crc32(F.col("conv_id").cast("string")) % 9).cast("int")
+    five = Window.partitionBy("base")
+    own = own.select("conv_id", "turns", base.alias("base"), h.alias("h"))
+    head = F.max(F.when(F.col("conv_id") == F.col("base"), F.slice("turns", 1, 8))).over(five)
+    none = F.slice("turns", 1, 0)
+    rebuilt = F.concat(F.slice(F.coalesce("head", none), F.lit(1), F.col("h")), F.slice("turns", F.col("h") + 1, F.size("turns")))
+    return prefix_trie.trie(own.withColumn("head", head).select("conv_id", rebuilt.alias("turns")))
+
+
+def op12_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = word_bpe.encode(table(spark, sf_dir, "documents"), WORD_TOKENIZER)
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return word_bpe.decode(encoded, WORD_TOKENIZER).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    h = F.crc32(F.col("doc_id").cast("string"))
+    # Every tenth document repeats its end.
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    n, g = F.size("w"), F.floor(F.col("h") / 10)
+    a = (F.col("g") % F.col("n")).cast("int")
+    p = (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int")
+    again = F.transform(F.sequence(F.col("a"), F.col("n") - 1), lambda i: F.get("w", (F.col("a") + (i - F.col("a")) % F.col("p")).cast("int")))
+    whole = F.when(F.col("n") > 0, F.array_join(F.concat(F.slice("w", 1, F.col("a")), again), " ")).otherwise(F.col("text"))
+    rows = docs.withColumn("h", h).withColumn("w", F.when(F.col("h") % 10 == 0, words)).withColumn("n", F.coalesce(n, F.lit(0))).withColumn("g", g)
+    rows = rows.withColumn("a", F.when(F.col("n") > 0, a)).withColumn("p", p).select("doc_id", whole.alias("text"))
+    done = periodic_runs.collapse(rows).withColumn("best", periodic_runs.strongest(F.col("runs")))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", *(r[c].cast("string") for c in ("start", "length", "period")))), "\n")
+    listed = F.when(F.size("runs") > 0, F.concat(listed, F.lit("\n"))).otherwise("")
+    exponent = F.expr("best.length * 1000 div best.period").alias("exponent_milli")
+    return done.select("doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period", exponent, F.sha2(listed, 256).alias("runs_sha256"), F.sha2("text", 256).alias("collapsed_sha256"))
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_exact_topk": op2_exact_topk,
@@ -81,8 +119,17 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_url_filter": op9_url_filter,
     "op10_packing": op10_packing,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_word_bpe": op12_word_bpe,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
+def _crc32_sql(number: str) -> str:
+    """The unsigned CRC-32 of a number's decimal digits, bit by bit."""
+    bits = "list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, (x & 1) * 3988292384))"
+    return f"xor(list_reduce(list_prepend(4294967295::bigint, list_transform(string_split({number}::varchar, ''), lambda s: ascii(s)::bigint)), lambda c, b: {bits}), 4294967295)"
+
+
 def _pii_sql() -> str:
     """The base patterns as they are given, without the anchors that spare the operator a second look; the added kind as the operator has it."""
     digits = "regexp_replace(m, '[^0-9]', '', 'g')"
@@ -113,6 +160,62 @@ from documents left join found using (doc_id) group by doc_id"""
 
 
 ORACLE_SQL = {
+    "op11_prefix_trie": f"""
+with turns as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations where conv_id is not null
+), own as (
+  select conv_id, list({{'id': sha256(length(role) || ':' || role || text), 'size': strlen(text)}} order by turn nulls first, role, sha256(length(role) || ':' || role || text)) as ts,
+         {_crc32_sql("conv_id")} % 9 as h
+  from turns group by conv_id
+), rebuilt as (
+  select o.conv_id, list_concat(coalesce(b.ts[1:o.h], []), o.ts[o.h + 1:]) as ts from own o left join own b on b.conv_id = o.conv_id - o.conv_id % 5
+), members as (
+  select conv_id, d, array_to_string(list_transform(ts[1:d], lambda t: t.id), '') as k, d = len(ts) as at_end, coalesce(ts[d].size, 0) as size
+  from (select *, unnest(range(0, len(ts) + 1)) as d from rebuilt)
+), nodes as (
+  select k, d, min(conv_id) as conv_id, count(*) as n_convs, (count(*) - 1) * any_value(size) as saved, left(k, 64 * (d - 1)) as above,
+         sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (where at_end), '')) as ends_sha256
+  from members group by k, d
+), marked as (
+  select n.*, p.conv_id as parent_conv_id, coalesce(c.n, 0) as n_children
+  from nodes n left join nodes p on n.d > 0 and p.d = n.d - 1 and p.k = n.above
+  left join (select above, d, count(*) as n from nodes where d > 0 group by above, d) c on c.above = n.k and c.d = n.d + 1
+), sums as (
+  select left(k, 64 * e) as k, e as d, sum((n_children = 0)::int)::bigint as n_leaves, sum(saved)::bigint as saved_tokens
+  from (select *, unnest(range(0, d + 1)) as e from marked) group by all
+)
+select conv_id, d as depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256 from marked join sums using (k, d)
+""",
+    "op13_periodic_runs": f"""
+with own as (
+  select rowid as row, doc_id, list_filter(string_split_regex(coalesce(text, ''), '[ \\t\\n\\x0B\\f\\r]+'), lambda w: w <> '') as w, {_crc32_sql("doc_id")} as h from (select *, row_number() over () as rowid from documents)
+), sized as (
+  select *, len(w) as n, h // 10 as g from own
+), placed as (
+  select *, g % n as a, 1 + (n - g % n) // (3 + g % 8) as p from sized where h % 10 = 0 and n > 0
+), texts as (
+  select s.row, s.doc_id, s.n, case when p.row is null then s.w else list_concat(s.w[1:p.a], list_transform(range(p.a, p.n), lambda i: s.w[p.a + (i - p.a) % p.p + 1])) end as w
+  from sized s left join placed p using (row)
+), windows as (
+  select row, i, array_to_string(w[i + 1:i + 16], ' ') as k from (select *, unnest(range(0, n - 15)) as i from texts where n >= 24)
+), pairs as (
+  select a.row, a.i, b.i - a.i as q from windows a join windows b on a.row = b.row and a.k = b.k and b.i > a.i
+), stretches as (
+  select row, q, min(i) as s, count(*) + 15 + q as len from (select *, i - row_number() over (partition by row, q order by i) as island from pairs) group by row, q, island
+), runs as (
+  select row, s, len, min(q) as q from stretches where len >= greatest(24, 3 * q) group by row, s, len
+), best as (
+  select row, count(*) as n_runs, first({{'s': s, 'len': len, 'q': q}} order by len::double / q desc, s, q) as b, sha256(string_agg(s || ',' || len || ',' || q || chr(10), '' order by s, q)) as runs_sha256 from runs group by row
+), dropped as (
+  select distinct row, unnest(range(s + q, s + len)) as i from runs
+), kept as (
+  select t.row, sha256(coalesce(string_agg(t.word, ' ' order by t.i) filter (where d.row is null), '')) as collapsed_sha256
+  from (select row, unnest(w) as word, generate_subscripts(w, 1) - 1 as i from texts) t left join dropped d using (row, i) group by t.row
+)
+select doc_id, coalesce(n_runs, 0) as n_runs, b.s as start, b.len as length, b.q as period, 1000 * b.len // b.q as exponent_milli,
+       coalesce(runs_sha256, sha256('')) as runs_sha256, coalesce(collapsed_sha256, sha256('')) as collapsed_sha256
+from texts left join best using (row) left join kept using (row)
+""",
     "op3_pii": _pii_sql(),
     "op1_chat_format": """
 with turns as (
