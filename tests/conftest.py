@@ -3,6 +3,7 @@ import sys
 import tempfile
 
 import duckdb
+import pandas as pd
 import pytest
 from pyspark.sql import SparkSession
 
@@ -44,7 +45,7 @@ def rows_of(frame):
     frame = frame[sorted(frame.columns)]
 
     def text(v):
-        if isinstance(v, float) and v != v or v is None:
+        if v is None or v is pd.NA or isinstance(v, float) and v != v:
             return "None"
         if isinstance(v, float) and v == int(v):
             return str(int(v))
