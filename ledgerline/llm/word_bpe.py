@@ -40,10 +40,12 @@ from .textgrams import mix
 _U = np.uint64
 _SPACE, _LETTER, _NUMBER, _OTHER, _UNSURE = 0, 1, 2, 3, 4
 #: Code points worked on at once, and distinct words that a task counts before it passes them on; both only bound memory.
-STRETCH, COUNTED = 1 << 20, 400_000
-#: Words that every worker holds, and their greatest length: at most KNOWN x (4 x LONGEST bytes of ids) = 67 MB.
-KNOWN, LONGEST = 1 << 18, 64
-SLOTS = 1 << 21
+STRETCH, COUNTED = 1 << 18, 150_000
+#: Words that every worker holds, and their greatest length: at most KNOWN x (4 x LONGEST bytes of ids) = 134 MB, and 30 MB where they have four ids each.
+KNOWN, LONGEST = 1 << 19, 64
+SLOTS = 1 << 20
+#: Rows whose texts are Python's at once.
+ROWS = 256
 _cache: dict = {}
 
 
@@ -112,15 +114,21 @@ class Splitter:
     """The words of texts, as the file at path normalises and splits them."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.own = Tokenizer.from_file(path)
+        self.path, self._own = path, None
         with open(path, encoding="utf-8") as f:
-            file = json.load(f)
-        self.special = {t["content"]: t["id"] for t in file["added_tokens"]}
+            self.special = {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
         self.parting = re.compile("(" + "|".join(sorted(map(re.escape, self.special), key=len, reverse=True)) + ")")
         self.sign = {b: s for s, b in _byte_signs().items()}
 
+    @property
+    def own(self):
+        """The library's tokenizer, loaded by those workers that need it."""
+        if self._own is None:
+            from tokenizers import Tokenizer
+
+            self._own = Tokenizer.from_file(self.path)
+        return self._own
+
     def ids(self, word: str) -> list[int]:
         """The ids of one word."""
         if word in self.special:
@@ -191,6 +199,14 @@ def splitter(path: str) -> Splitter:
     return _cache["splitter", path]
 
 
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Slices of batches, and their texts."""
+    for batch in batches:
+        for k in range(0, len(batch), ROWS):
+            part = batch.slice(k, ROWS)
+            yield part, part.column("text").to_pylist()
+
+
 def word_counts(docs: DataFrame, tokenizer: str) -> DataFrame:
     """Each distinct word of all texts and how often it occurs: word, n."""
 
@@ -201,8 +217,8 @@ def word_counts(docs: DataFrame, tokenizer: str) -> DataFrame:
         def passed_on():
             return pa.RecordBatch.from_arrays([pa.array([words[k] for k in counts], pa.string()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
 
-        for batch in batches:
-            for keys, _, word in splitter(tokenizer).split(batch.column("text").to_pylist()):
+        for _, texts in _texts(batches):
+            for keys, _, word in splitter(tokenizer).split(texts):
                 distinct, first, n = np.unique(keys, return_index=True, return_counts=True)
                 for key, where, times in zip(distinct.tolist(), first.tolist(), n.tolist(), strict=True):
                     if key in counts:
@@ -229,7 +245,7 @@ def encoded_words(words: DataFrame, tokenizer: str) -> DataFrame:
     return words.select("word", "n").mapInArrow(encode, "word string, n long, ids array<int>")
 
 
-def _most_frequent(table: DataFrame, known: int) -> list:
+def _most_frequent(table: DataFrame, known: int):
     """The words of a frequency from which on there are at most `known`, in the driver: a bounded number of bounded rows."""
     short = table.where(F.length("word") <= LONGEST)
     # A step is an eighth of a power of two, so there are at most 8 x 63 of them.
@@ -249,10 +265,10 @@ class Known:
     def __init__(self, rows: list):
         rows = sorted(rows, key=lambda r: (-r["n"], r["word"]))
         keys = keys_of([r["word"] for r in rows])
-        self.order = np.argsort(keys)
+        self.order = np.argsort(keys).astype(np.int32)
         self.sorted = keys[self.order]
         sizes = np.array([len(r["ids"]) for r in rows], np.int64)
-        self.first = np.concatenate(([0], np.cumsum(sizes)))
+        self.first = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
         self.pool = np.array([i for r in rows for i in r["ids"]], np.int32)
         self.slot_key, self.slot = np.zeros(SLOTS, np.uint64), np.full(SLOTS, -1, np.int32)
         place = (keys & _U(SLOTS - 1)).astype(np.int64)[::-1]  # of two words of one place the more frequent is written last
@@ -327,19 +343,19 @@ def encode(docs: DataFrame, tokenizer: str, known: int = KNOWN) -> DataFrame:
     named = texts.select(F.xxhash64("doc_id", "text").alias("row"), "doc_id", "text")
 
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch, texts in _texts(batches):
             rows, words = [], []
             names = batch.column("row").to_pylist()
-            for k, (_, others) in enumerate(_numbered(batch.column("text").to_pylist(), splitter(tokenizer), common.value)):
+            for k, (_, others) in enumerate(_numbered(texts, splitter(tokenizer), common.value)):
                 rows += [names[k]] * len(others)
                 words += others
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(words, pa.string())], ["row", "word"])
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = TaskContext.get().partitionId() << 40
-        for batch in batches:
+        for batch, texts in _texts(batches):
             names, packed, lists = batch.column("row").to_pylist(), [], []
-            for k, (numbers, others) in enumerate(_numbered(batch.column("text").to_pylist(), splitter(tokenizer), common.value)):
+            for k, (numbers, others) in enumerate(_numbered(texts, splitter(tokenizer), common.value)):
                 packed.append(_packed(numbers))
                 lists.append(others)
                 if not others:  # needs no partner, so it may go anywhere
@@ -347,8 +363,8 @@ def encode(docs: DataFrame, tokenizer: str, known: int = KNOWN) -> DataFrame:
                     seen += 1
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), batch.column("doc_id"), pa.array(packed, pa.binary()), pa.array(lists, pa.list_(pa.string()))], ["row", "doc_id", "numbers", "others"])
 
-    # A word that isn't known is rare, so no key of this join is large.
-    found = named.select("row", "text").mapInArrow(rare, "row long, word string").distinct().join(table.select("word", "ids"), "word")
+    # A word that isn't known is rare, so no key of this join is large; a text names each of its rare words once.
+    found = named.select("row", "text").mapInArrow(rare, "row long, word string").join(table.select("word", "ids"), "word")
     found = found.groupBy("row").agg(F.collect_list(F.struct("word", "ids")).alias("found"))
     rows = named.mapInArrow(placed, "row long, doc_id long, numbers binary, others array<string>").join(found, "row", "left")
 
