@@ -245,8 +245,8 @@ def encoded_words(words: DataFrame, tokenizer: str) -> DataFrame:
     return words.select("word", "n").mapInArrow(encode, "word string, n long, ids array<int>")
 
 
-def _most_frequent(table: DataFrame, known: int):
-    """The words of a frequency from which on there are at most `known`, in the driver: a bounded number of bounded rows."""
+def _most_frequent(table: DataFrame, known: int) -> pa.Table:
+    """The words of a frequency from which on there are at most `known`, in the driver: a bounded number of bounded rows, as columns."""
     short = table.where(F.length("word") <= LONGEST)
     # A step is an eighth of a power of two, so there are at most 8 x 63 of them.
     step = F.floor(F.log2("n") * 8)
@@ -256,20 +256,20 @@ def _most_frequent(table: DataFrame, known: int):
         if total > known:
             break
         least = row["step"]
-    return [] if least is None else short.where(step >= least).select("word", "n", "ids").collect()
+    return short.where(step >= least if least is not None else F.lit(False)).select("word", "n", "ids").toArrow()
 
 
 class Known:
     """Frequent words by hash: a word's number, and its ids. Frequent ones have small numbers."""
 
-    def __init__(self, rows: list):
-        rows = sorted(rows, key=lambda r: (-r["n"], r["word"]))
-        keys = keys_of([r["word"] for r in rows])
+    def __init__(self, rows: pa.Table):
+        rows = rows.sort_by([("n", "descending"), ("word", "ascending")]).combine_chunks()
+        keys = np.concatenate([keys_of(rows.column("word").slice(k, 1 << 16).to_pylist()) for k in range(0, max(1, len(rows)), 1 << 16)])
         self.order = np.argsort(keys).astype(np.int32)
         self.sorted = keys[self.order]
-        sizes = np.array([len(r["ids"]) for r in rows], np.int64)
-        self.first = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
-        self.pool = np.array([i for r in rows for i in r["ids"]], np.int32)
+        lists = rows.column("ids").combine_chunks() if len(rows) else pa.array([], pa.list_(pa.int32()))
+        self.first = np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False)))).astype(np.int32)
+        self.pool = lists.flatten().to_numpy(zero_copy_only=False)
         self.slot_key, self.slot = np.zeros(SLOTS, np.uint64), np.full(SLOTS, -1, np.int32)
         place = (keys & _U(SLOTS - 1)).astype(np.int64)[::-1]  # of two words of one place the more frequent is written last
         self.slot_key[place], self.slot[place] = keys[::-1], np.arange(len(keys), dtype=np.int32)[::-1]
