@@ -43,7 +43,9 @@ _U = np.uint64
 _FACTOR = 0xA24BAED4963EE407
 _INVERSE = pow(_FACTOR, -1, 2**64)
 PLACE = ["doc_id", "row", "first_word"]
-SKETCH = "doc_id long, row int, first_word int, n_words int, f1 long, f2 long, bands array<long>, names array<long>, places array<int>, more array<int>, lefts array<int>, rights array<int>"
+#: How often a hash may come again within min_words words before its places become one.
+FEW = 4
+SKETCH = "doc_id long, row long, first_word int, n_words int, f1 long, f2 long, bands array<long>, names array<long>, places array<int>, more array<int>, lefts array<int>, rights array<int>"
 
 
 def tuned_bands(threshold: float, recall: float = 0.998, most: int = 64) -> tuple[int, int]:
@@ -67,7 +69,7 @@ def minhashes(elements: np.ndarray, first: np.ndarray, k: int) -> np.ndarray:
 
 
 def row_of(text: Column) -> Column:
-    return F.hash(text)
+    return F.xxhash64(text)
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -128,7 +130,8 @@ def sketches(docs: DataFrame, n: int = 5, min_words: int = 20, bands: int = 12,
 
     names are the MinHashes of windows that lie in the paragraph, from places
     to places + more; lefts and rights name them with the words beside them (0
-    where there are none, 1 where words repeat with a short period).
+    where there are none, 1 where places of one hash became one, as where words
+    repeat with a short period).
     """
     side = (min_words - n + 1) // 2
 
@@ -167,6 +170,10 @@ def sketches(docs: DataFrame, n: int = 5, min_words: int = 20, bands: int = 12,
         new = np.ones(len(places), bool)
         new[1:] = (names[1:] != names[:-1]) | (row[1:] != row[:-1]) | (places[1:] - places[:-1] > min_words)
         start = np.flatnonzero(new)
+        often = np.diff(np.append(start, len(places)))
+        # A hash that comes again a few times keeps each of its places, with the words beside it.
+        new |= np.repeat(often <= FEW, often)
+        start = np.flatnonzero(new)
         last = np.append(start[1:], len(places)) - 1 if len(start) else start
         offsets = pa.array(np.searchsorted(row[start], np.arange(len(row_text) + 1)), pa.int32())
         again = places[last] > places[start]
@@ -202,7 +209,7 @@ def paragraph_sets(docs: DataFrame, n: int = 5, min_words: int = 20) -> DataFram
                     values, where = elements.view(np.int64), own[text[keep]]
                     yield pd.DataFrame({"doc_id": batch["doc_id"].to_numpy()[where], "row": batch["row"].to_numpy()[where], "first_word": first[:-1][keep] - begins[text[keep]], "elements": [values[at[k] : at[k + 1]] for k in range(len(keep))]})
 
-    return docs.mapInPandas(run, "doc_id long, row int, first_word int, elements array<long>")
+    return docs.mapInPandas(run, "doc_id long, row long, first_word int, elements array<long>")
 
 
 def paragraph_classes(docs: DataFrame, threshold: float = 0.8, n: int = 5, min_words: int = 20, made: DataFrame | None = None) -> DataFrame:
@@ -267,12 +274,12 @@ def windows(docs: DataFrame, seeds: DataFrame, min_words: int) -> DataFrame:
         names = [_between(*_prefix(hashes, salt), at, at + min_words) for salt in (3, 4)]
         return pd.DataFrame({"doc_id": batch["doc_id"].to_numpy()[doc[at]], "row": batch["row"].to_numpy()[doc[at]], "first_word": at - first[:-1][doc[at]], "h1": names[0], "h2": names[1]})
 
-    return rows.mapInPandas(each, "doc_id long, row int, first_word int, h1 long, h2 long")
+    return rows.mapInPandas(each, "doc_id long, row long, first_word int, h1 long, h2 long")
 
 
-def _shared(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """rows (with doc_id) whose keys several documents have."""
-    common = rows.groupBy(*keys).agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("n")).where("low <> high").select(*keys, "n")
+def _shared(rows: DataFrame, keys: list[str], *more: Column) -> DataFrame:
+    """rows (with doc_id) whose keys several documents have, with more aggregates of their keys."""
+    common = rows.groupBy(*keys).agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("n"), *more).where("low <> high").drop("low", "high")
     common = written(common, "common")
     return attached(rows, common, keys, common.agg(F.sum("n")).first()[0] or 0)
 
@@ -291,15 +298,16 @@ def passage_classes(docs: DataFrame, n: int = 5, min_words: int = 20, made: Data
         paragraphs = paragraphs.join(removed.where("n_words > 0").select(*PLACE, "n_words"), [*PLACE, "n_words"], "left_anti")
     listed = ("names", "places", "more", "lefts", "rights")
     seeds = paragraphs.select("doc_id", "row", F.explode(F.arrays_zip(*listed)).alias("s")).select("doc_id", "row", *[F.col(f"s.{c}").alias(c) for c in listed])
-    found = written(_shared(seeds, ["names"]), "seeds")
+    # Places that became one have no words beside them, so all that have their hash are looked at.
+    found = written(_shared(seeds, ["names"], F.max(F.col("lefts") == 1).alias("all")), "seeds")
     # Of a window's other words, at least half (rounded up) stand on one side of its hash.
     side, rest = (min_words - n + 1) // 2, min_words - n
     beside = F.array(F.struct(F.lit(0).alias("side"), F.col("lefts").alias("h")), F.struct(F.lit(1).alias("side"), F.col("rights").alias("h")))
-    sided = found.withColumn("s", F.explode(beside)).select("doc_id", "row", "names", "places", "more", "s.*").where("h <> 0")
-    sure = _shared(sided, ["names", "side", "h"])
-    begin = F.col("places") - F.when((F.col("side") == 0) | (F.col("more") > 0), rest).otherwise(rest - side)
-    end = F.col("places") + F.col("more") + F.when((F.col("side") == 1) | (F.col("more") > 0), min_words).otherwise(min_words - side)
-    found = sure.select("doc_id", "row", begin.alias("begin"), end.alias("end"))
+    sided = found.where("not all").withColumn("s", F.explode(beside)).select("doc_id", "row", "names", "places", "s.*").where("h <> 0")
+    begin = F.col("places") - F.when(F.col("side") == 0, rest).otherwise(rest - side)
+    end = F.col("places") + F.when(F.col("side") == 1, min_words).otherwise(min_words - side)
+    sure = _shared(sided, ["names", "side", "h"]).select("doc_id", "row", begin.alias("begin"), end.alias("end"))
+    found = sure.unionByName(found.where("all").select("doc_id", "row", (F.col("places") - rest).alias("begin"), (F.col("places") + F.col("more") + min_words).alias("end")))
     if removed is not None:
         gone = removed.select("doc_id", "row", F.col("first_word").alias("low"), (F.col("first_word") + F.col("n_words")).alias("high"))
         found = found.unionByName(gone, allowMissingColumns=True)
