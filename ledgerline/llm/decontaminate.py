@@ -40,6 +40,8 @@ from .textgrams import _NOT_WORD, mix, words
 K1, B, BLOCK = 1.2, 0.75, 2
 #: Items and words in one index, at most (but for a single longer item), and indexes in one pass over the documents.
 INDEX_ITEMS, INDEX_WORDS, INDEXES = 20_000, 4_000_000, 16
+#: Words of passages, and blocks that they reach, that are looked at together.
+SLICE = 1 << 20
 RUN = 3
 _U = np.uint64
 FOUND = "doc_id string, row long, item_id long, first_word long, score double, question double, answer double"
@@ -85,23 +87,22 @@ class ItemIndex:
         self.blocks = -(-self.n // BLOCK)
         self.block_keys, starts = np.unique(by_term * self.blocks + self.items // BLOCK, return_index=True)
         self.block_max = np.maximum.reduceat(self.weights, starts) if len(starts) else np.zeros(0)
-        # Block maxima of the terms in many blocks as a matrix, of the others as lists.
-        self.block_begin = np.searchsorted(self.block_keys, np.arange(len(self.terms) + 1) * self.blocks)
-        held = np.diff(self.block_begin)
-        wide = np.flatnonzero(held >= max(2, self.blocks // 8))
-        self.column = np.full(len(self.terms), -1)
-        self.column[wide] = np.arange(len(wide))
-        self.matrix = np.zeros((len(wide), max(1, self.blocks)), np.float32)
-        rows = np.flatnonzero(self.column[self.block_keys // max(1, self.blocks)] >= 0)
-        self.matrix[self.column[self.block_keys[rows] // max(1, self.blocks)], self.block_keys[rows] % max(1, self.blocks)] = self.block_max[rows]
-        # Of each item, its lightest words that together stay below the threshold aren't enough: a passage needs one of the others.
+        # An item's lightest words, up to half the threshold, aren't enough, so a passage is asked for the others first:
+        # for each term the blocks of the items that have it among those, and the most that the lightest add in a block.
         light = np.lexsort((weight, item))
         sums = np.cumsum(weight[light])
         start = np.searchsorted(item[light], np.arange(len(ids)))
         before = np.where(start > 0, sums[np.maximum(start - 1, 0)], 0.0)
-        needed = sums - before[item[light]] >= threshold - 1e-9
-        self.needed = np.zeros(len(self.terms), bool)
-        self.needed[term[light][needed]] = True
+        own_sum = sums - before[item[light]]
+        lightest = own_sum < threshold / 2
+        self.rest = np.zeros(max(1, self.blocks))
+        np.maximum.at(self.rest, item[light][lightest] // BLOCK, own_sum[lightest])
+        where = light[~lightest]
+        keys, at = np.unique(term[where] * max(1, self.blocks) + item[where] // BLOCK, return_inverse=True)
+        self.main_most = np.zeros(len(keys))
+        np.maximum.at(self.main_most, at, weight[where])
+        self.main_begin = np.searchsorted(keys, np.arange(len(self.terms) + 1) * max(1, self.blocks))
+        self.main_blocks = keys % max(1, self.blocks)
         self.scored = self.skipped = 0
         self.question, self.answer = [], []
         for k, text in enumerate(texts):
@@ -126,7 +127,7 @@ class ItemIndex:
         place = np.searchsorted(self.terms, hashes)
         place[place == len(self.terms)] = 0
         known = self.terms[place] == hashes if len(self.terms) else np.zeros(len(hashes), bool)
-        seen = np.concatenate(([0], np.cumsum(known & self.needed[place])))
+        seen = np.concatenate(([0], np.cumsum(known)))
         counts = np.diff(first)
         # A passage is two steps of its text, the last one where there are fewer.
         steps = np.maximum(1, -(-counts // step))
@@ -136,8 +137,8 @@ class ItemIndex:
         begin = first[:-1][text] + nth * step
         end = np.minimum(begin + 2 * step, first[1:][text])
         best: dict[tuple[int, int], tuple] = {}
-        asked = (seen[end] > seen[begin]) & self._open(place, known, first, steps, (np.cumsum(steps) - steps)[text] + nth, nth + 1 < steps[text])
-        for k in np.flatnonzero(asked).tolist():
+        asked = np.flatnonzero(seen[end] > seen[begin])
+        for k in self._open(asked, begin, end, place, known):
             terms = place[begin[k] : end[k]]
             terms = np.unique(terms[known[begin[k] : end[k]]])
             hits = self.wand(terms)
@@ -152,26 +153,43 @@ class ItemIndex:
                     best[t, item] = (t, item, int(begin[k] - first[t]) + at, score, question, answer)
         return list(best.values())
 
-    def _open(self, place: np.ndarray, known: np.ndarray, first: np.ndarray, steps: np.ndarray, own: np.ndarray, more: np.ndarray) -> np.ndarray:
-        """Which passages some block's maxima let reach the threshold, for all passages at once: of step own, and of the next where more.
+    def _open(self, asked: np.ndarray, begin: np.ndarray, end: np.ndarray, place: np.ndarray, known: np.ndarray) -> Iterator[int]:
+        """Which of the asked passages some block's maxima let reach the threshold.
 
-        Words of both steps count twice here; WAND looks at what is left.
+        Only blocks that a passage's words reach beyond the lightest of their
+        items are summed up. Passages go in slices, so memory follows from SLICE
+        alone (and from what a single passage reaches).
         """
-        text = np.repeat(np.arange(len(steps)), np.diff(first))
-        at = (np.cumsum(steps) - steps)[text] + (np.arange(len(place)) - first[:-1][text]) // self.step
-        pairs = np.sort(at[known] * max(1, len(self.terms)) + place[known])
-        pairs = pairs[np.concatenate(([True], pairs[1:] != pairs[:-1]))] if len(pairs) else pairs
-        at, term = np.divmod(pairs, max(1, len(self.terms)))
-        wide = self.column[term] >= 0
-        held = np.zeros((int(steps.sum()), len(self.matrix)), np.float32)
-        held[at[wide], self.column[term[wide]]] = 1
-        at, term = at[~wide], term[~wide]
-        each = (self.block_begin[1:] - self.block_begin[:-1])[term]
-        rows = np.arange(each.sum()) + np.repeat(self.block_begin[term] - (np.cumsum(each) - each), each)
-        keys = np.repeat(at, each) * self.blocks + self.block_keys[rows] % max(1, self.blocks)
-        sums = np.bincount(keys, self.block_max[rows], minlength=len(held) * max(1, self.blocks)).reshape(-1, max(1, self.blocks)) + held @ self.matrix
-        following = np.where(more[:, None], sums[np.minimum(own + 1, len(sums) - 1)], 0.0)
-        return (sums[own] + following).max(1) >= self.threshold - 1e-4  # the matrix is of single precision
+        if not len(asked):
+            return
+        widest = int((end - begin)[asked].max())
+        for own in np.split(asked, np.arange(0, len(asked), max(1, SLICE // widest))[1:]):
+            size = end[own] - begin[own]
+            at = np.arange(size.sum()) + np.repeat(begin[own] - (np.cumsum(size) - size), size)
+            passage = np.repeat(np.arange(len(own)), size)[known[at]]
+            passage, term = np.divmod(np.unique(passage * len(self.terms) + place[at[known[at]]]), len(self.terms))
+            reached = np.diff(self.main_begin)[term]
+            count = np.bincount(passage, minlength=len(own))
+            starts = np.cumsum(count) - count
+            # Whole passages, with about SLICE blocks, and that reach about as many, together.
+            whole = np.maximum(np.cumsum(np.bincount(passage, reached, minlength=len(own))), np.arange(len(own)) * self.blocks) // SLICE
+            for few in np.split(np.arange(len(own)), np.flatnonzero(np.diff(whole)) + 1):
+                low, high = starts[few[0]], starts[few[-1]] + count[few[-1]]
+                each = reached[low:high]
+                rows = np.arange(each.sum()) + np.repeat(self.main_begin[term[low:high]] - (np.cumsum(each) - each), each)
+                keys = np.repeat(passage[low:high] - few[0], each) * self.blocks + self.main_blocks[rows]
+                sums = np.bincount(keys, self.main_most[rows], minlength=len(few) * self.blocks).reshape(len(few), -1)
+                which, block = np.nonzero((sums > 0) & (sums + self.rest >= self.threshold - 1e-9))
+                which += few[0]
+                # What is left of passages and blocks: the block's maxima of all words of the passage.
+                for k in range(0, len(which), max(1, SLICE // widest)):
+                    w, n = which[k : k + max(1, SLICE // widest)], count[which[k : k + max(1, SLICE // widest)]]
+                    words_of = np.arange(n.sum()) + np.repeat(starts[w] - (np.cumsum(n) - n), n)
+                    wanted = term[words_of] * self.blocks + np.repeat(block[k : k + len(w)], n)
+                    found = np.minimum(np.searchsorted(self.block_keys, wanted), len(self.block_keys) - 1)
+                    gain = np.where(self.block_keys[found] == wanted, self.block_max[found], 0.0)
+                    open_ones = np.bincount(np.repeat(np.arange(len(w)), n), gain, minlength=len(w)) >= self.threshold - 1e-9
+                    yield from own[np.unique(w[open_ones])].tolist()
 
     def wand(self, terms: np.ndarray) -> list[tuple[int, float]]:
         """Every item whose score for the terms reaches the threshold, with the score."""
