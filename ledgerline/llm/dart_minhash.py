@@ -184,7 +184,11 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, n: int = 5, weighte
 
 
 def deduplicated(docs: DataFrame, **options: object) -> DataFrame:
-    """docs with one text of each class: that of its smallest doc_id; rows without a doc_id stay."""
-    gone = near_duplicates(docs, **options).where(~F.col("kept")).select(F.col("doc_id").alias("_doc"), F.col("row").alias("_row")).distinct()
+    """docs with one row of each class, of its smallest doc_id; of rows that repeat (one doc_id, one text) one stays, and rows without a doc_id all do."""
+    found = near_duplicates(docs, **options).select(F.col("doc_id").alias("_doc"), F.col("row").alias("_row"), "kept")
+    gone = found.where(~F.col("kept")).select("_doc", "_row").distinct()
+    again = found.where(F.col("kept") & F.col("_doc").isNotNull()).groupBy("_doc", "_row").count().where("count > 1").select("_doc", "_row")
     same = (F.col("doc_id") == F.col("_doc")) & (row_of(text_or_empty()) == F.col("_row"))
-    return docs.join(gone.hint("merge"), same, "left_anti")
+    # Rows that repeat are merged where they are read, before they are shuffled.
+    once = docs.join(again, same).dropDuplicates(["_doc", "_row"]).select(*(F.col(f"`{c}`") for c in docs.columns))
+    return docs.join(gone.unionByName(again).hint("merge"), same, "left_anti").unionByName(once)
