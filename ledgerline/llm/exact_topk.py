@@ -95,9 +95,10 @@ class ImpactIndex:
 def quantised(vectors: DataFrame, id_column: str, vector: str, scale: int = 1024) -> DataFrame:
     """vec_id, v (integers), dims; rows that take no part are gone."""
     x = F.transform(F.col(vector), lambda c: c.cast("double"))
+    whole = lambda c: F.when(F.abs(c * scale) >= 2.0**63, F.raise_error("a component is beyond 64 bits").cast("long")).otherwise(F.floor(c * scale))
     fine = F.col(id_column).isNotNull() & F.col(vector).isNotNull() & F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
     rows = vectors.where(F.coalesce(fine, F.lit(False)))
-    return rows.select(F.col(id_column).cast("long").alias("vec_id"), F.transform(x, lambda c: F.floor(c * scale)).alias("v"), F.size(vector).alias("dims"))
+    return rows.select(F.col(id_column).cast("long").alias("vec_id"), F.transform(x, whole).alias("v"), F.size(vector).alias("dims"))
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 10) -> DataFrame:

@@ -297,6 +297,50 @@ def test_paragraph_classes_are_components_of_exact_similarity(spark):
     assert got == want
 
 
+def test_every_window_of_20_words_in_two_documents_is_found(spark):
+    """Few different words, so hashes come again within a window, in places and often; and phrases that repeat with short and long periods."""
+    draw = random.Random(11)
+    rows = {}
+    for d in range(40):
+        k = draw.choice([2, 3, 6, 40])
+        rows[d] = [f"w{draw.randrange(k)}" for _ in range(draw.randrange(15, 60))]
+    for _ in range(60):
+        period = draw.choice([1, 2, 4, 7, 9, 12, 30])
+        phrase = [f"p{draw.randrange(60)}" for _ in range(period)]
+        passage = (phrase * 40)[: draw.randrange(20, 40)]
+        for d in draw.sample(sorted(rows), 2):
+            at = draw.randrange(len(rows[d]) + 1)
+            rows[d] = [*rows[d][:at], *passage, *rows[d][at:]]
+    holders = collections.defaultdict(set)
+    for d, own in rows.items():
+        for k in range(len(own) - 19):
+            holders[tuple(own[k : k + 20])].add(d)
+    docs = spark.createDataFrame([(d, " ".join(own)) for d, own in rows.items()], "doc_id long, text string")
+    covered = collections.defaultdict(set)
+    for r in substring_dedup.passage_classes(docs).collect():
+        covered[r.doc_id] |= set(range(r.first_word, r.first_word + r.n_words))
+    for d, own in rows.items():
+        need = {w for k in range(len(own) - 19) if len(holders[tuple(own[k : k + 20])]) > 1 for w in range(k, k + 20)}
+        assert need == covered[d], d
+
+
+def test_a_hash_that_comes_again_in_one_document_alone_hides_no_passage(spark):
+    draw = random.Random(2)
+    for tail in (3, 8, 14):
+        phrase = [f"x{draw.randrange(10**6)}" for _ in range(5)]
+        passage = [*phrase, *[f"y{draw.randrange(10**6)}" for _ in range(15)]]
+        other = lambda n: [f"z{draw.randrange(10**6)}" for _ in range(n)]
+        rows = [(1, " ".join([*other(30), *phrase, *other(tail), *passage, *other(30)])), (2, " ".join([*other(40), *passage, *other(9)]))]
+        assert {r.doc_id for r in substring_dedup.passage_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()} == {1, 2}
+
+
+def test_rows_whose_short_hashes_clash_keep_their_own_text(spark):
+    p, q = (" ".join(f"{c}{k}" for k in range(30)) for c in "pq")
+    rows = [(1, p), (7, f"{p} a11240"), (7, f"{q} b162819")]
+    got = [r.text for r in substring_dedup.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert sum(q in t for t in got) == 1 and sum(p in t for t in got) == 1
+
+
 def test_removal_leaves_one_of_each_passage(spark, none, odd):
     passage = " ".join(f"p{k}" for k in range(80))
     rows = spark.createDataFrame([(1, f"one\n{passage}"), (2, f"{passage}\ntwo"), (3, "clean")], "doc_id long, text string")
@@ -710,3 +754,51 @@ def test_hashes_are_lower_case_hex(spark, sf):
     text = "</s>[INST] ok [/INST]"
     assert r.turns_sha256 == hashlib.sha256(f"user\n{text}\nassistant\n{text}\n".encode()).hexdigest()
     assert (r.n_turns, r.loss_chars, r.loss_sha256) == (2, len(text), hashlib.sha256(text.encode()).hexdigest())
+
+
+def test_rows_that_repeat_leave_one(spark):
+    """Of rows of one doc_id and one text; rows without a doc_id stay, with a clashing column beside."""
+    x, y = (" ".join(f"{c}{k}" for k in range(30)) for c in "xy")
+    rows = [(1, x), (1, x), (2, x), (3, y), (3, y), (3, y), (4, "short"), (4, "short"), (None, y), (None, y)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("row", F.lit(5)).withColumn("a.b", F.lit(1))
+    got = [(r[0], r[1]) for r in dart_minhash.deduplicated(docs).collect()]
+    assert sorted(got, key=str) == sorted([(1, x), (3, y), (4, "short"), (None, y), (None, y)], key=str)
+
+
+def test_components_beyond_64_bits_are_refused(spark):
+    vectors = spark.createDataFrame([(0, [1e30]), (1, [1.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="beyond 64 bits"):
+        exact_topk.quantised(vectors, "vec_id", "embedding").collect()
+
+
+def test_bounding_of_passages_needs_little_memory_and_loses_none(monkeypatch):
+    import tracemalloc
+
+    draw = np.random.default_rng(4)
+    chance = 1 / np.arange(1, 5001) ** 0.9
+    vocabulary, chance = np.array([f"w{k}" for k in range(5000)]), chance / chance.sum()
+    text = lambda n: " ".join(vocabulary[draw.choice(5000, n, p=chance)])
+    items = [text(int(n)) for n in draw.integers(10, 50, 3000)]
+    body = " ".join([text(4000), items[7], text(3000), items[2999], text(50), items[1500]])
+    hashes, first = textgrams.words(items, separators=textgrams._NOT_WORD)
+    each = [np.unique(hashes[first[k] : first[k + 1]]) for k in range(len(items))]
+    terms, df = np.unique(np.concatenate(each), return_counts=True)
+    index = decontaminate.ItemIndex(list(range(3000)), items, 0.6, 64, 3000, float(np.diff(first).mean()), terms, df)
+    own, begins = textgrams.words([body], separators=textgrams._NOT_WORD)
+    weights = np.zeros((3000, len(index.terms)))
+    for t in range(len(index.terms)):
+        at = slice(index.begin[t], index.begin[t + 1])
+        weights[index.items[at], t] = index.weights[at]
+    want = set()
+    for k in range(0, max(1, len(own) - 64), 64):
+        held = np.isin(index.terms, own[k : k + 128])
+        want |= set(np.flatnonzero(weights @ held >= 0.6 - 1e-9).tolist())
+    results = []
+    for size in (decontaminate.SLICE, 5_000):
+        monkeypatch.setattr(decontaminate, "SLICE", size)
+        tracemalloc.start()
+        results.append(sorted(index.search(own, begins)))
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert most < 100 << 20
+    assert results[0] == results[1] and {r[1] for r in results[0]} == want and {7, 1500, 2999} <= want
