@@ -40,7 +40,7 @@ from .textgrams import mix
 _U = np.uint64
 _SPACE, _LETTER, _NUMBER, _OTHER, _UNSURE = 0, 1, 2, 3, 4
 #: Code points worked on at once, and distinct words that a task counts before it passes them on; both only bound memory.
-STRETCH, COUNTED = 1 << 18, 150_000
+STRETCH, COUNTED = 1 << 18, 300_000
 #: Words that every worker holds, and their greatest length: at most KNOWN x (4 x LONGEST bytes of ids) = 134 MB, and 30 MB where they have four ids each.
 KNOWN, LONGEST = 1 << 19, 64
 SLOTS = 1 << 20
@@ -287,15 +287,25 @@ class Known:
             found[rest] = np.where(self.sorted[at] == keys[rest], self.order[at], -1)
         return found
 
-    def ids(self, numbers: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
-        """The ids of words by number, in order; from len(self) on they are in others."""
-        first, pool = self.first, self.pool
-        if others:
-            first = np.concatenate((first, first[-1] + np.cumsum([len(o) for o in others])))
-            pool = np.concatenate((pool, *others))
-        sizes = first[numbers + 1] - first[numbers]
-        done = np.cumsum(sizes)
-        return pool[np.arange(done[-1]) + np.repeat(first[numbers] - (done - sizes), sizes)] if len(done) else np.zeros(0, np.int32)
+    def ids(self, numbers: np.ndarray, others: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words by number, in order, and how many each has; words from len(self) on are in others."""
+        sizes, values = np.empty(len(numbers), np.int64), None
+        own = numbers < len(self)
+        at = numbers[own]
+        sizes[own] = self.first[at + 1] - self.first[at]
+        more = np.array([len(o) for o in others] or [0], np.int64)
+        at_other = numbers[~own] - len(self)
+        sizes[~own] = more[at_other]
+        values = np.empty(sizes.sum(), np.int32)
+        of_own = np.repeat(own, sizes)
+
+        def places(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+            return np.arange(size.sum()) + np.repeat(begin - (np.cumsum(size) - size), size)
+
+        values[of_own] = self.pool[places(self.first[at].astype(np.int64), sizes[own])]
+        if len(at_other):
+            values[~of_own] = np.concatenate(others)[places((np.cumsum(more) - more)[at_other], sizes[~own])]
+        return values, sizes
 
 
 def _numbered(texts: list[str], split: Splitter, known: Known) -> Iterator[tuple[np.ndarray, list[str]]]:
@@ -326,7 +336,7 @@ def _numbered(texts: list[str], split: Splitter, known: Known) -> Iterator[tuple
 
 def _packed(numbers: np.ndarray) -> bytes:
     """Numbers as bytes, the low ones of all first: frequent words have small numbers, so what is left is mostly zeros."""
-    return zlib.compress(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+    return zlib.compress(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), 4)
 
 
 def _unpacked(blob: bytes) -> np.ndarray:
@@ -371,16 +381,21 @@ def encode(docs: DataFrame, tokenizer: str, known: int = KNOWN) -> DataFrame:
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             doc_ids = batch.column("doc_id")
-            lists, held, since = [], 0, 0
-            for k, (blob, others, own) in enumerate(zip(batch.column("numbers").to_pylist(), batch.column("others").to_pylist(), batch.column("found").to_pylist(), strict=True)):
-                by_word = {f["word"]: np.array(f["ids"], np.int32) for f in own or []}
-                lists.append(common.value.ids(_unpacked(blob), [by_word[w] for w in others]))
-                held += len(lists[-1])
-                if held >= STRETCH or k == len(doc_ids) - 1:
-                    sizes = np.concatenate(([0], np.cumsum([len(x) for x in lists]))).astype(np.int32)
-                    values = np.concatenate(lists)
-                    yield pa.RecordBatch.from_arrays([doc_ids.slice(since, len(lists)), pa.ListArray.from_arrays(pa.array(sizes), pa.array(values, pa.int32()))], ["doc_id", "ids"])
-                    lists, held, since = [], 0, k + 1
+            held, rare_ids, words, since = [], [], 0, 0
+            for k in range(len(batch)):
+                numbers = _unpacked(batch.column("numbers")[k].as_py())
+                others = batch.column("others")[k].as_py()
+                if others:
+                    by_word = {f["word"]: f["ids"] for f in batch.column("found")[k].as_py()}
+                    numbers[numbers >= len(common.value)] += len(rare_ids)
+                    rare_ids += [np.array(by_word[w], np.int32) for w in others]
+                held.append(numbers)
+                words += len(numbers)
+                if words >= STRETCH or k == len(batch) - 1:
+                    values, sizes = common.value.ids(np.concatenate(held), rare_ids)
+                    ends = np.concatenate(([0], np.cumsum(sizes)))[np.concatenate(([0], np.cumsum([len(n) for n in held])))]
+                    yield pa.RecordBatch.from_arrays([doc_ids.slice(since, len(held)), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32()))], ["doc_id", "ids"])
+                    held, rare_ids, words, since = [], [], 0, k + 1
 
     return rows.select("doc_id", "numbers", "others", "found").mapInArrow(joined, "doc_id long, ids array<int>")
 
