@@ -69,16 +69,21 @@ def listing_width(n: int, rows: int = 4096) -> int:
     return width
 
 
-def listing_digest(rows: DataFrame, key: Column, item: Column, width: int) -> DataFrame:
-    """digest and n of all rows at any size: the digest of the digests of groups, each of its items in the order of their keys.
+def listing_digests(rows: DataFrame, by: list[str], key: Column, item: Column, width: int) -> DataFrame:
+    """digest and n of the rows of each group of by, at any size: the digest of the digests of parts, each of its items in the order of their keys.
 
-    Rows are dealt to groups by the first hex digits of their key's digest, so a
-    group is bounded by the width, and what is listed last is one digest a group.
+    Rows are dealt to parts by the first hex digits of their key's digest, so a
+    part is bounded by the width, and what is listed last is one digest a part.
     """
-    dealt = rows.select(F.substring(F.sha2(key, 256), 1, width).alias("group"), F.struct(key.alias("key"), item.alias("item")).alias("x"))
-    groups = dealt.groupBy("group").agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["item"]), ","), 256).alias("digest"), F.count("*").alias("n"))
+    dealt = rows.select(*by, F.substring(F.sha2(key, 256), 1, width).alias("group"), F.struct(key.alias("key"), item.alias("item")).alias("x"))
+    groups = dealt.groupBy(*by, "group").agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["item"]), ","), 256).alias("digest"), F.count("*").alias("n"))
     listed = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("group", "digest"))), lambda x: x["digest"]), "")
-    return groups.agg(F.sha2(listed, 256).alias("digest"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+    return groups.groupBy(*by).agg(F.sha2(listed, 256).alias("digest"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+
+
+def listing_digest(rows: DataFrame, key: Column, item: Column, width: int) -> DataFrame:
+    """digest and n of all rows."""
+    return listing_digests(rows, [], key, item, width)
 
 
 def sectioned(inventory: DataFrame, excluded: tuple[str, ...] = ("index.json", "release-delta.json")) -> DataFrame:

@@ -13,8 +13,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions import keys
-from ledgerline.operators.attest import canonical_rows
+from ledgerline.operators.attest import canonical_rows, listing_digests
+from ledgerline.operators.ordering import not_contiguous
 from ledgerline.operators.rules import Rule, closed_shape, pattern, required, strict_json, validate
+from ledgerline.sources import store
+from ledgerline.sources.store import Surface
 
 #: Bounds of lists and bundles.
 RECENT_ROWS, POSTING_PAGE, POSTING_PAGES, REPOSITORY_ROWS = 200, 128, 2_048, 500
@@ -39,15 +42,18 @@ def too_many(rows: DataFrame, entity: str, most: int) -> DataFrame:
 
 
 def out_of_order(rows: DataFrame, entity: str | Column, group: Sequence[str], position: str, key: Column) -> DataFrame:
-    """Rows whose key is not above that of the row before in its group, by positions that count from 0.
+    """Rows whose key is not above that of the row before in its group, and groups whose positions don't count from 0 without a gap.
 
-    Neighbours meet by an equi-join on the position, so no group has to fit a task.
+    Neighbours meet by an equi-join on the position, so no group has to fit a
+    task; that every row has its neighbour follows from the positions' number
+    and ends.
     """
     own = rows.withColumn("_key", key)
     before = own.select(*[F.col(g).alias(f"_{g}") for g in group], (F.col(position) + 1).alias("_position"), F.col("_key").alias("_before"))
     same = [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in group]
     joined = own.join(before, [*same, F.col(position) == F.col("_position")])
-    return _violations(joined.where(~(F.col("_before") < F.col("_key"))), entity, "order", position)
+    gaps = not_contiguous(rows, group, position).select(F.concat_ws("/", *[F.col(g).cast("string") for g in group], F.lit("positions")).alias("entity"))
+    return _violations(joined.where(~(F.col("_before") < F.col("_key"))), entity, "order", position).unionByName(_violations(gaps, "entity", "gap", position))
 
 
 def repeated(rows: DataFrame, entity: str | Column, by: Sequence[str], field: str) -> DataFrame:
@@ -100,11 +106,13 @@ def refused(violations: DataFrame) -> None:
         raise ValueError("; ".join(f"{r['entity']}: {r['rule']} {r['field']}" for r in found))
 
 
-def write_recent(cards: DataFrame, renders: DataFrame, card_violations: DataFrame, render_violations: DataFrame, path: str) -> None:
-    """Both lists or neither: nothing is written before both contracts hold, and what a reader follows (the folder's newest state) is named last."""
+RECENT, RENDERS = Surface("recent", ("id",)), Surface("recent-renders", ("id",))
+
+
+def write_recent(cards: DataFrame, renders: DataFrame, card_violations: DataFrame, render_violations: DataFrame, root: str) -> dict:
+    """Both lists or neither: nothing is written before both contracts hold, and both are published by one pointer; its release."""
     refused(card_violations.unionByName(render_violations))
-    cards.write.mode("overwrite").parquet(f"{path}/recent")
-    renders.write.mode("overwrite").parquet(f"{path}/recent-renders")
+    return store.publish(cards.sparkSession, root, {RECENT: cards, RENDERS: renders}, replace=True)
 
 
 def page_contract(rows: DataFrame, prefix: str, page_size: int) -> DataFrame:
@@ -223,9 +231,12 @@ def bundle_contract(bundles: DataFrame, files: DataFrame, manifest: DataFrame, e
 
 
 def node_cap(files: DataFrame, roots: DataFrame, per_root: int = RENDER_CAPS["nodes"]) -> DataFrame:
-    """One violation where all bundles together have more nodes than their number allows."""
-    n = files.agg(F.count("*").alias("n")).join(roots.agg(F.count("*").alias("roots")))
-    return n.where(F.col("n") > F.col("roots") * per_root).select(F.lit("bundles").alias("entity"), F.lit("nodes").alias("rule"), F.lit("global").alias("field"))
+    """One violation where all bundles (files: path) together have more nodes, files and folders, than their number allows."""
+    parts = F.split("path", "/")
+    # A folder is named by every file in it and counted once; the folder of all bundles is none of theirs.
+    folders = files.select(F.explode(F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, F.lit(1), n), "/"))).alias("node")).where(F.instr("node", "/") > 0)
+    n = folders.distinct().agg(F.count("*").alias("n")).join(roots.agg(F.count("*").alias("roots")))
+    return n.where(F.col("n") > F.greatest(F.lit(1), F.col("roots")) * per_root).select(F.lit("bundles").alias("entity"), F.lit("nodes").alias("rule"), F.lit("global").alias("field"))
 
 
 def release_contract(rows: DataFrame, retired: DataFrame, incremental: bool, prefix: str, always: Sequence[str] = ()) -> DataFrame:
@@ -275,6 +286,76 @@ def health_inputs(release: DataFrame, served: DataFrame) -> DataFrame:
     ])
 
 
+def authenticity(rows: DataFrame, heads: DataFrame, pointers: DataFrame) -> DataFrame:
+    """Releases held against what they say: rows (number, path, bytes, sha256) of each, heads (number, release, parent, record_count, base_sha256), pointers (number, release, base_sha256).
+
+    A release's id is made anew from its rows and its parent, its base's digest
+    from the id, the parent and the count, and what the pointer names from both.
+    Ids of parents are those of the release before.
+    """
+    own = listing_digests(rows, ["number"], F.col("path"), listed_row(), 1)
+    told = heads.join(own, "number", "left").join(pointers.select("number", F.col("release").alias("_pointed"), F.col("base_sha256").alias("_base")), "number", "left")
+    before = heads.select((F.col("number") + 1).alias("number"), F.col("release").alias("_before"))
+    told = told.join(before, "number", "left")
+    parent = F.coalesce("parent", F.lit(""))
+    return validate(told, F.col("number").cast("string"), [
+        Rule("authentic", "release", ~F.col("release").eqNullSafe(F.sha2(F.concat_ws(":", parent, "digest"), 256))),
+        Rule("count", "record_count", ~F.col("record_count").eqNullSafe(F.col("n"))),
+        Rule("base", "base_sha256", ~F.col("base_sha256").eqNullSafe(F.sha2(F.concat_ws(":", "release", parent, F.col("record_count").cast("string")), 256))),
+        Rule("pointer", "release", ~F.col("_pointed").eqNullSafe(F.col("release"))), Rule("pointer", "base_sha256", ~F.col("_base").eqNullSafe(F.col("base_sha256"))),
+        Rule("parent", "parent", ~F.col("parent").eqNullSafe(F.col("_before"))),
+    ])
+
+
+def listed_row() -> Column:
+    """The compact JSON of one row (path, bytes, sha256)."""
+    return F.concat(F.lit('{"bytes":'), F.col("bytes").cast("string"), F.lit(',"path":"'), "path", F.lit('","sha256":"'), "sha256", F.lit('"}'))
+
+
+def chains(releases: DataFrame, rounds: int = 64) -> DataFrame:
+    """Violations of releases (release, parent, change): one that begins anew beside the first (root), that two follow (fork), that names none (orphan), that follows itself (cycle); for the others the count that the chain carries to them is in carried().
+
+    See carried for how far each is followed.
+    """
+    followed = carried(releases, rounds)
+    roots = releases.where("parent is null").select("release")
+    first = roots.agg(F.min("release").alias("_first"))
+    forks = releases.where("parent is not null").groupBy("parent").count().where("count > 1")
+    return _union(
+        _violations(roots.join(F.broadcast(first)).where("release <> _first"), "release", "root", "parent"), _violations(forks, "parent", "fork", "release"),
+        _violations(followed.where("ended = 'orphan'"), "release", "orphan", "parent"), _violations(followed.where("ended = 'cycle'"), "release", "cycle", "parent"),
+    )
+
+
+def carried(releases: DataFrame, rounds: int = 64) -> DataFrame:
+    """release, depth, total (the sum of change from the root to it) and ended: root, orphan (a parent that isn't there) or cycle.
+
+    Pointers double: after k rounds each release has followed 2**k parents, so
+    a chain of a million releases takes 20 joins. One that hasn't ended after
+    more steps than there are releases goes round.
+    """
+    spark = releases.sparkSession
+    n = releases.count()
+    there = releases.select(F.col("release").alias("_there"))
+    known = releases.join(there, F.col("parent") == F.col("_there"), "left")
+    ended = F.when(F.col("parent").isNull(), "root").when(F.col("_there").isNull(), "orphan")
+    # next: the release reached so far; what was summed up excludes it.
+    now = known.select("release", F.when(ended.isNull(), F.col("parent")).alias("next"), F.lit(0).cast("long").alias("depth"), F.col("change").cast("long").alias("total"), ended.alias("ended"))
+    now = now.withColumn("depth", F.when(F.col("next").isNotNull(), 1).otherwise(0).cast("long"))
+    root, steps = store.scratch_root(spark, "chains"), 1
+    for k in range(rounds):
+        path = f"{root}/{k}"
+        now.write.parquet(path)
+        now = spark.read.schema(now.schema).parquet(path)
+        if steps > n or not now.where("next is not null").limit(1).count():
+            break
+        far = now.select(F.col("release").alias("_release"), F.col("next").alias("_next"), F.col("depth").alias("_depth"), F.col("total").alias("_total"), F.col("ended").alias("_ended"))
+        now = now.join(far, F.col("next") == F.col("_release"), "left").select(
+            "release", F.col("_next").alias("next"), (F.col("depth") + F.coalesce("_depth", F.lit(0))).alias("depth"), (F.col("total") + F.coalesce("_total", F.lit(0))).alias("total"), F.coalesce("ended", "_ended").alias("ended"))
+        steps *= 2
+    return now.select("release", F.when(F.col("next").isNull(), F.col("depth")).alias("depth"), F.when(F.col("next").isNull(), F.col("total")).alias("total"), F.coalesce("ended", F.lit("cycle")).alias("ended"))
+
+
 def replacement_contract(manifest: DataFrame, staged: DataFrame) -> DataFrame:
     """Rows of a replacement manifest (entry path, old and new digests of entry, review and evidence tree) against what is staged (path, sha256).
 

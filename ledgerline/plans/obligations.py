@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions import keys
-from ledgerline.operators import attest, availability, contracts, incremental, lookups, pages, rules, search, select, shapes
+from ledgerline.operators import attest, availability, contracts, incremental, lookups, ordering, pages, rules, search, select, shapes
 from ledgerline.plans.base import INVENTORIES, OBSERVATIONS, RECORDS, query
 from ledgerline.plans.collections import PAGE, PAGES_SQL, active, current
 from ledgerline.plans.inventories import LISTING
@@ -212,21 +212,19 @@ rp as (select path, row_number() over (order by path) - 1 as place from (select
 
 
 def _release(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    from pyspark.sql import Window
-
     size, k = F.col("size"), F.col("k")
-    v = records(spark, d).where("version <= 2").withColumn("name", _entity()).select("name", "size", F.row_number().over(Window.orderBy("id", "version")).alias("k"))
+    v = ordering.numbered(records(spark, d).where("version <= 2").withColumn("name", _entity()).select("name", "size"), F.col("name"), "k")
     at = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
     name = F.col("name")
     kinds = [("additions", at("entries/", name, ".json"), size % 3 != 0), ("additions", at("renders/", name, "/x/a.html"), size % 2 == 0), ("stable", at("tombstones/", name, ".json"), size % 9 == 1), ("withdrawals", at("entries/", name, ".json"), size % 11 == 3), ("aggregates", at("../", name), size % 13 == 5)]
     made = F.array_compact(F.array(*[F.when(c, F.struct(F.lit(s).alias("section"), p.alias("path"))) for s, p, c in kinds]))
     rows = v.select("k", F.explode(made).alias("x")).select("k", "x.*")
-    place = (F.row_number().over(Window.partitionBy("section").orderBy("path")) - 1).cast("long")
+    rows = ordering.numbered(rows, F.col("path"), by=["section"]).withColumn("place", F.col("place") - 1)
     moved = F.when(F.col("place") % 40 == 7, F.col("place") + 1).when(F.col("place") % 40 == 8, F.col("place") - 1).otherwise(F.col("place"))
-    rows = rows.withColumn("place", place).select("section", "path", moved.alias("position"), F.lit(1).cast("long").alias("bytes"), F.when(k % 50 == 9, "short").otherwise(F.sha2("path", 256)).alias("sha256"))
+    rows = rows.select("section", "path", moved.alias("position"), F.lit(1).cast("long").alias("bytes"), F.when(k % 50 == 9, "short").otherwise(F.sha2("path", 256)).alias("sha256"))
     gone = F.when(size % 4 == 0, at("entries/", name, ".json")).when(size % 4 == 1, at("search/t/w", k.cast("string"), "/head.json")).when(size % 4 == 2, F.lit("recent.json")).otherwise(at("other/", name))
     retired = v.where(size % 6 == 0).select(gone.alias("path")).distinct()
-    return rows, retired.withColumn("position", (F.row_number().over(Window.orderBy("path")) - 1).cast("long"))
+    return rows, ordering.numbered(retired, F.col("path"), "position").withColumn("position", F.col("position") - 1)
 
 
 @query(RELEASE + f"""select path as entity, 'safe' as rule, 'path' as field from mv where list_contains(string_split(path, '/'), '..') union all select path, 'pattern', 'sha256' from mv where not regexp_full_match(sha256, '[0-9a-f]{{64}}')

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions import keys, text
 from ledgerline.operators import attest, availability, contracts, diff, incremental, lookups, migrate, ordering, pages, rules, search, select, shapes
-from ledgerline.sources import readers
+from ledgerline.sources import readers, store
 from ledgerline.streaming import observe
 
 
@@ -250,7 +250,9 @@ def test_lookups_rows_and_node_caps(spark):
     assert found(contracts.lookup_contract(rows, "REC", 3)) == {("short", "truncated", "truncated"), ("silent", "truncated", "truncated"), ("turned", "order", "ids")}
     placed = spark.createDataFrame([("2026-01-02", 1, f"{one}1", 1, "t", "s", f"entries/{one}1-v1.json"), ("2026-01-02", 2, f"{one}2", 1, "t", "s", "entries/x")], "day string, page long, id string, version long, title string, status string, path string")
     assert found(contracts.page_contract(placed, "REC", 200)) == {(f"{one}2", "path", "path"), (f"{one}2", "place", "page")}
-    assert contracts.node_cap(spark.range(9), spark.range(2), 4).count() == 1 and contracts.node_cap(spark.range(8), spark.range(2), 4).count() == 0
+    # Nine files of one bundle in three folders, two of them in another: twelve nodes.
+    files = spark.createDataFrame([(f"b/{'x' if k % 2 else 'y/z'}/{k}",) for k in range(9)], "path string")
+    assert contracts.node_cap(files, spark.range(2), 6).count() == 0 and contracts.node_cap(files, spark.range(1), 11).count() == 1
 
 
 def test_both_lists_or_neither(spark, tmp_path):
@@ -260,7 +262,7 @@ def test_both_lists_or_neither(spark, tmp_path):
         contracts.write_recent(lists, lists, bad.limit(0), bad, str(tmp_path / "out"))
     assert not (tmp_path / "out").exists()
     contracts.write_recent(lists, lists, bad.limit(0), bad.limit(0), str(tmp_path / "out"))
-    assert spark.read.parquet(str(tmp_path / "out" / "recent-renders")).count() == 1
+    assert [store.read(spark, str(tmp_path / "out"), s).count() for s in (contracts.RECENT, contracts.RENDERS)] == [1, 1]
 
 
 def test_scripts_of_a_bundle_and_an_empty_one(spark):
