@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from ledgerline.operators import availability as av
 from ledgerline.plans.base import OBSERVATIONS, RECORDS, query
 from ledgerline.plans.collections import active
+from ledgerline.sources import store
 from ledgerline.sources.views import instant, observations, records, table, takedowns
+from ledgerline.streaming import ordered
 
 ISO = "'%Y-%m-%dT%H:%M:%SZ'"
 STATES = OBSERVATIONS + """, isl as (select *, sum((outcome = 'available')::int) over (partition by key order by "at", seq) as island from obs),
@@ -142,3 +144,34 @@ def published_health(spark: SparkSession, d: str) -> DataFrame:
     gone, bad = F.coalesce(F.col("code").isin(404, 410), F.lit(False)), F.coalesce(F.col("code") >= 400, F.lit(True))
     reason = F.when(~F.col("withdrawn") & bad, "missing").when(F.col("withdrawn") & ~gone, "withdrawn but not gone")
     return joined.select(F.concat(F.lit("entries/"), "id", F.lit("-v"), "version", F.lit(".json")).alias("path"), reason.alias("reason")).where("reason is not null")
+
+
+#: Observations come in four batches by time, every seventh in a later one; the stream's time is two days behind the newest.
+LATE_SECONDS = 2 * 86_400
+_SPAN = "floor(4 * (epoch(\"at\") - (select min(epoch(\"at\")) from obs)) / ((select max(epoch(\"at\")) - min(epoch(\"at\")) from obs) + 1))::int"
+ORDERED = OBSERVATIONS + f""", bt as (select *, {_SPAN} + case when seq % 7 = 0 then 1 + seq % 3 else 0 end as b from obs),
+mk as (select m.b, (select max(epoch("at")) from bt x where x.b < m.b) - {LATE_SECONDS} as passed from (select distinct b from bt) m)"""
+LATE_SQL = ORDERED + """ select key, seq, outcome from bt join mk using (b) where epoch("at") <= passed"""
+
+
+def _in_batches(spark: SparkSession, d: str) -> str:
+    rows = observations(spark, d)
+    ends = rows.agg(F.min(F.unix_timestamp("at")).alias("low"), F.max(F.unix_timestamp("at")).alias("high")).first()
+    span = F.floor(4 * (F.unix_timestamp("at") - ends["low"]) / (ends["high"] - ends["low"] + 1)).cast("int")
+    own = span + F.when(F.col("seq") % 7 == 0, 1 + F.col("seq") % 3).otherwise(0)
+    root = store.scratch_root(spark, "ordered")
+    for b in sorted(r[0] for r in rows.select(own.alias("b")).distinct().collect()):  # seven at most
+        ordered.advance(rows.where(own == b), b, root, LATE_SECONDS, 1)
+    return root
+
+
+@query(LATE_SQL)
+def late_observations(spark: SparkSession, d: str) -> DataFrame:
+    """What comes after the stream's time has passed it, from the side table."""
+    return ordered.late(spark, _in_batches(spark, d)).select("key", "seq", "outcome")
+
+
+@query(STATES.replace(OBSERVATIONS, ORDERED.replace("with obs as (", "with all_obs as (", 1).replace("from obs", "from all_obs") + """, obs as (select bt.* from bt join mk using (b) where passed is null or epoch("at") > passed)""") + f"select {SHOWN} from sts")
+def ordered_states(spark: SparkSession, d: str) -> DataFrame:
+    """States of observations that came out of order, but in time."""
+    return _shown(ordered.settled(spark, _in_batches(spark, d)))

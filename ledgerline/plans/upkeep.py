@@ -87,7 +87,9 @@ def scope_decision(spark: SparkSession, d: str) -> DataFrame:
     return incremental.scope_decision(changes).join(n)
 
 
-@query(PAGES_SQL + "select 0::bigint as differences, count(*) as pages from pg")
+@query(PAGES_SQL + f""", old as (select * from placed where not ({BATCH})), hit as (select distinct d as day, page from placed where {BATCH}), was as (select year, d as day, page, count(distinct case when not withdrawn then id end) as results, count_if(not withdrawn)::bigint as versions from old group by all),
+ patched as (select * from was anti join hit using (day, page) union all select * from pg semi join hit using (day, page))
+select (select count(*) from (from pg except all from patched)) + (select count(*) from (from patched except all from pg)) as differences, count(*) as pages from pg""")
 def incremental_equals_full(spark: SparkSession, d: str) -> DataFrame:
     """Rows in which the patched pages differ from those of a full build: none."""
     full = pages.pages(records(spark, d), active(spark, d), PREFIX, PAGE)
@@ -95,7 +97,9 @@ def incremental_equals_full(spark: SparkSession, d: str) -> DataFrame:
     return different.join(full.agg(F.count("*").alias("pages")))
 
 
-@query(RECORDS + f"select 0::bigint as differences, count(*) as broken from r where {BATCH} and (type not in ('ECONOMY', 'STANDARD') or size < 10)".replace("count(*) as broken", "sum((type not in ('ECONOMY', 'STANDARD'))::int + (size < 10)::int)::bigint as broken"))
+@query(RECORDS + f""", b as (select * from r where {BATCH}), v as (select id, version, 'enum' as rule from {{}} where type not in ('ECONOMY', 'STANDARD') union all select id, version, 'minimum' from {{}} where size < 10),
+ w as (select id, version, 'enum' as rule from r where type not in ('ECONOMY', 'STANDARD') union all select id, version, 'minimum' from r where size < 10), f as (select w.* from w semi join b using (id, version))
+select (select count(*) from (from v except all from f)) + (select count(*) from (from f except all from v)) as differences, count(*) as broken from v""".replace("{}", "b"))
 def scoped_equals_full(spark: SparkSession, d: str) -> DataFrame:
     """Violations found by validating the batch alone, against those of a full run that are the batch's."""
     r = records(spark, d)

@@ -109,14 +109,15 @@ def _folder(spark: SparkSession, path: str, schema: str, parts: Sequence[str] |
     return spark.read.schema(schema).option("basePath", path).parquet(*there) if there else None
 
 
-def publish(spark: SparkSession, root: str, changes: dict[Surface, DataFrame], replace: bool = False, based_on: dict | None = None, width: int | None = None) -> dict:
+def publish(spark: SparkSession, root: str, changes: dict[Surface, DataFrame], replace: bool = False, based_on: dict | None = None, width: int | None = None, note: dict | None = None) -> dict:
     """Writes new rows of several tables as one release and points readers to it; returns its document.
 
     A row with gone = true takes its key away. With replace the tables hold these
     rows alone, and a table that isn't named is none of the release's. based_on
     is the release that the rows were made from; if there is a newer one by now,
     the publication is refused. width is the digits by which new tables are
-    divided; without it, it follows from the number of their rows.
+    divided; without it, it follows from the number of their rows. note goes into
+    the document as it is, that of the release before where there is none.
     """
     last = head(spark, root)
     if based_on is not None and (last is None or last["release"] != based_on["release"]):
@@ -139,7 +140,7 @@ def publish(spark: SparkSession, root: str, changes: dict[Surface, DataFrame], r
         if held and held["schema"] != schema:
             raise ValueError(f"{surface.name}: columns are {schema}, not {held['schema']}")
         tables[surface.name] = {"folders": [*(held["folders"] if held else []), attempt], "width": parts, "schema": schema, "keys": list(surface.keys)}
-    document = {"schema": SCHEMA, "number": number, "parent": last["release"] if last else None, "attempt": attempt, "tables": tables, "written": written}
+    document = {"schema": SCHEMA, "number": number, "parent": last["release"] if last else None, "attempt": attempt, "tables": tables, "written": written, "note": note if note is not None else (last or {}).get("note")}
     document["release"] = _named(document)
     fs, own = _files(spark, root)
     fs.mkdirs(own(f"{root}/pointers"))

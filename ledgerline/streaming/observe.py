@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.operators.availability import FRESH, NO_BUDGET, STALE, TRANSIENT
+from ledgerline.sources import store
+from ledgerline.sources.store import Surface
 
 STATE = "status string, checked_at timestamp, last_attempt_at timestamp, streak long, last_error string"
 
@@ -41,6 +43,8 @@ def observe(observations: DataFrame, late: str = "5 minutes") -> DataFrame:
     A timer in event time makes a known status unknown once its check is not
     fresh any more, without a further observation of that key.
     """
+    # Pandas has times without a zone, in that of the session.
+    zone = observations.sparkSession.conf.get("spark.sql.session.timeZone")
 
     def update(key: tuple, batches: Iterator[pd.DataFrame], held) -> Iterator[pd.DataFrame]:
         state = held.get if held.exists else None
@@ -55,7 +59,8 @@ def observe(observations: DataFrame, late: str = "5 minutes") -> DataFrame:
         state = tuple(None if x is pd.NaT else x.to_pydatetime() if isinstance(x, pd.Timestamp) else x for x in state)
         held.update(state)
         if state[0] in ("available", "missing"):
-            until = int(pd.Timestamp(state[1]).timestamp() * 1000) + (FRESH + 1) * 1000
+            checked = pd.Timestamp(state[1]).tz_localize(zone, ambiguous=False, nonexistent="shift_forward")
+            until = int(checked.timestamp() * 1000) + (FRESH + 1) * 1000
             held.setTimeoutTimestamp(max(until, held.getCurrentWatermarkMs() + 1))
         yield pd.DataFrame([(key[0], *state)], columns=["key", "status", "checked_at", "last_attempt_at", "streak", "last_error"]).astype({"checked_at": "datetime64[us]", "last_attempt_at": "datetime64[us]"})
 
@@ -72,19 +77,33 @@ def _written(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
-def ingest(source: DataFrame, path: str, checkpoint: str, key: list[str]):
+#: Batches after which the keys of all are written into one folder.
+COMPACT = 16
+
+
+def ingest(source: DataFrame, path: str, checkpoint: str, key: list[str], digits: int = 2):
     """Appends new records of a stream to a table once each, also when a batch is run again or a key comes in a later one; returns the finished query.
 
-    What is there is asked for its keys alone; a batch writes its own folder anew.
+    Keys stand beside the records, divided by the first digits of their digests
+    (hexadecimal; more for more keys in all) and compacted now and then, so a batch opens the parts that its own keys fall in, and at most
+    COMPACT files of each. It writes its own folder of records anew, then its keys.
     """
+    index = Surface("keys", tuple(key))
+    root = f"{path}-keys"
 
     def merge(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         new = batch.dropDuplicates(key)
-        there = _written(batch.sparkSession, path)
-        if there is not None:
+        last = store.head(spark, root)
+        if last is not None:
+            there = store.read(spark, root, index, new.select(*key), last)
             same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in key]
+            # A batch that is run again has its keys there already.
             new = new.join(there.where(F.col("batch") != batch_id).select(*[F.col(k).alias(f"_{k}") for k in key]), same, "left_anti")
         new.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path)
+        store.publish(spark, root, {index: new.select(*key, F.lit(batch_id).cast("long").alias("batch"))}, based_on=last, width=digits)
+        if last is not None and len(last["tables"]["keys"]["folders"]) >= COMPACT:
+            store.compact(spark, root, [index])
 
     query = source.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()

@@ -1,11 +1,13 @@
 """Places, equality, chains, scoped validation and authorities over small tables."""
 
+import datetime as dt
 import random
 
 from pyspark.sql import functions as F
 
-from ledgerline.operators import authority_documents, contracts, incremental, ordering, rules, scoped
+from ledgerline.operators import authority_documents, availability, contracts, incremental, ordering, rules, scoped
 from ledgerline.sources import store
+from ledgerline.streaming import observe, ordered
 
 RECORD = "id string, day string, serial long, version long, title string, registered_at string, repository string, project_path string, config_path string, submission_id string"
 
@@ -106,3 +108,46 @@ def test_an_append_changes_just_what_it_touches(spark):
     lost = found(authority_documents.disagreements(after, before.unionByName(spark.createDataFrame([("registrations/odd", "x")], "path string, body string"))))
     assert ("registrations/odd", "unexpected", "path") in lost and (day, "differs", "document") in lost
     assert found(authority_documents.append_violations(prior, batch.limit(0), before, before)) == []
+
+
+def test_a_shuffled_stream_ends_in_the_batch_states_and_names_what_was_late(spark, tmp_path):
+    draw = random.Random(8)
+    start = dt.datetime(2026, 1, 1)
+    rows = [(k, start + dt.timedelta(minutes=draw.randrange(0, 600)), n, draw.choice(["available", "missing", "missing", "transient", "budget"])) for n, k in enumerate(draw.randrange(0, 12) for _ in range(240))]
+    schema = "key long, at timestamp, seq long, outcome string"
+    rows.sort(key=lambda r: r[1] + dt.timedelta(minutes=draw.randrange(0, 120)))
+    batches, passed, late, kept = [rows[k : k + 40] for k in range(0, 240, 40)], None, set(), []
+    for batch in batches:
+        late |= {r[2] for r in batch if passed is not None and r[1] <= passed}
+        kept += [r for r in batch if passed is None or r[1] > passed]
+        passed = max(passed or start, max(r[1] for r in batch) - dt.timedelta(minutes=45))
+    assert 5 < len(late) < 100
+    for batch in batches:
+        spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        source = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+        ordered.observe(source, str(tmp_path / "out"), str(tmp_path / "ck"), 45 * 60, 1)
+    # A batch that comes again changes nothing.
+    before = store.head(spark, str(tmp_path / "out"))
+    ordered.advance(spark.createDataFrame(batches[2], schema), 2, str(tmp_path / "out"), 45 * 60, 1)
+    assert store.head(spark, str(tmp_path / "out")) == before
+    assert {r.seq for r in ordered.late(spark, str(tmp_path / "out")).collect()} == late
+    want = {tuple(r) for r in availability.states(spark.createDataFrame(kept, schema)).collect()}
+    assert {tuple(r) for r in ordered.settled(spark, str(tmp_path / "out")).collect()} == want
+
+
+def test_batches_open_as_many_files_of_keys_however_many_there_were(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(observe, "COMPACT", 3)
+    read, opened = store.read, []
+
+    def counted(spark, root, surface, keys=None, at=None):
+        rows = read(spark, root, surface, keys, at)
+        if keys is not None:
+            opened.append(len(rows.inputFiles()))
+        return rows
+
+    monkeypatch.setattr(store, "read", counted)
+    for n in range(9):
+        spark.createDataFrame([("always",), (f"own{n}",)], "id string").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        observe.ingest(spark.readStream.schema("id string").parquet(str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "ck"), ["id"], 1)
+    assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "out")).collect()) == sorted(["always", *[f"own{n}" for n in range(9)]])
+    assert len(opened) == 8 and max(opened) <= 2 * 4
