@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 INSTANT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}Z$"
+INSTANT_FORM = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 PAGE_SIZE = 200
 
 
@@ -31,7 +32,7 @@ def strict_coordinate(id_: Column, prefix: str, page_size: int = PAGE_SIZE) -> C
 
 def strict_instant(text: Column) -> Column:
     """Whether text is an instant of second precision that exists."""
-    return F.coalesce(text.rlike(INSTANT) & F.try_to_timestamp(text, F.lit("yyyy-MM-dd'T'HH:mm:ss'Z'")).isNotNull(), F.lit(False))
+    return F.coalesce(text.rlike(INSTANT) & F.try_to_timestamp(text, F.lit(INSTANT_FORM)).isNotNull(), F.lit(False))
 
 
 def calendar_day(text: Column) -> Column:

@@ -15,8 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ledgerline.functions.keys import identifier, license_filename, percent_encoded_path, safe_relative_path, strict_instant
-from ledgerline.operators.rules import Rule
+from ledgerline.functions.keys import INSTANT, INSTANT_FORM, identifier, license_filename, percent_encoded_path, safe_relative_path
+from ledgerline.operators.rules import Rule, quoted
 
 
 @dataclass(frozen=True)
@@ -34,46 +34,45 @@ class Field:
     instant: bool = False
 
 
-def _reached(path: str, broken: Callable[[Column, Column], Column]) -> Column:
-    """Whether broken(value, holder) holds for some value at path. Where an array is on the way, for an entry of it."""
+def _reached(path: str, broken: Callable[[str, str], str]) -> str:
+    """SQL: whether broken(value, holder) holds for some value at path. Where an array is on the way, for an entry of it."""
 
-    def go(holder: Column, parts: list[str]) -> Column:
+    def go(holder: str, parts: list[str], depth: int) -> str:
         name, rest = parts[0], parts[1:]
+        at = f"{holder}.{name.removesuffix('[]')}" if holder else name.removesuffix("[]")
         if name.endswith("[]"):
-            entries = holder.getField(name[:-2])
-            inner = (lambda x: go(x, rest)) if rest else (lambda x: broken(x, entries))
-            return F.coalesce(F.exists(entries, inner), F.lit(False))
-        value = holder.getField(name)
-        return broken(value, holder) if not rest else go(value, rest)
+            entry = f"x{depth}"
+            return f"coalesce(exists({at}, {entry} -> {go(entry, rest, depth + 1) if rest else broken(entry, at)}), false)"
+        return go(at, rest, depth) if rest else broken(at, holder or "true")
 
-    first, *rest = path.split(".")
-    if first.endswith("[]"):
-        entries = F.col(first[:-2])
-        return F.coalesce(F.exists(entries, (lambda x: go(x, rest)) if rest else (lambda x: broken(x, entries))), F.lit(False))
-    return go(F.col(first), rest) if rest else broken(F.col(first), F.lit(True))
+    return go("", path.split("."), 0)
 
 
 def rules_of(shape: Sequence[Field]) -> list[Rule]:
-    """The row rules of a shape, in its order."""
+    """The row rules of a shape, in its order, as SQL text: a record has more than a hundred."""
     out = []
+    text = quoted
+
+    def rule(name: str, path: str, broken: Callable[[str, str], str]) -> None:
+        out.append(Rule(name, path, f"coalesce({_reached(path, lambda v, holder: f'coalesce({broken(v, holder)}, false)')}, false)"))
+
     for f in shape:
-        at = lambda broken, path=f.path: F.coalesce(_reached(path, lambda v, holder: F.coalesce(broken(v, holder), F.lit(False))), F.lit(False))
         if not f.optional:
-            out.append(Rule("required", f.path, at(lambda v, holder: holder.isNotNull() & v.isNull())))
+            rule("required", f.path, lambda v, holder: f"{holder} is not null and {v} is null")
         if f.pattern:
-            out.append(Rule("pattern", f.path, at(lambda v, _, p=f.pattern: ~v.rlike(f"^(?:{p})$"))))
+            rule("pattern", f.path, lambda v, _, p=f.pattern: f"not rlike({v}, {text(f'^(?:{p})$')})")
         if f.values:
-            out.append(Rule("enum", f.path, at(lambda v, _, x=f.values: ~v.isin(*x))))
+            rule("enum", f.path, lambda v, _, x=f.values: f"{v} not in ({', '.join(text(y) if isinstance(y, str) else str(y) for y in x)})")
         if f.length:
-            out.append(Rule("length", f.path, at(lambda v, _, x=f.length: ~F.char_length(v).between(*x))))
+            rule("length", f.path, lambda v, _, x=f.length: f"char_length({v}) not between {x[0]} and {x[1]}")
         if f.size:
-            out.append(Rule("size", f.path, at(lambda v, _, x=f.size: ~F.size(v).between(*x))))
+            rule("size", f.path, lambda v, _, x=f.size: f"size({v}) not between {x[0]} and {x[1]}")
         if f.least is not None:
-            out.append(Rule("minimum", f.path, at(lambda v, _, x=f.least: v < x)))
+            rule("minimum", f.path, lambda v, _, x=f.least: f"{v} < {x}")
         if f.unique:
-            out.append(Rule("unique", f.path, at(lambda v, _: F.size(F.array_distinct(v)) < F.size(v))))
+            rule("unique", f.path, lambda v, _: f"size(array_distinct({v})) < size({v})")
         if f.instant:
-            out.append(Rule("instant", f.path, at(lambda v, _: ~strict_instant(v))))
+            rule("instant", f.path, lambda v, _: f"not coalesce(rlike({v}, {text(INSTANT)}) and try_to_timestamp({v}, {text(INSTANT_FORM)}) is not null, false)")
     return out
 
 
