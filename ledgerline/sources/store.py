@@ -37,14 +37,19 @@ SCHEMA = 1
 
 @dataclass(frozen=True)
 class Surface:
-    """A table by name, and the columns of its key."""
+    """A table by name, the columns of its key, and those of them that it is divided and asked by (all, if none are named)."""
 
     name: str
     keys: tuple[str, ...]
+    by: tuple[str, ...] = ()
+
+    @property
+    def asked(self) -> tuple[str, ...]:
+        return self.by or self.keys
 
     def digest(self) -> Column:
-        """Of a row's key; a null is told from an empty text."""
-        return F.sha2(F.to_json(F.struct(*self.keys), {"ignoreNullFields": "false"}), 256)
+        """Of what a row is asked by; a null is told from an empty text."""
+        return F.sha2(F.to_json(F.struct(*self.asked), {"ignoreNullFields": "false"}), 256)
 
 
 def _files(spark: SparkSession, path: str):
@@ -96,7 +101,7 @@ def _item(rows: DataFrame) -> Column:
 
 def _attested(rows: DataFrame, surface: Surface, width: int) -> dict:
     """rows and digest of a folder."""
-    row = listing_digest(rows, surface.digest(), _item(rows), width).first()
+    row = listing_digest(rows, F.concat(surface.digest(), F.to_json(F.struct(*surface.keys), {"ignoreNullFields": "false"})), _item(rows), width).first()
     return {"rows": row["n"], "digest": row["digest"] or hashlib.sha256(b"").hexdigest()}
 
 
@@ -139,7 +144,7 @@ def publish(spark: SparkSession, root: str, changes: dict[Surface, DataFrame], r
         written[surface.name] = _attested(stored, surface, parts)
         if held and held["schema"] != schema:
             raise ValueError(f"{surface.name}: columns are {schema}, not {held['schema']}")
-        tables[surface.name] = {"folders": [*(held["folders"] if held else []), attempt], "width": parts, "schema": schema, "keys": list(surface.keys)}
+        tables[surface.name] = {"folders": [*(held["folders"] if held else []), attempt], "width": parts, "schema": schema, "keys": list(surface.keys), "by": list(surface.by)}
     document = {"schema": SCHEMA, "number": number, "parent": last["release"] if last else None, "attempt": attempt, "tables": tables, "written": written, "note": note if note is not None else (last or {}).get("note")}
     document["release"] = _named(document)
     fs, own = _files(spark, root)
@@ -154,7 +159,7 @@ def publish(spark: SparkSession, root: str, changes: dict[Surface, DataFrame], r
 
 
 def read(spark: SparkSession, root: str, surface: Surface, keys: DataFrame | None = None, at: dict | None = None) -> DataFrame | None:
-    """A table's rows in the newest release (or the one given), or None where it has no such table; with keys (a small table), only theirs, from their parts alone."""
+    """A table's rows in the newest release (or the one given), or None where it has no such table; with keys (a small table of what it is asked by), only theirs, from their parts alone."""
     document = at or head(spark, root)
     table = (document or {"tables": {}})["tables"].get(surface.name)
     if table is None:
@@ -174,9 +179,9 @@ def read(spark: SparkSession, root: str, surface: Surface, keys: DataFrame | Non
         versions = spark.createDataFrame([], table["schema"]).withColumn("_at", F.lit(0))
     if keys is not None:
         same = F.lit(True)
-        for k in surface.keys:
+        for k in surface.asked:
             same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
-        versions = versions.join(keys.select(*[F.col(k).alias(f"_{k}") for k in surface.keys]).distinct(), same, "left_semi")
+        versions = versions.join(keys.select(*[F.col(k).alias(f"_{k}") for k in surface.asked]).distinct(), same, "left_semi")
     values = [c for c in versions.columns if c not in (*surface.keys, "_at")]
     if len(table["folders"]) > 1:
         versions = versions.groupBy(*surface.keys).agg(F.max_by(F.struct(*values), "_at").alias("_v")).select(*surface.keys, "_v.*")
@@ -199,7 +204,7 @@ def violations(spark: SparkSession, root: str) -> list[tuple[int, str, str]]:
         for name, told in document["written"].items():
             table = document["tables"][name]
             rows = _folder(spark, f"{root}/{name}/{document['attempt']}", f"{table['schema']}, part string").drop("part")
-            if _attested(rows, Surface(name, tuple(table["keys"])), table["width"]) != told:
+            if _attested(rows, Surface(name, tuple(table["keys"]), tuple(table["by"])), table["width"]) != told:
                 found.append((document["number"], "rows", name))
     return found
 
