@@ -2,11 +2,10 @@
 
 The reference table has one row for each document and distinct key, so
 documents can be added and taken away again at any time and the counts stay
-exact. Sharded cuckoo filters hold the keys that enough documents have. An
-insertion adds to its shards' filters the keys that have now come to be
-repeated, a deletion takes away those that are no longer. They answer
-"certainly not repeated" for nearly all lines, and what passes is settled
-against the exact table.
+exact (line_index keeps it, and counts and filters with it). Sharded cuckoo
+filters hold the keys that enough documents have. They answer "certainly not
+repeated" for nearly all lines, and what passes is settled against the exact
+table.
 
 A key is named by 128 bits of xxhash64. Defined cases: null or empty text is
 one empty line; rows of one doc_id are one document, and its lines stay or go
@@ -17,7 +16,7 @@ repeated line; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -154,54 +153,6 @@ def filters(repeated: DataFrame, shards: int) -> DataFrame:
     return repeated.select(_shard(shards), "k2").groupBy("shard").applyInPandas(build, FILTERS)
 
 
-def build_index(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> LineIndex:
-    table = references(docs, min_chars).distinct()
-    repeated = written(counts(table, min_docs).select("k1", "k2"), "repeated-keys")
-    shards = max(SHARDS, -(-repeated.count() // SHARD_KEYS))
-    return LineIndex(table, written(filters(repeated, shards), "filters"), shards, min_chars, min_docs)
-
-
-def _moved(index: LineIndex, change: DataFrame, sign: int) -> DataFrame:
-    """The keys that a change of references (k1, k2, doc_id) makes repeated (up) or no longer so."""
-    moves = change.groupBy("k1", "k2").agg(F.count("*").alias("moved"))
-    held = index.references.join(moves.select("k1", "k2"), ["k1", "k2"], "left_semi").groupBy("k1", "k2").agg(F.count("*").alias("held"))
-    both = moves.join(held, ["k1", "k2"], "left").withColumn("held", F.coalesce("held", F.lit(0)))
-    was, now = F.col("held") >= index.min_docs, F.col("held") + sign * F.col("moved") >= index.min_docs
-    return both.where(was != now).select(_shard(index.shards), "k2")
-
-
-def _updated(index: LineIndex, moved: DataFrame, sign: int) -> LineIndex:
-    """index, whose references are those after a change, with its filters after it; a filter without room is made anew from the exact table."""
-
-    def update(key: tuple, held: pd.DataFrame, keys: pd.DataFrame) -> pd.DataFrame:
-        made, own = CuckooFilter(cells=held["cells"].iloc[0]) if len(held) else CuckooFilter(), keys["k2"].to_numpy().view(np.uint64)
-        if sign < 0:
-            made.remove(own)
-        return pd.DataFrame({"shard": [key[0]], "cells": [made.cells.tobytes() if sign < 0 or made.add(own) else None]})
-
-    updated = written(index.filters.groupBy("shard").cogroup(moved.groupBy("shard")).applyInPandas(update, FILTERS), "filters")
-    if sign > 0 and not updated.where("cells is null").isEmpty():
-        keys = counts(index.references, index.min_docs).withColumn("shard", _shard(index.shards)).join(updated.where("cells is null").select("shard"), "shard", "left_semi")
-        updated = written(updated.where("cells is not null").unionByName(filters(keys, index.shards)), "filters")
-    return replace(index, filters=updated)
-
-
-def insert(index: LineIndex, docs: DataFrame) -> LineIndex:
-    """The index with docs added; what it has already of them is not added again."""
-    new = references(docs, index.min_chars).distinct().join(index.references, ["k1", "k2", "doc_id"], "left_anti")
-    new = written(new.select("k1", "k2", "doc_id"), "references")
-    moved = _moved(index, new, 1)
-    return _updated(replace(index, references=index.references.unionByName(new)), moved, 1)
-
-
-def delete(index: LineIndex, doc_ids: DataFrame) -> LineIndex:
-    """The index without the documents whose doc_id is listed: what an insertion of them did is undone."""
-    gone = doc_ids.select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
-    change = written(index.references.join(gone, "doc_id", "left_semi").select("k1", "k2", "doc_id"), "references")
-    moved = _moved(index, change, -1)
-    return _updated(replace(index, references=index.references.join(gone, "doc_id", "left_anti").select("k1", "k2", "doc_id")), moved, -1)
-
-
 def _maybe_repeated(lines: DataFrame, index: LineIndex) -> DataFrame:
     """The rows of lines (with k1, k2) whose key a filter may hold."""
     if (index.filters.agg(F.sum(F.octet_length("cells").cast("long"))).first()[0] or 0) > FILTER_BYTES:

@@ -10,8 +10,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerline.llm import byte_bpe, chat_format, dart_minhash, decontaminate, exact_topk, line_dedup, linking, packing, pii, quality, queries, substring_dedup, textgrams, url_filter
+from ledgerline.llm import byte_bpe, chat_format, dart_minhash, decontaminate, exact_topk, line_dedup, line_index, linking, packing, pii, quality, queries, substring_dedup, textgrams, url_filter
 from ledgerline.llm.queries import TOKENIZER
+from ledgerline.sources import store
 
 LINE = "This line is long enough to be counted as a key of its own"
 ODD = [
@@ -216,21 +217,46 @@ def _may_hold(index, keys):
     return [k.k1 % index.shards in held and bool(held[k.k1 % index.shards].may_hold(np.array([k.k2], np.int64).view(np.uint64))[0]) for k in keys]
 
 
-def test_a_deletion_undoes_an_insertion(spark):
-    docs = spark.createDataFrame([(k, f"{LINE}\n{LINE} {k % 2}\nx") for k in range(12)], "doc_id long, text string")
-    one, two = docs.where("doc_id < 7"), docs.where("doc_id >= 7")
-    before = line_dedup.build_index(one)
-    after = line_dedup.insert(line_dedup.insert(before, two), two)
+def test_a_deletion_undoes_an_insertion(spark, tmp_path):
+    root = str(tmp_path)
+    docs = spark.createDataFrame([(k, f"{LINE}\n{LINE} {k % 2}\n{LINE} own {k}\nx") for k in range(12)] + [(None, LINE)], "doc_id long, text string")
+    one, two = docs.where("doc_id < 7"), docs.where("doc_id >= 7 or doc_id is null")
+    line_index.build(one, root, digits=1)
+    before = line_index.index(spark, root)
+    want = sorted(before.references.collect())
+    first = line_index.insert(two, root)
+    line_index.insert(two, root)
+    after = line_index.index(spark, root)
     assert sorted(after.references.collect()) == sorted(line_dedup.references(docs).distinct().collect())
     keys = line_dedup.counts(after.references).orderBy("k1").collect()
     assert len(keys) == 3 and {k.keeper for k in keys} == {10, 11} and all(_may_hold(after, keys))
-    back = line_dedup.delete(after, two.select("doc_id"))
-    assert sorted(back.references.collect()) == sorted(before.references.collect())
+    told = sorted((r.k1, r.k2, r.n_docs, r.keeper) for r in store.read(spark, root, line_index.COUNTS).where("n_docs >= 5").collect())
+    assert told == sorted((k.k1, k.k2, k.n_docs, k.keeper) for k in keys)
+    kept = lambda index, rows: sorted((str(r.doc_id), r.kept) for r in line_dedup.dedup_lines(rows, index=index).collect())
+    assert kept(after, docs) == kept(None, docs)
+    # The documents' texts are not needed to take them away.
+    line_index.delete(spark.createDataFrame([(k,) for k in (7, 8, 9, 10, 11, 99)], "doc_id long"), root)
+    back = line_index.index(spark, root)
+    assert sorted(back.references.collect()) == want
     repeated = {(k.k1, k.k2) for k in line_dedup.counts(back.references).collect()}
     assert len(repeated) == 1 and _may_hold(back, keys) == [(k.k1, k.k2) in repeated for k in keys] == _may_hold(before, keys)
-    kept = lambda index, rows: sorted((r.doc_id, r.kept) for r in line_dedup.dedup_lines(rows, index=index).collect())
-    assert kept(after, docs) == kept(None, docs) and kept(back, one) == kept(None, one) == kept(before, one)
-    assert line_dedup.delete(back, one.select("doc_id")).references.count() == 0
+    assert kept(back, one) == kept(None, one) == kept(before, one)
+    assert {r.keeper for r in store.read(spark, root, line_index.COUNTS).where("n_docs >= 5").collect()} == {6}
+    line_index.delete(one.select("doc_id"), root)
+    assert line_index.index(spark, root).references.count() == 0 and store.read(spark, root, line_index.COUNTS).count() == 0
+    assert first["written"]["held"]["rows"] == 5 and store.violations(spark, root) == []
+
+
+def test_an_insertion_opens_the_parts_of_its_own_keys(spark, tmp_path):
+    root = str(tmp_path)
+    docs = spark.createDataFrame([(k, f"{LINE} of {k // 3}") for k in range(600)], "doc_id long, text string")
+    line_index.build(docs, root, digits=2)
+    last = store.head(spark, root)
+    one = spark.createDataFrame([(1000, f"{LINE} of 5")], "doc_id long, text string")
+    keys = line_dedup.references(one).select("k1", "k2")
+    assert len(store.read(spark, root, line_index.COUNTS, keys, last).inputFiles()) == 1 < 50 < len(store.read(spark, root, line_index.COUNTS, at=last).inputFiles())
+    new = line_index.insert(one, root)
+    assert {n: w["rows"] for n, w in new["written"].items()} == {"holders": 1, "held": 1, "counts": 1, "filters": 0}
 
 
 def test_cuckoo_filters_never_lose_a_key():
