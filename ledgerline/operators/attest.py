@@ -57,7 +57,7 @@ def canonical_rows(inventory: DataFrame) -> Column:
 
 
 def tree_hashes(files: DataFrame, bundle: str) -> DataFrame:
-    """Per bundle: files, bytes, the largest file and the hash of its canonical listing. A bundle has a bounded number of files."""
+    """Per bundle: files, bytes, the largest file and the hash of its canonical listing. A bundle has a bounded number of files; see bundle_digests for any number."""
     return files.groupBy(bundle).agg(F.count("*").alias("files"), F.sum("bytes").alias("total_bytes"), F.max("bytes").alias("largest"), F.sha2(canonical_rows(files), 256).alias("tree_sha256"))
 
 
@@ -86,6 +86,13 @@ def listing_digest(rows: DataFrame, key: Column, item: Column, width: int) -> Da
     return listing_digests(rows, [], key, item, width)
 
 
+def bundle_digests(files: DataFrame, bundle: str, item: Column, rows: int = 4096) -> DataFrame:
+    """Per bundle: files, and a digest over all of them however many they are, as listing_digest makes it; parts have about `rows` files in the largest bundle."""
+    most = files.groupBy(bundle).count().agg(F.max("count")).first()[0] or 0
+    made = listing_digests(files, [bundle], F.col("path"), item, listing_width(most, rows))
+    return made.select(bundle, F.col("n").alias("files"), "digest")
+
+
 def sectioned(inventory: DataFrame, excluded: tuple[str, ...] = ("index.json", "release-delta.json")) -> DataFrame:
     """Inventory rows with the section of a release that they belong to."""
     from ledgerline.functions.keys import object_class

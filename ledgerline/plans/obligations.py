@@ -346,16 +346,32 @@ def rebuild_inputs(spark: SparkSession, d: str) -> DataFrame:
 
 
 
-@query("""with k as (select page_id::varchar as entity, page_id % 4 as k from pages), f as (select * from (values (1, 'element', 'tag'), (1, 'early', 'tag'), (1, 'early', 'http-equiv'), (1, 'attribute', 'on'), (1, 'one', 'policy'), (1, 'script', 'count'),
- (2, 'script', 'form'), (2, 'script', 'order'), (2, 'script', 'count'), (2, 'url', 'javascript'), (2, 'one', 'policy'), (3, 'element', 'tag'), (3, 'script', 'count')) as t(k, rule, field)) select entity, rule, field from k join f using (k)""")
+def _value(name: str) -> str:
+    return f"""regexp_extract(attributes, '(?i)(?:^|\\s){name}\\s*=\\s*["'']([^"'']*)["'']', 1)"""
+
+
+HEADS = [
+    '<!doctype html><html><head><meta http-equiv="Content-Security-Policy" content="P"><script src="a.js" defer></script><script src="b.js" defer></script></head><body>',
+    '<html><head><base href="x"><meta http-equiv="refresh"><meta http-equiv="Content-Security-Policy" content="Q"></head><body onload="x">',
+    '<html><head><script src="b.js"></script></head><body><a href="javascript:x">', '<html><head><meta http-equiv="Content-Security-Policy" content="P"></head><iframe></iframe>',
+]
+TAGS_SQL = f"""with pg as (select page_id, [{", ".join(f"'{h}'" for h in HEADS)}][page_id % 4 + 1] || replace(regexp_replace(coalesce(html, ''), '<[^>]*>', ' ', 'g'), '<', ' ') as shown from pages),
+rw as (select page_id, unnest(m) as raw, generate_subscripts(m, 1) as pos from (select page_id, regexp_extract_all(shown, '<(/?[A-Za-z][A-Za-z0-9]*)([^>]*)>') as m from pg)),
+tg as (select page_id, pos, lower(regexp_extract(raw, '<(/?[A-Za-z][A-Za-z0-9]*)([^>]*)>', 1)) as tag, regexp_extract(raw, '<(/?[A-Za-z][A-Za-z0-9]*)([^>]*)>', 2) as attributes from rw),
+dp as (select *, not starts_with(tag, '/') as opens, tag = 'meta' and lower({_value("http-equiv")}) = 'content-security-policy' as is_policy, sum((tag = 'head')::int - (tag = '/head')::int) over w as head, sum((tag = 'template')::int - (tag = '/template')::int) over w as template, sum((tag = 'script')::int) over w as nth from tg window w as (partition by page_id order by pos)),
+ac as (select *, is_policy and head = 1 and template = 0 as active from dp), mk as (select *, head = 1 and opens and tag <> 'head' and not coalesce(bool_or(active) over (partition by page_id order by pos rows between unbounded preceding and 1 preceding), false) as early from ac),
+pp as (select page_id, count_if(tag = 'head') as heads, count_if(is_policy) as policies, count_if(active and {_value("content")} = 'P') as trusted, count_if(tag = 'script') as scripts, count_if(tag = '/script') as ends from mk group by page_id)
+"""
+
+
+@query(TAGS_SQL + _sql("mk", [
+    ("element", "tag", "tag in ('base', 'embed', 'iframe', 'object')"), ("attribute", "on", "opens and regexp_matches(attributes, '(?i)(?:^|\\s)(?:on[a-z]+|srcdoc)(?:\\s|=|/|$)')"), ("url", "javascript", "opens and regexp_matches(attributes, '(?i)(?:^|\\s)(?:href|src|action|formaction|ping)\\s*=\\s*[\"'']?javascript:')"),
+    ("early", "tag", "early and tag not in ('meta', 'script')"), ("early", "http-equiv", "early and tag = 'meta' and not is_policy and regexp_matches(attributes, '(?i)(?:^|\\s)http-equiv(?:\\s|=|/|$)')"),
+    ("script", "form", "tag = 'script' and not regexp_matches(attributes, '(?i)^\\s*(?:src\\s*=\\s*[\"''][^\"'']*[\"'']\\s+defer|defer\\s+src\\s*=\\s*[\"''][^\"'']*[\"''])\\s*$')"), ("script", "order", f"tag = 'script' and {_value('src')} is distinct from ['a.js', 'b.js'][nth::bigint]"),
+], "page_id::varchar") + " union all " + _sql("pp", [("one", "head", "heads <> 1"), ("one", "policy", "policies <> 1 or trusted <> 1"), ("script", "count", "scripts <> 2 or ends <> scripts")], "page_id::varchar"))
 def tag_rules(spark: SparkSession, d: str) -> DataFrame:
     """Pages with one of four heads before their own text: a right one, and three that break rules."""
-    policy = '<meta http-equiv="Content-Security-Policy" content="%s">'
-    heads = [
-        f'<!doctype html><html><head>{policy % "P"}<script src="a.js" defer></script><script src="b.js" defer></script></head><body>', f'<html><head><base href="x"><meta http-equiv="refresh">{policy % "Q"}</head><body onload="x">',
-        '<html><head><script src="b.js"></script></head><body><a href="javascript:x">', f'<html><head>{policy % "P"}</head><iframe></iframe>',
-    ]
     text = F.regexp_replace(F.coalesce("html", F.lit("")), "<[^>]*>", " ")
-    shown = F.concat(F.element_at(F.array(*map(F.lit, heads)), (F.col("page_id") % 4 + 1).cast("int")), F.replace(text, F.lit("<"), F.lit(" ")))
+    shown = F.concat(F.element_at(F.array(*map(F.lit, HEADS)), (F.col("page_id") % 4 + 1).cast("int")), F.replace(text, F.lit("<"), F.lit(" ")))
     tags = rules.tag_stream(table(spark, d, "pages").select("page_id", shown.alias("html")), "page_id", "html")
     return contracts.tag_rules(tags, "page_id", "P", ("a.js", "b.js"))

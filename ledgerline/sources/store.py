@@ -21,6 +21,8 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
+import tempfile
 import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
@@ -222,6 +224,11 @@ def changed(spark: SparkSession, root: str, make: Callable[[dict | None], dict[S
 
 
 def scratch_root(spark: SparkSession, name: str) -> str:
-    """A new folder for tables of a query, in the folder that all executors share (spark.checkpoint.dir); beside the warehouse where a session has none, as in tests."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    """A new folder for tables of a query, in the folder that all executors share: spark.checkpoint.dir. Only a session whose executors are threads of one process, as in tests, may leave it unset."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.ledgerline.store", None)
+    if not base:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="ledgerline-")
+        spark.conf.set("spark.ledgerline.store", base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

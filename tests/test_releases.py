@@ -1,11 +1,12 @@
 """Places, equality, chains, scoped validation and authorities over small tables."""
 
 import datetime as dt
+import hashlib
 import random
 
 from pyspark.sql import functions as F
 
-from ledgerline.operators import authority_documents, availability, contracts, incremental, ordering, rules, scoped
+from ledgerline.operators import attest, authority_documents, availability, contracts, incremental, ordering, rules, scoped
 from ledgerline.sources import store
 from ledgerline.streaming import observe, ordered
 
@@ -151,3 +152,14 @@ def test_batches_open_as_many_files_of_keys_however_many_there_were(spark, tmp_p
         observe.ingest(spark.readStream.schema("id string").parquet(str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "ck"), ["id"], 1)
     assert sorted(r.id for r in spark.read.parquet(str(tmp_path / "out")).collect()) == sorted(["always", *[f"own{n}" for n in range(9)]])
     assert len(opened) == 8 and max(opened) <= 2 * 4
+
+
+def test_a_bundle_of_many_files_has_the_digest_of_its_parts(spark):
+    rows = spark.range(30_000).select(F.when(F.col("id") < 29_990, "large").otherwise("small").alias("bundle"), F.concat(F.lit("d/"), F.col("id").cast("string")).alias("path"))
+    got = {r.bundle: (r.files, r.digest) for r in attest.bundle_digests(rows, "bundle", F.col("path"), 100).collect()}
+    sha = lambda text: hashlib.sha256(text.encode()).hexdigest()
+    for name, ids in (("large", range(29_990)), ("small", range(29_990, 30_000))):
+        parts = {}
+        for path in sorted(f"d/{k}" for k in ids):
+            parts.setdefault(sha(path)[:3], []).append(path)
+        assert attest.listing_width(29_990, 100) == 3 and got[name] == (len(ids), sha("".join(sha(",".join(parts[g])) for g in sorted(parts))))
