@@ -40,7 +40,7 @@ from .textgrams import mix
 _U = np.uint64
 _SPACE, _LETTER, _NUMBER, _OTHER, _UNSURE = 0, 1, 2, 3, 4
 #: Code points worked on at once, and distinct words that a task counts before it passes them on; both only bound memory.
-STRETCH, COUNTED = 1 << 18, 300_000
+STRETCH, COUNTED = 1 << 18, 80_000
 #: Words that every worker holds, and their greatest length: at most KNOWN x (4 x LONGEST bytes of ids) = 134 MB, and 30 MB where they have four ids each.
 KNOWN, LONGEST = 1 << 19, 64
 SLOTS = 1 << 20
@@ -235,14 +235,14 @@ def word_counts(docs: DataFrame, tokenizer: str) -> DataFrame:
 
 
 def encoded_words(words: DataFrame, tokenizer: str) -> DataFrame:
-    """words with the ids of each: word, n, ids."""
+    """words with the ids of each: word, n, ids (four bytes each, the low one first)."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = [splitter(tokenizer).ids(w) for w in batch.column("word").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("n"), pa.array(ids, pa.list_(pa.int32()))], ["word", "n", "ids"])
+            ids = [np.array(splitter(tokenizer).ids(w), "<i4").tobytes() for w in batch.column("word").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("n"), pa.array(ids, pa.binary())], ["word", "n", "ids"])
 
-    return words.select("word", "n").mapInArrow(encode, "word string, n long, ids array<int>")
+    return words.select("word", "n").mapInArrow(encode, "word string, n long, ids binary")
 
 
 def _most_frequent(table: DataFrame, known: int) -> pa.Table:
@@ -267,9 +267,9 @@ class Known:
         keys = np.concatenate([keys_of(rows.column("word").slice(k, 1 << 16).to_pylist()) for k in range(0, max(1, len(rows)), 1 << 16)])
         self.order = np.argsort(keys).astype(np.int32)
         self.sorted = keys[self.order]
-        lists = rows.column("ids").combine_chunks() if len(rows) else pa.array([], pa.list_(pa.int32()))
-        self.first = np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False)))).astype(np.int32)
-        self.pool = lists.flatten().to_numpy(zero_copy_only=False)
+        blobs = rows.column("ids").to_pylist()
+        self.first = np.concatenate(([0], np.cumsum([len(b) // 4 for b in blobs]))).astype(np.int32)
+        self.pool = np.frombuffer(b"".join(blobs), "<i4")
         self.slot_key, self.slot = np.zeros(SLOTS, np.uint64), np.full(SLOTS, -1, np.int32)
         place = (keys & _U(SLOTS - 1)).astype(np.int64)[::-1]  # of two words of one place the more frequent is written last
         self.slot_key[place], self.slot[place] = keys[::-1], np.arange(len(keys), dtype=np.int32)[::-1]
@@ -388,7 +388,7 @@ def encode(docs: DataFrame, tokenizer: str, known: int = KNOWN) -> DataFrame:
                 if others:
                     by_word = {f["word"]: f["ids"] for f in batch.column("found")[k].as_py()}
                     numbers[numbers >= len(common.value)] += len(rare_ids)
-                    rare_ids += [np.array(by_word[w], np.int32) for w in others]
+                    rare_ids += [np.frombuffer(by_word[w], "<i4") for w in others]
                 held.append(numbers)
                 words += len(numbers)
                 if words >= STRETCH or k == len(batch) - 1:
