@@ -205,7 +205,7 @@ def release_versions(spark: SparkSession, d: str) -> DataFrame:
 @query(INVENTORIES + ", o as (select path, lag(path) over (order by doc_id) as before, doc_id from inv) select path, 'order' as rule from o where before is not null and not before < path")
 def release_rules(spark: SparkSession, d: str) -> DataFrame:
     """Paths in document order that don't ascend, and unsafe ones; one release's section is one sorted list."""
-    rows = numbered(inventory(spark, d), F.lpad(F.substring_index("path", "/", -1), 20, "0"))
+    rows = numbered(inventory(spark, d), F.substring_index("path", "/", -1).cast("long")).withColumn("place", F.col("place") - 1)
     unsafe = rows.where(~keys.safe_relative_path(F.col("path"))).select("path", F.lit("unsafe").alias("rule"))
     return contracts.out_of_order(rows, "path", [], "place", F.col("path")).select(F.col("entity").alias("path"), "rule").unionByName(unsafe)
 

@@ -7,6 +7,7 @@ import random
 from pyspark.sql import functions as F
 
 from ledgerline.operators import attest, authority_documents, availability, contracts, incremental, ordering, rules, scoped
+from ledgerline.plans import catalog
 from ledgerline.sources import store
 from ledgerline.streaming import observe, ordered
 
@@ -25,6 +26,14 @@ def test_positions_with_gaps_or_repeats_are_found(spark):
     assert found(contracts.out_of_order(rows.where("grp = 'h'"), "key", ["grp"], "position", F.col("key"))) == []
 
 
+def test_release_rules_find_paths_that_do_not_ascend_and_no_gap(spark, tmp_path):
+    ids = [10, -3, 100, 1, -4, 9, 11]
+    spark.createDataFrame([(i, "text") for i in ids], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = sorted(map(tuple, catalog.QUERIES["release_rules"](spark, str(tmp_path)).collect()))
+    paths = [f"documents/{i}" for i in sorted(ids)]
+    assert got == sorted((b, "order") for a, b in zip(paths, paths[1:], strict=False) if not a < b) and len(got) == 3
+
+
 def test_places_do_not_depend_on_the_number_of_ranges(spark):
     rows = spark.range(1000).select((F.col("id") * 7919 % 1009).alias("k"), (F.col("id") % 4).alias("g")).withColumn("place", F.lit(-1))
     want = [r.k for r in rows.orderBy("k").collect()]
