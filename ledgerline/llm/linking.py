@@ -14,6 +14,8 @@ by a shuffle in which no key is large.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -24,6 +26,8 @@ from .shared import discarded, written
 
 #: A block compares about so many outsiders with so many members; small buckets share a task up to about TOGETHER rows.
 OUTSIDERS, MEMBERS, TOGETHER = 32, 256, 500
+#: Rows of a block are compared together up to so many elements.
+TOGETHER_ELEMENTS = 1 << 15
 #: A key is hot with more rows than 1 / HOT of all, so fewer than HOT keys are; and with HOT_ROWS at least.
 HOT, HOT_ROWS = 2_000, 250
 
@@ -130,8 +134,8 @@ def _across(rows: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     def compare(key: tuple, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(a) and len(b):
-            inner = dict(tuple(b.groupby("bucket", sort=False)))
-            for bucket, own in a.groupby("bucket", sort=False):
+            inner = dict(_by_bucket(b))
+            for bucket, own in _by_bucket(a):
                 out += _forest(own, inner[bucket], threshold) if bucket in inner else []
         return pd.DataFrame(out, columns=["a", "b"])
 
@@ -141,14 +145,24 @@ def _across(rows: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return outside.groupBy(*keys).cogroup(inside.groupBy(*keys)).applyInPandas(compare, schema)
 
 
-def _forest(outside: pd.DataFrame, inside: pd.DataFrame, threshold: float) -> list[tuple]:
-    """Similar pairs between two blocks of a bucket, as few as join the components that they join."""
-    sets = outside["elements"].tolist()
-    sizes = np.array([len(x) for x in sets])
+def _by_bucket(rows: pd.DataFrame) -> Iterator[tuple[int, tuple[list, list, list]]]:
+    """Each bucket with the ids, components and elements of its rows, in their order."""
+    bucket = rows["bucket"].to_numpy()
+    order = np.argsort(bucket, kind="stable")
+    bucket = bucket[order]
+    ids, of, sets = ([column[k] for k in order.tolist()] for column in (rows[c].tolist() for c in ("id", "component", "elements")))
+    start = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])).tolist()
+    for a, b in zip(start, [*start[1:], len(bucket)], strict=True):
+        yield bucket[a], (ids[a:b], of[a:b], sets[a:b])
+
+
+def _forest(outside: tuple[list, list, list], inside: tuple[list, list, list], threshold: float) -> list[tuple]:
+    """Similar pairs between two blocks (ids, components, elements) of a bucket, as few as join the components that they join."""
+    (ids, of, sets), (others, components_of, elements) = outside, inside
+    sizes, other_sizes = (np.array([len(x) for x in every]) for every in (sets, elements))
     values, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
     order = np.argsort(values, kind="stable")
     values, owner = values[order], owner[order]
-    ids, of = outside["id"].tolist(), outside["component"].tolist()
     root: dict = {}
 
     def find(x):
@@ -158,14 +172,24 @@ def _forest(outside: pd.DataFrame, inside: pd.DataFrame, threshold: float) -> li
         return x
 
     found = []
-    for own, component, elements in zip(inside["id"], inside["component"], inside["elements"], strict=True):
-        low = np.searchsorted(values, elements)
-        each = np.searchsorted(values, elements, side="right") - low
+    for a, b in _stretches(other_sizes, TOGETHER_ELEMENTS):
+        wanted, asks = np.concatenate(elements[a:b]), np.repeat(np.arange(b - a), other_sizes[a:b])
+        low = np.searchsorted(values, wanted)
+        each = np.searchsorted(values, wanted, side="right") - low
         hits = owner[np.arange(each.sum()) + np.repeat(low - (np.cumsum(each) - each), each)]
-        common = np.bincount(hits, minlength=len(sets))
-        for k in np.flatnonzero(common >= threshold * (sizes + len(elements) - common) - 1e-9).tolist():
-            one, two = find(of[k]), find(component)
+        common = np.bincount(np.repeat(asks, each) * len(sets) + hits, minlength=(b - a) * len(sets)).reshape(b - a, len(sets))
+        for j, k in np.argwhere(common >= threshold * (sizes + other_sizes[a:b, None] - common) - 1e-9).tolist():
+            one, two = find(of[k]), find(components_of[a + j])
             if one != two:
                 root[one] = two
-                found.append((min(own, ids[k]), max(own, ids[k])))
+                found.append((min(others[a + j], ids[k]), max(others[a + j], ids[k])))
     return found
+
+
+def _stretches(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Stretches (from, to) of rows whose sizes add up to most, or of one row."""
+    ends, a = np.concatenate(([0], np.cumsum(sizes))), 0
+    while a < len(sizes):
+        b = max(a + 1, int(np.searchsorted(ends, ends[a] + most, side="right")) - 1)
+        yield a, b
+        a = b

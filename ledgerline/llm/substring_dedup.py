@@ -62,9 +62,13 @@ def minhashes(elements: np.ndarray, first: np.ndarray, k: int) -> np.ndarray:
     """k minima of each set under k hash functions; no set may be empty."""
     rng = np.random.default_rng(1234)
     out = np.empty((len(first) - 1, k), np.uint64)
+    h, high = np.empty((2, len(elements)), np.uint64)
     for j, (a, b) in enumerate(rng.integers(0, 2**63, (k, 2), dtype=np.uint64)):
-        h = elements * (a | _U(1)) + b
-        out[:, j] = np.minimum.reduceat(h ^ (h >> _U(32)), first[:-1])
+        np.multiply(elements, a | _U(1), out=h)
+        h += b
+        np.right_shift(h, _U(32), out=high)
+        h ^= high
+        out[:, j] = np.minimum.reduceat(h, first[:-1])
     return out
 
 
@@ -277,9 +281,9 @@ def windows(docs: DataFrame, seeds: DataFrame, min_words: int) -> DataFrame:
     return rows.mapInPandas(each, "doc_id long, row long, first_word int, h1 long, h2 long")
 
 
-def _shared(rows: DataFrame, keys: list[str], *more: Column) -> DataFrame:
-    """rows (with doc_id) whose keys several documents have, with more aggregates of their keys."""
-    common = rows.groupBy(*keys).agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("n"), *more).where("low <> high").drop("low", "high")
+def _shared(rows: DataFrame, keys: list[str], *more: Column, told: DataFrame | None = None) -> DataFrame:
+    """rows (with doc_id) whose keys several documents have, with more aggregates of their keys; told are the rows with only what these need."""
+    common = (rows if told is None else told).groupBy(*keys).agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("n"), *more).where("low <> high").drop("low", "high")
     common = written(common, "common")
     return attached(rows, common, keys, common.agg(F.sum("n")).first()[0] or 0)
 
@@ -297,9 +301,10 @@ def passage_classes(docs: DataFrame, n: int = 5, min_words: int = 20, made: Data
     if removed is not None:
         paragraphs = paragraphs.join(removed.where("n_words > 0").select(*PLACE, "n_words"), [*PLACE, "n_words"], "left_anti")
     listed = ("names", "places", "more", "lefts", "rights")
-    seeds = paragraphs.select("doc_id", "row", F.explode(F.arrays_zip(*listed)).alias("s")).select("doc_id", "row", *[F.col(f"s.{c}").alias(c) for c in listed])
+    seeds = paragraphs.select("doc_id", "row", F.inline(F.arrays_zip(*listed)))
+    told = paragraphs.select("doc_id", F.inline(F.arrays_zip("names", "lefts")))
     # Places that became one have no words beside them, so all that have their hash are looked at.
-    found = written(_shared(seeds, ["names"], F.max(F.col("lefts") == 1).alias("all")), "seeds")
+    found = written(_shared(seeds, ["names"], F.max(F.col("lefts") == 1).alias("all"), told=told), "seeds")
     # Of a window's other words, at least half (rounded up) stand on one side of its hash.
     side, rest = (min_words - n + 1) // 2, min_words - n
     beside = F.array(F.struct(F.lit(0).alias("side"), F.col("lefts").alias("h")), F.struct(F.lit(1).alias("side"), F.col("rights").alias("h")))
@@ -326,7 +331,9 @@ def passage_classes(docs: DataFrame, n: int = 5, min_words: int = 20, made: Data
     next_of = (before("of.doc_id") == F.col("of.doc_id")) & (before("of.row") == F.col("of.row")) & (F.col("of.first_word") == before("of.first_word") + 1)
     new = ~(next_word & (F.col("own") | next_of))
     pieces = some.withColumn("piece", F.sum(F.when(F.coalesce(new, F.lit(True)), 1).otherwise(0)).over(by_place)).groupBy("doc_id", "row", "own", "piece")
-    pieces = written(pieces.agg(F.min("of").alias("of"), F.min("first_word").alias("low"), F.max("first_word").alias("high")).drop("piece"), "pieces")
+    # A piece's windows are those of one row, so its least place is that of the least word.
+    of = F.struct(*[F.min(f"of.{c}").alias(c) for c in PLACE])
+    pieces = written(pieces.agg(of.alias("of"), F.min("first_word").alias("low"), F.max("first_word").alias("high")).drop("piece"), "pieces")
     held = pieces.where("own").select("doc_id", "row", "low", "high", F.struct("doc_id", "row", F.col("low").alias("first_word")).alias("first"))
     runs = held.select(F.col("doc_id").alias("of_doc"), F.col("row").alias("of_row"), "low", "high").groupBy("of_doc", "of_row").agg(F.array_sort(F.collect_list(F.struct("low", "high"))).alias("runs"))
     # A document's kept runs are a list as long as it at most; each piece stands in one of them.

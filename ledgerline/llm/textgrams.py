@@ -144,14 +144,12 @@ def shingles(hashes: np.ndarray, first: np.ndarray, n: int = 5) -> tuple[np.ndar
 
 def distinct(values: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Each text's distinct values in ascending order, each text's first of them, and how often each occurs."""
-    outs, counts, each = [], [], np.zeros(len(first) - 1, np.int64)
-    for k in range(len(first) - 1):
-        if first[k + 1] > first[k]:
-            u, c = np.unique(values[first[k] : first[k + 1]], return_counts=True)
-            outs.append(u)
-            counts.append(c)
-            each[k] = len(u)
-    begin = np.concatenate(([0], np.cumsum(each)))
-    if not outs:
-        return np.zeros(0, np.uint64), begin, np.zeros(0, np.int64)
-    return np.concatenate(outs), begin, np.concatenate(counts)
+    values, edges = values[first[0] : first[-1]].copy(), (first - first[0]).tolist()
+    for a, b in zip(edges, edges[1:], strict=False):
+        values[a:b].sort()
+    new = np.ones(len(values), bool)
+    new[1:] = values[1:] != values[:-1]
+    begins = np.array(edges)
+    new[begins[:-1][np.diff(begins) > 0]] = True
+    at = np.flatnonzero(new)
+    return values[at], np.searchsorted(at, begins), np.diff(np.append(at, len(values)))

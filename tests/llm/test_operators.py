@@ -828,3 +828,40 @@ def test_bounding_of_passages_needs_little_memory_and_loses_none(monkeypatch):
         tracemalloc.stop()
         assert most < 100 << 20
     assert results[0] == results[1] and {r[1] for r in results[0]} == want and {7, 1500, 2999} <= want
+
+
+def test_distinct_values_of_texts_are_found_without_a_call_of_unique_for_each(monkeypatch):
+    draw = np.random.default_rng(5)
+    first = np.concatenate(([0], np.cumsum(draw.integers(0, 9, 400))))
+    values = draw.integers(0, 6, first[-1]).astype(np.uint64)
+    before = values.copy()
+    want = [np.unique(values[a:b], return_counts=True) for a, b in zip(first, first[1:], strict=False)]
+    called, unique = [], np.unique
+    monkeypatch.setattr(np, "unique", lambda *a, **b: called.append(1) or unique(*a, **b))
+    got, begin, counts = textgrams.distinct(values, first)
+    assert not called and (values == before).all() and len(begin) == len(first)
+    for k, (own, each) in enumerate(want):
+        assert got[begin[k] : begin[k + 1]].tolist() == own.tolist() and counts[begin[k] : begin[k + 1]].tolist() == each.tolist()
+    assert [len(x) for x in textgrams.distinct(np.zeros(0, np.uint64), np.array([0, 0, 0]))] == [0, 3, 0]
+
+
+@pytest.mark.parametrize("most", [1, 40, 1 << 15])
+def test_blocks_are_joined_as_their_similar_pairs_join_them(monkeypatch, most):
+    monkeypatch.setattr(linking, "TOGETHER_ELEMENTS", most)
+    draw = random.Random(3)
+    for _ in range(20):
+        n = draw.randrange(2, 30)
+        sets = [np.array(sorted(draw.sample(range(9), draw.randrange(1, 8))), np.int64) for _ in range(n)]
+        out = sorted(draw.sample(range(n), draw.randrange(1, n)))
+        block = lambda rows: (list(rows), list(rows), [sets[k] for k in rows])  # noqa: E731, B023
+        got = linking._forest(block(out), block(range(n)), 0.6)
+        pairs = [(min(a, b), max(a, b)) for a in out for b in range(n) if a != b and len({*sets[a]} & {*sets[b]}) >= 0.6 * len({*sets[a]} | {*sets[b]})]
+        assert {*got} <= {*pairs}
+
+        def classes(edges, n=n):
+            of = list(range(n))
+            for a, b in edges:
+                of = [of[a] if x == of[b] else x for x in of]
+            return {frozenset(k for k in range(n) if of[k] == x) for x in of}
+
+        assert classes(got) == classes(pairs) and len(got) == n - len(classes(pairs))
