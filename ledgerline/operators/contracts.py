@@ -360,22 +360,57 @@ def replacement_contract(manifest: DataFrame, staged: DataFrame) -> DataFrame:
     """Rows of a replacement manifest (entry path, old and new digests of entry, review and evidence tree) against what is staged (path, sha256).
 
     Old and new differ; the new entry and review are staged with their bytes,
-    the new tree is, the old one is not. Trees are found by the staged paths'
-    own tree folder, an equi-join.
+    the new tree is, the old one is not. What the manifest's row alone tells is
+    told where it lies. Only the first part of a path below its folder, by which
+    a row meets what is staged for it, and 128 bits of each digest and tree are
+    shuffled: a manifest's row once, a staged path once.
     """
     stem = F.regexp_extract("entry", r"^entries/(.*)\.json$", 1)
-    rows = manifest.withColumns({"new_tree": F.concat(F.lit("evidence/"), stem, F.lit("/"), "new_tree_sha256"), "old_tree": F.concat(F.lit("evidence/"), stem, F.lit("/"), "old_tree_sha256")})
-    trees = staged.select(F.regexp_extract("path", "^(evidence/[^/]+/[^/]+)/.", 1).alias("tree")).where("tree <> ''").distinct()
-    at = lambda name: staged.select(F.col("path").alias(f"{name}_path"), F.col("sha256").alias(f"{name}_staged"))
-    joined = rows.join(at("entry"), F.col("entry") == F.col("entry_path"), "left").join(at("review"), F.concat("new_tree", F.lit("/review.json")) == F.col("review_path"), "left")
-    joined = joined.join(trees.select(F.col("tree").alias("new_tree"), F.lit(True).alias("has_new")), "new_tree", "left").join(trees.select(F.col("tree").alias("old_tree"), F.lit(True).alias("has_old")), "old_tree", "left")
+    tree = lambda c: F.concat(F.lit("evidence/"), stem, F.lit("/"), c)
     digests = [f"{age}_{what}_sha256" for age in ("old", "new") for what in ("entry", "review")] + ["old_tree_sha256", "new_tree_sha256"]
-    found = validate(joined, F.col("entry"), [
+    alone = validate(manifest, F.col("entry"), [
         *[pattern(c, "[0-9a-f]{64}") for c in digests], Rule("unchanged", "entry", F.col("old_entry_sha256") == F.col("new_entry_sha256")), Rule("unchanged", "tree", F.col("old_tree_sha256") == F.col("new_tree_sha256")),
-        Rule("not staged", "entry", ~F.col("entry_staged").eqNullSafe(F.col("new_entry_sha256"))), Rule("not staged", "tree", F.col("has_new").isNull()),
-        Rule("not staged", "review", ~F.col("review_staged").eqNullSafe(F.col("new_review_sha256"))), Rule("still staged", "tree", F.coalesce("has_old", F.lit(False))),
     ])
-    return found.unionByName(repeated(manifest, "entry", ["entry"], "entry"))
+    plain = F.concat(F.lit("entries/"), "_by", F.lit(".json"))
+    asked = manifest.withColumn("_by", _met_by(F.col("entry"))).select(
+        F.monotonically_increasing_id().alias("_row"), "_by", F.when(F.col("entry") != plain, F.col("entry")).alias("_entry_path"), F.col("new_entry_sha256").isNull().alias("_no_entry"), F.col("new_review_sha256").isNull().alias("_no_review"),
+        _short(F.col("new_entry_sha256")).alias("_entry"), _short(F.col("new_review_sha256")).alias("_review"), _short(tree("new_tree_sha256")).alias("_new"), _short(tree("old_tree_sha256")).alias("_old"),
+    )
+    path, three = F.col("path"), F.substring_index("path", "/", 3)
+    in_tree = path.rlike("^evidence/[^/]+/[^/]+/.")
+    parent = F.when(path.endswith("/review.json"), F.expr("left(path, length(path) - 12)"))
+    there = staged.select(_met_by(path).alias("_by"), "path", F.when(in_tree, three).alias("_in"), parent.alias("_parent"), _short(F.col("sha256")).alias("_sha256"))
+    # A plain entry's path and a review's own tree needn't be said again.
+    there = there.select(
+        "_by", F.when(F.col("_in").isNull(), F.when(path != plain, path)).alias("_path"), _short(F.col("_in")).alias("_tree"), F.col("_in").isNotNull().alias("_has_tree"),
+        F.col("_parent").isNotNull().alias("_is_review"), F.when(F.col("_parent") != F.coalesce("_in", F.lit("")), _short(F.col("_parent"))).alias("_of"), "_sha256",
+    )
+    met = asked.join(there, "_by", "left")
+    file = F.coalesce(~F.col("_has_tree"), F.lit(False)) & F.col("_path").eqNullSafe(F.col("_entry_path"))
+    review = F.coalesce(F.col("_is_review") & (F.coalesce("_of", "_tree") == F.col("_new")), F.lit(False))
+    within = lambda c: F.count_if(F.col("_has_tree") & (F.col("_tree") == F.col(c)))
+    counts = met.groupBy("_by", "_row", "_entry_path", "_no_entry", "_no_review").agg(
+        F.count_if(file).alias("_files"), F.count_if(file & (F.col("_sha256") != F.col("_entry"))).alias("_other_files"), within("_new").alias("_has_new"), within("_old").alias("_has_old"),
+        F.count_if(review).alias("_reviews"), F.count_if(review & (F.col("_sha256") != F.col("_review"))).alias("_other_reviews"),
+    )
+    # One violation for each staged file of other bytes, one where there is none.
+    wrong = lambda found, other, absent: F.when(F.col(found) > 0, F.col(other)).otherwise(F.when(F.col(absent), 0).otherwise(1)).cast("int")
+    told = [("not staged", "entry", wrong("_files", "_other_files", "_no_entry")), ("not staged", "tree", F.when(F.col("_has_new") == 0, 1).otherwise(0)), ("not staged", "review", wrong("_reviews", "_other_reviews", "_no_review")), ("still staged", "tree", F.when(F.col("_has_old") > 0, 1).otherwise(0))]
+    found = counts.select(F.coalesce("_entry_path", plain).alias("entity"), F.explode(F.flatten(F.array(*[F.array_repeat(F.struct(F.lit(rule).alias("rule"), F.lit(field).alias("field")), n) for rule, field, n in told]))).alias("v"))
+    return _union(alone, found.select("entity", "v.rule", "v.field"), repeated(manifest, "entry", ["entry"], "entry"))
+
+
+def _met_by(path: Column) -> Column:
+    """The part of a path below entries/ or evidence/, without the ending of an entry; any other path is met by itself."""
+    second = F.split_part(path, F.lit("/"), F.lit(2))
+    bare = F.when(second.endswith(".json") & (F.length(second) > 5), second.substr(F.lit(1), F.length(second) - 5)).otherwise(path)
+    below = F.when(F.substring_index(path, "/", 2) == path, bare).when(second != "", second).otherwise(path)
+    return F.when(path.startswith("entries/") | path.startswith("evidence/"), below).otherwise(path)
+
+
+def _short(text: Column) -> Column:
+    """128 bits of a text's digest; those of an absent text are its own."""
+    return F.unhex(F.substring(F.sha2(F.concat(F.when(text.isNull(), "0").otherwise("1"), F.coalesce(text, F.lit(""))), 256), 1, 32))
 
 
 #: Fields of a report and the record's fields that they must equal.
