@@ -145,11 +145,11 @@ def browse_contract(page_rows: DataFrame, day_rows: DataFrame, year_rows: DataFr
     )
 
 
-def posting_contract(heads: DataFrame, postings: DataFrame, page_size: int = POSTING_PAGE, most: int = POSTING_PAGES) -> DataFrame:
-    """Heads (term, page_size, pages, results) and postings (term, page, position in it, name): one sequence of pages, full but the last, sorted and distinct, no page beyond its head."""
+def posting_contract(heads: DataFrame, postings: DataFrame, page_size: int = POSTING_PAGE, most: int | None = POSTING_PAGES) -> DataFrame:
+    """Heads (term, page_size, pages, results) and postings (term, page, position in it, name): one sequence of pages, full but the last, sorted and distinct, no page beyond its head; most is the number of pages that a term may have, None for any."""
     want = F.ceil(F.col("results") / page_size).cast("long")
     rows = validate(heads, F.col("term"), [
-        Rule("size", "page_size", F.col("page_size") != page_size), Rule("minimum", "results", F.col("results") < 0), Rule("pages", "pages", F.col("pages") != want), Rule("cap", "pages", F.col("pages") > most),
+        Rule("size", "page_size", F.col("page_size") != page_size), Rule("minimum", "results", F.col("results") < 0), Rule("pages", "pages", F.col("pages") != want), *([Rule("cap", "pages", F.col("pages") > most)] if most is not None else []),
         Rule("term", "term", ~F.col("term").rlike("^[a-z0-9]{2,32}$")),
     ])
     held = postings.groupBy("term", "page").agg(F.count("*").alias("n"))

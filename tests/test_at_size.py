@@ -1,12 +1,10 @@
 """What queries shuffle and hold at size, and results that only larger tables show."""
 
 import duckdb
-import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.operators import contracts
 from ledgerline.plans import catalog
-from tests.conftest import rows_of
 
 
 def joined_columns(df):
@@ -35,3 +33,13 @@ def test_replacements_meet_what_is_staged_by_short_digests(spark):
     want = [("entries/b-v1.json", "not staged", "entry"), ("entries/b-v1.json", "not staged", "review"), ("entries/b-v1.json", "still staged", "tree"), ("entries/c/d.json", "not staged", "review"), ("entries/c/d.json", "not staged", "tree")]
     assert sorted(map(tuple, found.collect())) == want
     assert not {c for c in joined_columns(found) if c.endswith("_sha256") and not c.startswith("_")}
+
+
+def test_a_word_of_very_many_documents_breaks_no_rule_of_the_sql(spark, tmp_path):
+    # One document more than 2,048 pages hold.
+    spark.range(2_048 * 128 + 1).select(F.col("id").alias("doc_id"), F.lit("common word").alias("text")).coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    want = con.execute(f"select rule, field, count(*) from ({catalog.ORACLE_SQL['posting_contract']}) group by all order by all").fetchall()
+    got = catalog.QUERIES["posting_contract"](spark, str(tmp_path)).groupBy("rule", "field").count().collect()
+    assert sorted(map(tuple, got)) == want
