@@ -152,11 +152,27 @@ def posting_contract(heads: DataFrame, postings: DataFrame, page_size: int = POS
         Rule("size", "page_size", F.col("page_size") != page_size), Rule("minimum", "results", F.col("results") < 0), Rule("pages", "pages", F.col("pages") != want), *([Rule("cap", "pages", F.col("pages") > most)] if most is not None else []),
         Rule("term", "term", ~F.col("term").rlike("^[a-z0-9]{2,32}$")),
     ])
-    held = postings.groupBy("term", "page").agg(F.count("*").alias("n"))
+    held = store.kept(_pages_held(postings), "postings-held")
     whole = held.groupBy("term").agg(F.sum("n").alias("_held"), F.max("page").alias("_last"))
     joined = heads.join(whole, "term", "full_outer")
     counted = validate(joined, F.col("term"), [Rule("head", "results", ~F.coalesce("results", F.lit(-1)).eqNullSafe(F.coalesce("_held", F.lit(0)))), Rule("beyond", "pages", F.coalesce(F.col("_last") >= F.col("pages"), F.lit(False)))])
-    return _union(rows, counted, _violations(held.where(F.col("n") > page_size), "term", "cap", "page"), out_of_order(postings, "term", ["term", "page"], "position", F.col("name")))
+    gaps = held.where((F.col("placed") < F.col("n")) | (F.col("again") > 0) | (F.col("low") != 0) | (F.col("high") != F.col("n") - 1))
+    order = held.where("wrong > 0").select("term", F.explode(F.sequence(F.lit(1).cast("long"), "wrong")))
+    return _union(rows, counted, _violations(held.where(F.col("n") > page_size), "term", "cap", "page"), _violations(order, "term", "order", "position"), _violations(gaps, F.concat_ws("/", "term", F.col("page").cast("string"), F.lit("positions")), "gap", "position"))
+
+
+def _pages_held(postings: DataFrame) -> DataFrame:
+    """Per term and page: n rows, wrong (of how many rows the name is not above that at the position before), and whether their positions count from 0: placed, again, low, high.
+
+    As out_of_order tells, from one shuffle and one sort; a page of any size is streamed past.
+    """
+    own = Window.partitionBy("term", "page").orderBy("position")
+    # Usually one name; more where a position comes twice.
+    before = F.collect_list("name").over(own.rangeBetween(-1, -1))
+    told = postings.select("term", "page", F.col("position").cast("long").alias("position"), "name").withColumns({"_before": before, "_at": F.lag("position").over(own)})
+    wrong = F.when(F.col("position").isNotNull(), F.size(F.filter("_before", lambda x: ~(x < F.col("name"))))).otherwise(0)
+    counts = [F.count("*").alias("n"), F.sum(wrong).alias("wrong"), F.count("position").alias("placed"), F.count_if(F.col("_at") == F.col("position")).alias("again"), F.min("position").alias("low"), F.max("position").alias("high")]
+    return told.groupBy("term", "page").agg(*counts)
 
 
 def lookup_contract(listed: DataFrame, prefix: str, cap: int = REPOSITORY_ROWS) -> DataFrame:
