@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions import text
+from ledgerline.sources import store
 
 PAGE_SIZE, MAX_TERMS, MAX_PAGES = 128, 4_000, 2_048
 
@@ -27,11 +28,9 @@ def postings(term_rows: DataFrame, name: str, page_size: int = PAGE_SIZE, first_
     length, or none may begin another's range.
     first_rank (term, results) is what terms hold already; new names follow.
     """
-    first = F.col(name)
-    # A name without its last two characters: ranges are in the names' order where names have one length, as record names do.
-    grouped = term_rows.withColumn("range", F.substring(first, 1, F.length(first) - 2))
+    grouped = term_rows.select("term", name, _range(F.col(name)).alias("range"))
     sizes = grouped.groupBy("term", "range").agg(F.count("*").alias("size"))
-    before = sizes.withColumn("before", F.coalesce(F.sum("size").over(Window.partitionBy("term").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("size")
+    before = sizes.withColumn("before", _sizes_before()).drop("size")
     inside = F.row_number().over(Window.partitionBy("term", "range").orderBy(name)) - 1
     ranked = grouped.withColumn("inside", inside).join(before, ["term", "range"]).withColumn("rank", F.col("before") + F.col("inside"))
     if first_rank is not None:
@@ -39,6 +38,18 @@ def postings(term_rows: DataFrame, name: str, page_size: int = PAGE_SIZE, first_
     return ranked.select("term", F.floor(F.col("rank") / page_size).cast("long").alias("page"), F.col("rank").cast("long").alias("rank"), name)
 
 
+def _range(name: Column) -> Column:
+    """A name without its last five characters: ranges are in the names' order where names have one length, as record names do.
+
+    One has 100,000 numbered names at most, which a task can sort, and a term as many ranges as there are hundred thousands of records: far fewer than names.
+    """
+    return F.substring(name, 1, F.length(name) - 5)
+
+
+def _sizes_before() -> Column:
+    return F.coalesce(F.sum("size").over(Window.partitionBy("term").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+
 def heads(term_rows: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
     """term, results and pages."""
     return term_rows.groupBy("term").agg(F.count("*").alias("results")).withColumn("pages", F.ceil(F.col("results") / page_size).cast("long"))
@@ -58,9 +69,14 @@ def appended(prior_heads: DataFrame, new_terms: DataFrame, name: str, page_size:
 
 def removed(term_rows: DataFrame, gone: DataFrame, name: str, page_size: int = PAGE_SIZE) -> DataFrame:
     """All postings of the terms that withdrawn records had, closed up and numbered again; a term with none left disappears."""
-    touched = term_rows.join(gone, name, "left_semi").select("term").distinct()
-    left = term_rows.join(touched, "term", "left_semi").join(gone, name, "left_anti")
-    return postings(left, name, page_size)
+    # Written with their marks, so terms are made and met with what is gone once, and the shuffle by name is gone before that by term.
+    marked = term_rows.select("term", name).join(gone.select(name, F.lit(True).alias("_gone")).distinct(), name, "left").select("term", name, _range(F.col(name)).alias("range"), F.col("_gone").isNotNull().alias("_gone"))
+    marked = store.kept(marked, "postings-marked")
+    sizes = marked.groupBy("term", "range").agg(F.count_if(~F.col("_gone")).alias("size"), F.count_if("_gone").alias("_lost"))
+    before = sizes.withColumns({"before": _sizes_before(), "_lost": F.sum("_lost").over(Window.partitionBy("term"))}).where("_lost > 0").select("term", "range", "before")
+    inside = F.row_number().over(Window.partitionBy("term", "range").orderBy(name)) - 1
+    ranked = marked.where("not _gone").select("term", "range", name).withColumn("inside", inside).join(before, ["term", "range"]).withColumn("rank", (F.col("before") + F.col("inside")).cast("long"))
+    return ranked.select("term", F.floor(F.col("rank") / page_size).cast("long").alias("page"), "rank", name)
 
 
 def contract(posting_rows: DataFrame, head_rows: DataFrame, name: str, page_size: int = PAGE_SIZE) -> DataFrame:

@@ -3,7 +3,7 @@
 import duckdb
 from pyspark.sql import functions as F
 
-from ledgerline.operators import contracts
+from ledgerline.operators import contracts, search
 from ledgerline.plans import catalog
 
 
@@ -43,3 +43,23 @@ def test_a_word_of_very_many_documents_breaks_no_rule_of_the_sql(spark, tmp_path
     want = con.execute(f"select rule, field, count(*) from ({catalog.ORACLE_SQL['posting_contract']}) group by all order by all").fetchall()
     got = catalog.QUERIES["posting_contract"](spark, str(tmp_path)).groupBy("rule", "field").count().collect()
     assert sorted(map(tuple, got)) == want
+
+
+def test_posting_pages_are_held_against_their_contract_without_a_join_of_names(spark):
+    heads = spark.createDataFrame([("aa", 128, 1, 3), ("bb", 128, 1, 3), ("cc", 128, 2, 130)], "term string, page_size int, pages long, results long")
+    rows = [("aa", 0, 0, "n1"), ("aa", 0, 1, "n3"), ("aa", 0, 2, "n2")]  # the last is out of order
+    rows += [("bb", 0, 0, "n1"), ("bb", 0, 0, "n5"), ("bb", 0, 1, "n2")]  # a position twice: the row after it is below one of the two
+    rows += [("cc", 0, k, f"n{k:03d}") for k in range(129)] + [("cc", 1, None, "n129")]  # a page too long, and a row without a position
+    found = contracts.posting_contract(heads, spark.createDataFrame(rows, "term string, page long, position long, name string"))
+    want = [("aa", "order", "position"), ("bb", "order", "position"), ("bb/0/positions", "gap", "position"), ("cc", "cap", "page"), ("cc/1/positions", "gap", "position")]
+    assert sorted(map(tuple, found.collect())) == want
+    assert "name" not in joined_columns(found)
+
+
+def test_a_withdrawal_makes_terms_once(spark):
+    docs = spark.createDataFrame([(f"DOC-{k:08d}", f"every {'even' if k % 2 == 0 else 'odd'} w{k}") for k in range(300)], "name string, body string")
+    rows = search.terms(docs, "name", "body")
+    left = search.removed(rows, docs.where("name = 'DOC-00000002'").select("name"), "name")
+    names = {t: [f"DOC-{k:08d}" for k in range(300) if k != 2 and (t == "every" or k % 2 == 0)] for t in ("even", "every")}
+    assert sorted(map(tuple, left.collect())) == [(t, k // 128, k, n) for t in names for k, n in enumerate(names[t])]
+    assert "Generate" not in left._jdf.queryExecution().optimizedPlan().toString()
