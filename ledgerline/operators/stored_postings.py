@@ -7,10 +7,11 @@ that loses one, so the pages before it stay as they are.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerline.operators import search
+from ledgerline.operators.attest import listing_width
 from ledgerline.sources import store
 from ledgerline.sources.store import Surface
 
@@ -33,14 +34,18 @@ def _read(spark: SparkSession, root: str, surface: Surface, keys: DataFrame, las
 def appended(spark: SparkSession, root: str, term_rows: DataFrame, name: str, page_size: int = search.PAGE_SIZE, replace: bool = False) -> dict:
     """One release more, of names that come after all that are there: their terms' open pages, the pages they fill, and heads."""
     last = None if replace else store.head(spark, root)
-    new = term_rows.groupBy("term").agg(F.count("*").alias("n"))
+    # A row a term, written as it is asked for several times.
+    new = store.kept(term_rows.groupBy("term").agg(F.count("*").alias("n")), "postings-new")
     held = _read(spark, root, HEADS, new, last)
     opened = held.where(F.col("results") % page_size > 0).select("term", F.floor(F.col("results") / page_size).cast("long").alias("page"))
     before = _read(spark, root, PAGES, opened, last).select("term", "page", F.col("names").alias("_before"))
     pages = _page_rows(search.appended(held, term_rows, name, page_size), name).join(before, ["term", "page"], "left")
     pages = pages.select("term", "page", F.concat(F.coalesce("_before", F.array().cast("array<string>")), "names").alias("names"))
     heads = new.join(held, "term", "left").select("term", (F.coalesce("results", F.lit(0)) + F.col("n")).cast("long").alias("results"))
-    return store.publish(spark, root, {PAGES: pages, HEADS: heads}, replace=replace, based_on=last)
+    # How many pages there are follows from the counts, so nothing is made only to be counted.
+    told = None if last else new.agg(F.count("*").alias("terms"), F.sum(F.ceil(F.col("n") / page_size)).alias("pages")).first()
+    width = told and {PAGES: listing_width(int(told["pages"] or 0), store.PART_ROWS), HEADS: listing_width(told["terms"], store.PART_ROWS)}
+    return store.publish(spark, root, {PAGES: pages, HEADS: heads}, replace=replace, based_on=last, width=width)
 
 
 def withdrawn(spark: SparkSession, root: str, gone: DataFrame, name: str, page_size: int = search.PAGE_SIZE) -> dict:
@@ -48,11 +53,18 @@ def withdrawn(spark: SparkSession, root: str, gone: DataFrame, name: str, page_s
     last = store.head(spark, root)
     held = _read(spark, root, HEADS, gone.select("term").distinct(), last).where(F.col("results") > 0)
     every = held.select("term", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("results") - 1) / page_size).cast("long"))).alias("page"))
-    there = _read(spark, root, PAGES, every, last).select("term", "page", F.posexplode("names").alias("_place", name))
-    lost = there.join(gone.select("term", name).distinct(), ["term", name], "left_semi")
-    first = lost.groupBy("term").agg(F.min("page").alias("_first"), F.count("*").alias("_lost"))
-    left = there.join(first, "term").where("page >= _first").drop("_lost").join(lost.select("term", name), ["term", name], "left_anti")
-    again = search.postings(left.select("term", name), name, page_size, first.select("term", (F.col("_first") * page_size).alias("results")))
+    there = _read(spark, root, PAGES, every, last)
+    # A page that loses names, with what is left of it; met by its names once, and written.
+    named = there.select("term", "page", F.posexplode("names").alias("_place", name))
+    lost = store.kept(named.join(gone.select("term", name).distinct(), ["term", name], "left_semi").groupBy("term", "page").agg(F.collect_list(name).alias("_gone")), "postings-lost")
+    first = store.kept(lost.groupBy("term").agg(F.min("page").alias("_first"), F.sum(F.size("_gone")).alias("_lost")), "postings-first")
+    left = there.join(lost, ["term", "page"], "left").withColumn("names", F.when(F.col("_gone").isNull(), F.col("names")).otherwise(F.filter("names", lambda x: ~F.array_contains("_gone", x))))
+    # A name's new place follows from those left on the pages before its own: one number a page, no sort of names.
+    sizes = store.kept(left.select("term", "page", F.size("names").alias("_n")).join(first, "term").where("page >= _first").select("term", "page", "_n", "_first"), "postings-sizes")
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy("term").orderBy("page").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    moved = left.join(sizes.select("term", "page", (F.col("_first") * page_size + before).alias("_before")), ["term", "page"]).select("term", "_before", F.posexplode("names").alias("_place", name))
+    rank = (F.col("_before") + F.col("_place")).cast("long")
+    again = moved.select("term", F.floor(rank / page_size).cast("long").alias("page"), rank.alias("rank"), name)
     heads = held.join(first, "term").select("term", (F.col("results") - F.col("_lost")).cast("long").alias("results"))
     over = every.join(heads, "term").where(F.col("page") * page_size >= F.col("results")).select("term", "page", F.array().cast("array<string>").alias("names"), F.lit(True).alias("gone"))
     pages = _page_rows(again, name).withColumn("gone", F.lit(False)).unionByName(over)
