@@ -158,11 +158,13 @@ def appended(spark: SparkSession, root: str, versions: DataFrame, prefix: str, p
         days = by_day.join(prior(DAYS, by_day).select("day", F.col("first_page").alias("_first"), F.col("last_page").alias("_last"), F.col("results").alias("_r"), F.col("versions").alias("_v")), "day", "left")
         days = days.select("day", F.least("first_page", "_first").alias("first_page"), F.greatest("last_page", "_last").alias("last_page"), (F.col("results") + F.coalesce("_r", F.lit(0))).alias("results"), (F.col("versions") + F.coalesce("_v", F.lit(0))).alias("versions"))
         changes = {RESULTS: after, PAGES: pages, DAYS: days}
+        # Parts by each table's own rows: the small ones would be thousands of files that the driver lists.
+        asked = {RESULTS: moved, PAGES: by_page, DAYS: by_day}
         for surface, groups, order, cap in ((CODES, _code_groups, _by_instant, front), (REPOSITORIES, _repository_groups, _by_id, most)):
             touched = _members(moved, F.col("was.newest"), groups, order).unionByName(_members(moved, F.col("now.newest"), groups, order)).select(*surface.keys).distinct()
+            asked[surface] = touched
             changes[surface] = listed(moved, prior(surface, touched), everything, surface.keys, groups, order, cap)
-        # No table has more keys than there are results, or twice as many codes.
-        width = None if last else listing_width(moved.count(), store.PART_ROWS)
+        width = None if last else {s: listing_width(keys.count(), store.PART_ROWS) for s, keys in asked.items()}
         return store.publish(spark, root, {s: _cast(rows, s) for s, rows in changes.items()}, replace=replace, based_on=last, width=width)
     finally:
         moved.unpersist()

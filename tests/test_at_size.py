@@ -1,10 +1,13 @@
 """What queries shuffle and hold at size, and results that only larger tables show."""
 
+from datetime import datetime
+
 import duckdb
 from pyspark.sql import functions as F
 
-from ledgerline.operators import contracts, search
+from ledgerline.operators import contracts, search, stored_postings, surfaces
 from ledgerline.plans import catalog
+from ledgerline.sources import store
 
 
 def joined_columns(df):
@@ -63,3 +66,26 @@ def test_a_withdrawal_makes_terms_once(spark):
     names = {t: [f"DOC-{k:08d}" for k in range(300) if k != 2 and (t == "every" or k % 2 == 0)] for t in ("even", "every")}
     assert sorted(map(tuple, left.collect())) == [(t, k // 128, k, n) for t in names for k, n in enumerate(names[t])]
     assert "Generate" not in left._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_small_tables_of_a_release_have_few_parts(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(store, "PART_ROWS", 2)
+    rows = [(f"REC-2026-07-28-{k:06d}", 1, datetime(2026, 7, 28), "B", "T", "r", False) for k in range(1, 41)]
+    versions = spark.createDataFrame(rows, "id string, version long, registered_at timestamp, brand string, type string, repository string, withdrawn boolean")
+    made = surfaces.appended(spark, str(tmp_path), versions, "REC", 20, replace=True)
+    # Forty results are dealt to more parts than one day, two pages, two codes and one repository.
+    assert {n: t["width"] for n, t in made["tables"].items()} == {"results": 2, "pages": 1, "days": 1, "codes": 1, "repositories": 1}
+    assert store.violations(spark, str(tmp_path)) == []
+
+
+def test_a_release_of_postings_makes_no_page_only_to_count_it(spark, tmp_path, monkeypatch):
+    counted = []
+    own = type(spark.range(0)).count
+    monkeypatch.setattr(type(spark.range(0)), "count", lambda df: counted.append(df.columns) or own(df))
+    rows = spark.createDataFrame([("word", f"DOC-{k:08d}") for k in range(300)], "term string, name string")
+    stored_postings.appended(spark, str(tmp_path), rows, "name", replace=True)
+    assert not [c for c in counted if "names" in c]
+    gone = rows.where("name in ('DOC-00000130', 'DOC-00000131')")
+    stored_postings.withdrawn(spark, str(tmp_path), gone, "name")
+    left = [f"DOC-{k:08d}" for k in range(300) if k not in (130, 131)]
+    assert sorted(map(tuple, stored_postings.rows(spark, str(tmp_path)).collect())) == [("word", k // 128, k, n) for k, n in enumerate(left)]
