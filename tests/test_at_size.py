@@ -1,6 +1,8 @@
 """What queries shuffle and hold at size, and results that only larger tables show."""
 
+import time
 from datetime import datetime
+from pathlib import Path
 
 import duckdb
 from pyspark.sql import functions as F
@@ -89,3 +91,13 @@ def test_a_release_of_postings_makes_no_page_only_to_count_it(spark, tmp_path, m
     stored_postings.withdrawn(spark, str(tmp_path), gone, "name")
     left = [f"DOC-{k:08d}" for k in range(300) if k not in (130, 131)]
     assert sorted(map(tuple, stored_postings.rows(spark, str(tmp_path)).collect())) == [("word", k // 128, k, n) for k, n in enumerate(left)]
+
+
+def test_a_release_leaves_no_shuffle_files(spark, tmp_path):
+    there = lambda: set(Path(spark.conf.get("spark.local.dir")).rglob("shuffle_*.data"))
+    before = there()
+    store.publish(spark, str(tmp_path), {store.Surface("sums", ("k",)): spark.range(1000).groupBy((F.col("id") % 7).alias("k")).agg(F.sum("id").alias("s"))}, replace=True)
+    end = time.monotonic() + 20
+    while there() - before and time.monotonic() < end:
+        time.sleep(0.2)
+    assert not there() - before
